@@ -92,36 +92,31 @@ def scd2_apply(
     return updated.unionByName(keyed.select(*hist.columns))
 
 
-def scd2_three_step(
-    hist, source, key_cols, type1_cols, type2_cols, as_of, sk_col,
-    start_col="scd_start_date", end_col="scd_end_date", current_col="is_current",
-):
-    """The textbook three statements (update type 1, close, open), used as a test oracle.
-
-    Same-day changes follow ``scd2_apply``'s ruling, so both must agree everywhere.
-    """
-    key_cols, t1, t2 = _list(key_cols), _list(type1_cols), _list(type2_cols)
-    as_of_c = _as_date(as_of)
-    src = source.select(*key_cols, *t1, *t2)
-
-    # 1. type 1 columns on every version
-    s1 = src.select(*key_cols, *[F.col(c).alias(f"_s_{c}") for c in t1], F.lit(True).alias("_hit"))
+def scd2_update_type1(hist, source, key_cols, type1_cols):
+    """Step 1 of the textbook form: type 1 columns take the source's values on every version."""
+    key_cols, t1 = _list(key_cols), _list(type1_cols)
+    s1 = source.select(*key_cols, *[F.col(c).alias(f"_s_{c}") for c in t1], F.lit(True).alias("_hit"))
     h = hist.join(s1, key_cols, "left")
-    step1 = h.select(*[
+    return h.select(*[
         F.when(F.col("_hit").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
         if c in t1 else F.col(c)
         for c in hist.columns
     ])
 
-    # 2. close (or, on the opening day, update) changed current versions
-    s2 = src.select(*key_cols, *[F.col(c).alias(f"_s_{c}") for c in t2], F.lit(True).alias("_hit"))
-    h = step1.join(s2, key_cols, "left")
+
+def scd2_close_changed(hist, source, key_cols, type2_cols, as_of,
+                       start_col="scd_start_date", end_col="scd_end_date", current_col="is_current"):
+    """Step 2: close current versions whose type 2 columns changed (in place on the opening day)."""
+    key_cols, t2 = _list(key_cols), _list(type2_cols)
+    as_of_c = _as_date(as_of)
+    s2 = source.select(*key_cols, *[F.col(c).alias(f"_s_{c}") for c in t2], F.lit(True).alias("_hit"))
+    h = hist.join(s2, key_cols, "left")
     changed = F.coalesce(
         F.col(current_col) & F.col("_hit").isNotNull() & any_distinct([(c, f"_s_{c}") for c in t2]),
         F.lit(False),
     )
     same_day = F.col(start_col) >= as_of_c
-    step2 = h.select(*[
+    return h.select(*[
         F.when(changed & ~same_day, F.lit(False)).otherwise(F.col(c)).alias(c) if c == current_col
         else F.when(changed & ~same_day, F.date_sub(as_of_c, 1)).otherwise(F.col(c)).alias(c)
         if c == end_col
@@ -130,10 +125,32 @@ def scd2_three_step(
         for c in hist.columns
     ])
 
-    # 3. open a version for every key without a current one
-    opened = src.join(step2.where(F.col(current_col)).select(*key_cols), key_cols, "left_anti").select(
+
+def scd2_open_missing(hist, source, key_cols, type1_cols, type2_cols, as_of, sk_col,
+                      start_col="scd_start_date", end_col="scd_end_date", current_col="is_current",
+                      key_offset=None):
+    """Step 3: new current versions for source keys without a current row (new rows only)."""
+    key_cols, t1, t2 = _list(key_cols), _list(type1_cols), _list(type2_cols)
+    as_of_c = _as_date(as_of)
+    src = source.select(*key_cols, *t1, *t2)
+    opened = src.join(hist.where(F.col(current_col)).select(*key_cols), key_cols, "left_anti").select(
         *key_cols, *t1, *t2, as_of_c.alias(start_col),
         F.lit(None).cast("date").alias(end_col), F.lit(True).alias(current_col),
     )
-    keyed = assign_keys(opened, sk_col, key_cols, offset=max_key(hist, sk_col))
-    return step2.unionByName(keyed.select(*hist.columns))
+    offset = max_key(hist, sk_col) if key_offset is None else key_offset
+    return assign_keys(opened, sk_col, key_cols, offset=offset).select(*hist.columns)
+
+
+def scd2_three_step(
+    hist, source, key_cols, type1_cols, type2_cols, as_of, sk_col,
+    start_col="scd_start_date", end_col="scd_end_date", current_col="is_current",
+):
+    """The textbook three statements (update type 1, close, open), used as a test oracle.
+
+    Same-day changes follow ``scd2_apply``'s ruling, so both must agree everywhere.
+    """
+    step1 = scd2_update_type1(hist, source, key_cols, type1_cols)
+    step2 = scd2_close_changed(step1, source, key_cols, type2_cols, as_of, start_col, end_col, current_col)
+    opened = scd2_open_missing(step2, source, key_cols, type1_cols, type2_cols, as_of, sk_col,
+                               start_col, end_col, current_col, key_offset=max_key(hist, sk_col))
+    return step2.unionByName(opened)

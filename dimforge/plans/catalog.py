@@ -12,8 +12,20 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..functions.exprs import (
+    any_distinct, date_key, day_of_week0, distinct_from, minutes_between, round_ratio,
+    try_date, try_dec, try_ts,
+)
+from ..operators import quality
+from ..operators.dedupe import first_per_key
+from ..operators.merge import insert_if_absent, replace_by_key, upsert
+from ..operators.scd2 import (
+    scd2_apply, scd2_close_changed, scd2_open_missing, scd2_update_type1,
+)
 from ..sources import standins
-from . import dims, facts, serving
+from . import checks, dims, facts, serving, staging
 
 AS_OF = dt.date(2023, 1, 1)
 
@@ -95,18 +107,596 @@ class Warehouse:
         return getattr(self, name)
 
 
+def _w(spark, sf_dir) -> Warehouse:
+    return Warehouse(spark, sf_dir)
+
+
+def _table(spark, sf_dir, name):
+    return standins.read_table(spark, sf_dir, name)
+
+
+# ---------------------------------------------------------------- serving (E-*)
+
 def revenue_by_category(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir)
     return serving.revenue_by_category(w.fct_order_items, w.dim_product)
 
 
 def revenue_by_category_range(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir)
     return serving.revenue_by_category(w.fct_order_items, w.dim_product,
                                        date_from="2016-03-01", date_to="2019-06-30", limit=3)
 
 
-QUERIES = {
-    "revenue_by_category": revenue_by_category,
-    "revenue_by_category_range": revenue_by_category_range,
-}
+def row_counts(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    from .. import schemas
+    return serving.row_counts({t: w.table(t) for t in schemas.WAREHOUSE_TABLES})
+
+
+def list_sellers(spark, sf_dir):
+    return serving.list_sellers(_w(spark, sf_dir).dim_seller, state="africa", limit=50)
+
+
+def list_sellers_ilike(spark, sf_dir):
+    return serving.list_sellers(_w(spark, sf_dir).dim_seller, city="TION_1", limit=500)
+
+
+def seller_snapshot(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    out = serving.seller_snapshot_rows(w.fct_seller_monthly_snapshot, w.dim_seller, "se1", 12)
+    return out.select(
+        "year_month", "total_orders", "total_items_sold",
+        F.col("total_revenue").cast("decimal(12,2)").alias("total_revenue"),
+        F.col("total_freight").cast("decimal(12,2)").alias("total_freight"),
+        F.col("avg_review_score").cast("decimal(4,2)").alias("avg_review_score"),
+        F.col("avg_delivery_delay_days").cast("decimal(8,2)").alias("avg_delivery_delay_days"),
+    )
+
+
+def order_lifecycle_lookup(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    out = serving.lifecycle_rows(w.fct_order_lifecycle, w.dim_order_flags)
+    return out.select(
+        "order_id", "order_status", "order_purchase_date",
+        *[F.col(c).cast("decimal(10,2)").alias(c) for c in (
+            "approval_delay_hours", "carrier_pickup_delay_hours", "delivery_delay_days",
+            "vs_estimated_days")],
+        "is_late",
+    )
+
+
+# ---------------------------------------------------------------- dimensions (B-1..B-8)
+
+def date_spine(spark, sf_dir):
+    """The whole date spine with the number of orders purchased each day."""
+    w = _w(spark, sf_dir)
+    per_day = w.fct_order_lifecycle.groupBy(F.col("purchase_date_key").alias("date_key")).agg(
+        F.count(F.lit(1)).alias("orders_purchased"))
+    return w.dim_date.join(per_day, "date_key", "left").withColumn(
+        "orders_purchased", F.coalesce("orders_purchased", F.lit(0)))
+
+
+def order_flags_junk(spark, sf_dir):
+    """Junk dimension rows with the number of orders carrying each combination."""
+    w = _w(spark, sf_dir)
+    per_flag = w.fct_order_lifecycle.groupBy("order_flags_key").agg(F.count(F.lit(1)).alias("orders"))
+    return w.dim_order_flags.join(per_flag, "order_flags_key", "left").withColumn(
+        "orders", F.coalesce("orders", F.lit(0)))
+
+
+def dim_customer(spark, sf_dir):
+    return _w(spark, sf_dir).dim_customer
+
+
+def dim_seller(spark, sf_dir):
+    return _w(spark, sf_dir).dim_seller
+
+
+def dim_product(spark, sf_dir):
+    return _w(spark, sf_dir).dim_product
+
+
+def dim_seller_hist(spark, sf_dir):
+    return _w(spark, sf_dir).dim_seller_hist
+
+
+def dim_product_hist(spark, sf_dir):
+    return _w(spark, sf_dir).dim_product_hist
+
+
+# ---------------------------------------------------------------- write operators (W-*)
+
+def _old_products(w):
+    """An earlier product state: a quarter of the ids missing, a third re-categorised."""
+    p = staging.stg_products(w.raw["raw_products"], w.raw["raw_category_translation"])
+    k = F.substring("product_id", 3, 20).cast("long")
+    return p.where(k % 4 != 0).select(
+        "product_id",
+        F.when(k % 3 == 0, F.lit("legacy")).otherwise(F.col("category_name")).alias("category_name"),
+        "category_name_english",
+    )
+
+
+def insert_if_absent_new(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    src = staging.stg_products(w.raw["raw_products"], w.raw["raw_category_translation"])
+    return insert_if_absent(_old_products(w), src.select(*_old_products(w).columns), "product_id")
+
+
+def insert_if_absent_rerun(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    src = staging.stg_products(w.raw["raw_products"], w.raw["raw_category_translation"])
+    src = src.select("product_id", "category_name", "category_name_english")
+    once = insert_if_absent(_old_products(w), src, "product_id")
+    return insert_if_absent(once, src, "product_id")
+
+
+def _old_dim(df, sk, col, value):
+    return df.where(F.col(sk) % 4 != 0).withColumn(
+        col, F.when(F.col(sk) % 3 == 0, F.lit(value)).otherwise(F.col(col)))
+
+
+def upsert_customer(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    target = _old_dim(w.dim_customer, "customer_key", "customer_city", "old city")
+    return upsert(target, staging.stg_customers(w.raw["raw_customers"]), "customer_unique_id",
+                  ["customer_id", "customer_zip_code", "customer_city", "customer_state"],
+                  sk_col="customer_key")
+
+
+def upsert_seller(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    target = _old_dim(w.dim_seller, "seller_key", "seller_state", "OLD")
+    return upsert(target, staging.stg_sellers(w.raw["raw_sellers"]), "seller_id",
+                  ["seller_zip_code", "seller_city", "seller_state"], sk_col="seller_key")
+
+
+def upsert_product(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    target = _old_dim(w.dim_product, "product_key", "category_name_english", "old name")
+    src = staging.stg_products(w.raw["raw_products"], w.raw["raw_category_translation"])
+    return upsert(target, src, "product_id", dims.PRODUCT_SET_COLS, sk_col="product_key")
+
+
+OLD_START, CLOSED_START, CLOSED_END = dt.date(2020, 1, 1), dt.date(2018, 1, 1), dt.date(2019, 12, 31)
+
+
+def _old_hist(hist, sk, id_col, t1_col, t1_value, t2_col, t2_value, same_day_col, same_day_value,
+              as_of=AS_OF):
+    """An earlier history: quarter of keys missing, type 1 and 2 values changed on some keys,
+    some versions opened on ``as_of`` itself, and closed older versions for every fifth key."""
+    k = F.col(sk)
+    cur = hist.where(k % 4 != 0).select(*[
+        F.when(k % 3 == 0, F.lit(t1_value)).otherwise(F.col(c)).alias(c) if c == t1_col
+        else F.when(k % 3 == 0, F.lit(t2_value)).otherwise(F.col(c)).alias(c) if c == t2_col
+        else F.when(k % 7 == 0, F.lit(same_day_value)).otherwise(F.col(c)).alias(c) if c == same_day_col
+        else F.when(k % 7 == 0, F.lit(as_of)).otherwise(F.lit(OLD_START)).alias(c) if c == "scd_start_date"
+        else F.col(c)
+        for c in hist.columns
+    ])
+    closed = hist.where(k % 5 == 0).select(*[
+        (k + 1000000).alias(c) if c == sk
+        else F.lit(CLOSED_START).alias(c) if c == "scd_start_date"
+        else F.lit(CLOSED_END).alias(c) if c == "scd_end_date"
+        else F.lit(False).alias(c) if c == "is_current"
+        else F.lit("ancient").alias(c) if c == t2_col
+        else F.col(c)
+        for c in hist.columns
+    ])
+    return cur.unionByName(closed)
+
+
+def _seller_hist_case(w):
+    hist = _old_hist(w.dim_seller_hist, "seller_hist_key", "seller_id", "seller_zip_code", "00000",
+                     "seller_city", "old town", "seller_state", "MOVED")
+    return hist, staging.stg_sellers(w.raw["raw_sellers"])
+
+
+SELLER_SCD = dict(key_cols="seller_id", type1_cols=["seller_zip_code"],
+                  type2_cols=["seller_city", "seller_state"])
+PRODUCT_SCD = dict(key_cols="product_id", type1_cols=dims.PRODUCT_HIST_TYPE1,
+                   type2_cols=dims.PRODUCT_HIST_TYPE2)
+
+
+def _product_hist_case(w):
+    hist = _old_hist(w.dim_product_hist, "product_hist_key", "product_id", "product_weight_g", 1,
+                     "category_name", "legacy", "category_name_english", "moved")
+    return hist, staging.stg_products(w.raw["raw_products"], w.raw["raw_category_translation"])
+
+
+def scd1_all_versions(spark, sf_dir):
+    hist, src = _seller_hist_case(_w(spark, sf_dir))
+    return scd2_update_type1(hist, src, "seller_id", ["seller_zip_code"])
+
+
+def scd2_close(spark, sf_dir):
+    hist, src = _seller_hist_case(_w(spark, sf_dir))
+    step1 = scd2_update_type1(hist, src, "seller_id", ["seller_zip_code"])
+    return scd2_close_changed(step1, src, "seller_id", ["seller_city", "seller_state"], AS_OF)
+
+
+def scd2_open(spark, sf_dir):
+    hist, src = _seller_hist_case(_w(spark, sf_dir))
+    step1 = scd2_update_type1(hist, src, "seller_id", ["seller_zip_code"])
+    step2 = scd2_close_changed(step1, src, "seller_id", ["seller_city", "seller_state"], AS_OF)
+    return scd2_open_missing(step2, src, as_of=AS_OF, sk_col="seller_hist_key", **SELLER_SCD)
+
+
+def scd2_apply_seller(spark, sf_dir):
+    hist, src = _seller_hist_case(_w(spark, sf_dir))
+    return scd2_apply(hist, src, as_of=AS_OF, sk_col="seller_hist_key", **SELLER_SCD)
+
+
+def scd2_apply_product(spark, sf_dir):
+    hist, src = _product_hist_case(_w(spark, sf_dir))
+    return scd2_apply(hist, src, as_of=AS_OF, sk_col="product_hist_key", **PRODUCT_SCD)
+
+
+def scd2_rerun(spark, sf_dir):
+    """Applying the same source twice on the same day equals applying it once."""
+    hist, src = _product_hist_case(_w(spark, sf_dir))
+    once = scd2_apply(hist, src, as_of=AS_OF, sk_col="product_hist_key", **PRODUCT_SCD)
+    return scd2_apply(once, src, as_of=AS_OF, sk_col="product_hist_key", **PRODUCT_SCD)
+
+
+def _with_phantoms(df, sk, col, phantom):
+    """Rows of ``df`` plus a copy of each under a key the source never mentions."""
+    ghost = df.withColumn(col, phantom).withColumn(sk, F.col(sk) + 10000000)
+    return df.unionByName(ghost)
+
+
+def replace_by_key_items(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    fct = w.fct_order_items
+    stale = fct.where(F.col("order_item_id") != 2).withColumn(
+        "price", (F.col("price") + 1).cast("decimal(10,2)"))
+    target = _with_phantoms(stale, "order_item_key", "order_id", F.concat(F.lit("zz"), "order_id"))
+    fresh = facts.build_order_items(w.raw, w.dims())
+    out = replace_by_key(target, fresh, w.raw["raw_order_items"].select("order_id"), "order_id",
+                         ["order_id", "order_item_id"], "order_item_key")
+    from .. import schemas
+    return schemas.conform(out, "fct_order_items")
+
+
+def replace_by_key_orders(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    fct = w.fct_order_lifecycle
+    stale = fct.where(F.col("order_lifecycle_key") % 3 != 0).withColumn(
+        "approval_delay_hours", F.lit(None).cast("decimal(10,2)"))
+    target = _with_phantoms(stale, "order_lifecycle_key", "order_id", F.concat(F.lit("zz"), "order_id"))
+    fresh = facts.build_order_lifecycle(w.raw, w.dims())
+    out = replace_by_key(target, fresh, w.raw["raw_orders"].select("order_id"), "order_id",
+                         ["order_id"], "order_lifecycle_key")
+    from .. import schemas
+    return schemas.conform(out, "fct_order_lifecycle")
+
+
+def replace_by_month(spark, sf_dir):
+    """Months in the source are rebuilt whole: stale rows and stale sellers vanish."""
+    w = _w(spark, sf_dir)
+    fct = w.fct_seller_monthly_snapshot
+    stale = fct.withColumn("total_revenue", F.lit(0).cast("decimal(12,2)"))
+    ghost_seller = fct.withColumn("seller_key", F.col("seller_key") + 5000).withColumn(
+        "snapshot_key", F.col("snapshot_key") + 20000000)
+    old_month = F.concat(F.lit("19"), F.substring("snapshot_year_month", 3, 5))
+    target = _with_phantoms(stale, "snapshot_key", "snapshot_year_month", old_month).unionByName(ghost_seller)
+    fresh = facts.build_seller_monthly_snapshot(w.raw, w.dims())
+    out = replace_by_key(target, fresh, facts.snapshot_months(w.raw["raw_orders"]),
+                         "snapshot_year_month", ["seller_key", "snapshot_year_month"], "snapshot_key")
+    from .. import schemas
+    return schemas.conform(out, "fct_seller_monthly_snapshot")
+
+
+# ---------------------------------------------------------------- staging, casts, dedupe
+
+def dedupe_first_per_key(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders")
+    first = first_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"])
+    return first.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+
+
+def latest_per_key_nulls_last(spark, sf_dir):
+    return staging.stg_reviews(_w(spark, sf_dir).raw["raw_reviews"])
+
+
+def cleanse_text(spark, sf_dir):
+    raw = _w(spark, sf_dir).raw["raw_customers"]
+    return raw.select(
+        "customer_id",
+        F.trim("customer_zip_code_prefix").alias("customer_zip_code"),
+        F.lower(F.trim("customer_city")).alias("customer_city"),
+        F.upper(F.trim("customer_state")).alias("customer_state"),
+    )
+
+
+def safe_cast_int(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    return staging.stg_products(w.raw["raw_products"], w.raw["raw_category_translation"])
+
+
+def safe_cast_decimal(spark, sf_dir):
+    raw = _w(spark, sf_dir).raw["raw_order_items"]
+    return raw.select("order_id", "order_item_id", try_dec("price").alias("price"),
+                      try_dec("freight_value").alias("freight_value"))
+
+
+def safe_cast_timestamp(spark, sf_dir):
+    return staging.stg_orders(_w(spark, sf_dir).raw["raw_orders"])
+
+
+def safe_cast_date(spark, sf_dir):
+    raw = _w(spark, sf_dir).raw["raw_orders"]
+    return raw.select(
+        "order_id",
+        try_date("order_purchase_timestamp").alias("purchase_date"),
+        try_date("order_estimated_delivery_date").alias("estimated_date"),
+    )
+
+
+def _user_days(spark, sf_dir):
+    e = _table(spark, sf_dir, "events")
+    return e.groupBy("user_id", F.col("ts").cast("date").alias("day"))
+
+
+def minute_diff(spark, sf_dir):
+    """Minute boundaries crossed between a user's first and last event of each day."""
+    g = _user_days(spark, sf_dir).agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+                                      F.count(F.lit(1)).alias("n_events"))
+    return g.select("user_id", "day", "n_events",
+                    minutes_between("first_ts", "last_ts").alias("minutes"),
+                    minutes_between("last_ts", "first_ts").alias("minutes_back"))
+
+
+def stage_delays(spark, sf_dir):
+    """Per user and day: first signup, view, click and purchase, and the delays between them."""
+    stages = ["signup", "view", "click", "purchase"]
+    g = _user_days(spark, sf_dir).agg(*[
+        F.min(F.when(F.col("event_type") == s, F.col("ts"))).alias(f"{s}_ts") for s in stages])
+    return g.select(
+        "user_id", "day",
+        round_ratio(minutes_between("signup_ts", "view_ts"), F.lit(60)).alias("signup_to_view_hours"),
+        round_ratio(minutes_between("view_ts", "click_ts"), F.lit(60)).alias("view_to_click_hours"),
+        round_ratio(minutes_between("click_ts", "purchase_ts"), F.lit(60)).alias("click_to_purchase_hours"),
+        round_ratio(minutes_between("signup_ts", "purchase_ts"), F.lit(1440)).alias("signup_to_purchase_days"),
+    )
+
+
+def calendar_parts(spark, sf_dir):
+    o = staging.stg_orders(_w(spark, sf_dir).raw["raw_orders"]).where(F.col("purchase_ts").isNotNull())
+    d = F.col("purchase_ts").cast("date")
+    return o.select(
+        "order_id",
+        date_key(d).alias("date_key"),
+        F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"),
+        F.weekofyear(d).alias("week_of_year"), day_of_week0(d).alias("day_of_week"),
+        F.date_format(d, "MMMM").alias("month_name"), F.date_format(d, "EEEE").alias("day_name"),
+        day_of_week0(d).isin(0, 6).alias("is_weekend"),
+        F.trunc(d, "month").alias("month_start"),
+        F.date_format(d, "yyyy-MM").alias("year_month"),
+    )
+
+
+def date_keys(spark, sf_dir):
+    o = staging.stg_orders(_w(spark, sf_dir).raw["raw_orders"])
+    return o.select("order_id", *[date_key(c).alias(c.replace("_ts", "_date_key")) for c in (
+        "purchase_ts", "approved_ts", "carrier_ts", "delivered_ts", "estimated_ts")])
+
+
+# ---------------------------------------------------------------- joins (J-*)
+
+def multi_item_flag(spark, sf_dir):
+    return staging.items_per_order(staging.stg_items(_w(spark, sf_dir).raw["raw_order_items"]))
+
+
+def junk_lookup(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    fl = w.fct_order_lifecycle.select("order_id", "order_flags_key")
+    o = staging.stg_orders(w.raw["raw_orders"]).where(F.col("purchase_ts").isNotNull())
+    ipo = staging.items_per_order(staging.stg_items(w.raw["raw_order_items"]))
+    return (o.join(ipo, "order_id", "left").join(fl, "order_id").select(
+        "order_id", "order_status",
+        (F.col("delivered_ts").isNotNull() & (F.col("delivered_ts") > F.col("estimated_ts"))).alias(
+            "is_late_delivery"),
+        F.coalesce("is_multi_item", F.lit(False)).alias("is_multi_item"),
+        "order_flags_key"))
+
+
+def bridge_lookup(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    r = facts.resolved_orders(w.raw["raw_orders"], w.raw["raw_customers"], w.dim_customer)
+    return r.select("order_id", "customer_id", "customer_key")
+
+
+def star_lookup(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    return facts.build_order_items(w.raw, w.dims())
+
+
+def role_playing_dates(spark, sf_dir):
+    """The five date keys of each order resolved against one date dimension in five roles."""
+    w = _w(spark, sf_dir)
+    out = w.fct_order_lifecycle.select("order_id", "purchase_date_key", "approved_date_key",
+                                       "carrier_date_key", "delivered_date_key", "estimated_date_key")
+    # dim_date has 2922 rows by construction: broadcasting each role is bounded.
+    dd = w.dim_date.select("date_key", "full_date")
+    for role in ("purchase", "approved", "carrier", "delivered", "estimated"):
+        d = F.broadcast(dd.select(F.col("date_key").alias(f"{role}_date_key"),
+                                  F.col("full_date").alias(f"{role}_date")))
+        out = out.join(d, f"{role}_date_key", "left")
+    return out.select("order_id", "purchase_date", "approved_date", "carrier_date", "delivered_date",
+                      "estimated_date")
+
+
+def semi_join_keys(spark, sf_dir):
+    """Orders having at least one cleansed item."""
+    w = _w(spark, sf_dir)
+    o = staging.stg_orders(w.raw["raw_orders"])
+    return o.join(staging.stg_items(w.raw["raw_order_items"]), "order_id", "left_semi").select(
+        "order_id", "order_status")
+
+
+def anti_join_orphans(spark, sf_dir):
+    """Products never sold (no row in the transaction fact)."""
+    w = _w(spark, sf_dir)
+    return w.dim_product.join(w.fct_order_items, "product_key", "left_anti").select(
+        "product_id", "category_name")
+
+
+def null_safe_diff(spark, sf_dir):
+    """Which attributes of each current seller version differ from the source (NULL-safe)."""
+    w = _w(spark, sf_dir)
+    hist, src = _seller_hist_case(w)
+    cur = hist.where("is_current").select("seller_id", *[F.col(c).alias(f"h_{c}") for c in (
+        "seller_zip_code", "seller_city", "seller_state")])
+    j = cur.join(src, "seller_id")
+    return j.select(
+        "seller_id",
+        distinct_from("h_seller_zip_code", "seller_zip_code").alias("zip_changed"),
+        distinct_from("h_seller_city", "seller_city").alias("city_changed"),
+        distinct_from("h_seller_state", "seller_state").alias("state_changed"),
+        any_distinct([("h_seller_city", "seller_city"), ("h_seller_state", "seller_state")]).alias(
+            "needs_new_version"),
+    )
+
+
+# ---------------------------------------------------------------- aggregates (A-*)
+
+def having_duplicates(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def distinct_count_group(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_suppkey").agg(F.count_distinct("l_orderkey").alias("orders"),
+                                       F.count(F.lit(1)).alias("items"))
+
+
+def decimal_sum_avg(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_linestatus", F.col("l_extendedprice").cast("decimal(10,2)").alias("price"))
+    g = li.groupBy("l_returnflag", "l_linestatus").agg(
+        F.sum("price").cast("decimal(38,2)").alias("total_price"),
+        F.sum((F.col("price") * 100).cast("long")).alias("cents"),
+        F.count(F.lit(1)).alias("n"))
+    return g.select("l_returnflag", "l_linestatus", "total_price", "n",
+                    round_ratio("cents", F.col("n") * 100, 2, 38).alias("avg_price"))
+
+
+# ---------------------------------------------------------------- facts (B-9..B-11)
+
+def fct_order_items(spark, sf_dir):
+    return _w(spark, sf_dir).fct_order_items
+
+
+def fct_order_lifecycle(spark, sf_dir):
+    return _w(spark, sf_dir).fct_order_lifecycle
+
+
+def fct_seller_monthly_snapshot(spark, sf_dir):
+    return _w(spark, sf_dir).fct_seller_monthly_snapshot
+
+
+# ---------------------------------------------------------------- quality (Q-*)
+
+RUN_TS_1 = dt.datetime(2023, 1, 1, 6, 0, 0)
+RUN_TS_2 = dt.datetime(2023, 1, 2, 6, 0, 0)
+ALL_CHECKS = checks.DIM_CHECKS + checks.FCT_CHECKS
+
+
+def _tables(w):
+    from .. import schemas
+    return {t: w.table(t) for t in schemas.WAREHOUSE_TABLES}
+
+
+def _results(spark, sf_dir, check_list, tables=None, run_ts=RUN_TS_1):
+    w = _w(spark, sf_dir)
+    res = quality.run_checks(spark, tables or _tables(w), check_list, run_ts)
+    return res.drop("run_timestamp")
+
+
+def dqc_dim_all(spark, sf_dir):
+    return _results(spark, sf_dir, checks.DIM_CHECKS)
+
+
+def dqc_fct_all(spark, sf_dir):
+    return _results(spark, sf_dir, checks.FCT_CHECKS)
+
+
+def _family(fam):
+    return [c for c in ALL_CHECKS if c.family == fam]
+
+
+def dqc_row_count(spark, sf_dir):
+    return _results(spark, sf_dir, _family("K"))
+
+
+def dqc_unique(spark, sf_dir):
+    return _results(spark, sf_dir, _family("U"))
+
+
+def dqc_predicate(spark, sf_dir):
+    return _results(spark, sf_dir, _family("P"))
+
+
+def dqc_referential(spark, sf_dir):
+    return _results(spark, sf_dir, _family("R"))
+
+
+def dqc_scd2(spark, sf_dir):
+    return _results(spark, sf_dir, [c for c in ALL_CHECKS if c.table.endswith("_hist")])
+
+
+def _broken_tables(w):
+    """The warehouse with a corrupted item fact: duplicated first items pointing at unknown
+    products with negated prices, so four fact checks must fail with exact counts."""
+    t = _tables(w)
+    fi = t["fct_order_items"]
+    bad = fi.where(F.col("order_item_id") == 1).withColumn(
+        "product_key", F.col("product_key") + 10000000).withColumn(
+        "price", (-F.col("price")).cast("decimal(10,2)"))
+    t["fct_order_items"] = fi.unionByName(bad)
+    return t
+
+
+def dqc_fct_broken(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    return _results(spark, sf_dir, checks.FCT_CHECKS, tables=_broken_tables(w))
+
+
+def _results_log(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    good = quality.run_checks(spark, _tables(w), ALL_CHECKS, RUN_TS_1)
+    bad = quality.run_checks(spark, _broken_tables(w), ALL_CHECKS, RUN_TS_2)
+    return good.unionByName(bad)
+
+
+def dqc_summary(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    return quality.summary(quality.run_checks(spark, _broken_tables(w), ALL_CHECKS, RUN_TS_1))
+
+
+def dqc_latest(spark, sf_dir):
+    return serving.dqc_latest(_results_log(spark, sf_dir), layer="FCT", status="fail")
+
+
+QUERIES = {name: fn for name, fn in list(globals().items()) if callable(fn) and name in {
+    "revenue_by_category", "revenue_by_category_range", "row_counts", "list_sellers",
+    "list_sellers_ilike", "seller_snapshot", "order_lifecycle_lookup",
+    "date_spine", "order_flags_junk", "dim_customer", "dim_seller", "dim_product",
+    "dim_seller_hist", "dim_product_hist",
+    "insert_if_absent_new", "insert_if_absent_rerun", "upsert_customer", "upsert_seller",
+    "upsert_product", "scd1_all_versions", "scd2_close", "scd2_open", "scd2_apply_seller",
+    "scd2_apply_product", "scd2_rerun", "replace_by_key_items", "replace_by_key_orders",
+    "replace_by_month",
+    "dedupe_first_per_key", "latest_per_key_nulls_last", "cleanse_text", "safe_cast_int",
+    "safe_cast_decimal", "safe_cast_timestamp", "safe_cast_date", "minute_diff", "stage_delays",
+    "calendar_parts", "date_keys",
+    "multi_item_flag", "junk_lookup", "bridge_lookup", "star_lookup", "role_playing_dates",
+    "semi_join_keys", "anti_join_orphans", "null_safe_diff",
+    "having_duplicates", "distinct_count_group", "decimal_sum_avg",
+    "fct_order_items", "fct_order_lifecycle", "fct_seller_monthly_snapshot",
+    "dqc_dim_all", "dqc_fct_all", "dqc_row_count", "dqc_unique", "dqc_predicate",
+    "dqc_referential", "dqc_scd2", "dqc_fct_broken", "dqc_summary", "dqc_latest",
+}}
