@@ -3,6 +3,9 @@
 ``assign_keys`` numbers rows ``offset + 1, offset + 2, ...`` in natural-key order
 without a single-partition window:
 
+0. count the rows (they are persisted first, so the count is not recomputed);
+   when the count is at most ``SMALL_KEY_ROWS`` -- a proven bound -- a single ordered
+   window numbers them directly and the steps below are skipped;
 1. range-partition and sort the rows by the natural key;
 2. cut the lineage with a reliable checkpoint, so partition contents and row
    positions are fixed even if an executor is lost and work is recomputed;
@@ -18,11 +21,16 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _POS_BITS = 33  # monotonically_increasing_id() = partition index << 33 | row position
 
+# Up to this many new rows are numbered by one ordered window (a single task sorts
+# them); above it the distributed range-partition path is used.
+SMALL_KEY_ROWS = 2_000_000
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder (``spark.checkpoint.dir``); a temp one only if unset."""
@@ -55,6 +63,11 @@ def assign_keys(
     """
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     spark = df.sparkSession
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.count()
+    if rows <= SMALL_KEY_ROWS:
+        w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
+        return df.withColumn(key_col, (F.lit(offset) + F.row_number().over(w)).cast("long"))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     fixed = checkpointed(ranged)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import lru_cache
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
@@ -39,7 +40,9 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
-        self.raw = standins.raw_standins(spark, sf_dir)
+        # Every load reads the raw relations several times; derive them once.
+        self.raw = {k: v.persist(StorageLevel.MEMORY_AND_DISK)
+                    for k, v in standins.raw_standins(spark, sf_dir).items()}
         self._t: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
@@ -107,8 +110,22 @@ class Warehouse:
         return getattr(self, name)
 
 
+_WAREHOUSES: dict = {}
+
+
 def _w(spark, sf_dir) -> Warehouse:
-    return Warehouse(spark, sf_dir)
+    """The warehouse of one (application, data folder), built once and shared by queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse(spark, sf_dir)
+    return _WAREHOUSES[key]
+
+
+def reset_warehouses(spark=None) -> None:
+    """Forget shared builds (and drop cached data), so the next query starts cold."""
+    _WAREHOUSES.clear()
+    if spark is not None:
+        spark.catalog.clearCache()
 
 
 def _table(spark, sf_dir, name):

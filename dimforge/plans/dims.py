@@ -43,7 +43,7 @@ def load_dim_customer(spark, raw_customers, current=None) -> DataFrame:
     return upsert(
         _current(spark, current, "dim_customer"), src, "customer_unique_id",
         ["customer_id", "customer_zip_code", "customer_city", "customer_state"],
-        sk_col="customer_key",
+        sk_col="customer_key", check_unique=False,  # one row per key by construction
     )
 
 
