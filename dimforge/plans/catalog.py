@@ -46,8 +46,9 @@ class Warehouse:
         self._t: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
+        # Each table is read by several consumers (facts, checks, serving): keep it once.
         if name not in self._t:
-            self._t[name] = build()
+            self._t[name] = build().persist(StorageLevel.MEMORY_AND_DISK)
         return self._t[name]
 
     @property
