@@ -21,6 +21,7 @@ from ..functions.exprs import (
 )
 from ..operators import quality
 from ..operators.dedupe import first_per_key
+from ..operators.keys import checkpointed
 from ..operators.merge import insert_if_absent, replace_by_key, upsert
 from ..operators.scd2 import (
     scd2_apply, scd2_close_changed, scd2_open_missing, scd2_update_type1,
@@ -46,9 +47,11 @@ class Warehouse:
         self._t: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
-        # Each table is read by several consumers (facts, checks, serving): keep it once.
+        # Each table is read by several consumers (facts, checks, serving): write it once
+        # to the checkpoint folder, which also cuts its lineage (small plans downstream,
+        # nothing to recompute if an executor is lost).
         if name not in self._t:
-            self._t[name] = build().persist(StorageLevel.MEMORY_AND_DISK)
+            self._t[name] = checkpointed(build())
         return self._t[name]
 
     @property
