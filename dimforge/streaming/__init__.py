@@ -1 +1,9 @@
+"""Streaming.
 
+The warehouse being rebuilt has no stream source, watermark, event-time window or
+stateful operator: every load is a batch state transition.  Nothing is implemented
+here on purpose.  Because the write operators (``operators.merge``,
+``operators.scd2``) are pure functions ``(current table, new rows) -> next table``,
+a Structured Streaming ``foreachBatch`` sink can apply them to each micro-batch
+unchanged if incremental loading is ever wanted.
+"""
