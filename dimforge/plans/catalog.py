@@ -8,7 +8,8 @@ derived from the given tables (``sources.standins``), so its work grows with the
 from __future__ import annotations
 
 import datetime as dt
-from functools import lru_cache
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,8 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self._lock = threading.Lock()
+        self._locks: dict[str, threading.Lock] = {}
         # Every load reads the raw relations several times; derive them once.
         self.raw = {k: v.persist(StorageLevel.MEMORY_AND_DISK)
                     for k, v in standins.raw_standins(spark, sf_dir).items()}
@@ -50,10 +53,29 @@ class Warehouse:
         # Each table is read by several consumers (facts, checks, serving): write it once
         # to the checkpoint folder, which also cuts its lineage (small plans downstream,
         # nothing to recompute if an executor is lost).
-        if name not in self._t:
-            self._t[name] = checkpointed(build())
+        with self._lock:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:
+            if name not in self._t:
+                self._t[name] = checkpointed(build())
         return self._t[name]
 
+    def build_all(self, threads: int = 4) -> "Warehouse":
+        """Build every table in dependency waves (raw, dimensions, facts); the loads of
+        one wave are independent, so their Spark jobs are submitted concurrently."""
+        from .. import schemas
+
+        waves = [
+            [lambda df=df: df.count() for df in self.raw.values()],
+            [lambda t=t: self.table(t) for t in schemas.DIMENSIONS],
+            [lambda t=t: self.table(t) for t in schemas.FACTS],
+        ]
+        with ThreadPoolExecutor(threads) as pool:
+            for wave in waves:
+                for f in [pool.submit(step) for step in wave]:
+                    f.result()
+        return self
+
     @property
     def dim_date(self):
         return self._get("dim_date", lambda: dims.load_dim_date(self.spark))
@@ -125,6 +147,10 @@ def _w(spark, sf_dir) -> Warehouse:
     return _WAREHOUSES[key]
 
 
+def build_warehouse(spark, sf_dir, threads: int = 4) -> Warehouse:
+    return _w(spark, sf_dir).build_all(threads)
+
+
 def reset_warehouses(spark=None) -> None:
     """Forget shared builds (and drop cached data), so the next query starts cold."""
     _WAREHOUSES.clear()

@@ -4,7 +4,9 @@
 
 Each table's next state is computed from its current published version and the
 raw relations, then published as a new version (``plans.publish``); facts read the
-dimensions just published.  The first failing load aborts the run (nothing after
+dimensions just published.  Tables of one wave (all dimensions; then all facts) do
+not depend on each other, so their Spark jobs are submitted concurrently.  The first
+failing load aborts the run (nothing after
 it is published); failing quality checks do not -- they are recorded and reported.
 Running twice with the same input and ``as_of`` publishes the same content again,
 surrogate keys included.
@@ -13,6 +15,7 @@ surrogate keys included.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +33,7 @@ def run_pipeline(
     as_of: dt.date,
     run_ts: dt.datetime | None = None,
     fail_on_check: bool = False,
+    threads: int = 4,
 ) -> dict:
     """Load the warehouse under ``warehouse_dir`` from ``raw`` (a folder of raw files or a
     dict of raw DataFrames).  Returns the published tables and the run report."""
@@ -45,23 +49,34 @@ def run_pipeline(
         pub[name] = store.publish(name, df, run_id)
         return pub[name]
 
-    publish("dim_date", dims.load_dim_date(spark, cur["dim_date"]))
-    publish("dim_payment_type", dims.load_dim_payment_type(spark, cur["dim_payment_type"]))
-    publish("dim_order_flags", dims.load_dim_order_flags(spark, cur["dim_order_flags"]))
-    publish("dim_customer", dims.load_dim_customer(spark, raw["raw_customers"], cur["dim_customer"]))
-    publish("dim_seller", dims.load_dim_seller(spark, raw["raw_sellers"], cur["dim_seller"]))
-    publish("dim_product", dims.load_dim_product(
-        spark, raw["raw_products"], raw["raw_category_translation"], cur["dim_product"]))
-    publish("dim_seller_hist", dims.load_dim_seller_hist(
-        spark, raw["raw_sellers"], as_of, cur["dim_seller_hist"]))
-    publish("dim_product_hist", dims.load_dim_product_hist(
-        spark, raw["raw_products"], raw["raw_category_translation"], as_of, cur["dim_product_hist"]))
+    def wave(loads: dict):
+        # the loads of one wave are independent: their jobs run concurrently; the first
+        # failure propagates and stops the run before the next wave is published
+        with ThreadPoolExecutor(threads) as pool:
+            futures = {name: pool.submit(lambda n=name, f=f: publish(n, f())) for name, f in loads.items()}
+            for f in futures.values():
+                f.result()
 
+    wave({
+        "dim_date": lambda: dims.load_dim_date(spark, cur["dim_date"]),
+        "dim_payment_type": lambda: dims.load_dim_payment_type(spark, cur["dim_payment_type"]),
+        "dim_order_flags": lambda: dims.load_dim_order_flags(spark, cur["dim_order_flags"]),
+        "dim_customer": lambda: dims.load_dim_customer(spark, raw["raw_customers"], cur["dim_customer"]),
+        "dim_seller": lambda: dims.load_dim_seller(spark, raw["raw_sellers"], cur["dim_seller"]),
+        "dim_product": lambda: dims.load_dim_product(
+            spark, raw["raw_products"], raw["raw_category_translation"], cur["dim_product"]),
+        "dim_seller_hist": lambda: dims.load_dim_seller_hist(
+            spark, raw["raw_sellers"], as_of, cur["dim_seller_hist"]),
+        "dim_product_hist": lambda: dims.load_dim_product_hist(
+            spark, raw["raw_products"], raw["raw_category_translation"], as_of, cur["dim_product_hist"]),
+    })
     d = {k: pub[k] for k in ("dim_customer", "dim_seller", "dim_product", "dim_order_flags")}
-    publish("fct_order_items", facts.load_order_items(spark, raw, d, cur["fct_order_items"]))
-    publish("fct_order_lifecycle", facts.load_order_lifecycle(spark, raw, d, cur["fct_order_lifecycle"]))
-    publish("fct_seller_monthly_snapshot", facts.load_seller_monthly_snapshot(
-        spark, raw, d, cur["fct_seller_monthly_snapshot"]))
+    wave({
+        "fct_order_items": lambda: facts.load_order_items(spark, raw, d, cur["fct_order_items"]),
+        "fct_order_lifecycle": lambda: facts.load_order_lifecycle(spark, raw, d, cur["fct_order_lifecycle"]),
+        "fct_seller_monthly_snapshot": lambda: facts.load_seller_monthly_snapshot(
+            spark, raw, d, cur["fct_seller_monthly_snapshot"]),
+    })
 
     log = cur["dqc_results"] if cur["dqc_results"] is not None else schemas.empty(spark, "dqc_results")
     for layer, layer_checks in (("dim", checks.DIM_CHECKS), ("fct", checks.FCT_CHECKS)):

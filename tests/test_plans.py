@@ -41,3 +41,16 @@ def test_revenue_plan_is_top_k(spark):
                                    "freight_value decimal(10,2), order_purchase_date date")
     dp = spark.createDataFrame([], "product_key long, category_name_english string")
     assert "TakeOrderedAndProject" in _plan(serving.revenue_by_category(fi, dp))
+
+
+def test_first_per_key_limits_before_the_shuffle(spark):
+    from dimforge.operators.dedupe import first_per_key
+    df = spark.createDataFrame([(1, 2, "a"), (1, 1, "b"), (2, 5, "c")], "k int, o int, v string")
+    out = first_per_key(df, "k", ["o"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = _plan(out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "WindowGroupLimit" in p and "Partial" in p
+    assert sorted((r.k, r.v) for r in out.collect()) == [(1, "b"), (2, "c")]
