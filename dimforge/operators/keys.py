@@ -69,8 +69,10 @@ def assign_keys(
         w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
         return df.withColumn(key_col, (F.lit(offset) + F.row_number().over(w)).cast("long"))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     fixed = checkpointed(ranged)
+    df.unpersist()  # the checkpoint holds the rows from here on
     tagged = fixed.withColumn("_kpid", F.spark_partition_id()).withColumn(
         "_kpos", F.monotonically_increasing_id()
     )

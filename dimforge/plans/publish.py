@@ -67,8 +67,9 @@ class TableStore:
             if p not in out.columns:
                 out = out.withColumn(p, F.date_format(F.col(derived_from), "yyyy-MM"))
         if parts:
-            # one shuffle by the partition column(s): each task writes whole months
-            out = out.repartition(*parts)
+            # group rows of a month into few files; REBALANCE lets AQE split a month that
+            # holds a large share of the rows across several writers instead of one task
+            out = out.hint("rebalance", *parts)
         if sort_cols:
             out = out.sortWithinPartitions(*sort_cols)
         writer = out.write.mode("errorifexists")
