@@ -39,7 +39,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="dimforge-ckpt-"))
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        configured = tempfile.mkdtemp(prefix="dimforge-ckpt-")  # single-machine runs only
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -67,10 +65,15 @@ def read_raw(spark: SparkSession, data_path: str, name: str) -> DataFrame:
 
 def register_raw_views(spark: SparkSession, data_path: str) -> dict[str, DataFrame]:
     """Expose all raw files as temp views; a missing file is fatal before any work starts."""
-    if "://" not in data_path:
-        missing = [f for f in PARQUET_FILES.values() if not os.path.exists(os.path.join(data_path, f))]
-        if missing:
-            raise FileNotFoundError(f"raw files missing under {data_path}: {missing}")
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    missing = []
+    for f in PARQUET_FILES.values():
+        p = jvm.org.apache.hadoop.fs.Path(f"{data_path.rstrip('/')}/{f}")
+        if not p.getFileSystem(conf).exists(p):
+            missing.append(f)
+    if missing:
+        raise FileNotFoundError(f"raw files missing under {data_path}: {missing}")
     frames = {name: read_raw(spark, data_path, name) for name in PARQUET_FILES}
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
