@@ -70,6 +70,9 @@ def assign_keys(
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     rows = df.count()
     if rows <= SMALL_KEY_ROWS:
+        # The result sits in one partition.  Below the bound a single task scans it in
+        # about a second, and measured end to end that beats an extra round-robin shuffle;
+        # larger inputs take the distributed path below and keep their partitions.
         w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
         return df.withColumn(key_col, (F.lit(offset) + F.row_number().over(w)).cast("long"))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
