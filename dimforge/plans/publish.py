@@ -78,6 +78,16 @@ class TableStore:
         writer.parquet(f"{self.root}/{name}/v={run_id}")
         return self.read(name, run_id)
 
+    def register_views(self, names=None) -> dict[str, DataFrame]:
+        """Expose the newest committed version of each table as a temp view (for SQL)."""
+        out = {}
+        for name in names or schemas.WAREHOUSE_TABLES + ["dqc_results"]:
+            df = self.read(name)
+            if df is not None:
+                df.createOrReplaceTempView(name)
+                out[name] = df
+        return out
+
     def vacuum(self, name: str, keep: int = 2) -> list[str]:
         """Delete all but the newest ``keep`` committed versions; returns the removed ones."""
         vs = self.versions(name)

@@ -36,4 +36,8 @@ def test_pipeline_runs_twice_with_the_same_result(spark):
     store = TableStore(spark, root)
     assert store.versions("fct_order_items") == ["20230101T060000", "20230101T070000"]
     assert store.vacuum("fct_order_items", keep=1) == ["20230101T060000"]
+    store.register_views()
+    from dimforge.plans import serving
+    n = serving.query(spark, "SELECT COUNT(*) AS n FROM dim_seller WHERE seller_id = :s", {"s": "se1"}).first().n
+    assert n == 1
     assert rows(store.read("fct_order_items")) == snap1["fct_order_items"]
