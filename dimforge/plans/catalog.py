@@ -399,7 +399,7 @@ def replace_by_key_items(spark, sf_dir):
     stale = fct.where(F.col("order_item_id") != 2).withColumn(
         "price", (F.col("price") + 1).cast("decimal(10,2)"))
     target = _with_phantoms(stale, "order_item_key", "order_id", F.concat(F.lit("zz"), "order_id"))
-    fresh = facts.build_order_items(w.raw, w.dims())
+    fresh = fct.drop("order_item_key")  # this batch's rows: the built fact without its keys
     out = replace_by_key(target, fresh, w.raw["raw_order_items"].select("order_id"), "order_id",
                          ["order_id", "order_item_id"], "order_item_key")
     from .. import schemas
@@ -412,7 +412,7 @@ def replace_by_key_orders(spark, sf_dir):
     stale = fct.where(F.col("order_lifecycle_key") % 3 != 0).withColumn(
         "approval_delay_hours", F.lit(None).cast("decimal(10,2)"))
     target = _with_phantoms(stale, "order_lifecycle_key", "order_id", F.concat(F.lit("zz"), "order_id"))
-    fresh = facts.build_order_lifecycle(w.raw, w.dims())
+    fresh = fct.drop("order_lifecycle_key")  # this batch's rows: the built fact without its keys
     out = replace_by_key(target, fresh, w.raw["raw_orders"].select("order_id"), "order_id",
                          ["order_id"], "order_lifecycle_key")
     from .. import schemas
@@ -428,7 +428,7 @@ def replace_by_month(spark, sf_dir):
         "snapshot_key", F.col("snapshot_key") + 20000000)
     old_month = F.concat(F.lit("19"), F.substring("snapshot_year_month", 3, 5))
     target = _with_phantoms(stale, "snapshot_key", "snapshot_year_month", old_month).unionByName(ghost_seller)
-    fresh = facts.build_seller_monthly_snapshot(w.raw, w.dims())
+    fresh = fct.drop("snapshot_key")  # this batch's rows: the built fact without its keys
     out = replace_by_key(target, fresh, facts.snapshot_months(w.raw["raw_orders"]),
                          "snapshot_year_month", ["seller_key", "snapshot_year_month"], "snapshot_key")
     from .. import schemas
