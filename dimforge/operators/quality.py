@@ -7,7 +7,7 @@ Families (each check yields ``failed_count``; PASS iff it is 0):
 * ``U`` uniqueness: number of key values occurring more than once (groups, not rows),
   optionally among rows passing a filter
 * ``R`` referential: rows whose foreign key has no match in the referenced table
-  (a NULL key counts as unmatched)
+  (a NULL key counts as unmatched), optionally among rows passing a filter
 
 Execution plan:
 
@@ -63,8 +63,9 @@ def predicate(layer, table, name, failing, note):
     return Check(layer, table, name, "P", note, where=failing)
 
 
-def referential(layer, table, name, fk, ref_table, ref_key, note):
-    return Check(layer, table, name, "R", note, fk=fk, ref_table=ref_table, ref_key=ref_key)
+def referential(layer, table, name, fk, ref_table, ref_key, note, where=None):
+    return Check(layer, table, name, "R", note, fk=fk, ref_table=ref_table, ref_key=ref_key,
+                 where=where)
 
 
 def _union(frames):
@@ -125,7 +126,10 @@ def _r_counts(tables, checks):
     for c in checks:
         if c.family != "R":
             continue
-        fk_counts = tables[c.table].groupBy(F.col(c.fk).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
+        rows = tables[c.table]
+        if c.where:
+            rows = rows.where(F.expr(c.where))
+        fk_counts = rows.groupBy(F.col(c.fk).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
         ref = tables[c.ref_table].select(F.col(c.ref_key).alias("_fk"))
         orphans = fk_counts.join(ref, "_fk", "left_anti")
         frames.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failed_count"))

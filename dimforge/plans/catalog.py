@@ -671,6 +671,11 @@ def dqc_fct_all(spark, sf_dir):
     return _results(spark, sf_dir, checks.FCT_CHECKS)
 
 
+def dqc_extra(spark, sf_dir):
+    """Our own foreign-key checks on the junk key and the five lifecycle stage dates."""
+    return _results(spark, sf_dir, checks.EXTRA_FCT_CHECKS)
+
+
 def _family(fam):
     return [c for c in ALL_CHECKS if c.family == fam]
 
@@ -745,5 +750,5 @@ QUERIES = {name: fn for name, fn in list(globals().items()) if callable(fn) and
     "having_duplicates", "distinct_count_group", "decimal_sum_avg",
     "fct_order_items", "fct_order_lifecycle", "fct_seller_monthly_snapshot",
     "dqc_dim_all", "dqc_fct_all", "dqc_row_count", "dqc_unique", "dqc_predicate",
-    "dqc_referential", "dqc_scd2", "dqc_fct_broken", "dqc_summary", "dqc_latest",
+    "dqc_referential", "dqc_scd2", "dqc_extra", "dqc_fct_broken", "dqc_summary", "dqc_latest",
 }}

@@ -79,7 +79,8 @@ def run_pipeline(
     })
 
     log = cur["dqc_results"] if cur["dqc_results"] is not None else schemas.empty(spark, "dqc_results")
-    for layer, layer_checks in (("dim", checks.DIM_CHECKS), ("fct", checks.FCT_CHECKS)):
+    for layer, layer_checks in (("dim", checks.DIM_CHECKS), ("fct", checks.FCT_CHECKS),
+                                ("ext", checks.EXTRA_FCT_CHECKS)):
         results = quality.run_checks(spark, pub, layer_checks, run_ts)
         log = quality.clear_layer_and_append(log, results, layer)
     published_log = publish("dqc_results", log)
