@@ -56,3 +56,31 @@ def test_replace_by_key_edges(spark):
 def test_delete_where_keeps_null_condition_rows(spark):
     df = spark.createDataFrame([("dim",), ("fct",), (None,)], "layer string")
     assert rows(delete_where(df, "layer = 'dim'")) == sorted([("fct",), (None,)], key=repr)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_ids = st.sampled_from(list("abcdefgh"))
+_vals = st.sampled_from(["x", "y", None])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_ids, _vals), max_size=6, unique_by=lambda r: r[0]),
+       st.lists(st.tuples(_ids, _vals), max_size=6, unique_by=lambda r: r[0]))
+def test_upsert_properties(spark, t, s):
+    target = spark.createDataFrame([(i * 3 + 1, k, v, "S") for i, (k, v) in enumerate(t)], T_SCHEMA)
+    source = spark.createDataFrame([(k, v, "S") for k, v in s], "id string, city string, state string")
+    once = upsert(target, source, "id", ["city", "state"], sk_col="sk")
+    assert rows(upsert(once, source, "id", ["city", "state"], sk_col="sk")) == rows(once)
+    got = {r.id: (r.sk, r.city) for r in once.collect()}
+    old = {k: (i * 3 + 1, v) for i, (k, v) in enumerate(t)}
+    src = dict(s)
+    assert set(got) == set(old) | set(src)
+    for k, (sk, city) in got.items():
+        if k in old:
+            assert sk == old[k][0]                      # existing keys never change
+        assert city == (src[k] if k in src else old[k][1])
+    top = max((v[0] for v in old.values()), default=0)
+    new = sorted(k for k in src if k not in old)
+    assert [got[k][0] for k in new] == list(range(top + 1, top + 1 + len(new)))
