@@ -50,13 +50,18 @@ class TableStore:
                 fields.append(T.StructField(p, T.StringType(), True))
         return T.StructType(fields)
 
-    def read(self, name: str, version: str | None = None) -> DataFrame | None:
-        """Newest committed version (or ``version``), with the table's declared schema."""
+    def read(self, name: str, version: str | None = None, with_partitions: bool = False) -> DataFrame | None:
+        """Newest committed version (or ``version``), with the table's declared schema.
+
+        ``with_partitions`` keeps derived partition columns (e.g. ``purchase_month``) so a
+        query can add partition bounds that prune whole folders."""
         vs = self.versions(name)
         if not vs:
             return None
         v = version or vs[-1]
         df = self.spark.read.schema(self._schema_on_disk(name)).parquet(f"{self.root}/{name}/v={v}")
+        if with_partitions:
+            return df
         return schemas.conform(df, name)
 
     def publish(self, name: str, df: DataFrame, run_id: str) -> DataFrame:

@@ -156,10 +156,17 @@ def revenue_by_category(
     """
     _check_limit(limit, 1, 100)
     fi = fct_order_items
+    by_month = "purchase_month" in fi.columns  # published with its month partition column
     if date_from is not None:
-        fi = fi.where(F.col("order_purchase_date") >= F.lit(_date_arg(date_from, "date_from")))
+        d = _date_arg(date_from, "date_from")
+        fi = fi.where(F.col("order_purchase_date") >= F.lit(d))
+        if by_month:  # the implied month bound prunes whole partition folders
+            fi = fi.where(F.col("purchase_month") >= F.lit(d.strftime("%Y-%m")))
     if date_to is not None:
-        fi = fi.where(F.col("order_purchase_date") <= F.lit(_date_arg(date_to, "date_to")))
+        d = _date_arg(date_to, "date_to")
+        fi = fi.where(F.col("order_purchase_date") <= F.lit(d))
+        if by_month:
+            fi = fi.where(F.col("purchase_month") <= F.lit(d.strftime("%Y-%m")))
     j = fi.select("product_key", "order_id", "price", "freight_value").join(
         dim_product.select("product_key", "category_name_english"), "product_key"
     )

@@ -35,12 +35,20 @@ def test_pipeline_runs_twice_with_the_same_result(spark):
     assert second["dqc"].count() == n_checks
     assert second["tables"]["dqc_results"].count() == n_checks
 
+    from dimforge.plans import serving
     from dimforge.plans.publish import TableStore
     store = TableStore(spark, root)
     assert store.versions("fct_order_items") == ["20230101T060000", "20230101T070000"]
     assert store.vacuum("fct_order_items", keep=1) == ["20230101T060000"]
+    # a date range on the published fact prunes month folders and pushes the day bound
+    fi = store.read("fct_order_items", with_partitions=True)
+    q = serving.revenue_by_category(fi, store.read("dim_product"), "2016-03-01", "2016-05-31")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(purchase_month" in plan and "2016-03" in plan
+    assert "GreaterThanOrEqual(order_purchase_date,2016-03-01)" in plan
+    assert rows(q) == rows(serving.revenue_by_category(store.read("fct_order_items"), store.read("dim_product"),
+                                                       "2016-03-01", "2016-05-31"))
     store.register_views()
-    from dimforge.plans import serving
     n = serving.query(spark, "SELECT COUNT(*) AS n FROM dim_seller WHERE seller_id = :s", {"s": "se1"}).first().n
     assert n == 1
     assert rows(store.read("fct_order_items")) == snap1["fct_order_items"]
