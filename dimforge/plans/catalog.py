@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import (
     any_distinct, date_key, day_of_week0, distinct_from, minutes_between, round_ratio,
-    try_date, try_dec, try_ts,
+    try_date, try_dec,
 )
 from ..operators import quality
 from ..operators.dedupe import first_per_key
