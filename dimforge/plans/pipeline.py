@@ -34,9 +34,11 @@ def run_pipeline(
     run_ts: dt.datetime | None = None,
     fail_on_check: bool = False,
     threads: int = 4,
+    keep_versions: int | None = None,
 ) -> dict:
     """Load the warehouse under ``warehouse_dir`` from ``raw`` (a folder of raw files or a
-    dict of raw DataFrames).  Returns the published tables and the run report."""
+    dict of raw DataFrames).  Returns the published tables and the run report.
+    ``keep_versions`` trims each table to its newest versions after a successful run."""
     run_ts = (run_ts or dt.datetime.now()).replace(microsecond=0)
     run_id = run_ts.strftime("%Y%m%dT%H%M%S")
     if isinstance(raw, str):
@@ -85,6 +87,10 @@ def run_pipeline(
         log = quality.clear_layer_and_append(log, results, layer)
     published_log = publish("dqc_results", log)
 
+    if keep_versions:  # older versions are kept for rollback until trimmed here
+        for name in pub:
+            store.vacuum(name, keep=keep_versions)
+
     latest = serving.dqc_latest(published_log)
     report = {
         "run_id": run_id,

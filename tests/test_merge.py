@@ -84,3 +84,30 @@ def test_upsert_properties(spark, t, s):
     top = max((v[0] for v in old.values()), default=0)
     new = sorted(k for k in src if k not in old)
     assert [got[k][0] for k in new] == list(range(top + 1, top + 1 + len(new)))
+
+
+_orders = st.sampled_from(["o1", "o2", "o3", "o4"])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_orders, st.integers(1, 3), st.integers(0, 9)), max_size=8,
+                unique_by=lambda r: (r[0], r[1])),
+       st.lists(st.tuples(_orders, st.integers(1, 3), st.integers(0, 9)), max_size=8,
+                unique_by=lambda r: (r[0], r[1])))
+def test_replace_by_key_properties(spark, t, f):
+    schema = "sk long, order_id string, item int, price int"
+    target = spark.createDataFrame([(i + 1, *r) for i, r in enumerate(t)], schema)
+    fresh = spark.createDataFrame(f, "order_id string, item int, price int")
+    scope = spark.createDataFrame([(o,) for o in {r[0] for r in f}], "order_id string")
+    once = replace_by_key(target, fresh, scope, "order_id", ["order_id", "item"], "sk")
+    twice = replace_by_key(once, fresh, scope, "order_id", ["order_id", "item"], "sk")
+    assert rows(twice) == rows(once)
+    got = {(r.order_id, r.item): (r.sk, r.price) for r in once.collect()}
+    in_scope = {r[0] for r in f}
+    expected_keys = {(o, i) for o, i, _ in t if o not in in_scope} | {(o, i) for o, i, _ in f}
+    assert set(got) == expected_keys
+    old_sk = {(o, i): k + 1 for k, (o, i, _) in enumerate(t)}
+    for nk, (sk, price) in got.items():
+        if nk in old_sk:
+            assert sk == old_sk[nk]              # a natural key keeps its surrogate key
+    assert len({v[0] for v in got.values()}) == len(got)   # keys stay unique
