@@ -188,10 +188,22 @@ def raw_orders(spark, sf_dir):
 
 def raw_order_items(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"
+    # item_no = row number within the order by (line, part, supplier, price, quantity, date),
+    # computed in two levels so no window spans a whole order: rows are numbered within
+    # their (order, line) pair, and each pair starts after the rows of the order's lower
+    # line numbers (pre-aggregated counts, at most one row per line number per order).
+    per_line = li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("l_orderkey").orderBy("l_linenumber").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = per_line.select(
+        "l_orderkey", "l_linenumber", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    li = (
+        li.withColumn("_rn", F.row_number().over(within))
+        .join(starts, ["l_orderkey", "l_linenumber"])
+        .withColumn("item_no", F.col("_start") + F.col("_rn"))
     )
-    li = li.withColumn("item_no", F.row_number().over(w))
     tag = F.col("l_orderkey") + F.col("item_no")
     price_txt = _txt(F.col("l_extendedprice").cast("decimal(10,2)"))
     price = (
