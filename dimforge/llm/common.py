@@ -122,11 +122,12 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = ~_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words [^\\x20\\x09-\\x0D]+ of many texts with A-Z lower-cased: where each begins
-    and ends (bytes), the hash of each, and how many words come before each text."""
+    and ends (bytes), the hash of each, and how many words come before each text.
+    ``in_word`` tells other bytes that words are made of."""
     data = _LOWER[data]
-    solid = ~_SPACE[data]
+    solid = in_word[data]
     before = np.empty(len(data) + 1, bool)
     before[0], before[1:] = False, solid
     text_starts = offsets[:-1]
@@ -163,3 +164,11 @@ def ship(spark: SparkSession) -> None:
                     archive.write(full, os.path.relpath(full, os.path.dirname(package)))
     context.addPyFile(path)
     _shipped.add(context.applicationId)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name for an operator's own use that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -5,17 +5,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup
+from . import decontaminate, language, line_dedup, near_dedup
 from .common import ship, table
 
 
+def op5_boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_boilerplate_lines": op5_boilerplate_lines,
     "op6_near_duplicates": op6_near_duplicates,
+    "op8_contaminated_documents": op8_contaminated_documents,
+    "op9_language": op9_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_boilerplate_lines": line_dedup.oracle_sql(),
+}
