@@ -5,10 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, line_dedup, near_dedup
+from . import decontaminate, language, line_dedup, near_dedup, sentence_pieces
 from .common import ship, table
 
 
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return sentence_pieces.round_trips(table(spark, sf_dir, "documents"))
+
+
 def op5_boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
@@ -30,6 +35,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentence_pieces": op1_sentence_pieces,
     "op5_boilerplate_lines": op5_boilerplate_lines,
     "op6_near_duplicates": op6_near_duplicates,
     "op8_contaminated_documents": op8_contaminated_documents,
