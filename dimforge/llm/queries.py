@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, line_dedup, near_dedup, sentence_pieces
+from . import decontaminate, language, line_dedup, near_dedup, sentence_pieces, token_counts
 from .common import ship, table
 
 
@@ -24,6 +24,11 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op8_contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -38,6 +43,7 @@ QUERIES = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op5_boilerplate_lines": op5_boilerplate_lines,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_token_counts": op7_token_counts,
     "op8_contaminated_documents": op8_contaminated_documents,
     "op9_language": op9_language,
 }
