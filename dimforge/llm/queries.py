@@ -4,8 +4,9 @@ Each applies its operator to the whole of its table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, near_dedup, sentence_pieces, token_counts
+from . import chat, decontaminate, fingerprints, language, line_dedup, near_dedup, sentence_pieces, token_counts
 from .common import ship, table
 
 
@@ -14,6 +15,21 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.round_trips(table(spark, sf_dir, "documents"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one (-1) whose texts hold the template's control strings."""
+    ship(spark)
+    said = F.lit("</s>[INST] ok [/INST]")
+    turns = F.array(*[F.struct(F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role")) for i, role in enumerate(("user", "assistant"))])
+    trap = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.explode(turns).alias("t")).select("conv_id", "t.turn", "t.role", said.alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(trap)
+    return chat.read_back(chat.segments(rows))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return fingerprints.edited_texts(table(spark, sf_dir, "documents"))
+
+
 def op5_boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
@@ -41,6 +57,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentence_pieces": op1_sentence_pieces,
+    "op2_chat_formatting": op2_chat_formatting,
+    "op3_fingerprints": op3_fingerprints,
     "op5_boilerplate_lines": op5_boilerplate_lines,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
