@@ -32,6 +32,8 @@ REGISTERS = ROWS * BANDS
 MANTISSA = 10
 #: How far below the threshold an estimate may lie: over five standard deviations.
 SLACK = 0.15
+#: So many ids (8 bytes each) may be broadcast; beyond, the same join is a shuffle.
+BROADCAST_IDS = 2_000_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,6 +156,13 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select([0, 1]).filter(pa.array(similar >= PERCENT / 100 - SLACK))
 
 
+def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is among ``ids``.  Up to BROADCAST_IDS of them are sent to the
+    executors, so the rows stay where they are; more are joined by a shuffle."""
+    ids = shared(ids.select("doc_id").distinct())
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+
 def _links(pairs: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     """Of candidate pairs (a, b) of representatives, those that are links.  First the sizes
     and the estimate, then the full sets."""
@@ -161,12 +170,16 @@ def _links(pairs: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     def side(df, name, *more):
         return df.select(F.col("doc_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in more])
 
-    sized = pairs.join(side(sketched, "a", "n_shingles", "sketch"), "a").join(side(sketched, "b", "n_shingles", "sketch"), "b")
+    def ends(df):
+        return df.select(F.explode(F.array("a", "b")).alias("doc_id"))
+
+    sizes = pairs.join(side(sketched, "a", "n_shingles"), "a").join(side(sketched, "b", "n_shingles"), "b")
     na, nb = F.col("n_shingles_a"), F.col("n_shingles_b")
-    sized = sized.filter(100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb))
-    likely = shared(sized.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_estimated, "a long, b long"))
-    used = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = shared(docs.join(used, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "doc_id long, shingles array<long>"))
+    pairs = shared(sizes.filter(100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)).select("a", "b"))
+    near = _only(sketched, ends(pairs))
+    likely = pairs.join(side(near, "a", "sketch"), "a").join(side(near, "b", "sketch"), "b")
+    likely = shared(likely.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_estimated, "a long, b long"))
+    sets = shared(_only(docs, ends(likely)).dropDuplicates(["doc_id"]).mapInArrow(_sets, "doc_id long, shingles array<long>"))
     both = likely.join(side(sets, "a", "shingles"), "a").join(side(sets, "b", "shingles"), "b")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - common
@@ -185,13 +198,12 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     summary = shared(docs.mapInArrow(_summaries, "doc_id long, n_shingles long, key1 long, key2 long, sketch binary"))
     full = summary.filter("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "key1", "key2"]
-    classes = full.groupBy(*key).agg(F.min("doc_id").alias("node"))
-    member = full.select("doc_id", *key).join(classes, key).select("doc_id", "node")
-    # a row for each class: its representative's sketch
-    sketched = shared(full.join(classes.select(F.col("node").alias("doc_id"), *key), ["doc_id", *key], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch"))
+    # A row for each class, with its representative's id; equal sets have equal sketches.
+    sketched = shared(full.groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")))
+    member = full.select("doc_id", *key).join(sketched.select(*key, F.col("doc_id").alias("node")), key).select("doc_id", "node")
 
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(F.col("sketch"), b * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
-    banded = sketched.select("doc_id", "n_shingles", band.alias("key"))
+    banded = sketched.select("doc_id", band.alias("key"))
     # Keys that more than one representative has, each with its smallest one as centre.
     centres = banded.groupBy("key").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).filter("n > 1")
     buckets = shared(banded.join(centres.select("key", "centre"), "key"))
@@ -203,7 +215,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     # Buckets that still hold more than one component: compare across components only.
     labelled = buckets.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("part", F.coalesce("component", "doc_id"))
     split = labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
-    rest = shared(labelled.join(split.select("key"), "key", "left_semi").select("key", "doc_id", "part", "n_shingles", "centre"))
+    rest = labelled.join(split.select("key"), "key", "left_semi").select("key", "doc_id", "part", "centre")
+    rest = shared(rest.join(sketched.select("doc_id", "n_shingles"), "doc_id"))
     x = rest.select("key", F.col("doc_id").alias("a"), F.col("part").alias("part_a"), F.col("n_shingles").alias("na"), "centre")
     y = rest.select("key", F.col("doc_id").alias("b"), F.col("part").alias("part_b"), F.col("n_shingles").alias("nb"))
     fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
