@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, language, line_dedup, near_dedup, sentence_pieces, token_counts
+from . import chat, decontaminate, fingerprints, language, line_dedup, near_dedup, sentence_pieces, token_counts, toxicity
 from .common import ship, table
 
 
@@ -30,6 +30,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_texts(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
@@ -59,6 +64,7 @@ QUERIES = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_fingerprints": op3_fingerprints,
+    "op4_toxicity": op4_toxicity,
     "op5_boilerplate_lines": op5_boilerplate_lines,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
