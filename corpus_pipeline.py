@@ -1,28 +1,78 @@
-"""A cleaning pipeline over ``documents``: each stage calls one operator of dimforge.llm."""
+"""A cleaning pipeline over ``documents``: each stage calls one operator of dimforge.llm.
+
+A stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the columns of
+``documents``; the last one adds token ids.  Whoever runs the stages writes each result as
+Parquet and reads it again as the next stage's docs; ``run`` does so in the folder that
+spark.checkpoint.dir names.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dimforge.llm import decontaminate, language, line_dedup, near_dedup, sentence_pieces
+from dimforge.llm.common import shared_folder, ship, table
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language (null texts, or without a letter) go; the others carry the
+    predicted language in lang."""
+    ship(spark)
+    kind = docs.schema["lang"].dataType if "lang" in docs.columns else "string"
+    return language.label(docs).filter(F.col("lang_pred") != language.UNKNOWN).withColumn("lang", F.col("lang_pred").cast(kind)).select(docs.columns)
+
 
-from dimforge.llm import near_dedup
-from dimforge.llm.common import ship
+def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of a source go from the texts, with n_chars brought up to date; no
+    document goes."""
+    cleaned = line_dedup.drop_boilerplate(docs)
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        cleaned = cleaned.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays, and one row
+    of those that repeat an id."""
+    ship(spark)
+    gone = near_dedup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # A null id is no document's: such rows all stay.
+    return left.filter("doc_id is not null").dropDuplicates(["doc_id"]).union(left.filter("doc_id is null"))
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    ship(spark)
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds ids and n_tokens, and whether decoding the ids gives the text back."""
     ship(spark)
-    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return sentence_pieces.encode_checked(docs)
 
 
 STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", boilerplate_lines),
     ("minhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", benchmark_passages),
+    ("sentence_pieces", tokens),
 ]
 
+#: Language models and sketches are no SQL; the tests run the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    folder = f"{shared_folder(spark)}/corpus_pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs

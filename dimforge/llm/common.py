@@ -22,20 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a file in the folder the cluster names in
-    spark.checkpoint.dir.  Only a session without one (a local test) gets a folder of its
-    own."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        where = context.getConf().get("spark.checkpoint.dir")
-        if not where:
-            if not context.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            import tempfile
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which all executors share.  Only a local
+    session without one, as in tests, gets a folder of its own."""
+    context = spark.sparkContext
+    where = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not where:
+        if not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        import tempfile
 
-            where = tempfile.mkdtemp(prefix="dimforge-checkpoint-")
+        where = tempfile.mkdtemp(prefix="dimforge-checkpoint-")
+    if not context.getCheckpointDir():
         context.setCheckpointDir(where)
+    return where
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """Cut the lineage through a file in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -188,6 +188,16 @@ def _search(index: Index, rows: list[str]) -> list[tuple[int, int, int, float]]:
     return [(r, i, p, s) for (r, i), (s, p) in best.items()]
 
 
+def _indexes(benchmark: DataFrame, item_col: str, text_col: str) -> list:
+    """The benchmark as broadcast indexes of at most about PASS_WORDS words each."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
+    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    passes = max(1, -(-total // PASS_WORDS))
+    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast(Index([(r["item_id"], r["text"]) for r in items.filter(place == k).toLocalIterator()])) for k in range(passes)]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """A row for each document and benchmark item that it holds: doc_id, item_id, first_word
     (of the document, from 0), similarity.
@@ -198,13 +208,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     their rows, repeated items each match; an item of fewer than five words is one shingle;
     further columns are not looked at; an empty table on either side gives no rows."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).filter("text is not null")
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    passes = -(-total // PASS_WORDS)
     result = None
-    for k in range(max(1, passes)):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, passes))) == k)
-        index = docs.sparkSession.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part.toLocalIterator()]))
+    for index in _indexes(benchmark, item_col, item_text_col):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -220,3 +225,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         hits = docs.mapInArrow(run, "doc_id long, item_id long, first_word long, similarity double")
         result = hits if result is None else result.union(hits)
     return result
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in whose text contaminated() finds no item, with all columns.  Each
+    row is judged by its own text, so nothing is joined or shuffled."""
+    kept = docs
+    for index in _indexes(benchmark, "item_id", "text"):
+
+        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for step in steps(batch, text_col):
+                    clean = np.ones(step.num_rows, bool)
+                    clean[[row for row, *_ in _search(index.value, texts(step, text_col))]] = False
+                    yield step.filter(pa.array(clean))
+
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept

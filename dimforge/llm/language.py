@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import U64, held_out, mix, steps, texts
 
@@ -178,6 +179,29 @@ def predict(known: dict, rows: list[str]) -> tuple[list[str], np.ndarray]:
     return langs, score
 
 
+def _known(docs: DataFrame, id_col: str, text_col: str, lang_col: str):
+    """The broadcast models that the rows to learn from give."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = rows.filter(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    return docs.sparkSession.sparkContext.broadcast(train(rows))
+
+
+def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` with lang_pred and score (columns of these names are replaced), as identify()
+    says."""
+    known = _known(docs, id_col, text_col, lang_col)
+    docs = docs.drop("lang_pred", "score")
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch, text_col):
+                langs, score = predict(known.value, texts(part, text_col))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(score)], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score.  Rows whose crc32(doc_id) mod 5 is 0 are
     never learned from.
@@ -187,14 +211,5 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     letter gets it.  Rows with null lang or null text teach nothing.  A null id is not held
     out.  Repeated rows get equal results; further columns are not looked at; an empty table
     gives no rows."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    docs = docs.withColumn("held_out", held_out("doc_id"))
-    known = docs.sparkSession.sparkContext.broadcast(train(docs.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in steps(batch, "text"):
-                langs, score = predict(known.value, texts(part, "text"))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(langs, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
-
-    return docs.select("doc_id", "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    return label(known).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, language, line_dedup, near_dedup, sentence_pieces, token_counts, toxicity
+from . import chat, decontaminate, fingerprints, language, line_dedup, near_dedup, sentence_pieces, surrogates, token_counts, toxicity
 from .common import ship, table
 
 
@@ -60,6 +60,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_personal_data(docs).select("doc_id", "n_entities", "text")
+
+
 QUERIES = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_chat_formatting": op2_chat_formatting,
@@ -70,6 +75,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_contaminated_documents": op8_contaminated_documents,
     "op9_language": op9_language,
+    "op10_surrogates": op10_surrogates,
 }
 
 ORACLE_SQL: dict[str, str] = {

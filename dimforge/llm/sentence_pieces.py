@@ -410,6 +410,25 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str | None = Non
     return docs.mapInArrow(run, schema)
 
 
+def encode_checked(docs: DataFrame, text_col: str = "text", model_path: str | None = None) -> DataFrame:
+    """encode(), with ``round_trip``: whether the ids decode to the text (null: the empty
+    text) again.  A column of this name is replaced."""
+    docs, schema = _plus(docs, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType()))
+    model = _Shared(docs.sparkSession, model_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(model)
+        for batch in batches:
+            for part in steps(batch, text_col):
+                rows = texts(part, text_col)
+                encoded = encoder.encode(rows)
+                same = [decode(encoder.model, np.frombuffer(e, np.int32)) == t for e, t in zip(encoded, rows)]
+                sizes = pa.array([len(e) // 4 for e in encoded], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, _lists(encoded), sizes, pa.array(same, pa.bool_())], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def decoded(docs: DataFrame, ids_col: str = "ids", model_path: str | None = None) -> DataFrame:
     """``docs`` with ``decoded``, the text of the ids.  Null or empty ids give an empty text;
     an id that the model doesn't have is an error."""
