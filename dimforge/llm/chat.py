@@ -39,11 +39,13 @@ class Template:
     start: str
     #: states a conversation may end in
     ends: frozenset[str]
+    #: further control strings, such as parts of marks that mean something by themselves
+    more_controls: tuple[str, ...] = ()
     #: how a role that isn't listed is written; {role} is its escaped name
     other: Turn = field(default=Turn("[ROLE]{role}[:ROLE]", "[/ROLE]"))
 
     def controls(self) -> list[str]:
-        marks = [m for t in self.roles.values() for m in (t.opens, t.closes)] + ["[ROLE]", "[:ROLE]", "[/ROLE]"]
+        marks = [m for t in self.roles.values() for m in (t.opens, t.closes)] + [*self.more_controls, "[ROLE]", "[:ROLE]", "[/ROLE]"]
         return sorted({m.strip() for m in marks if m.strip()}, key=lambda m: (-len(m), m))
 
 
@@ -62,6 +64,7 @@ INSTRUCT = Template(
     },
     start="start",
     ends=frozenset({"answered"}),
+    more_controls=("<s>", "[INST]"),
 )
 
 SEGMENTS = "conv_id long, turn_no long, part int, text string, loss boolean, state string, in_order boolean"

@@ -1,0 +1,61 @@
+import re
+
+from dimforge.llm import surrogates as sg
+
+TEXT = (
+    "Mail a.b@Mail.com, A.B@MAIL.COM or 4111 1111 1111 1111, 4111111111111111; 10.0.0.1. Call +1 (017) 555-7713 or "
+    '+1 017-555-7713. Mr. John Smith and Mr John Smith; Frau Müller, госпожа Анна Петрова. token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" 123-45-6789 end'
+)
+
+
+def run(spark, rows, **how):
+    frame = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, found string, page_key string")
+    return sg.replace_personal_data(frame, **how)
+
+
+def luhn(number):
+    digits = [int(c) for c in reversed(number) if c.isdigit()]
+    return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_types_formats_and_coreference(spark):
+    text = run(spark, [(1, TEXT)]).first()["text"]
+    pattern = (
+        r"Mail (\S+)@(\S+)\.com, (\S+)@(\S+)\.COM or (4\d{3} \d{4} \d{4} \d{4}), (4\d{15}); (\d\d\.\d\.\d\.\d)\. Call \+1 \((\d{3})\) (\d{3}-\d{4}) or "
+        r"\+1 (\d{3})-(\d{3}-\d{4})\. Mr\. (\w+ \w+) and Mr (\w+ \w+); Frau (\w+), госпожа (\w+ \w+)\. token = \"([0-9a-f]{40})\" (\d{3}-\d\d-\d{4}) end"
+    )
+    found = re.fullmatch(pattern, text)
+    assert found, text
+    g = found.groups()
+    assert g[0].upper() == g[2] and g[1].upper() == g[3] and g[4].replace(" ", "") == g[5] and luhn(g[5])
+    assert g[7:9] == g[9:11] and g[11] == g[12]
+    assert g[11].split()[0] in sg.GIVEN["latin", "m"] and g[14].split()[0] in sg.GIVEN["cyrillic", "f"] and g[14].endswith("а")
+    assert not {"a.b", "4111111111111111", "10.0.0.1", "555-7713", "John Smith", "Müller"} & set(g)
+
+
+def test_distinct_and_none_is_an_original(spark):
+    """Nine one-digit octets leave few addresses: the draws must give way to each other."""
+    ips = [f"1.{a}.{b}.3" for a in range(1, 10) for b in range(1, 10)]
+    names = [f"Herr Xa{chr(97 + k)}" for k in range(20)]
+    out = run(spark, [(i, f"from {e} on") for i, e in enumerate(ips + names)]).collect()
+    new = {r["doc_id"]: r["text"][5:-3] for r in out}
+    assert len(set(new.values())) == len(ips + names) and not set(new.values()) & set(ips + names)
+    assert all(r["n_entities"] == 1 for r in out)
+
+
+def test_key_and_odd_rows(spark):
+    rows = [(1, "x@y.de"), (1, "x@y.de"), (None, "see x@y.de"), (2, None), (3, ""), (4, "nothing here 12 3.5"), (5, "word " * 50_000 + "x@y.de"), (6, "a@b.c.org b@b.c.org")]
+    out = run(spark, rows).collect()
+    by = {r["doc_id"]: r for r in out}
+    assert len(out) == len(rows) and by[2]["text"] is None and by[3]["text"] == "" and by[4]["text"] == rows[5][1]
+    assert by[1]["text"] == by[None]["text"][4:] == by[5]["text"][-6:] and by[1]["text"].endswith(".de") and by[1]["text"] != "x@y.de"
+    first, second = by[6]["text"].split()
+    assert first.split("@")[1] == second.split("@")[1] and first != second and by[6]["n_entities"] == 2
+    assert run(spark, rows, key="another").filter("doc_id = 1").first()["text"] != by[1]["text"]
+    assert run(spark, rows).columns == ["doc_id", "text", "found", "page_key", "n_entities"] and by[1]["found"] == "x"
+    assert run(spark, []).collect() == []
+
+
+def test_main_path_is_native(spark):
+    plan = run(spark, [(1, TEXT)])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
