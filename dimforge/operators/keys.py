@@ -1,12 +1,10 @@
 """Surrogate keys and key integrity.
 
 ``assign_keys`` numbers rows ``offset + 1, offset + 2, ...`` in natural-key order
-without a single-partition window:
+without a single-partition window, whatever the number of rows:
 
-0. count the rows (they are persisted first, so the count is not recomputed);
-   when the count is at most ``SMALL_KEY_ROWS`` -- a proven bound -- a single ordered
-   window numbers them directly and the steps below are skipped;
-1. range-partition and sort the rows by the natural key;
+1. range-partition and sort the rows by the natural key, into partitions of about
+   ``TARGET_BYTES`` each (and no fewer than the session's shuffle partitions);
 2. cut the lineage with a reliable checkpoint, so partition contents and row
    positions are fixed even if an executor is lost and work is recomputed;
 3. count rows per partition (one tiny aggregate, one row per partition) and turn
@@ -27,9 +25,8 @@ from pyspark.sql import functions as F
 
 _POS_BITS = 33  # monotonically_increasing_id() = partition index << 33 | row position
 
-# Up to this many new rows are numbered by one ordered window (a single task sorts
-# them); above it the distributed range-partition path is used.
-SMALL_KEY_ROWS = 2_000_000
+# Rows of one key partition, by the schema's row size.
+TARGET_BYTES = 128 << 20
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -58,6 +55,12 @@ def max_key(df: DataFrame, key_col: str) -> int:
     return int(row["m"] or 0)
 
 
+def partitions_for(df: DataFrame) -> int:
+    """Partitions of about TARGET_BYTES for the rows of ``df``, at least the session's."""
+    size = df.count() * df._jdf.schema().defaultSize()
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TARGET_BYTES))
+
+
 def assign_keys(
     df: DataFrame, key_col: str, order_cols, offset: int = 0, num_partitions: int | None = None
 ) -> DataFrame:
@@ -66,16 +69,9 @@ def assign_keys(
     The order columns must identify a row (ties would be numbered arbitrarily).
     """
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    spark = df.sparkSession
+    # persisted while it is counted, sampled for the ranges and shuffled
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = df.count()
-    if rows <= SMALL_KEY_ROWS:
-        # The result sits in one partition.  Below the bound a single task scans it in
-        # about a second, and measured end to end that beats an extra round-robin shuffle;
-        # larger inputs take the distributed path below and keep their partitions.
-        w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
-        return df.withColumn(key_col, (F.lit(offset) + F.row_number().over(w)).cast("long"))
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or partitions_for(df)
     order = [F.col(c).asc_nulls_last() for c in order_cols]
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     fixed = checkpointed(ranged)

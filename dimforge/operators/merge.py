@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import assign_keys, max_key, require_unique
+from .dedupe import first_per_key
+from .keys import assign_keys, checkpointed, max_key, require_unique
 
 
 def _list(x):
@@ -19,9 +20,12 @@ def _list(x):
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, key_cols) -> DataFrame:
-    """``INSERT OR IGNORE``: append source rows whose key is not in the target."""
+    """``INSERT OR IGNORE``: append source rows whose key is not in the target.  Of source rows
+    that repeat a key one goes in, the first by its other columns (NULLs last)."""
     key_cols = _list(key_cols)
     new = source.join(target.select(*key_cols), key_cols, "left_anti")
+    others = [c for c in target.columns if c not in key_cols]
+    new = first_per_key(new, key_cols, others) if others else new.dropDuplicates(key_cols)
     return target.unionByName(new.select(*target.columns))
 
 
@@ -57,6 +61,7 @@ def upsert(
     merged = j.select(*cols, F.col("_in_tgt").isNull().alias("_is_new"))
     if sk_col is None:
         return merged.drop("_is_new")
+    merged = checkpointed(merged)  # read twice below: for kept and for new rows
     kept = merged.where(~F.col("_is_new")).drop("_is_new")
     new = merged.where(F.col("_is_new")).drop("_is_new", sk_col)
     keyed = assign_keys(new, sk_col, key_cols, offset=max_key(target, sk_col))
@@ -77,16 +82,20 @@ def replace_by_key(
     Surrogate keys are reproducible: a fresh row whose natural key existed keeps
     its old key; other rows get max(existing) + rank in natural-key order.  A
     scope value with no fresh rows simply empties that scope (rows are not kept
-    just because nothing replaces them).
+    just because nothing replaces them).  A fresh batch that repeats a natural key is an
+    error; of several old rows with one natural key the smallest key is kept.
     """
     natural_key = _list(natural_key)
+    if sk_col is not None:
+        fresh = checkpointed(fresh)  # its rows are read to check, to match and to number them
+    require_unique(fresh, natural_key, "reload")
     scope = scope_keys.select(F.col(scope_col)).distinct()
     kept = target.join(scope, scope_col, "left_anti")
     if sk_col is None:
         return kept.unionByName(fresh.select(*target.columns))
-    old_keys = target.join(scope, scope_col, "left_semi").select(*natural_key, sk_col)
+    old_keys = target.join(scope, scope_col, "left_semi").groupBy(*natural_key).agg(F.min(sk_col).alias(sk_col))
     fresh = fresh.drop(sk_col) if sk_col in fresh.columns else fresh
-    reused = fresh.join(old_keys, natural_key, "left")
+    reused = checkpointed(fresh.join(old_keys, natural_key, "left"))
     have = reused.where(F.col(sk_col).isNotNull())
     need = reused.where(F.col(sk_col).isNull()).drop(sk_col)
     keyed = assign_keys(need, sk_col, natural_key, offset=max_key(target, sk_col))

@@ -12,12 +12,11 @@ Families (each check yields ``failed_count``; PASS iff it is 0):
 Execution plan:
 
 * all ``K`` and ``P`` checks of one table: **one** aggregate pass over that table;
-* all ``U`` checks of all tables: **one** shuffle -- each check contributes
-  ``(check_id, key)`` rows, grouped once; partial aggregation collapses hot keys
-  map-side before the exchange;
-* each ``R`` check: foreign-key values are pre-aggregated (distinct key + row
-  count, partial aggregation first) before the anti join, so a hot key costs one
-  row, not a third of the table.
+* each ``U`` check: one grouped count over the typed key columns; partial aggregation
+  collapses hot keys map-side before the exchange;
+* all ``R`` checks of one table: **one** scan -- each row contributes ``(check_id, key)``
+  per check, pre-aggregated (distinct key + row count, partial aggregation first) before
+  one anti join, so a hot key costs one row, not a third of the table.
 """
 
 from __future__ import annotations
@@ -44,10 +43,15 @@ class Check:
     ref_table: str | None = None  # R
     fk: str | None = None  # R
     ref_key: str | None = None  # R
+    report: str | None = None  # table named in the results, if not the scanned one
+
+    @property
+    def reported(self) -> str:
+        return self.report or self.table
 
     @property
     def id(self) -> str:
-        return f"{self.layer}.{self.table}.{self.name}"
+        return f"{self.layer}.{self.reported}.{self.name}"
 
 
 def row_count(layer, table, name, expected, note):
@@ -63,9 +67,9 @@ def predicate(layer, table, name, failing, note):
     return Check(layer, table, name, "P", note, where=failing)
 
 
-def referential(layer, table, name, fk, ref_table, ref_key, note, where=None):
+def referential(layer, table, name, fk, ref_table, ref_key, note, where=None, report=None):
     return Check(layer, table, name, "R", note, fk=fk, ref_table=ref_table, ref_key=ref_key,
-                 where=where)
+                 where=where, report=report)
 
 
 def _union(frames):
@@ -97,49 +101,49 @@ def _kp_counts(tables, checks):
     return frames
 
 
-def _u_counts(spark, tables, checks):
-    """All uniqueness checks in one grouped shuffle -> (check_id, failed_count)."""
-    us = [c for c in checks if c.family == "U"]
-    if not us:
-        return []
-    parts = []
-    for c in us:
-        df = tables[c.table]
-        if c.where:
-            df = df.where(F.expr(c.where))
-        parts.append(df.select(
-            F.lit(c.id).alias("check_id"),
-            F.array(*[F.col(k).cast("string") for k in c.key]).alias("k"),
-        ))
-    dup_groups = (
-        _union(parts).groupBy("check_id", "k").agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1").groupBy("check_id").agg(F.count(F.lit(1)).alias("failed_count"))
-    )
-    ids = spark.createDataFrame([(c.id,) for c in us], "check_id string")
-    # one row per U check, 0 when it found no duplicate (check list bounded by the spec)
-    return [F.broadcast(ids).join(dup_groups, "check_id", "left").select(
-        "check_id", F.coalesce("failed_count", F.lit(0)).cast("long").alias("failed_count"))]
-
-
-def _r_counts(tables, checks):
+def _u_counts(tables, checks):
+    """One row per uniqueness check: how many key values occur more than once."""
     frames = []
     for c in checks:
-        if c.family != "R":
+        if c.family != "U":
             continue
-        rows = tables[c.table]
-        if c.where:
-            rows = rows.where(F.expr(c.where))
-        fk_counts = rows.groupBy(F.col(c.fk).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
-        ref = tables[c.ref_table].select(F.col(c.ref_key).alias("_fk"))
-        orphans = fk_counts.join(ref, "_fk", "left_anti")
-        frames.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failed_count"))
+        rows = tables[c.table].where(F.expr(c.where)) if c.where else tables[c.table]
+        groups = rows.groupBy(*c.key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        frames.append(groups.agg(F.count(F.lit(1)).cast("long").alias("failed_count"))
                       .select(F.lit(c.id).alias("check_id"), "failed_count"))
     return frames
 
 
+def _r_counts(tables, checks):
+    """One row per referential check.  The checks of a table whose keys have one type share
+    its scan, their grouping and their anti join."""
+    groups: dict[tuple[str, str], list[Check]] = {}
+    for c in checks:
+        if c.family == "R":
+            kind = "string" if dict(tables[c.table].dtypes)[c.fk] == "string" else "bigint"
+            groups.setdefault((c.table, kind), []).append(c)
+    frames = []
+    for (table, kind), cs in groups.items():
+        keys = []
+        for c in cs:
+            key = F.struct(F.lit(c.id).alias("check_id"), F.col(c.fk).cast(kind).alias("_fk"))
+            keys.append(F.when(F.coalesce(F.expr(c.where), F.lit(False)), key) if c.where else key)
+        rows = tables[table].select(F.explode(F.array(*keys)).alias("r")).where("r IS NOT NULL")
+        counts = rows.select("r.*").groupBy("check_id", "_fk").agg(F.count(F.lit(1)).alias("_n"))
+        refs = _union([tables[c.ref_table].select(F.lit(c.id).alias("check_id"), F.col(c.ref_key).cast(kind).alias("_fk"))
+                       for c in cs])
+        orphans = counts.join(refs, ["check_id", "_fk"], "left_anti")
+        per_check = orphans.groupBy("check_id").agg(F.sum("_n").alias("n"))
+        # one row per check of the list, 0 where nothing is orphaned
+        ids = tables[table].sparkSession.createDataFrame([(c.id,) for c in cs], "check_id string")
+        frames.append(ids.join(per_check, "check_id", "left").select(
+            "check_id", F.coalesce("n", F.lit(0)).cast("long").alias("failed_count")))
+    return frames
+
+
 def checks_frame(spark: SparkSession, checks) -> DataFrame:
     return spark.createDataFrame(
-        [(c.id, c.layer, c.table, c.name, c.note, i) for i, c in enumerate(checks)],
+        [(c.id, c.layer, c.reported, c.name, c.note, i) for i, c in enumerate(checks)],
         "check_id string, layer string, table_name string, check_name string, note string, ord int",
     )
 
@@ -148,7 +152,7 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks, run_ts
     """Evaluate ``checks`` over ``tables``; one result row per check."""
     checks = list(checks)
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
-    counts = _union(_kp_counts(tables, checks) + _u_counts(spark, tables, checks) + _r_counts(tables, checks))
+    counts = _union(_kp_counts(tables, checks) + _u_counts(tables, checks) + _r_counts(tables, checks))
     meta = F.broadcast(checks_frame(spark, checks))  # one row per declared check
     out = meta.join(counts, "check_id", "left")
     return out.select(

@@ -13,10 +13,10 @@ Then every source key left without a current row (new, just closed, or only clos
 versions) gets one new current version starting ``as_of``.  Running twice with the
 same source and ``as_of`` changes nothing the second time.
 
-Plan: one left join history x source on the key, then one anti join of the source
-against the keys that still have a current row.  Both joins are on the business key,
-so the second reuses the first's partitioning; hot keys are handled by AQE's
-skew-join splitting rather than by one window task.
+Plan: one left join history x source on the key, written once to the checkpoint folder;
+then one anti join of the source against the keys that still have a current row there, so
+history is scanned and joined once.  A current version that opens after ``as_of`` means a
+back-dated run; it is refused rather than overwritten.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import any_distinct
-from .keys import assign_keys, max_key, require_unique
+from .keys import assign_keys, checkpointed, max_key, require_unique
 
 
 def _list(x):
@@ -55,13 +55,15 @@ def scd2_apply(
     key_cols, t1, t2 = _list(key_cols), _list(type1_cols), _list(type2_cols)
     require_unique(source, key_cols, "SCD source")
     as_of_c = _as_date(as_of)
+    if hist.where(F.col(current_col) & (F.col(start_col) > as_of_c)).limit(1).count():
+        raise ValueError(f"a current version starts after {as_of}: this run is back-dated")
     src = source.select(*key_cols, *t1, *t2)
     s = src.select(*key_cols, *[F.col(c).alias(f"_s_{c}") for c in t1 + t2], F.lit(True).alias("_hit"))
     h = hist.join(s, key_cols, "left")
 
     hit = F.col("_hit").isNotNull()
     changed = F.col(current_col) & hit & any_distinct([(c, f"_s_{c}") for c in t2])
-    same_day = F.col(start_col) >= as_of_c
+    same_day = F.col(start_col) == as_of_c
     close = F.coalesce(changed & ~same_day, F.lit(False))
     in_place = F.coalesce(changed & same_day, F.lit(False))
 
@@ -77,7 +79,7 @@ def scd2_apply(
             cols.append(F.when(close, F.date_sub(as_of_c, 1)).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
-    updated = h.select(*cols)
+    updated = checkpointed(h.select(*cols))
 
     still_open = updated.where(F.col(current_col)).select(*key_cols)
     opened = src.join(still_open, key_cols, "left_anti").select(
@@ -115,7 +117,7 @@ def scd2_close_changed(hist, source, key_cols, type2_cols, as_of,
         F.col(current_col) & F.col("_hit").isNotNull() & any_distinct([(c, f"_s_{c}") for c in t2]),
         F.lit(False),
     )
-    same_day = F.col(start_col) >= as_of_c
+    same_day = F.col(start_col) == as_of_c
     return h.select(*[
         F.when(changed & ~same_day, F.lit(False)).otherwise(F.col(c)).alias(c) if c == current_col
         else F.when(changed & ~same_day, F.date_sub(as_of_c, 1)).otherwise(F.col(c)).alias(c)

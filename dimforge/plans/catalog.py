@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -22,13 +23,14 @@ from ..functions.exprs import (
 )
 from ..operators import quality
 from ..operators.dedupe import first_per_key
-from ..operators.keys import checkpointed
+from ..operators.keys import ensure_checkpoint_dir, max_key
 from ..operators.merge import insert_if_absent, replace_by_key, upsert
 from ..operators.scd2 import (
     scd2_apply, scd2_close_changed, scd2_open_missing, scd2_update_type1,
 )
 from ..sources import standins
 from . import checks, dims, facts, serving, staging
+from .publish import TableStore
 
 AS_OF = dt.date(2023, 1, 1)
 
@@ -48,16 +50,16 @@ class Warehouse:
         self.raw = {k: v.persist(StorageLevel.MEMORY_AND_DISK)
                     for k, v in standins.raw_standins(spark, sf_dir).items()}
         self._t: dict[str, DataFrame] = {}
+        self.store = TableStore(spark, f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}")
 
     def _get(self, name, build):
-        # Each table is read by several consumers (facts, checks, serving): write it once
-        # to the checkpoint folder, which also cuts its lineage (small plans downstream,
-        # nothing to recompute if an executor is lost).
+        # Each table is read by several consumers (facts, checks, serving): it is published
+        # once as Parquet in the shared folder, in its layout, and read from there.
         with self._lock:
             lock = self._locks.setdefault(name, threading.Lock())
         with lock:
             if name not in self._t:
-                self._t[name] = checkpointed(build())
+                self._t[name] = self.store.publish(name, build(), "1")
         return self._t[name]
 
     def build_all(self, threads: int = 4) -> "Warehouse":
@@ -171,7 +173,9 @@ def revenue_by_category(spark, sf_dir):
 
 def revenue_by_category_range(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return serving.revenue_by_category(w.fct_order_items, w.dim_product,
+    w.fct_order_items  # published
+    items = w.store.read("fct_order_items", "1", with_partitions=True)
+    return serving.revenue_by_category(items, w.dim_product,
                                        date_from="2016-03-01", date_to="2019-06-30", limit=3)
 
 
@@ -202,8 +206,16 @@ def seller_snapshot(spark, sf_dir):
 
 
 def order_lifecycle_lookup(spark, sf_dir):
-    w = _w(spark, sf_dir)
-    out = serving.lifecycle_rows(w.fct_order_lifecycle, w.dim_order_flags)
+    return _lifecycle(_w(spark, sf_dir))
+
+
+def order_lifecycle_points(spark, sf_dir):
+    """Some orders by id, one of which does not exist."""
+    return _lifecycle(_w(spark, sf_dir), ["or1", "or7", "or32", "none"])
+
+
+def _lifecycle(w, order_ids=None):
+    out = serving.lifecycle_rows(w.fct_order_lifecycle, w.dim_order_flags, order_ids)
     return out.select(
         "order_id", "order_status", "order_purchase_date",
         *[F.col(c).cast("decimal(10,2)").alias(c) for c in (
@@ -257,7 +269,7 @@ def dim_product_hist(spark, sf_dir):
 def _old_products(w):
     """An earlier product state: a quarter of the ids missing, a third re-categorised."""
     p = staging.stg_products(w.raw["raw_products"], w.raw["raw_category_translation"])
-    k = F.substring("product_id", 3, 20).cast("long")
+    k = F.substring("product_id", F.lit(3), F.length("product_id")).cast("long")
     return p.where(k % 4 != 0).select(
         "product_id",
         F.when(k % 3 == 0, F.lit("legacy")).otherwise(F.col("category_name")).alias("category_name"),
@@ -314,6 +326,7 @@ def _old_hist(hist, sk, id_col, t1_col, t1_value, t2_col, t2_value, same_day_col
     """An earlier history: quarter of keys missing, type 1 and 2 values changed on some keys,
     some versions opened on ``as_of`` itself, and closed older versions for every fifth key."""
     k = F.col(sk)
+    above = max_key(hist, sk)
     cur = hist.where(k % 4 != 0).select(*[
         F.when(k % 3 == 0, F.lit(t1_value)).otherwise(F.col(c)).alias(c) if c == t1_col
         else F.when(k % 3 == 0, F.lit(t2_value)).otherwise(F.col(c)).alias(c) if c == t2_col
@@ -323,7 +336,7 @@ def _old_hist(hist, sk, id_col, t1_col, t1_value, t2_col, t2_value, same_day_col
         for c in hist.columns
     ])
     closed = hist.where(k % 5 == 0).select(*[
-        (k + 1000000).alias(c) if c == sk
+        (k + above).alias(c) if c == sk
         else F.lit(CLOSED_START).alias(c) if c == "scd_start_date"
         else F.lit(CLOSED_END).alias(c) if c == "scd_end_date"
         else F.lit(False).alias(c) if c == "is_current"
@@ -389,7 +402,7 @@ def scd2_rerun(spark, sf_dir):
 
 def _with_phantoms(df, sk, col, phantom):
     """Rows of ``df`` plus a copy of each under a key the source never mentions."""
-    ghost = df.withColumn(col, phantom).withColumn(sk, F.col(sk) + 10000000)
+    ghost = df.withColumn(col, phantom).withColumn(sk, F.col(sk) + max_key(df, sk))
     return df.unionByName(ghost)
 
 
@@ -399,7 +412,7 @@ def replace_by_key_items(spark, sf_dir):
     stale = fct.where(F.col("order_item_id") != 2).withColumn(
         "price", (F.col("price") + 1).cast("decimal(10,2)"))
     target = _with_phantoms(stale, "order_item_key", "order_id", F.concat(F.lit("zz"), "order_id"))
-    fresh = fct.drop("order_item_key")  # this batch's rows: the built fact without its keys
+    fresh = facts.build_order_items(w.raw, w.dims())
     out = replace_by_key(target, fresh, w.raw["raw_order_items"].select("order_id"), "order_id",
                          ["order_id", "order_item_id"], "order_item_key")
     from .. import schemas
@@ -412,7 +425,7 @@ def replace_by_key_orders(spark, sf_dir):
     stale = fct.where(F.col("order_lifecycle_key") % 3 != 0).withColumn(
         "approval_delay_hours", F.lit(None).cast("decimal(10,2)"))
     target = _with_phantoms(stale, "order_lifecycle_key", "order_id", F.concat(F.lit("zz"), "order_id"))
-    fresh = fct.drop("order_lifecycle_key")  # this batch's rows: the built fact without its keys
+    fresh = facts.build_order_lifecycle(w.raw, w.dims())
     out = replace_by_key(target, fresh, w.raw["raw_orders"].select("order_id"), "order_id",
                          ["order_id"], "order_lifecycle_key")
     from .. import schemas
@@ -424,11 +437,11 @@ def replace_by_month(spark, sf_dir):
     w = _w(spark, sf_dir)
     fct = w.fct_seller_monthly_snapshot
     stale = fct.withColumn("total_revenue", F.lit(0).cast("decimal(12,2)"))
-    ghost_seller = fct.withColumn("seller_key", F.col("seller_key") + 5000).withColumn(
-        "snapshot_key", F.col("snapshot_key") + 20000000)
+    ghost_seller = fct.withColumn("seller_key", F.col("seller_key") + max_key(fct, "seller_key")).withColumn(
+        "snapshot_key", F.col("snapshot_key") + 2 * max_key(fct, "snapshot_key"))
     old_month = F.concat(F.lit("19"), F.substring("snapshot_year_month", 3, 5))
     target = _with_phantoms(stale, "snapshot_key", "snapshot_year_month", old_month).unionByName(ghost_seller)
-    fresh = fct.drop("snapshot_key")  # this batch's rows: the built fact without its keys
+    fresh = facts.build_seller_monthly_snapshot(w.raw, w.dims())
     out = replace_by_key(target, fresh, facts.snapshot_months(w.raw["raw_orders"]),
                          "snapshot_year_month", ["seller_key", "snapshot_year_month"], "snapshot_key")
     from .. import schemas
@@ -538,15 +551,16 @@ def multi_item_flag(spark, sf_dir):
 
 def junk_lookup(spark, sf_dir):
     w = _w(spark, sf_dir)
-    fl = w.fct_order_lifecycle.select("order_id", "order_flags_key")
     o = staging.stg_orders(w.raw["raw_orders"]).where(F.col("purchase_ts").isNotNull())
     ipo = staging.items_per_order(staging.stg_items(w.raw["raw_order_items"]))
-    return (o.join(ipo, "order_id", "left").join(fl, "order_id").select(
-        "order_id", "order_status",
-        (F.col("delivered_ts").isNotNull() & (F.col("delivered_ts") > F.col("estimated_ts"))).alias(
-            "is_late_delivery"),
-        F.coalesce("is_multi_item", F.lit(False)).alias("is_multi_item"),
-        "order_flags_key"))
+    late = F.col("delivered_ts").isNotNull() & (F.col("delivered_ts") > F.col("estimated_ts"))
+    o = o.join(staging.customer_lookup(w.raw["raw_customers"]), "customer_id").join(ipo, "order_id", "left").select(
+        "order_id", "order_status", late.alias("is_late_delivery"),
+        F.coalesce("is_multi_item", F.lit(False)).alias("is_multi_item"))
+    # the junk dimension has 32 rows by construction
+    key = ["order_status", "is_late_delivery", "is_multi_item"]
+    return o.join(F.broadcast(w.dim_order_flags.select("order_flags_key", *key)), key, "left").select(
+        "order_id", *key, "order_flags_key")
 
 
 def bridge_lookup(spark, sf_dir):
@@ -584,10 +598,11 @@ def semi_join_keys(spark, sf_dir):
 
 
 def anti_join_orphans(spark, sf_dir):
-    """Products never sold (no row in the transaction fact)."""
+    """Products without a returned item (no row of lineitem flagged R with a quantity above 40)."""
     w = _w(spark, sf_dir)
-    return w.dim_product.join(w.fct_order_items, "product_key", "left_anti").select(
-        "product_id", "category_name")
+    returned = _table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' AND l_quantity > 40").select(
+        F.concat(F.lit("pr"), F.col("l_partkey").cast("string")).alias("product_id")).distinct()
+    return w.dim_product.join(returned, "product_id", "left_anti").select("product_id", "category_name")
 
 
 def null_safe_diff(spark, sf_dir):
@@ -697,7 +712,59 @@ def dqc_referential(spark, sf_dir):
 
 
 def dqc_scd2(spark, sf_dir):
-    return _results(spark, sf_dir, [c for c in ALL_CHECKS if c.table.endswith("_hist")])
+    return _results(spark, sf_dir, [c for c in ALL_CHECKS if c.reported.endswith("_hist")])
+
+
+def payment_types(spark, sf_dir):
+    """The payment types by content, with the orders whose key falls on each."""
+    used = _table(spark, sf_dir, "orders").groupBy((F.col("o_orderkey") % 5 + 1).cast("long").alias("payment_type_key")).agg(F.count(F.lit(1)).alias("n"))
+    return _w(spark, sf_dir).dim_payment_type.join(used, "payment_type_key", "left")
+
+
+def item_rejects(spark, sf_dir):
+    return staging.item_rejects(_w(spark, sf_dir).raw["raw_order_items"])
+
+
+def sql_parameters(spark, sf_dir):
+    """SQL over the published tables with bound parameters."""
+    w = _w(spark, sf_dir)
+    w.fct_order_items.createOrReplaceTempView("published_items")
+    w.dim_seller.createOrReplaceTempView("published_sellers")
+    return serving.query(spark, """
+        SELECT seller_id, COUNT(*) AS items, SUM(price) AS revenue FROM published_items JOIN published_sellers USING (seller_key)
+        WHERE seller_state = :state AND price >= :least GROUP BY seller_id""", {"state": "ASIA", "least": 100})
+
+
+def insert_if_absent_repeated(spark, sf_dir):
+    """A source that repeats keys: of each new key the first row goes in."""
+    w = _w(spark, sf_dir)
+    old = _old_products(w)
+    src = staging.stg_products(w.raw["raw_products"], w.raw["raw_category_translation"]).select(*old.columns)
+    again = src.withColumn("category_name", F.concat(F.lit("zz "), "category_name"))
+    return insert_if_absent(old, src.unionByName(again), "product_id")
+
+
+def replace_by_key_repeated(spark, sf_dir):
+    """A target that repeats natural keys: each reloaded row is there once, under its
+    smallest key."""
+    w = _w(spark, sf_dir)
+    fct = w.fct_order_lifecycle
+    twice = fct.unionByName(fct.withColumn("order_lifecycle_key", F.col("order_lifecycle_key") + max_key(fct, "order_lifecycle_key")))
+    out = replace_by_key(twice, facts.build_order_lifecycle(w.raw, w.dims()), w.raw["raw_orders"].select("order_id"),
+                         "order_id", ["order_id"], "order_lifecycle_key")
+    return out.select(*fct.columns)
+
+
+def dqc_append(spark, sf_dir):
+    """The results log keeps both runs."""
+    return _results_log(spark, sf_dir).drop("run_timestamp")
+
+
+def dqc_clear_layer(spark, sf_dir):
+    """One layer of the log replaced by a later run's rows."""
+    w = _w(spark, sf_dir)
+    new = quality.run_checks(spark, _tables(w), checks.DIM_CHECKS, RUN_TS_2)
+    return quality.clear_layer_and_append(_results_log(spark, sf_dir), new, "dim").drop("run_timestamp")
 
 
 def _broken_tables(w):
@@ -706,7 +773,7 @@ def _broken_tables(w):
     t = _tables(w)
     fi = t["fct_order_items"]
     bad = fi.where(F.col("order_item_id") == 1).withColumn(
-        "product_key", F.col("product_key") + 10000000).withColumn(
+        "product_key", F.col("product_key") + max_key(t["dim_product"], "product_key")).withColumn(
         "price", (-F.col("price")).cast("decimal(10,2)"))
     t["fct_order_items"] = fi.unionByName(bad)
     return t
@@ -741,7 +808,8 @@ QUERIES = {name: fn for name, fn in list(globals().items()) if callable(fn) and
     "insert_if_absent_new", "insert_if_absent_rerun", "upsert_customer", "upsert_seller",
     "upsert_product", "scd1_all_versions", "scd2_close", "scd2_open", "scd2_apply_seller",
     "scd2_apply_product", "scd2_rerun", "replace_by_key_items", "replace_by_key_orders",
-    "replace_by_month",
+    "replace_by_month", "order_lifecycle_points", "payment_types", "item_rejects", "sql_parameters",
+    "insert_if_absent_repeated", "replace_by_key_repeated", "dqc_append", "dqc_clear_layer",
     "dedupe_first_per_key", "latest_per_key_nulls_last", "cleanse_text", "safe_cast_int",
     "safe_cast_decimal", "safe_cast_timestamp", "safe_cast_date", "minute_diff", "stage_delays",
     "calendar_parts", "date_keys",

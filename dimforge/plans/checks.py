@@ -7,6 +7,8 @@ from ..sources.literals import DATE_SPINE_ROWS, ORDER_FLAG_ROWS, PAYMENT_TYPES
 
 D, FC = "dim", "fct"
 
+# Check names, table names and notes are part of the results.
+
 DIM_CHECKS = [
     row_count(D, "dim_date", "expected_row_count", DATE_SPINE_ROWS,
               "Expected 2922 rows (2015-2022 date spine)"),
@@ -24,14 +26,14 @@ DIM_CHECKS = [
               "scd_end_date IS NOT NULL AND scd_end_date < scd_start_date",
               "scd_end_date < scd_start_date"),
     referential(D, "dim_seller", "referential_seller_coverage", "seller_id", "dim_seller_hist",
-                "seller_id", "seller_id in dim_seller missing from dim_seller_hist"),
+                "seller_id", "seller_id in dim_seller missing from dim_seller_hist", report="dim_seller_hist"),
     unique(D, "dim_product", "unique_pk", "product_key", "Duplicate product_key"),
     predicate(D, "dim_product", "no_null_category", "category_name IS NULL",
               "NULL category_name (expected unknown instead)"),
     unique(D, "dim_product_hist", "scd2_single_current_per_product", "product_id",
            "product_id has more than 1 is_current=TRUE record", where="is_current = TRUE"),
     referential(D, "dim_product", "referential_product_coverage", "product_id", "dim_product_hist",
-                "product_id", "product_id in dim_product missing from dim_product_hist"),
+                "product_id", "product_id in dim_product missing from dim_product_hist", report="dim_product_hist"),
     row_count(D, "dim_order_flags", "expected_row_count", ORDER_FLAG_ROWS,
               "Expected exactly 32 junk dimension combinations"),
     row_count(D, "dim_payment_type", "expected_row_count", len(PAYMENT_TYPES),

@@ -50,14 +50,19 @@ def build_order_items(raw: dict, dims: dict) -> DataFrame:
     items = staging.stg_items(raw["raw_order_items"])
     ipo = staging.items_per_order(items)
     orders = resolved_orders(raw["raw_orders"], raw["raw_customers"], dims["dim_customer"])
+    # Whatever an order decides is put on it before it meets the items: one join on order_id is
+    # left at item grain, and AQE can split an order that holds a large share of the items.
+    orders = (
+        orders.join(ipo, "order_id")
+        .withColumn("is_late_delivery", _is_late())
+        .join(_flags(dims["dim_order_flags"]), FLAG_KEY, "left")
+        .select("order_id", "customer_key", "order_flags_key", "purchase_ts")
+    )
     j = (
         items
         .join(orders, "order_id")
-        .join(ipo, "order_id")
         .join(dims["dim_seller"].select("seller_id", "seller_key"), "seller_id")
         .join(dims["dim_product"].select("product_id", "product_key"), "product_id")
-        .withColumn("is_late_delivery", _is_late())
-        .join(_flags(dims["dim_order_flags"]), FLAG_KEY, "left")
     )
     return j.select(
         date_key("purchase_ts").alias("order_date_key"),
@@ -124,11 +129,13 @@ def build_seller_monthly_snapshot(raw: dict, dims: dict) -> DataFrame:
     items = staging.stg_items(raw["raw_order_items"])
     orders = staging.stg_orders(raw["raw_orders"]).where(F.col("purchase_ts").isNotNull())
     reviews = staging.reviews_per_order(staging.stg_reviews(raw["raw_reviews"]))
+    # reviews meet orders at order grain; the items are joined on order_id once
+    reviewed = orders.select("order_id", "purchase_ts", "delivered_ts", "estimated_ts").join(
+        reviews, "order_id", "left")
     base = (
         items.select("order_id", "seller_id", "price", "freight_value")
-        .join(orders.select("order_id", "purchase_ts", "delivered_ts", "estimated_ts"), "order_id")
+        .join(reviewed, "order_id")
         .join(dims["dim_seller"].select("seller_id", "seller_key"), "seller_id")
-        .join(reviews, "order_id", "left")
         .select(
             "seller_key", "order_id", "price", "freight_value",
             "review_score_sum", "review_score_n",

@@ -44,11 +44,12 @@ def run_pipeline(
     if isinstance(raw, str):
         raw = register_raw_views(spark, raw)
     store = TableStore(spark, warehouse_dir)
+    version = store.next_version(run_id)
     cur = {t: store.read(t) for t in schemas.WAREHOUSE_TABLES + ["dqc_results"]}
     pub: dict[str, DataFrame] = {}
 
     def publish(name, df):
-        pub[name] = store.publish(name, df, run_id)
+        pub[name] = store.publish(name, df, version)
         return pub[name]
 
     def wave(loads: dict):
@@ -84,24 +85,29 @@ def run_pipeline(
     for layer, layer_checks in (("dim", checks.DIM_CHECKS), ("fct", checks.FCT_CHECKS),
                                 ("ext", checks.EXTRA_FCT_CHECKS)):
         results = quality.run_checks(spark, pub, layer_checks, run_ts)
-        log = quality.clear_layer_and_append(log, results, layer)
+        log = log.unionByName(results.select(*quality.RESULT_COLUMNS))  # the log keeps every run
     published_log = publish("dqc_results", log)
 
+    latest = serving.dqc_latest(published_log)
+    if fail_on_check and quality.failures(latest).limit(1).count():
+        # the log of the checks is kept, the tables stay as the run before left them
+        store.commit(version, ["dqc_results"])
+        raise RuntimeError(f"quality checks failed in run {run_id}")
+    store.commit(version, pub)
+
     if keep_versions:  # older versions are kept for rollback until trimmed here
         for name in pub:
             store.vacuum(name, keep=keep_versions)
 
-    latest = serving.dqc_latest(published_log)
     report = {
         "run_id": run_id,
+        "version": version,
         "tables": pub,
         "row_counts": serving.row_counts({t: pub[t] for t in schemas.WAREHOUSE_TABLES}),
         "dqc": latest,
         "dqc_summary": quality.summary(latest),
         "dqc_failures": quality.failures(latest),
     }
-    if fail_on_check and report["dqc_failures"].limit(1).count():
-        raise RuntimeError(f"quality checks failed in run {run_id}")
     return report
 
 
@@ -112,5 +118,7 @@ def print_report(report: dict) -> None:
         print(f"  {r.table_name:<35} {r.n:>12,} rows")
     s = report["dqc_summary"].first()
     print(f"DQC {s.passed}/{s.total} PASS | {s.failed} FAIL")
+    for r in report["dqc"].orderBy("layer", "table_name", "check_name").collect():
+        print(f"  {r.status} [{r.layer}] {r.table_name}.{r.check_name}")
     for r in report["dqc_failures"].collect():
         print(f"  FAIL [{r.layer}] {r.table_name}.{r.check_name} -> {r.failed_count} rows | {r.note}")

@@ -1,16 +1,20 @@
 """Versioned Parquet tables: write the next state to a fresh folder, then switch readers.
 
 A load never overwrites the folder it reads from (that would delete the input
-before the job finishes).  Each run writes ``<root>/<table>/v=<run_id>/``; the
-folder counts as committed once Spark's ``_SUCCESS`` marker is there, and readers
-take the newest committed version.  Older versions stay for rollback until
-``vacuum`` removes them.  Facts are partitioned by calendar month and sorted
+before the job finishes).  Each run takes the next number (``next_version``, above
+every folder there is, so neither a back-dated run nor the remains of a failed one
+matter) and writes ``<root>/<table>/v=<number>-<run id>/``.  ``commit`` then writes
+one small manifest, ``<root>/_runs/<number>``, that names the version of every
+table: until it is there, readers stay on the run before, for all tables at once.
+Older versions stay for rollback until ``vacuum`` removes them.  Facts are partitioned by calendar month and sorted
 within files on their date and cluster columns, so date filters prune partitions
 and Parquet row groups.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,18 +32,46 @@ class TableStore:
     def _fs(self, path):
         return path.getFileSystem(self._conf)
 
-    def versions(self, name: str) -> list[str]:
-        """Committed versions of a table, oldest first."""
-        base = self._Path(f"{self.root}/{name}")
+    def _names(self, folder: str) -> list[str]:
+        base = self._Path(folder)
         fs = self._fs(base)
-        if not fs.exists(base):
-            return []
-        out = []
-        for st in fs.listStatus(base):
-            v = st.getPath().getName()
-            if v.startswith("v=") and fs.exists(self._Path(st.getPath(), "_SUCCESS")):
-                out.append(v[2:])
-        return sorted(out)
+        return sorted(st.getPath().getName() for st in fs.listStatus(base)) if fs.exists(base) else []
+
+    def next_version(self, run_id: str) -> str:
+        """A version above all that any run, finished or not, has written."""
+        used = [n for t in [*schemas.WAREHOUSE_TABLES, "dqc_results"] for n in self._names(f"{self.root}/{t}")]
+        numbers = [int(n.removeprefix("v=").split("-")[0]) for n in used + self._names(f"{self.root}/_runs") if n[0] != "."]
+        return f"{max(numbers, default=0) + 1:08d}-{run_id}"
+
+    def commit(self, version: str, tables) -> None:
+        """Make ``version`` of ``tables`` what readers see; other tables stay as they are."""
+        manifest = {**self.manifest(), **dict.fromkeys(tables, version)}
+        folder = self._Path(f"{self.root}/_runs")
+        fs = self._fs(folder)
+        fs.mkdirs(folder)
+        # written under another name first: a manifest is there whole or not at all
+        draft = self._Path(folder, f".{version}")
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(manifest).encode()))
+        out.close()
+        if not fs.rename(draft, self._Path(folder, version)):
+            raise RuntimeError(f"run {version} could not be committed")
+
+    def _runs(self) -> list[str]:
+        return [n for n in self._names(f"{self.root}/_runs") if n[0] != "."]
+
+    def manifest(self, run: str | None = None) -> dict[str, str]:
+        """Table to version, as the newest committed run (or ``run``) left them."""
+        runs = self._runs()
+        if not runs:
+            return {}
+        text = self.spark.read.text(f"{self.root}/_runs/{run or runs[-1]}", wholetext=True).first()[0]
+        return json.loads(text)
+
+    def versions(self, name: str) -> list[str]:
+        """Committed versions of a table whose files are still there, oldest first."""
+        there = {n[2:] for n in self._names(f"{self.root}/{name}") if n.startswith("v=")}
+        return sorted({v for r in self._runs() if (v := self.manifest(r).get(name)) in there})
 
     def _schema_on_disk(self, name: str) -> T.StructType:
         parts, derived, _ = schemas.LAYOUT.get(name, ([], None, []))
@@ -51,21 +83,21 @@ class TableStore:
         return T.StructType(fields)
 
     def read(self, name: str, version: str | None = None, with_partitions: bool = False) -> DataFrame | None:
-        """Newest committed version (or ``version``), with the table's declared schema.
+        """The committed version (or ``version``), with the table's declared schema.
 
         ``with_partitions`` keeps derived partition columns (e.g. ``purchase_month``) so a
         query can add partition bounds that prune whole folders."""
-        vs = self.versions(name)
-        if not vs:
+        v = version or self.manifest().get(name)
+        if v is None:
             return None
-        v = version or vs[-1]
         df = self.spark.read.schema(self._schema_on_disk(name)).parquet(f"{self.root}/{name}/v={v}")
         if with_partitions:
             return df
         return schemas.conform(df, name)
 
-    def publish(self, name: str, df: DataFrame, run_id: str) -> DataFrame:
-        """Write ``df`` as version ``run_id`` and return the committed table."""
+    def publish(self, name: str, df: DataFrame, version: str, with_partitions: bool = False) -> DataFrame:
+        """Write ``df`` as ``version`` and return what was written; readers see it once the
+        version is committed."""
         parts, derived_from, sort_cols = schemas.LAYOUT.get(name, ([], None, []))
         out = schemas.conform(df, name)
         for p in parts:
@@ -80,8 +112,8 @@ class TableStore:
         writer = out.write.mode("errorifexists")
         if parts:
             writer = writer.partitionBy(*parts)
-        writer.parquet(f"{self.root}/{name}/v={run_id}")
-        return self.read(name, run_id)
+        writer.parquet(f"{self.root}/{name}/v={version}")
+        return self.read(name, version, with_partitions)
 
     def register_views(self, names=None) -> dict[str, DataFrame]:
         """Expose the newest committed version of each table as a temp view (for SQL)."""

@@ -40,14 +40,21 @@ def _date_arg(value, name):
     return dt.date(y, m, d)  # raises on impossible dates
 
 
+#: The largest limit that a serving call takes.
+MOST_RECORDS = 500
+
+
 def query(spark: SparkSession, sql: str, params: dict | None = None) -> DataFrame:
     """Parameterised SQL over registered tables; named parameters are bound, not spliced."""
     return spark.sql(sql, args=params or {})
 
 
 def to_records(df: DataFrame) -> list[dict]:
-    """Collect a bounded (limited) result as a list of dicts."""
-    return [r.asDict() for r in df.collect()]
+    """A result of at most ``MOST_RECORDS`` rows as a list of dicts; a larger one is an error."""
+    rows = df.limit(MOST_RECORDS + 1).collect()
+    if len(rows) > MOST_RECORDS:
+        raise ValueError(f"more than {MOST_RECORDS} rows")
+    return [r.asDict() for r in rows]
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -89,9 +96,10 @@ def seller_snapshot_rows(snapshot: DataFrame, dim_seller: DataFrame, seller_id:
                          months: int = 12) -> DataFrame:
     """Most recent ``months`` monthly snapshot rows of one seller."""
     _check_limit(months, 1, 60, "months")
-    ds = dim_seller.where(F.col("seller_id") == F.lit(seller_id)).select("seller_key")
+    # the key as a literal reaches the Parquet filter, and the files are sorted by it
+    seller = dim_seller.where(F.col("seller_id") == F.lit(seller_id)).select("seller_key").first()
     return (
-        snapshot.join(ds, "seller_key")
+        snapshot.where(F.col("seller_key") == F.lit(seller["seller_key"] if seller else None))
         .select(
             F.col("snapshot_year_month").alias("year_month"),
             "total_orders", "total_items_sold",

@@ -97,6 +97,12 @@ def stg_items(raw_order_items: DataFrame) -> DataFrame:
     return typed.where(F.col("price").isNotNull() & F.col("freight_value").isNotNull())
 
 
+def item_rejects(raw_order_items: DataFrame) -> DataFrame:
+    """(column_name, rejected): how many raw items have no number there and are dropped."""
+    counts = raw_order_items.agg(*[F.count_if(try_dec(c, 10, 2).isNull()).alias(c) for c in ("price", "freight_value")])
+    return counts.select(F.expr("stack(2, 'price', price, 'freight_value', freight_value) AS (column_name, rejected)"))
+
+
 def items_per_order(items: DataFrame) -> DataFrame:
     """Multi-item flag per order, from the cleansed items (one definition for both facts)."""
     return items.groupBy("order_id").agg((F.count(F.lit(1)) > 1).alias("is_multi_item"))

@@ -105,7 +105,7 @@ WAREHOUSE_TABLES = DIMENSIONS + FACTS
 # pruned by Parquet min/max statistics on the sorted date column.
 LAYOUT = {
     "fct_order_items": (["purchase_month"], "order_purchase_date", ["order_purchase_date", "customer_key"]),
-    "fct_order_lifecycle": (["purchase_month"], "order_purchase_date", ["order_purchase_date", "customer_key"]),
+    "fct_order_lifecycle": (["purchase_month"], "order_purchase_date", ["order_id"]),
     "fct_seller_monthly_snapshot": (["snapshot_year_month"], None, ["seller_key"]),
     "dim_seller_hist": ([], None, ["seller_id", "is_current"]),
     "dim_product_hist": ([], None, ["product_id", "is_current"]),

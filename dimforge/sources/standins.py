@@ -64,7 +64,7 @@ def _plus_minutes(c, n):
 
 
 def _cap(c):
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, F.lit(2), F.length(c))))
 
 
 def _txt(c):

@@ -1,4 +1,4 @@
-"""Surrogate keys: both the small (one ordered window) and the distributed path."""
+"""Surrogate keys."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 from dimforge.operators import keys
 
 
-@pytest.mark.parametrize("threshold", [10**9, 0])
-def test_assign_keys_follow_natural_key_order(spark, monkeypatch, threshold):
-    monkeypatch.setattr(keys, "SMALL_KEY_ROWS", threshold)
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_assign_keys_follow_natural_key_order(spark, partitions):
     df = spark.range(0, 5000).select(F.format_string("k%05d", (F.col("id") * 7919) % 5000).alias("nk"))
-    out = keys.assign_keys(df, "sk", "nk", offset=100, num_partitions=6).collect()
+    out = keys.assign_keys(df, "sk", "nk", offset=100, num_partitions=partitions).collect()
     by_nk = sorted(out, key=lambda r: r.nk)
     assert [r.sk for r in by_nk] == list(range(101, 5101))
 
@@ -24,3 +23,18 @@ def test_require_unique_names_duplicates(spark):
 
 def test_max_key_of_empty_table_is_zero(spark):
     assert keys.max_key(spark.createDataFrame([], "k long"), "k") == 0
+
+
+def test_no_task_numbers_all_rows(spark):
+    """The rows stay in the session's partitions; only the counts per partition meet in one."""
+    df = spark.range(0, 5000).select(F.col("id").cast("string").alias("nk"))
+    out = keys.assign_keys(df, "sk", "nk")
+    assert out.rdd.getNumPartitions() > 1
+    assert "Exchange SinglePartition" not in out.select("nk")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partitions_follow_the_size(spark, monkeypatch):
+    df = spark.range(0, 5000)
+    assert keys.partitions_for(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(keys, "TARGET_BYTES", 400)
+    assert keys.partitions_for(df) == 100

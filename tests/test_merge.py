@@ -40,6 +40,23 @@ def test_insert_if_absent_keeps_existing_values(spark):
     assert rows(insert_if_absent(once, source, "k")) == rows(once)
 
 
+def test_insert_if_absent_takes_one_row_of_a_repeated_key(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(2, "y"), (2, "x"), (2, None), (1, "z")], "k int, v string")
+    assert rows(insert_if_absent(target, source, "k")) == [(1, "a"), (2, "x")]
+    keys_only = insert_if_absent(target.select("k"), source.select("k"), "k")
+    assert rows(keys_only) == [(1,), (2,)]
+
+
+def test_replace_by_key_with_repeated_keys(spark):
+    target = spark.createDataFrame([(3, "o1", 1), (2, "o1", 1), (9, "o2", 1)], "sk long, order_id string, v int")
+    fresh = spark.createDataFrame([("o1", 7)], "order_id string, v int")
+    scope = spark.createDataFrame([("o1",)], "order_id string")
+    assert rows(replace_by_key(target, fresh, scope, "order_id", "order_id", "sk")) == [(2, "o1", 7), (9, "o2", 1)]
+    with pytest.raises(DuplicateKeyError):
+        replace_by_key(target, fresh.union(fresh), scope, "order_id", "order_id", "sk")
+
+
 def test_replace_by_key_edges(spark):
     schema = "sk long, order_id string, item int, price int"
     target = spark.createDataFrame(

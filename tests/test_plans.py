@@ -20,11 +20,36 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_shipdate:timestamp_ntz>" in p
 
 
-def test_junk_dimension_is_broadcast_and_no_cartesian(spark):
+def test_published_items_are_pruned(spark):
+    from dimforge.plans import catalog
     reset_warehouses()
+    p = _plan(catalog.revenue_by_category_range(spark, SF))
+    assert "PartitionFilters: [isnotnull(purchase_month" in p and "GreaterThanOrEqual(order_purchase_date,2016-03-01)" in p
+    assert "ReadSchema: struct<product_key:bigint,order_id:string,price:decimal(10,2),freight_value:decimal(10,2),order_purchase_date:date>" in p
+
+
+def test_items_meet_orders_in_one_join_that_can_split(spark):
+    """An order with a third of the items: the only join on order_id at item grain is split."""
+    from dimforge.plans import facts
     w = Warehouse(spark, SF)
-    p = _plan(w.fct_order_lifecycle)
-    assert "CartesianProduct" not in p
+    hot = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("or1")).otherwise(F.concat(F.lit("or"), (F.col("id") % 1500).cast("string"))).alias("order_id"),
+        F.col("id").cast("string").alias("order_item_id"), F.lit("pr1").alias("product_id"), F.lit("se1").alias("seller_id"),
+        F.lit("2017-01-01 00:00:00").alias("shipping_limit_date"), F.lit("1.50").alias("price"), F.lit("0.25").alias("freight_value"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        built = facts.build_order_items({**w.raw, "raw_order_items": hot}, w.dims())
+        done = built.select("order_id", "customer_key")
+        n = done.collect()
+        plan = _plan(done)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(n) > 0 and "skew=true" in plan
 
 
 def test_quality_referential_is_anti_join(spark):
