@@ -40,7 +40,14 @@ def _flags(dim_order_flags: DataFrame) -> DataFrame:
 
 def resolved_orders(raw_orders, raw_customers, dim_customer) -> DataFrame:
     """Orders with a purchase time, resolved to the real customer's surrogate key."""
-    o = staging.stg_orders(raw_orders).where(F.col("purchase_ts").isNotNull())
+    return _with_customer(bought_orders(raw_orders), raw_customers, dim_customer)
+
+
+def bought_orders(raw_orders) -> DataFrame:
+    return staging.stg_orders(raw_orders).where(F.col("purchase_ts").isNotNull())
+
+
+def _with_customer(o, raw_customers, dim_customer) -> DataFrame:
     cl = staging.customer_lookup(raw_customers)
     dc = dim_customer.select("customer_unique_id", "customer_key")
     return o.join(cl, "customer_id").join(dc, "customer_unique_id").drop("customer_unique_id")
@@ -49,11 +56,13 @@ def resolved_orders(raw_orders, raw_customers, dim_customer) -> DataFrame:
 def build_order_items(raw: dict, dims: dict) -> DataFrame:
     items = staging.stg_items(raw["raw_order_items"])
     ipo = staging.items_per_order(items)
-    orders = resolved_orders(raw["raw_orders"], raw["raw_customers"], dims["dim_customer"])
     # Whatever an order decides is put on it before it meets the items: one join on order_id is
-    # left at item grain, and AQE can split an order that holds a large share of the items.
+    # left at item grain.  The item counts come first and the customers, joined on other keys,
+    # last; so that join has its own exchanges and AQE can split an order that holds a large
+    # share of the items.
+    orders = bought_orders(raw["raw_orders"]).join(ipo, "order_id")
     orders = (
-        orders.join(ipo, "order_id")
+        _with_customer(orders, raw["raw_customers"], dims["dim_customer"])
         .withColumn("is_late_delivery", _is_late())
         .join(_flags(dims["dim_order_flags"]), FLAG_KEY, "left")
         .select("order_id", "customer_key", "order_flags_key", "purchase_ts")
@@ -129,29 +138,31 @@ def build_seller_monthly_snapshot(raw: dict, dims: dict) -> DataFrame:
     items = staging.stg_items(raw["raw_order_items"])
     orders = staging.stg_orders(raw["raw_orders"]).where(F.col("purchase_ts").isNotNull())
     reviews = staging.reviews_per_order(staging.stg_reviews(raw["raw_reviews"]))
-    # reviews meet orders at order grain; the items are joined on order_id once
+    # Items are summed by order and seller first (partial sums, so a hot order is a row for each
+    # of its sellers) and reviews meet orders at order grain.
+    sold = items.groupBy("order_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"), F.sum("freight_value").alias("freight"))
     reviewed = orders.select("order_id", "purchase_ts", "delivered_ts", "estimated_ts").join(
         reviews, "order_id", "left")
     base = (
-        items.select("order_id", "seller_id", "price", "freight_value")
-        .join(reviewed, "order_id")
+        sold.join(reviewed, "order_id")
         .join(dims["dim_seller"].select("seller_id", "seller_key"), "seller_id")
         .select(
-            "seller_key", "order_id", "price", "freight_value",
-            "review_score_sum", "review_score_n",
+            "seller_key", "n", "price", "freight", "review_score_sum", "review_score_n",
             F.trunc(F.col("purchase_ts").cast("date"), "month").alias("snap_month"),
             minutes_between("estimated_ts", "delivered_ts").alias("vs_minutes"),
         )
     )
+    # an order has one month, so a seller's rows of a month are its orders
     agg = base.groupBy("seller_key", "snap_month").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count(F.lit(1)).alias("total_items_sold"),
+        F.count(F.lit(1)).alias("total_orders"),
+        F.sum("n").alias("total_items_sold"),
         F.sum("price").alias("total_revenue"),
-        F.sum("freight_value").alias("total_freight"),
-        F.sum("review_score_sum").alias("rs_sum"),
-        F.sum("review_score_n").alias("rs_n"),
-        F.sum("vs_minutes").alias("vs_sum"),
-        F.count("vs_minutes").alias("vs_n"),
+        F.sum("freight").alias("total_freight"),
+        F.sum(F.col("review_score_sum") * F.col("n")).alias("rs_sum"),
+        F.sum(F.col("review_score_n") * F.col("n")).alias("rs_n"),
+        F.sum(F.col("vs_minutes") * F.col("n")).alias("vs_sum"),
+        F.sum(F.when(F.col("vs_minutes").isNotNull(), F.col("n")).otherwise(0)).alias("vs_n"),
     )
     return agg.select(
         date_key("snap_month").alias("snapshot_month_key"),

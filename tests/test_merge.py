@@ -52,7 +52,7 @@ def test_replace_by_key_with_repeated_keys(spark):
     target = spark.createDataFrame([(3, "o1", 1), (2, "o1", 1), (9, "o2", 1)], "sk long, order_id string, v int")
     fresh = spark.createDataFrame([("o1", 7)], "order_id string, v int")
     scope = spark.createDataFrame([("o1",)], "order_id string")
-    assert rows(replace_by_key(target, fresh, scope, "order_id", "order_id", "sk")) == [(2, "o1", 7), (9, "o2", 1)]
+    assert rows(replace_by_key(target, fresh, scope, "order_id", "order_id", "sk"), "sk", "order_id", "v") == [(2, "o1", 7), (9, "o2", 1)]
     with pytest.raises(DuplicateKeyError):
         replace_by_key(target, fresh.union(fresh), scope, "order_id", "order_id", "sk")
 
