@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, mix, shared, steps, utf8, words
@@ -186,6 +186,53 @@ def _links(pairs: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
     return both.filter(100 * common >= PERCENT * union).select("a", "b")
 
 
+def _unfinished(buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """(doc_id, part): the documents of buckets that hold more than one component, with their
+    component."""
+    labelled = buckets.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    labelled = labelled.select("key", "doc_id", F.coalesce("component", "doc_id").alias("part"))
+    split = labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
+    return labelled.join(split.select("key"), "key", "left_semi").select("doc_id", "part").distinct()
+
+
+def _star_pairs(buckets: DataFrame) -> DataFrame:
+    """Each bucket's members with its centre: at most as many candidates as the buckets have
+    rows, however large a bucket is.  The centre is the member that shares most buckets with
+    others: of a group of near copies the original, or the least changed."""
+    degree = buckets.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    ranked = buckets.join(degree, "doc_id").select("key", "doc_id", "degree")
+    centre = ranked.groupBy("key").agg(F.min_by("doc_id", F.struct(-F.col("degree"), "doc_id")).alias("centre"))
+    met = buckets.select("key", "doc_id").join(centre, "key").filter("doc_id <> centre")
+    return met.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
+
+
+def _remaining_pairs(buckets: DataFrame, parts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Candidates among the documents of buckets that still hold several components, none
+    lost: pairs in different components that share a shingle early enough in both texts' order
+    for 100 * intersection >= PERCENT * union.  A text with many shingles of its own has no
+    such pair, so loosely similar groups don't meet pair by pair."""
+    rest = shared(_unfinished(buckets, parts))
+    sets = _only(docs, rest).dropDuplicates(["doc_id"]).mapInArrow(_sets, "doc_id long, shingles array<long>")
+    rows = shared(sets.select("doc_id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")))
+    several = rows.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    # One order of all shingles, the rarest first: a text's own ones come before those here.
+    order = Window.partitionBy("doc_id").orderBy("n", "shingle")
+    ranked = rows.join(several, "shingle").select("*", F.row_number().over(order).alias("rank"), F.count("*").over(Window.partitionBy("doc_id")).alias("met"))
+    rare = ranked.withColumn("place", F.col("size") - F.col("met") + F.col("rank") - 1)
+    # of two similar texts' common shingles the first stands within this reach in both
+    rare = rare.filter(100 * (F.col("size") - F.col("place")) >= PERCENT * F.col("size"))
+    rare = shared(rare.join(rest, "doc_id").select("shingle", "doc_id", "part", "place", "size"))
+    # Of each shingle's rows, those outside its largest component meet the others.
+    by_part = rare.groupBy("shingle", "part").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.max_by("part", F.struct("m", "part")).alias("largest"), F.count("*").alias("parts"))
+    by_part = by_part.filter("parts > 1").select("shingle", "largest")
+    x = rare.join(by_part, "shingle").filter("part <> largest").select("shingle", F.col("doc_id").alias("x"), F.col("part").alias("part_x"), F.col("place").alias("place_x"), F.col("size").alias("size_x"))
+    y = rare.select("shingle", F.col("doc_id").alias("y"), F.col("part").alias("part_y"), F.col("place").alias("place_y"), F.col("size").alias("size_y"))
+    most = F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y"))
+    enough = (100 + PERCENT) * most >= PERCENT * (F.col("size_x") + F.col("size_y"))
+    met = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("part_x") != F.col("part_y")) & enough)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept.  See the module's text for the method.
 
@@ -204,24 +251,12 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(F.col("sketch"), b * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
     banded = sketched.select("doc_id", band.alias("key"))
-    # Keys that more than one representative has, each with its smallest one as centre.
-    centres = banded.groupBy("key").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).filter("n > 1")
-    buckets = shared(banded.join(centres.select("key", "centre"), "key"))
-    # Each member with its bucket's centre: as many candidates as rows, however large a
-    # bucket is.  In a group of copies this already links nearly all.
-    first = buckets.filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = shared(_links(first, sketched, docs))
+    # Keys that more than one representative has.
+    several = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = shared(banded.join(several, "key"))
+    links = shared(_links(_star_pairs(buckets), sketched, docs))
     parts = components(links)
-    # Buckets that still hold more than one component: compare across components only.
-    labelled = buckets.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("part", F.coalesce("component", "doc_id"))
-    split = labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
-    rest = labelled.join(split.select("key"), "key", "left_semi").select("key", "doc_id", "part", "centre")
-    rest = shared(rest.join(sketched.select("doc_id", "n_shingles"), "doc_id"))
-    x = rest.select("key", F.col("doc_id").alias("a"), F.col("part").alias("part_a"), F.col("n_shingles").alias("na"), "centre")
-    y = rest.select("key", F.col("doc_id").alias("b"), F.col("part").alias("part_b"), F.col("n_shingles").alias("nb"))
-    fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
-    second = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & (F.col("a") != F.col("centre")) & fits).select("a", "b").distinct()
-    links = links.union(_links(second, sketched, docs))
+    links = links.union(_links(_remaining_pairs(buckets, parts, docs), sketched, docs))
     # rows that repeat an id under different texts belong together as well
     several = member.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     tied = member.join(several.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
