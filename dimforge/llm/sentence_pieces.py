@@ -33,7 +33,9 @@ _CUTS = "\n\t\r"
 LONG_WORD = 128
 #: Segmented words that a Python worker remembers: so many new ones, and as many of before.
 REMEMBERED = 350_000
-_PAIR_SLOTS = 1 << 20
+#: Bytes of text whose new words are segmented together.
+STEP = 1 << 22
+_PAIR_SLOTS = 1 << 21
 _NEVER = 1 << 40
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
@@ -45,6 +47,11 @@ def default_path() -> str:
     return public_tokenizers.path(DEFAULT_MODEL)
 
 
+def _slot(key: np.ndarray) -> np.ndarray:
+    """A place among 2 ** 20 for a substring's hash."""
+    return ((key * U64(0xD1342543DE82EF95)) >> U64(44)).astype(np.int64)
+
+
 def _is_bpe(raw: bytes) -> bool:
     """Whether the model file says BPE: field 3 (model_type) of field 2 (trainer_spec) is 2;
     1 is unigram, which is also what a file without the field means."""
@@ -127,7 +134,7 @@ class Model:
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], np.array(list(usable.values()))[order]
         self.may = np.zeros(1 << 20, bool)
-        self.may[(keys >> U64(44)).astype(np.int64)] = True
+        self.may[_slot(keys)] = True
         self.usable = usable
         pair = self.left * (n + 1) + self.right
         made = np.flatnonzero(self.left >= 0)
@@ -141,7 +148,7 @@ class Model:
         for c in piece:
             total = (total + int(mix(np.array([ord(c) + 1], U64))[0]) * power) & (1 << 64) - 1
             power = power * _BASE & (1 << 64) - 1
-        return int(mix(np.array([total], U64))[0])
+        return total
 
     def _merge(self, piece: str) -> tuple[int, int] | None:
         """The two pieces that merging ``piece``'s characters puts together last, or None if
@@ -199,7 +206,7 @@ class Encoder:
 
     def _joins(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         pair = a * (self.model.n + 1) + b
-        slot = (mix(pair.astype(U64)) >> U64(44)).astype(np.int64)
+        slot = (mix(pair.astype(U64)) >> U64(43)).astype(np.int64)
         miss = np.flatnonzero(self.pair_keys[slot] != pair)
         if not len(miss):
             return self.pair_good[slot]
@@ -209,35 +216,38 @@ class Encoder:
         return good
 
     def _viterbi(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Words of one length as rows of code points: for every end position the last piece
-        on the best way to it, and that piece's length."""
+        """Words of one length as columns of code points: for every end position (row) the
+        last piece on the best way to it, and that piece's length."""
         m = self.model
-        rows, n = units.shape
-        sums = np.zeros((rows, n + 1), U64)
-        np.cumsum(mix(units.astype(U64) + U64(1)) * _POWER[:n], axis=1, out=sums[:, 1:])
-        best = np.full((rows, n + 1), -np.inf)
-        best[:, 0] = 0
-        last, back = np.full((rows, n + 1), m.n), np.zeros((rows, n + 1), np.int32)
+        n, count = units.shape
+        sums = np.zeros((n + 1, count), U64)
+        np.cumsum(mix(units.astype(U64) + U64(1)) * _POWER[:n, None], axis=0, out=sums[1:])
+        best = np.full((n + 1, count), -np.inf)
+        best[0] = 0
+        last, back = np.full((n + 1, count), m.n), np.zeros((n + 1, count), np.int32)
         for end in range(1, n + 1):
             for size in range(1, min(end, m.longest) + 1):
                 start = end - size
-                key = mix((sums[:, end] - sums[:, start]) * _BACK[start])
-                row = np.flatnonzero(m.may[(key >> U64(44)).astype(np.int64)])
-                at = np.minimum(np.searchsorted(m.keys, key[row]), len(m.keys) - 1)
-                found = m.keys[at] == key[row]
+                key = (sums[end] - sums[start]) * _BACK[start]
+                word = np.flatnonzero(m.may[_slot(key)])
+                key = key[word]
+                at = np.minimum(np.searchsorted(m.keys, key), len(m.keys) - 1)
+                found = m.keys[at] == key
                 if size == 1:  # a character that is no piece is a piece of its own
-                    piece = np.full(rows, m.n)
-                    piece[row[found]] = m.key_ids[at[found]]
-                    row = np.arange(rows)
+                    piece = np.full(count, m.n)
+                    piece[word[found]] = m.key_ids[at[found]]
+                    word = np.arange(count)
                 else:
-                    row, piece = row[found], m.key_ids[at[found]]
-                if m.bpe and start and len(row):
-                    free = self._joins(last[row, start], piece)
-                    row, piece = row[free], piece[free]
-                value = best[row, start] + m.score[piece]
-                better = value > best[row, end]
-                row, piece = row[better], piece[better]
-                best[row, end], last[row, end], back[row, end] = value[better], piece, size
+                    word, piece = word[found], m.key_ids[at[found]]
+                if not len(word):
+                    continue
+                if m.bpe and start:
+                    free = self._joins(last[start][word], piece)
+                    word, piece = word[free], piece[free]
+                value = best[start][word] + m.score[piece]
+                better = value > best[end][word]
+                word, piece = word[better], piece[better]
+                best[end][word], last[end][word], back[end][word] = value[better], piece, size
         return last, back
 
     def _one(self, word: str) -> list[tuple[int, int]]:
@@ -289,13 +299,13 @@ class Encoder:
             for k in range(0, len(group), 8192):
                 part = group[k : k + 8192]
                 units = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, n)
-                last, back = self._viterbi(units)
-                # All rows step back together; a row that is at its beginning waits.
+                last, back = self._viterbi(np.ascontiguousarray(units.T))
+                # All words step back together; one that is at its beginning waits.
                 ids = np.full((len(part), n), -1, np.int32)
                 end, rows = np.full(len(part), n), np.arange(len(part))
                 while len(rows):
-                    size = back[rows, end[rows]]
-                    ids[rows, end[rows] - size] = last[rows, end[rows]]
+                    size = back[end[rows], rows]
+                    ids[rows, end[rows] - size] = last[end[rows], rows]
                     end[rows] -= size
                     rows = rows[end[rows] > 0]
                 odd = set(np.flatnonzero((ids == self.model.n).any(axis=1)).tolist())
@@ -402,7 +412,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str | None = Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model)
         for batch in batches:
-            for part in steps(batch, text_col):
+            for part in steps(batch, text_col, STEP):
                 encoded = encoder.encode(texts(part, text_col))
                 sizes = pa.array([len(e) // 4 for e in encoded], pa.int64())
                 yield pa.RecordBatch.from_arrays([*part.columns, _lists(encoded), sizes], schema.names)
@@ -419,7 +429,7 @@ def encode_checked(docs: DataFrame, text_col: str = "text", model_path: str | No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model)
         for batch in batches:
-            for part in steps(batch, text_col):
+            for part in steps(batch, text_col, STEP):
                 rows = texts(part, text_col)
                 encoded = encoder.encode(rows)
                 same = [decode(encoder.model, np.frombuffer(e, np.int32)) == t for e, t in zip(encoded, rows)]
@@ -453,7 +463,7 @@ def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model)
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, "text", STEP):
                 rows = texts(part, "text")
                 encoded = encoder.encode(rows)
                 back = [decode(encoder.model, np.frombuffer(e, np.int32)) for e in encoded]
