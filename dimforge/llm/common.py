@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a task works on; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
+STEP_ROWS = 1 << 12
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -50,14 +51,15 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``limit`` bytes of text each, at least a row."""
+def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES, rows: int = STEP_ROWS) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` bytes of text and at most ``rows`` rows each, at
+    least a row."""
     array = as_large(batch.column(batch.schema.get_field_index(column)))
     offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1] if len(array) else np.zeros(1, np.int64)
     first = 0
     while first < batch.num_rows:
         last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
-        last = min(max(last, first + 1), batch.num_rows)
+        last = min(max(last, first + 1), first + rows, batch.num_rows)
         yield batch.slice(first, last - first)
         first = last
 

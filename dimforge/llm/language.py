@@ -27,6 +27,8 @@ ORDERS = (1, 2, 3)
 SAMPLE = 300
 #: Languages that a run can learn; more is an error, as the models would be no small side.
 MAX_LANGUAGES = 200
+#: Rows whose features are held at once: 8 MB of them.
+BLOCK = 256
 EPOCHS, PENALTY = 30, 10.0
 
 #: The usual families; a language not listed is a family of its own.
@@ -79,7 +81,7 @@ def features(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in steps(batch, "text"):
+        for part in steps(batch, "text", rows=BLOCK):
             x, has = features(texts(part, "text"))
             rows = pa.array([v.tobytes() for v in x.astype(np.float32)], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column(0), rows], ["label", "x"]).filter(pa.array(has))
@@ -195,7 +197,7 @@ def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, text_col):
+            for part in steps(batch, text_col, rows=BLOCK):
                 langs, score = predict(known.value, texts(part, text_col))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(score)], schema.names)
 

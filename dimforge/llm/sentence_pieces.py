@@ -32,10 +32,10 @@ _CUTS = "\n\t\r"
 #: Words longer than this are too few of a length for arrays; they advance one by one.
 LONG_WORD = 128
 #: Segmented words that a Python worker remembers: so many new ones, and as many of before.
-REMEMBERED = 350_000
+REMEMBERED = 150_000
 #: Bytes of text whose new words are segmented together.
-STEP = 1 << 22
-_PAIR_SLOTS = 1 << 21
+STEP = 1 << 21
+_PAIR_SLOTS = 1 << 20
 _NEVER = 1 << 40
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
@@ -206,7 +206,7 @@ class Encoder:
 
     def _joins(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         pair = a * (self.model.n + 1) + b
-        slot = (mix(pair.astype(U64)) >> U64(43)).astype(np.int64)
+        slot = (mix(pair.astype(U64)) >> U64(44)).astype(np.int64)
         miss = np.flatnonzero(self.pair_keys[slot] != pair)
         if not len(miss):
             return self.pair_good[slot]
