@@ -8,8 +8,10 @@ fourth word and the item's at every word, so an item that stands in a document a
 window at distance 0.  The window is as long as the item less what edits can cost it at its
 ends and the step; an item long enough to stay similar with edits inside also has shorter
 windows that fit between the edits (see ``window_sizes``).  The verification is exact:
-5-word shingles of the item and of the place in the document, weighted by how few items
-have them.
+5-word shingles of the item and of the place in the document, weighted by how few different
+item texts of the whole benchmark have them; a shingle that the item lacks weighs as much as
+the item's own do on average, so items that stand there often or share passages lose no more
+by an edit than others.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix, steps, texts, words
+from .common import U64, mix, shared, steps, texts, words
 
 SHINGLE = 5
 SIMILARITY = 0.75
@@ -94,20 +96,32 @@ class _Bits:
         return np.packbits(sums[span:] - sums[:-span] > size // 2, axis=1).view(U64)[:, 0]
 
 
-def _shingles(hashes: np.ndarray) -> np.ndarray:
+def _shingle_row(hashes: np.ndarray) -> np.ndarray:
+    """The shingles in the order of the words; fewer words than SHINGLE are one."""
     if len(hashes) < SHINGLE:
         return mix(np.array([np.sum(mix(hashes) * (np.arange(len(hashes)).astype(U64) * U64(2) + U64(1)), dtype=U64)], U64)) if len(hashes) else hashes
     n = len(hashes) - SHINGLE + 1
     total = np.zeros(n, U64)
     for k in range(SHINGLE):
         total += mix(hashes[k : k + n] + U64(k + 1)) * U64(2 * k + 1)
-    return np.unique(mix(total))
+    return mix(total)
+
+
+def _shingles(hashes: np.ndarray) -> np.ndarray:
+    return np.unique(_shingle_row(hashes))
+
+
+def _sequence(hashes: np.ndarray) -> int:
+    """One hash of all words in their order: equal for texts of the same words."""
+    return int(np.sum(mix(mix(hashes) + np.arange(1, len(hashes) + 1).astype(U64)), dtype=U64).view(np.int64))
 
 
 class Index:
     """The items' words, shingle weights, and window fingerprints by block."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], shared_by: dict[int, int] | None = None):
+        """``shared_by``: how many different item texts of the benchmark have a shingle, for
+        those that several have; if not given, ``items`` are the whole benchmark."""
         self.ids, self.words = [], []
         # equal texts of several items are looked up once for each
         for item, text in items:
@@ -116,7 +130,11 @@ class Index:
                 self.ids.append(item)
                 self.words.append(hashes)
         self.shingles = [_shingles(h) for h in self.words]
-        self.weight = {s: 1 / n for s, n in Counter(int(x) for sh in self.shingles for x in sh).items()}
+        if shared_by is None:
+            different = {_sequence(h): sh for h, sh in zip(self.words, self.shingles)}
+            shared_by = Counter(int(x) for sh in different.values() for x in sh)
+        #: of each item, the weights of its shingles
+        self.weights = [np.array([1 / shared_by.get(int(x), 1) for x in sh]) for sh in self.shingles]
         found: dict[tuple[int, int], list] = {}
         for i, hashes in enumerate(self.words):
             bits = _Bits(hashes)
@@ -160,14 +178,14 @@ class Index:
 
     def similarity(self, item: int, window: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's shingles and a window's; a shingle that n
-        items have weighs 1/n, one that none has weighs 1."""
-        own = self.shingles[item]
+        different items have weighs 1/n, one that this item lacks the mean of the item's."""
+        own, weights = self.shingles[item], self.weights[item]
         other = _shingles(window)
-        common = np.intersect1d(own, other, assume_unique=True)
-        weigh = lambda x: sum(self.weight.get(int(s), 1.0) for s in x)
-        both = weigh(common)
-        total = weigh(own) + weigh(other) - both
-        return both / total if total else 0.0
+        common, at, _ = np.intersect1d(own, other, assume_unique=True, return_indices=True)
+        both = float(weights[at].sum())
+        total = float(weights.sum() + weights.mean() * (len(other) - len(common)))
+        # all of the item and nothing else is 1 in whatever order the weights are summed
+        return 1.0 if len(common) == len(own) == len(other) else both / total
 
 
 def _search(index: Index, rows: list[str]) -> list[tuple[int, int, int, float]]:
@@ -193,9 +211,38 @@ def _indexes(benchmark: DataFrame, item_col: str, text_col: str) -> list:
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     passes = max(1, -(-total // PASS_WORDS))
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    context = benchmark.sparkSession.sparkContext
-    return [context.broadcast(Index([(r["item_id"], r["text"]) for r in items.filter(place == k).toLocalIterator()])) for k in range(passes)]
+    items = items.withColumn("pass", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)).cast("int"))
+    counts = shared(_shared_shingles(items))
+    context, indexes = benchmark.sparkSession.sparkContext, []
+    for k in range(passes):
+        known = {r["shingle"] & (1 << 64) - 1: r["n"] for r in counts.filter(F.array_contains("passes", k)).select("shingle", "n").toLocalIterator()}
+        rows = [(r["item_id"], r["text"]) for r in items.filter(F.col("pass") == k).toLocalIterator()]
+        indexes.append(context.broadcast(Index(rows, known)))
+    return indexes
+
+
+def _shared_shingles(items: DataFrame) -> DataFrame:
+    """From (text, pass): the shingles that several different item texts of the benchmark
+    have, as (shingle, n, passes whose items have it)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for step in steps(batch, "text"):
+                hashes, first = _words(texts(step, "text"))
+                each = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
+                found = [_shingles(h) for h in each]
+                sizes = [len(x) for x in found]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(found).view(np.int64)),
+                        pa.array(np.repeat(np.array([_sequence(h) for h in each], np.int64), sizes)),
+                        pa.array(np.repeat(step.column(1).to_numpy(), sizes)),
+                    ],
+                    ["shingle", "sequence", "pass"],
+                )
+
+    found = items.select("text", "pass").mapInArrow(run, "shingle long, sequence long, pass int").distinct()
+    return found.groupBy("shingle").agg(F.count_distinct("sequence").alias("n"), F.collect_set("pass").alias("passes")).filter("n > 1")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:

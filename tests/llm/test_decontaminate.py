@@ -93,3 +93,21 @@ def test_several_passes_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(dc, "PASS_WORDS", 40)
     assert sorted((r["doc_id"], r["item_id"]) for r in dc.contaminated(*frames(spark, docs, items)).collect()) == [(k, k) for k in range(9)]
     assert dc.without_contaminated(*frames(spark, docs, items)).collect() == []
+
+
+def test_repeated_and_overlapping_items_bear_an_edit(spark, monkeypatch):
+    """An item that stands often, and items that share a passage, are found with one changed
+    word; the passes that the benchmark is cut into change nothing."""
+    often, text = " ".join(words(60)), " ".join(words(60))
+    items = [(k, often) for k in range(50)] + [(100 + k, text + " " + " ".join(words(12))) for k in range(10)]
+    changed = [*often.split()[:30], "changed", *often.split()[31:]]
+    docs = [(0, " ".join(words(7) + changed + words(9)))]
+    for k, (_, item) in enumerate(items[50:]):
+        own = item.split()
+        docs.append((1 + k, " ".join(words(5) + own[:20] + ["changed"] + own[21:] + words(5))))
+    expected = [(0, k) for k in range(50)] + [(1 + k, 100 + k) for k in range(10)]
+    found = {}
+    for limit in (dc.PASS_WORDS, 300):
+        monkeypatch.setattr(dc, "PASS_WORDS", limit)
+        found[limit] = sorted(tuple(r) for r in dc.contaminated(*frames(spark, docs, items)).collect())
+    assert [f[:2] for f in found[300]] == expected and found[300] == found[dc.PASS_WORDS] == found[2_000_000]
