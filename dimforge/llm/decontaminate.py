@@ -4,10 +4,10 @@ of bits, verified by weighted shingles.
 Every window of a document and of an item gets a 64-bit SimHash of its words.  A window that
 lies within ``RADIUS`` bits of an item's has one of ``RADIUS + 1`` blocks of bits equal to it
 (pigeonhole), so looking the blocks up finds all of them.  Document windows begin at every
-fourth word and the item's at every word, so an item that stands in a document always has a
-window at distance 0.  The window is as long as the item less what edits can cost it at its
-ends and the step; an item long enough to stay similar with edits inside also has shorter
-windows that fit between the edits (see ``window_sizes``).  The verification is exact:
+fourth word from the document's first and the item's at every word, so an item that stands in
+a document always has a window at distance 0.  The window is as long as what a document's
+border may leave of the item, less the step; an item long enough to stay similar with edits
+inside also has shorter windows that fit between the edits (see ``window_sizes``).  The verification is exact:
 5-word shingles of the item and of the place in the document, weighted by how few different
 item texts of the whole benchmark have them; a shingle that the item lacks weighs as much as
 the item's own do on average, so items that stand there often or share passages lose no more
@@ -56,18 +56,54 @@ def _round(size: int) -> int:
     return size // step * step
 
 
-def window_sizes(n_words: int) -> list[tuple[int, int]]:
-    """(size, step) of an item's windows.  Of n shingles a similar passage lacks at most
-    n/7 (then 6n/7 of 8n/7 are common).  Edits within five words of an end cost their depth;
-    each edit further inside costs five, so with e of them some run of (n_words - e)/(e + 1)
-    words is untouched.  A run holds a window at a multiple of STEP if it is STEP - 1 longer."""
-    lacking = int((1 - SIMILARITY) / (1 + SIMILARITY) * max(1, n_words - SHINGLE + 1))
-    at_ends = _round(n_words - (STEP - 1) - min(lacking, SHINGLE))
-    if at_ends < 2 * STEP:
-        return [(max(1, n_words - min(lacking, SHINGLE)), 1)]
-    sizes = [(at_ends, STEP)]
-    if inside := lacking // SHINGLE:
-        sizes.append((max(2 * STEP, _round((n_words - inside) // (inside + 1) - (STEP - 1))), STEP))
+def _segment(weights: np.ndarray, least: float) -> int:
+    """How many shingles in a row can hold no less than ``least`` of the weight."""
+    sums = np.append(0, np.cumsum(weights))
+    ends = np.searchsorted(sums, sums[:-1] + least * (1 - 1e-9), "left")
+    fits = ends < len(sums)
+    return int((ends - np.arange(len(weights)))[fits].min()) if fits.any() else len(weights)
+
+
+def words_left(n_words: int, weights: np.ndarray, cost: float = 0.0) -> int:
+    """How few words of an item a document's border may leave if edits cost so much weight."""
+    return min(n_words, _segment(weights, SIMILARITY * weights.sum() + cost) + SHINGLE - 1)
+
+
+def window_sizes(n_words: int, weights: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """(size, step) of an item's windows, from the weights of its shingles in a row (a
+    repeated one's as often; equal ones if not given).
+
+    What a passage loses at a document's border brings nothing foreign in, so there a quarter
+    of the weight T may lack.  An edit further inside costs five shingles and brings at least
+    three quarters of four foreign ones of the mean weight; e edits leave the rest of the
+    quarter to the border, and some run of what is left, over e + 1, is untouched.  A run
+    holds a window at a multiple of STEP if it is STEP - 1 longer; too short ones are looked
+    up at every word."""
+    n = max(1, n_words - SHINGLE + 1)
+    weights = np.ones(n) if weights is None else weights
+    total = weights.sum()
+    lost = np.cumsum(np.sort(weights))
+    foreign = (SHINGLE - 1) * SIMILARITY * weights.mean()
+
+    def window(run: int) -> tuple[int, int]:
+        size = _round(run - (STEP - 1))
+        return (size, STEP) if size >= 2 * STEP else (max(1, min(n_words, max(run, SHINGLE))), 1)
+
+    def cost(edits: int) -> float:
+        return edits * foreign + lost[min(SHINGLE * edits, n) - 1]
+
+    most = 0
+    while SHINGLE * (most + 1) <= n and cost(most + 1) <= (1 - SIMILARITY) * total:
+        most += 1
+    sizes = [window(words_left(n_words, weights))]
+    run, edits = n_words, 1
+    while edits <= most:
+        # many edits are taken together: the fewest of them for the loss, the most for the runs
+        last = min(edits + edits // 8, most)
+        run = min(run, (words_left(n_words, weights, cost(edits)) - last) // (last + 1))
+        edits = last + 1
+    if most and window(run) != sizes[0]:
+        sizes.append(window(run))
     return sizes
 
 
@@ -135,10 +171,14 @@ class Index:
             shared_by = Counter(int(x) for sh in different.values() for x in sh)
         #: of each item, the weights of its shingles
         self.weights = [np.array([1 / shared_by.get(int(x), 1) for x in sh]) for sh in self.shingles]
+        #: of each item, how few words a document's border may leave
+        self.least: list[int] = []
         found: dict[tuple[int, int], list] = {}
         for i, hashes in enumerate(self.words):
             bits = _Bits(hashes)
-            for size, step in window_sizes(len(hashes)):
+            in_row = self.weights[i][np.searchsorted(self.shingles[i], _shingle_row(hashes))]
+            self.least.append(words_left(len(hashes), in_row))
+            for size, step in window_sizes(len(hashes), in_row):
                 prints = bits.windows(size, 1)
                 found.setdefault((size, step), []).append((prints, np.full(len(prints), i), np.arange(len(prints))))
         self.prints, self.tables = {}, {}
@@ -156,25 +196,35 @@ class Index:
     def block(prints: np.ndarray, b: int) -> np.ndarray:
         return ((prints >> U64(b * BLOCK_BITS)) & U64((1 << BLOCK_BITS) - 1)).astype(np.int64)
 
-    def candidates(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, where in ``hashes`` the item would begin) of all windows within RADIUS of
-        one of the items' windows."""
-        items, places = [], []
-        bits = _Bits(hashes)
+    def candidates(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, item, where in the row the item would begin) of all windows of the rows'
+        words within RADIUS of one of the items' windows; rows begin at ``first``."""
+        rows, items, places = [], [], []
+        # Every row begins at a multiple of STEP, so what stands before it changes nothing.
+        sizes = np.diff(first)
+        begin = np.append(0, np.cumsum(-(-sizes // STEP) * STEP))
+        padded = np.zeros(begin[-1], U64)
+        padded[np.arange(len(hashes)) + np.repeat(begin[:-1] - first[:-1], sizes)] = hashes
+        bits = _Bits(padded)
+        row = np.repeat(np.arange(len(sizes)), np.diff(begin))
+        left = (begin[:-1] + sizes)[row] - np.arange(len(padded))
         for (size, step), (prints, item, offset) in self.prints.items():
             own = bits.windows(size, step)
+            inside = left[: len(own) * step : step] >= size
             for b in range(RADIUS + 1):
                 has, block, order = self.tables[(size, step), b]
                 value = self.block(own, b)
-                hit = np.flatnonzero(has[value])
+                hit = np.flatnonzero(has[value] & inside)
                 low, high = np.searchsorted(block, value[hit], "left"), np.searchsorted(block, value[hit], "right")
                 many = high - low
                 at = np.repeat(hit, many)
                 other = order[np.repeat(low - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(len(at))] if len(at) else at
                 near = np.bitwise_count(own[at] ^ prints[other]) <= RADIUS
-                items.append(item[other[near]])
-                places.append(at[near] * step - offset[other[near]])
-        return np.concatenate(items) if items else np.zeros(0, int), np.concatenate(places) if places else np.zeros(0, int)
+                at, other = at[near] * step, other[near]
+                rows.append(row[at])
+                items.append(item[other])
+                places.append(at - begin[row[at]] - offset[other])
+        return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, items, places))
 
     def similarity(self, item: int, window: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's shingles and a window's; a shingle that n
@@ -192,17 +242,20 @@ def _search(index: Index, rows: list[str]) -> list[tuple[int, int, int, float]]:
     """(row, item id, first word, similarity) of verified passages, the best of each row and
     item (ties: the first)."""
     hashes, first = _words(rows)
-    items, places = index.candidates(hashes)
     best: dict[tuple[int, int], tuple[float, int]] = {}
-    if len(items):
-        sizes = np.fromiter((len(w) for w in index.words), np.int64, len(index.words))
-        # The row is that of the window's middle; what reaches past the row is cut off.
-        middle = np.clip(places + sizes[items] // 2, 0, len(hashes) - 1)
-        row = np.searchsorted(first, middle, "right") - 1
-        for r, i, p in sorted(set(zip(row.tolist(), items.tolist(), places.tolist()))):
-            low, high = max(p, int(first[r])), min(p + int(sizes[i]), int(first[r + 1]))
-            if low < high and (s := index.similarity(i, hashes[low:high])) >= SIMILARITY and s > best.get((r, index.ids[i]), (0, 0))[0]:
-                best[r, index.ids[i]] = s, low - int(first[r])
+    found = set(zip(*(x.tolist() for x in index.candidates(hashes, first))))
+    for r, i, p in list(found):
+        # Near a border the place may reach past it, so that less of what is foreign is in it.
+        size, least, n = len(index.words[i]), index.least[i], int(first[r + 1] - first[r])
+        if p <= size - least:
+            found.update((r, i, q) for q in range(least - size, min(p, 0)))
+        if p + size >= n - (size - least):
+            found.update((r, i, q) for q in range(max(p, n - size) + 1, n - least + 1))
+    for r, i, p in sorted(found):
+        # What reaches past the row is cut off.
+        low, high = max(p, 0) + int(first[r]), min(p + len(index.words[i]) + int(first[r]), int(first[r + 1]))
+        if low < high and (s := index.similarity(i, hashes[low:high])) >= SIMILARITY and s > best.get((r, index.ids[i]), (0, 0))[0]:
+            best[r, index.ids[i]] = s, low - int(first[r])
     return [(r, i, p, s) for (r, i), (s, p) in best.items()]
 
 

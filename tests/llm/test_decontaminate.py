@@ -111,3 +111,25 @@ def test_repeated_and_overlapping_items_bear_an_edit(spark, monkeypatch):
         monkeypatch.setattr(dc, "PASS_WORDS", limit)
         found[limit] = sorted(tuple(r) for r in dc.contaminated(*frames(spark, docs, items)).collect())
     assert [f[:2] for f in found[300]] == expected and found[300] == found[dc.PASS_WORDS] == found[2_000_000]
+
+
+def test_items_cut_at_a_border_are_found_in_every_alignment(spark):
+    """Three quarters of an item that make up, begin or end a document, after words of other
+    documents that shift them: found as brute force finds them, in any batch."""
+    items = [(k, " ".join(words(n))) for k, n in enumerate([30, 31, 33, 35, 36, 37, 38, 50, 80])]
+    docs = []
+    for _, text in items:
+        own = text.split()
+        most = (len(own) - 4) // 4
+        for head in (0, most, most // 2):
+            kept = own[head : len(own) - (most - head)]
+            for shift in range(4):
+                rest = words(20 + shift)
+                whole = [kept] + [kept + rest] * (head > 0) + [rest + kept] * (head < most)
+                docs += [(len(docs) + i, " ".join(x)) for i, x in enumerate(whole)]
+                docs.append((len(docs), " ".join(words(1 + shift))))
+    docs = [(i, t) for i, (_, t) in enumerate(docs)]
+    index = dc.Index(items)
+    got = {(r, i) for r, i, *_ in dc._search(index, [t for _, t in docs])}
+    alone = {(r, i) for r, (_, t) in enumerate(docs) for _, i, *_ in dc._search(index, [t])}
+    assert got == alone == brute(docs, items) and len(got) >= 9 * 3 * 4
