@@ -47,7 +47,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     total = np.zeros(n, U64)
     for k in range(SHINGLE):
         shifted = np.zeros(n, U64)
-        shifted[: n - k] = hashes[k:]
+        shifted[: max(n - k, 0)] = hashes[k:]
         total += np.where(left > k, mix(shifted + U64(k + 1)), U64(0)) * U64(2 * k + 1)
     # a text with fewer words has its whole sequence as one shingle
     keep = (left >= SHINGLE) | ((counts[text] < SHINGLE) & (left == counts[text]))

@@ -104,3 +104,15 @@ def test_components(spark):
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert out == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 200: 150, 150: 150}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_short_text_alone_in_a_step(spark):
+    """1 to 5 words that share their step with no other text."""
+    for n in range(1, 6):
+        text = " ".join("abcde"[:n])
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert len(nd.shingle_sets(data, np.array([0, len(data)]))[0]) == 1
+    got = run(spark, [(1, "two words")])
+    assert [r["doc_id"] for r in got] == [1]
+    rows = [(1, "now three words"), (2, "long text of words " * 70_000), (3, "now three words")]
+    assert sorted(r["doc_id"] for r in run(spark, rows)) == [1, 2, 3]
