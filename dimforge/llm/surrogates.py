@@ -4,7 +4,8 @@ Entities are found by one pattern and brought into a canonical form.  Each disti
 a surrogate that depends on a secret key, its type and its canonical form, so it is the same
 wherever the entity occurs; letters stay letters of their script and case, digits digits, and
 names get names of the title's gender.  Surrogates that two entities share, or that are
-themselves an entity of the data, are drawn anew until none is left.  Each occurrence then takes
+themselves an entity of the data, are drawn anew until none is left; the space that they are
+drawn from grows with the draws.  Each occurrence then takes
 the surrogate in its own spelling (separators, capitals).
 """
 
@@ -51,6 +52,9 @@ PATTERNS = {
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Draws that an entity may need before the space of its form counts as exhausted.
 MOST_DRAWS = 60
+#: After each so many draws the space grows: names by a syllable, the local part of an address
+#: by a letter, phone and national numbers by a digit; octets get any number of digits.
+GROWS_AFTER = 4
 #: The key used if none is given; production runs pass their own.
 DEFAULT_KEY = "dimforge"
 
@@ -99,20 +103,25 @@ def _digit_sum(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda a, d: a + d) % 10
 
 
-def _octets(ip: Column, seed: Column) -> Column:
-    """Octets of as many digits as before."""
+def _more(extra: Column, seed: Column, values: tuple | str, first: int) -> Column:
+    """``extra`` further values in a row, drawn at the places from ``first`` on."""
+    return F.when(extra > 0, F.array_join(F.transform(F.sequence(F.lit(first), F.lit(first - 1) + extra), lambda i: _pick(tuple(values), seed, i)), "")).otherwise("")
+
+
+def _octets(ip: Column, seed: Column, extra: Column) -> Column:
+    """Octets of as many digits as before, of any number once the space has grown."""
 
     def one(o, i):
-        return F.when(F.length(o) == 1, _draw(seed, i, 9) + 1).when(F.length(o) == 2, _draw(seed, i, 90) + 10).otherwise(_draw(seed, i, 155) + 100).cast("string")
+        return F.when(extra > 0, _draw(seed, i, 255) + 1).when(F.length(o) == 1, _draw(seed, i, 9) + 1).when(F.length(o) == 2, _draw(seed, i, 90) + 10).otherwise(_draw(seed, i, 155) + 100).cast("string")
 
     return F.array_join(F.transform(F.split(ip, r"\."), one), ".")
 
 
 def _pick(values: tuple, seed: Column, i) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), _draw(seed, F.lit(i), len(values)) + 1)
+    return F.element_at(F.array(*[F.lit(v) for v in values]), _draw(seed, i if isinstance(i, Column) else F.lit(i), len(values)) + 1)
 
 
-def _name(text: Column, seed: Column) -> Column:
+def _name(text: Column, seed: Column, extra: Column) -> Column:
     """The title, a given name of its gender if there were two names, and a family name."""
     title = F.substring_index(text, " ", 1)
     two = F.size(F.split(text, " ")) > 2
@@ -120,7 +129,7 @@ def _name(text: Column, seed: Column) -> Column:
     def of(script, gender):
         syllables = [_pick(SYLLABLES[script], seed, i) for i in range(1, 4)]
         ending = {("cyrillic", "m"): "нов", ("cyrillic", "f"): "нова"}.get((script, gender), "n")
-        family = F.concat(F.initcap(F.concat(*syllables)), F.lit(ending))
+        family = F.concat(F.initcap(F.concat(*syllables)), _more(extra, seed, SYLLABLES[script], 4), F.lit(ending))
         return F.concat(title, F.when(two, F.concat(F.lit(" "), _pick(GIVEN[script, gender], seed, 0))).otherwise(""), F.lit(" "), family)
 
     cyrillic, male = F.substring_index(text, " ", -1).rlike(r"^\p{IsCyrillic}"), title.isin(*MALE)
@@ -132,21 +141,24 @@ def _surrogate(kind: Column, text: Column, draw: Column, key: str) -> Column:
     the last label stays; a phone number keeps its country digit, a card its first digit, and
     its check digit fits if it did; an IBAN keeps its country."""
     seed = F.sha2(F.concat_ws("\n", F.lit(key), kind, text, draw.cast("string")), 256)
+    extra = F.floor(draw / GROWS_AFTER).cast("int")
+    digits = _more(extra, seed, "0123456789", 1000)
     domain = F.substring_index(text, "@", -1)
     domain_seed = F.sha2(F.concat_ws("\n", F.lit(key), F.lit("domain"), domain), 256)
     host = F.regexp_extract(domain, r"^(.*)\.[^.]+$", 1)
-    email = F.concat(_characters(F.substring_index(text, "@", 1), seed), F.lit("@"), _characters(host, domain_seed), F.lit("."), F.substring_index(domain, ".", -1))
+    email = F.concat(_characters(F.substring_index(text, "@", 1), seed), _more(extra, seed, ALPHABETS[1], 1000), F.lit("@"), _characters(host, domain_seed), F.lit("."), F.substring_index(domain, ".", -1))
     card = _characters(text, seed, F.lit(1))
     body = F.substring(card, F.lit(1), F.length(card) - 1)
     fitting = F.concat(body, F.pmod(10 - _digit_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("int").cast("string"))
     hexadecimal = F.array_join(F.transform(F.split(text, ""), lambda c, i: F.substring(F.lit("0123456789abcdef"), _draw(seed, i, 16) + 1, F.lit(1))), "")
     return (
         F.when(kind == "email", email)
-        .when(kind == "ip", _octets(text, seed))
+        .when(kind == "ip", _octets(text, seed, extra))
         .when(kind == "card", F.when(_digit_sum(text) == 0, fitting).otherwise(card))
-        .when(kind == "phone", _characters(text, seed, F.lit(1)))
+        .when(kind == "phone", F.concat(_characters(text, seed, F.lit(1)), digits))
+        .when(kind == "national", F.concat(_characters(text, seed), digits))
         .when(kind == "iban", _characters(text, seed, F.lit(2)))
-        .when(kind == "name", _name(text, seed))
+        .when(kind == "name", _name(text, seed, extra))
         .when((kind == "secret") & text.rlike("^[0-9a-f]+$"), hexadecimal)
         .when(kind == "secret", _characters(text, seed, F.when(text.startswith("akia") | text.startswith("gh"), 4).otherwise(3)))
         .otherwise(_characters(text, seed))
@@ -161,7 +173,8 @@ def _spelled(kind: Column, raw: Column, surrogate: Column) -> Column:
         used = c.rlike(r"^\d$") | ((kind == "iban") & (c != " "))
         return F.when(used, F.struct(F.concat(state["out"], F.substring(surrogate, state["k"] + 1, F.lit(1))).alias("out"), (state["k"] + 1).alias("k"))).otherwise(F.struct(F.concat(state["out"], c).alias("out"), state["k"].alias("k")))
 
-    spaced = F.aggregate(F.split(raw, ""), start, put, lambda s: s["out"])
+    # a surrogate from a grown space is longer: the rest of it follows
+    spaced = F.aggregate(F.split(raw, ""), start, put, lambda s: F.concat(s["out"], F.substring(surrogate, s["k"] + 1, F.length(surrogate))))
     capital = (F.upper(raw) == raw) & (F.lower(raw) != raw)
     return (
         F.when(kind.isin("phone", "card", "national", "iban"), spaced)

@@ -59,3 +59,27 @@ def test_key_and_odd_rows(spark):
 def test_main_path_is_native(spark):
     plan = run(spark, [(1, TEXT)])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_more_entities_than_the_first_space(spark):
+    """All addresses of one-digit octets, of one-letter local parts, and more names of one
+    title than there are of three syllables."""
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    ips = [("ip", ".".join(x)) for x in product("123456789", repeat=4)]
+    mails = [("email", f"{c}@x{k}.de") for c in "abcdefghijklmnopqrstuvwxyz" for k in range(10)]
+    names = [("name", "Mr X" + "".join(x)) for x in product("abcdefghijklmnopqrstuvwxyzäöüéèñ", "abcdefghijklmnopqrstuvwxyzäöüéèñ", "abcdefghijklmnopqrstuvwxyzäöüéèñç")]
+    entities = ips + mails + names
+    out = sg.surrogate_table(spark.createDataFrame(entities, "kind string, canonical string")).collect()
+    new = {(r["kind"], r["surrogate"]) for r in out}
+    assert len(names) > 32**3 and len(out) == len(new) == len(entities) and not new & set(entities)
+    patterns = {"ip": r"\d{1,3}(\.\d{1,3}){3}", "email": r"[a-z]+@[a-z]\d\.de", "name": r"Mr [A-Z][a-z]+"}
+    assert all(re.fullmatch(patterns[k], s) for k, s in new)
+    assert all(int(o) < 256 for k, s in new if k == "ip" for o in s.split("."))
+    # numbers grow behind their last digit, and are written out whole
+    frame = spark.createDataFrame([("phone", "+1 2 34 56", "123456"), ("national", "123-45-6789", "123456789")], "kind string, raw string, canonical string")
+    drawn = sg._surrogate(F.col("kind"), F.col("canonical"), F.lit(2 * sg.GROWS_AFTER), "k")
+    got = [r[0] for r in frame.select(sg._spelled(F.col("kind"), F.col("raw"), drawn)).collect()]
+    assert re.fullmatch(r"\+1 \d \d\d \d{4}", got[0]) and re.fullmatch(r"\d{3}-\d\d-\d{6}", got[1])
