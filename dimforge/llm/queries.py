@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, language, line_dedup, near_dedup, sentence_pieces, surrogates, token_counts, toxicity
-from .common import ship, table
+from . import chat, collocations, decontaminate, fingerprints, language, line_dedup, near_dedup, packing, repair, sentence_pieces, surrogates, token_counts, toxicity
+from .common import shared, ship, table
 
 
 def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,24 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_personal_data(docs).select("doc_id", "n_entities", "text")
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    turns = repair.damage(table(spark, sf_dir, "conversations"))
+    return repair.repair(turns, shared(repair.plans(turns)))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    import public_tokenizers
+
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_chat_formatting": op2_chat_formatting,
@@ -76,8 +94,12 @@ QUERIES = {
     "op8_contaminated_documents": op8_contaminated_documents,
     "op9_language": op9_language,
     "op10_surrogates": op10_surrogates,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_boilerplate_lines": line_dedup.oracle_sql(),
+    "op13_collocations": collocations.oracle_sql(),
 }
