@@ -254,8 +254,8 @@ with pieces as (
   select coalesce(lang, 'und') lang, regexp_extract_all(piece, '[^\x20\x09]+') w
   from (select lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents)
 ), leads as (select lang, unnest(w) w1, unnest(list_concat(w[2:], [null])) w2, unnest(list_concat(w[3:], [null, null])) w3 from pieces where len(w) > 0),
-f1 as (select lang, w1, count(*) n from leads group by all),
-f2 as (select lang, w1, w2, count(*) n from leads where w2 is not null group by all),
+f1 as (select lang, w1, count(*) n from leads where w1 is not null group by all),
+f2 as (select lang, w1, w2, count(*) n from leads where w1 is not null and w2 is not null group by all),
 f3 as (select lang, w1, w2, w3, count(*) n from leads where w3 is not null group by all having count(*) >= {min_count}),
 c2 as (
   select f2.lang, f2.w1 || ' ' || f2.w2 phrase, f2.n a, x.n l, y.n r, (1000000::hugeint * f2.n * f2.n) // (x.n::hugeint * y.n) score
