@@ -26,9 +26,9 @@ from pyspark.sql.window import Window
 from .common import _LOWER, U64, mix, shared, steps, substring_hashes, utf8
 
 #: Bytes of text that are counted together, and bytes of text for each bucket.
-STEP = 16 << 20
-BUCKET = 32 << 20
-#: The most buckets: tasks of more than 2^16 * 32 MB of text have larger ones.
+STEP = 4 << 20
+BUCKET = 16 << 20
+#: The most buckets: more than 2^16 * 16 MB of text makes larger ones.
 MOST_BUCKETS = 1 << 16
 
 # What ends a piece, and what stands between words.
@@ -73,9 +73,9 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array,
     edge[offsets] = True
     starts = np.flatnonzero(solid & (edge[:-1] | ~np.append([False], solid[:-1])))
     stops = np.flatnonzero(solid & (edge[1:] | ~np.append(solid[1:], [False]))) + 1
-    cuts = ends.astype(np.int64)
+    cuts = ends.astype(np.int32)
     np.add.at(cuts, offsets[:-1][offsets[:-1] < len(data)], 1)
-    piece = np.cumsum(cuts)[starts]
+    piece = np.cumsum(cuts, dtype=np.int32)[starts]
     letters = np.ascontiguousarray(data[solid])
     places = np.concatenate([[0], np.cumsum(stops - starts)])
     all_words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(letters)])
