@@ -6,7 +6,9 @@ with it, so Spark's ROLLUP over the lead columns gives the counts of all shorter
 of all words, without exploding other n-grams.
 
 Windows are counted within a task first.  The counts travel as blocks, one for each bucket of
-(lang, first two words) and step: a list of words and columns of their numbers.  In its bucket
+(lang, first two words) and step: a list of words and columns of their numbers.  The pairs of
+one first word are spread over about the square root of the number of buckets, so that a very
+frequent word is split and a rare one is not in every bucket.  In its bucket
 a window's count is whole, and so is its pair's: windows that occur less than ``min_count``
 times are given back as their longest prefix that doesn't, which leaves the counts of all
 phrases that matter as they are and keeps the table that is rolled up small.
@@ -27,9 +29,11 @@ from .common import _LOWER, U64, mix, shared, steps, substring_hashes, utf8
 
 #: Bytes of text that are counted together, and bytes of text for each bucket.
 STEP = 4 << 20
-BUCKET = 16 << 20
-#: The most buckets: more than 2^16 * 16 MB of text makes larger ones.
-MOST_BUCKETS = 1 << 16
+BUCKET = 8 << 20
+#: The most buckets: more than 2^17 * 8 MB of text makes larger ones.
+MOST_BUCKETS = 1 << 17
+#: Rows of a result batch.
+OUT_ROWS = 1 << 16
 
 # What ends a piece, and what stands between words.
 _ENDS = np.zeros(256, bool)
@@ -91,6 +95,8 @@ def _hashes(words: pa.Array) -> np.ndarray:
 
 
 def _counter(buckets: int):
+    spread = max(1, int(buckets**0.5))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for step in steps(batch, "text", STEP, 1 << 20):
@@ -109,8 +115,9 @@ def _counter(buckets: int):
                 names = langs.dictionary.to_pylist()
                 hashed = _hashes(known)
                 salt = np.array([zlib.crc32(name.encode("utf-8", "surrogatepass")) for name in names], U64)
-                code = mix(salt[of] * U64(0x9E3779B97F4A7C15) + hashed[lead[0]]) + np.where(lead[1] >= 0, hashed[lead[1]], U64(1))
-                bucket = (mix(code) % U64(buckets)).astype(np.int64)
+                home = mix(salt[of] * U64(0x9E3779B97F4A7C15) + hashed[lead[0]])
+                away = mix(home + np.where(lead[1] >= 0, hashed[lead[1]], U64(1))) % U64(spread)
+                bucket = ((home % U64(buckets) + away * U64(buckets // spread)) % U64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 edges = np.flatnonzero(np.append([True], np.diff(bucket[order]) != 0))
                 out = []
@@ -138,7 +145,7 @@ def _opened(data: bytes) -> bytes:
     return _ZSTD.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), asbytes=True)
 
 
-def _bucket_counts(blocks: list[tuple], least: int) -> pa.RecordBatch:
+def _bucket_counts(blocks: list[tuple], least: int) -> Iterator[pa.RecordBatch]:
     """The windows of one bucket, those under ``least`` as their longest prefix that isn't."""
     words, names, of, lead, n = [], {}, [], [[], [], []], []
     base = 0
@@ -163,8 +170,11 @@ def _bucket_counts(blocks: list[tuple], least: int) -> pa.RecordBatch:
     lead[1][np.add.reduceat(n, first)[of_pair] < least] = -1
     of, lead, n = _distinct(of, lead, n, size)
     texts = found.dictionary.cast(pa.large_string()).cast(pa.string())
-    columns = [texts.take(pa.array(w, mask=w < 0)) for w in lead]
-    return pa.RecordBatch.from_arrays([pa.array(list(names)).take(pa.array(of)), *columns, pa.array(n)], schema=_WINDOWS)
+    langs = pa.array(list(names), pa.string())
+    for k in range(0, len(n), OUT_ROWS):
+        part = slice(k, k + OUT_ROWS)
+        columns = [texts.take(pa.array(w[part], mask=w[part] < 0)) for w in lead]
+        yield pa.RecordBatch.from_arrays([langs.take(pa.array(of[part])), *columns, pa.array(n[part])], schema=_WINDOWS)
 
 
 def _merger(least: int):
@@ -173,12 +183,12 @@ def _merger(least: int):
         for batch in batches:
             for bucket, *block in zip(*[c.to_pylist() for c in batch.columns]):
                 if bucket != last and held:
-                    yield _bucket_counts(held, least)
+                    yield from _bucket_counts(held, least)
                     held = []
                 last = bucket
                 held.append(block)
         if held:
-            yield _bucket_counts(held, least)
+            yield from _bucket_counts(held, least)
 
     return run
 
