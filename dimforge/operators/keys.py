@@ -37,7 +37,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="dimforge-ckpt-")  # single-machine runs only
     sc.setCheckpointDir(configured)
@@ -91,6 +91,24 @@ def assign_keys(
     return out.drop("_kpid", "_kpos", "_kbase")
 
 
+def has_key(df: DataFrame, key_cols) -> DataFrame:
+    """The rows whose key columns are all there.  A row without its key can't be matched
+    again: no write operator lets it in (it would go in anew at each run); ``rejects`` counts
+    such rows."""
+    key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    for c in key_cols:
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
+def rejects(df: DataFrame, key_cols) -> DataFrame:
+    """(key_column, rejected): how many rows lack each column of the key."""
+    key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in key_cols])
+    items = [F.struct(F.lit(c).alias("key_column"), F.col(c).alias("rejected")) for c in key_cols]
+    return counts.select(F.explode(F.array(*items)).alias("r")).select("r.*")
+
+
 class DuplicateKeyError(ValueError):
     pass
 

@@ -4,6 +4,10 @@ Parquet tables do not support MERGE / UPDATE / DELETE, so every write is a
 function returning the complete next state; ``plans.publish`` then swaps it in.
 Each function is one join (or anti join) on the business key plus an append,
 so it scales like a shuffle of the target and the source on that key.
+
+A source row without its whole key never goes in (``keys.has_key``): it could not be matched
+at the next run.  ``plans.reload`` and ``plans.keyed`` write only the parts of a published
+table that a batch changes.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dedupe import first_per_key
-from .keys import assign_keys, checkpointed, max_key, require_unique
+from .keys import assign_keys, checkpointed, has_key, max_key, require_unique
 
 
 def _list(x):
@@ -23,7 +27,7 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key_cols) -> DataFram
     """``INSERT OR IGNORE``: append source rows whose key is not in the target.  Of source rows
     that repeat a key one goes in, the first by its other columns (NULLs last)."""
     key_cols = _list(key_cols)
-    new = source.join(target.select(*key_cols), key_cols, "left_anti")
+    new = has_key(source, key_cols).join(target.select(*key_cols), key_cols, "left_anti")
     others = [c for c in target.columns if c not in key_cols]
     new = first_per_key(new, key_cols, others) if others else new.dropDuplicates(key_cols)
     return target.unionByName(new.select(*target.columns))
@@ -45,6 +49,7 @@ def upsert(
     A source key occurring twice is an error (the MERGE would be ambiguous).
     """
     key_cols, set_cols = _list(key_cols), _list(set_cols)
+    source = has_key(source, key_cols)
     if check_unique:
         require_unique(source, key_cols, "merge source")
     s = source.select(*key_cols, *set_cols).withColumn("_in_src", F.lit(True))
@@ -86,6 +91,7 @@ def replace_by_key(
     error; of several old rows with one natural key the smallest key is kept.
     """
     natural_key = _list(natural_key)
+    fresh = has_key(fresh, natural_key)
     if sk_col is not None:
         fresh = checkpointed(fresh)  # its rows are read to check, to match and to number them
     require_unique(fresh, natural_key, "reload")

@@ -11,7 +11,8 @@ Post-state for each history row ``h`` whose business key has a source row ``s``:
 
 Then every source key left without a current row (new, just closed, or only closed
 versions) gets one new current version starting ``as_of``.  Running twice with the
-same source and ``as_of`` changes nothing the second time.
+same source and ``as_of`` changes nothing the second time.  A source row without its key opens no
+version.
 
 Plan: one left join history x source on the key, written once to the checkpoint folder;
 then one anti join of the source against the keys that still have a current row there, so
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import any_distinct
-from .keys import assign_keys, checkpointed, max_key, require_unique
+from .keys import assign_keys, checkpointed, has_key, max_key, require_unique
 
 
 def _list(x):
@@ -51,8 +52,11 @@ def scd2_apply(
     start_col: str = "scd_start_date",
     end_col: str = "scd_end_date",
     current_col: str = "is_current",
+    key_offset: int | None = None,
 ) -> DataFrame:
+    """``key_offset`` is the largest surrogate key in use, where the caller knows it."""
     key_cols, t1, t2 = _list(key_cols), _list(type1_cols), _list(type2_cols)
+    source = has_key(source, key_cols)
     require_unique(source, key_cols, "SCD source")
     as_of_c = _as_date(as_of)
     if hist.where(F.col(current_col) & (F.col(start_col) > as_of_c)).limit(1).count():
@@ -90,7 +94,8 @@ def scd2_apply(
         F.lit(None).cast("date").alias(end_col),
         F.lit(True).alias(current_col),
     )
-    keyed = assign_keys(opened, sk_col, key_cols, offset=max_key(hist, sk_col))
+    offset = max_key(hist, sk_col) if key_offset is None else key_offset
+    keyed = assign_keys(opened, sk_col, key_cols, offset=offset)
     return updated.unionByName(keyed.select(*hist.columns))
 
 
@@ -134,7 +139,7 @@ def scd2_open_missing(hist, source, key_cols, type1_cols, type2_cols, as_of, sk_
     """Step 3: new current versions for source keys without a current row (new rows only)."""
     key_cols, t1, t2 = _list(key_cols), _list(type1_cols), _list(type2_cols)
     as_of_c = _as_date(as_of)
-    src = source.select(*key_cols, *t1, *t2)
+    src = has_key(source, key_cols).select(*key_cols, *t1, *t2)
     opened = src.join(hist.where(F.col(current_col)).select(*key_cols), key_cols, "left_anti").select(
         *key_cols, *t1, *t2, as_of_c.alias(start_col),
         F.lit(None).cast("date").alias(end_col), F.lit(True).alias(current_col),

@@ -38,12 +38,17 @@ def load_dim_order_flags(spark, current=None) -> DataFrame:
     return target.unionByName(keyed.select(*target.columns))
 
 
+CUSTOMER_SET_COLS = ["customer_id", "customer_zip_code", "customer_city", "customer_state"]
+SELLER_SET_COLS = ["seller_zip_code", "seller_city", "seller_state"]
+SELLER_HIST_TYPE1 = ["seller_zip_code"]
+SELLER_HIST_TYPE2 = ["seller_city", "seller_state"]
+
+
 def load_dim_customer(spark, raw_customers, current=None) -> DataFrame:
     src = staging.stg_customers(raw_customers)
     return upsert(
         _current(spark, current, "dim_customer"), src, "customer_unique_id",
-        ["customer_id", "customer_zip_code", "customer_city", "customer_state"],
-        sk_col="customer_key", check_unique=False,  # one row per key by construction
+        CUSTOMER_SET_COLS, sk_col="customer_key", check_unique=False,  # one row per key by construction
     )
 
 
@@ -51,7 +56,7 @@ def load_dim_seller(spark, raw_sellers, current=None) -> DataFrame:
     src = staging.stg_sellers(raw_sellers)
     return upsert(
         _current(spark, current, "dim_seller"), src, "seller_id",
-        ["seller_zip_code", "seller_city", "seller_state"], sk_col="seller_key",
+        SELLER_SET_COLS, sk_col="seller_key",
     )
 
 
@@ -75,7 +80,7 @@ def load_dim_seller_hist(spark, raw_sellers, as_of, current=None) -> DataFrame:
     src = staging.stg_sellers(raw_sellers)
     return scd2_apply(
         _current(spark, current, "dim_seller_hist"), src, "seller_id",
-        type1_cols=["seller_zip_code"], type2_cols=["seller_city", "seller_state"],
+        type1_cols=SELLER_HIST_TYPE1, type2_cols=SELLER_HIST_TYPE2,
         as_of=as_of, sk_col="seller_hist_key",
     )
 

@@ -22,6 +22,7 @@ from ..functions.exprs import date_key, minutes_between, round_ratio, try_date,
 from ..operators.merge import replace_by_key
 from ..operators.keys import assign_keys
 from . import staging
+from .reload import reload_fact
 
 FLAG_KEY = ["order_status", "is_late_delivery", "is_multi_item"]
 
@@ -92,9 +93,17 @@ def _load(current, fresh, scope, scope_col, natural_key, sk_col, name, spark):
     return schemas.conform(out, name)
 
 
+def item_scope(raw: dict) -> DataFrame:
+    return raw["raw_order_items"].select("order_id")
+
+
+def order_scope(raw: dict) -> DataFrame:
+    return raw["raw_orders"].select("order_id")
+
+
 def load_order_items(spark, raw: dict, dims: dict, current=None) -> DataFrame:
     fresh = build_order_items(raw, dims)
-    scope = raw["raw_order_items"].select("order_id")
+    scope = item_scope(raw)
     return _load(current, fresh, scope, "order_id", ["order_id", "order_item_id"],
                  "order_item_key", "fct_order_items", spark)
 
@@ -129,7 +138,7 @@ def build_order_lifecycle(raw: dict, dims: dict) -> DataFrame:
 
 def load_order_lifecycle(spark, raw: dict, dims: dict, current=None) -> DataFrame:
     fresh = build_order_lifecycle(raw, dims)
-    scope = raw["raw_orders"].select("order_id")
+    scope = order_scope(raw)
     return _load(current, fresh, scope, "order_id", ["order_id"],
                  "order_lifecycle_key", "fct_order_lifecycle", spark)
 
@@ -191,3 +200,17 @@ def load_seller_monthly_snapshot(spark, raw: dict, dims: dict, current=None) ->
     return _load(current, fresh, scope, "snapshot_year_month",
                  ["seller_key", "snapshot_year_month"], "snapshot_key",
                  "fct_seller_monthly_snapshot", spark)
+
+
+def reload_facts(store, raw: dict, dims: dict, version: str) -> dict:
+    """Table name to a load that replaces, in the published fact, what the batch ``raw`` covers:
+    its orders, or the months it has orders of."""
+    return {
+        "fct_order_items": lambda: reload_fact(
+            store, "fct_order_items", build_order_items(raw, dims), item_scope(raw), "order_id", version),
+        "fct_order_lifecycle": lambda: reload_fact(
+            store, "fct_order_lifecycle", build_order_lifecycle(raw, dims), order_scope(raw), "order_id", version),
+        "fct_seller_monthly_snapshot": lambda: reload_fact(
+            store, "fct_seller_monthly_snapshot", build_seller_monthly_snapshot(raw, dims),
+            snapshot_months(raw["raw_orders"]), "snapshot_year_month", version),
+    }

@@ -2,14 +2,15 @@
 
     raw views -> dimensions -> facts -> dimension checks -> fact checks -> report
 
-Each table's next state is computed from its current published version and the
-raw relations, then published as a new version (``plans.publish``); facts read the
-dimensions just published.  Tables of one wave (all dimensions; then all facts) do
-not depend on each other, so their Spark jobs are submitted concurrently.  The first
-failing load aborts the run (nothing after
-it is published); failing quality checks do not -- they are recorded and reported.
-Running twice with the same input and ``as_of`` publishes the same content again,
-surrogate keys included.
+A run reads the last committed state and the raw relations (everything, or a batch) and writes
+the parts that change: key buckets of dimensions, months of facts, its own part of the check
+log (``plans.keyed``, ``plans.reload``, ``plans.publish``).  Facts read the dimensions just
+written.  Tables of one wave (all dimensions; then all facts) do not depend on each other, so
+their Spark jobs are submitted concurrently.  The first failing load aborts the run (nothing
+after it is written and nothing is committed); failing quality checks do not -- they are
+recorded and reported.  Running twice with the same input and ``as_of`` publishes the same
+content again, surrogate keys included.  If another run commits in between, this one fails and
+leaves that one's tables as they are.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..operators import quality
+from ..operators.keys import require_unique
 from ..sources.raw import register_raw_views
-from . import checks, dims, facts, serving
+from . import check_states, checks, dims, facts, staging
+from .keyed import BUCKETS, apply_history, upsert_buckets
 from .publish import TableStore
 
 
@@ -35,75 +38,79 @@ def run_pipeline(
     fail_on_check: bool = False,
     threads: int = 4,
     keep_versions: int | None = None,
+    buckets: int = BUCKETS,
 ) -> dict:
     """Load the warehouse under ``warehouse_dir`` from ``raw`` (a folder of raw files or a
-    dict of raw DataFrames).  Returns the published tables and the run report.
-    ``keep_versions`` trims each table to its newest versions after a successful run."""
+    dict of raw DataFrames): everything, or a batch whose orders and months replace what they
+    cover.  Returns the published tables and the run report, with the parts written and those
+    scanned by checks.  ``keep_versions`` keeps that many runs for rollback.  ``buckets`` deals
+    the dimensions at their first load."""
     run_ts = (run_ts or dt.datetime.now()).replace(microsecond=0)
     run_id = run_ts.strftime("%Y%m%dT%H%M%S")
     if isinstance(raw, str):
         raw = register_raw_views(spark, raw)
     store = TableStore(spark, warehouse_dir)
     version = store.next_version(run_id)
-    cur = {t: store.read(t) for t in schemas.WAREHOUSE_TABLES + ["dqc_results"]}
     pub: dict[str, DataFrame] = {}
 
-    def publish(name, df):
-        pub[name] = store.publish(name, df, version)
-        return pub[name]
-
     def wave(loads: dict):
         # the loads of one wave are independent: their jobs run concurrently; the first
-        # failure propagates and stops the run before the next wave is published
+        # failure propagates and stops the run before the next wave is written
         with ThreadPoolExecutor(threads) as pool:
-            futures = {name: pool.submit(lambda n=name, f=f: publish(n, f())) for name, f in loads.items()}
-            for f in futures.values():
-                f.result()
-
+            futures = {name: pool.submit(f) for name, f in loads.items()}
+            for name, f in futures.items():
+                pub[name] = f.result()
+
+    def absent(name, load):
+        # fixed small tables: rows that aren't there yet go in; most runs add none
+        cur = store.read(name)
+        rows = load(spark, cur)
+        if cur is not None and not rows.exceptAll(cur).limit(1).count():
+            return store.replace_parts(name, None, version, [])
+        return store.publish(name, rows, version)
+
+    customers = lambda: staging.stg_customers(raw["raw_customers"])
+    sellers = lambda: staging.stg_sellers(raw["raw_sellers"])
+    products = lambda: staging.stg_products(raw["raw_products"], raw["raw_category_translation"])
+    require_unique(raw["raw_category_translation"], "product_category_name", "category translation")
+    upsert = lambda name, rows, cols: upsert_buckets(store, name, rows(), cols, version, buckets)
+    history = lambda name, rows, t1, t2: apply_history(store, name, rows(), t1, t2, as_of, version, buckets)
     wave({
-        "dim_date": lambda: dims.load_dim_date(spark, cur["dim_date"]),
-        "dim_payment_type": lambda: dims.load_dim_payment_type(spark, cur["dim_payment_type"]),
-        "dim_order_flags": lambda: dims.load_dim_order_flags(spark, cur["dim_order_flags"]),
-        "dim_customer": lambda: dims.load_dim_customer(spark, raw["raw_customers"], cur["dim_customer"]),
-        "dim_seller": lambda: dims.load_dim_seller(spark, raw["raw_sellers"], cur["dim_seller"]),
-        "dim_product": lambda: dims.load_dim_product(
-            spark, raw["raw_products"], raw["raw_category_translation"], cur["dim_product"]),
-        "dim_seller_hist": lambda: dims.load_dim_seller_hist(
-            spark, raw["raw_sellers"], as_of, cur["dim_seller_hist"]),
-        "dim_product_hist": lambda: dims.load_dim_product_hist(
-            spark, raw["raw_products"], raw["raw_category_translation"], as_of, cur["dim_product_hist"]),
+        "dim_date": lambda: absent("dim_date", dims.load_dim_date),
+        "dim_payment_type": lambda: absent("dim_payment_type", dims.load_dim_payment_type),
+        "dim_order_flags": lambda: absent("dim_order_flags", dims.load_dim_order_flags),
+        "dim_customer": lambda: upsert("dim_customer", customers, dims.CUSTOMER_SET_COLS),
+        "dim_seller": lambda: upsert("dim_seller", sellers, dims.SELLER_SET_COLS),
+        "dim_product": lambda: upsert("dim_product", products, dims.PRODUCT_SET_COLS),
+        "dim_seller_hist": lambda: history("dim_seller_hist", sellers, dims.SELLER_HIST_TYPE1, dims.SELLER_HIST_TYPE2),
+        "dim_product_hist": lambda: history("dim_product_hist", products, dims.PRODUCT_HIST_TYPE1, dims.PRODUCT_HIST_TYPE2),
     })
     d = {k: pub[k] for k in ("dim_customer", "dim_seller", "dim_product", "dim_order_flags")}
-    wave({
-        "fct_order_items": lambda: facts.load_order_items(spark, raw, d, cur["fct_order_items"]),
-        "fct_order_lifecycle": lambda: facts.load_order_lifecycle(spark, raw, d, cur["fct_order_lifecycle"]),
-        "fct_seller_monthly_snapshot": lambda: facts.load_seller_monthly_snapshot(
-            spark, raw, d, cur["fct_seller_monthly_snapshot"]),
-    })
+    wave(facts.reload_facts(store, raw, d, version))
 
-    log = cur["dqc_results"] if cur["dqc_results"] is not None else schemas.empty(spark, "dqc_results")
-    for layer, layer_checks in (("dim", checks.DIM_CHECKS), ("fct", checks.FCT_CHECKS),
-                                ("ext", checks.EXTRA_FCT_CHECKS)):
-        results = quality.run_checks(spark, pub, layer_checks, run_ts)
-        log = log.unionByName(results.select(*quality.RESULT_COLUMNS))  # the log keeps every run
-    published_log = publish("dqc_results", log)
+    all_checks = checks.DIM_CHECKS + checks.FCT_CHECKS + checks.EXTRA_FCT_CHECKS
+    scanned = check_states.update(store, all_checks)
+    latest = check_states.results(store, all_checks, run_ts)
+    pub["dqc_results"] = store.append("dqc_results", latest, version)  # the log keeps every run
+    written = {t: store.pending[t]["written"] for t in pub}
+    counts = [(t, check_states.row_count(store.pending[t])) for t in schemas.WAREHOUSE_TABLES]
 
-    latest = serving.dqc_latest(published_log)
     if fail_on_check and quality.failures(latest).limit(1).count():
         # the log of the checks is kept, the tables stay as the run before left them
         store.commit(version, ["dqc_results"])
         raise RuntimeError(f"quality checks failed in run {run_id}")
-    store.commit(version, pub)
+    store.commit(version, list(store.pending))
 
-    if keep_versions:  # older versions are kept for rollback until trimmed here
-        for name in pub:
-            store.vacuum(name, keep=keep_versions)
+    if keep_versions:  # older runs are kept for rollback until trimmed here
+        store.vacuum(keep_versions)
 
     report = {
         "run_id": run_id,
         "version": version,
         "tables": pub,
-        "row_counts": serving.row_counts({t: pub[t] for t in schemas.WAREHOUSE_TABLES}),
+        "written": written,
+        "scanned": scanned,
+        "row_counts": spark.createDataFrame(counts, "table_name string, n long"),
         "dqc": latest,
         "dqc_summary": quality.summary(latest),
         "dqc_failures": quality.failures(latest),

@@ -113,10 +113,32 @@ LAYOUT = {
 }
 
 
+# The business key of each table and its surrogate key.
+KEYS = {
+    "dim_customer": (["customer_unique_id"], "customer_key"),
+    "dim_seller": (["seller_id"], "seller_key"),
+    "dim_seller_hist": (["seller_id"], "seller_hist_key"),
+    "dim_product": (["product_id"], "product_key"),
+    "dim_product_hist": (["product_id"], "product_hist_key"),
+    "fct_order_items": (["order_id", "order_item_id"], "order_item_key"),
+    "fct_order_lifecycle": (["order_id"], "order_lifecycle_key"),
+    "fct_seller_monthly_snapshot": (["seller_key", "snapshot_year_month"], "snapshot_key"),
+}
+
+
+def schema_of(name: str) -> T.StructType:
+    """The declared schema of a table, or of the side table ``keys_<fact>``."""
+    if name in SCHEMAS:
+        return SCHEMAS[name]
+    fact = name.removeprefix("keys_")
+    key, sk = KEYS[fact]
+    return T.StructType([T.StructField(c, SCHEMAS[fact][c].dataType, False) for c in [*key, sk]])
+
+
 def empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], SCHEMAS[name])
+    return spark.createDataFrame([], schema_of(name))
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Select and cast ``df`` to the table's declared columns and types (store assignment)."""
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema_of(name).fields])
