@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared, steps, texts
+from .common import shared, steps, utf8
 
 #: Documents of a partition, and how many partitions exchange documents with each other.
 DEAL = 1 << 13
@@ -31,20 +31,36 @@ MEET = 8
 #: Sequences, the loosest, that a partition offers in an exchange.
 OFFER = 16
 
-#: Bytes that a task's remembered words and their ids may take, and the longest word kept.
-REMEMBERED = 64 << 20
+#: Bytes of text that are tokenised together.
+STEP = 2 << 20
+#: Bytes that a worker's remembered parts and their ids may take, and the longest part kept.
+REMEMBERED = 128 << 20
 LONGEST_KEPT = 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
+def _marked(values) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[[*values]] = True
+    return table
+
+
+# Bytes that may begin a part, and what has to stand before them.
+_WHITE = _marked([*range(0x09, 0x0E), *range(0x1C, 0x21)])
+_POINT = _marked(b".,;:!?")
+_LETTER = _marked([*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1)])
+#: Lead bytes of the characters above ASCII that may be white space, two and three bytes long.
+_TWO, _THREE = _marked([0xC2]), _marked([0xE1, 0xE2, 0xE3])
+
+
 class Ids:
-    """Ids of whole texts by the tokenizers library, each as little-endian 32-bit numbers.
+    """Ids of whole texts by the tokenizers library.
 
-    A byte-level vocabulary's words never reach over a single space between two characters
-    that aren't white space: the space begins the next word.  So a text is cut there, and
-    parts that were met before aren't tokenised again."""
+    A byte-level vocabulary's words end before white space that follows something else, and
+    before a point that follows a letter, whatever stands around.  Texts are cut there, equal
+    parts of a step are found at once, and the library gets each part that wasn't met before."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -52,40 +68,78 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        self.between_id, self.between = min(special, default=(None, None))
+        self.known: dict[bytes, bytes] = {}
         self.room = REMEMBERED
 
     @staticmethod
-    def parts(text: str) -> list[str]:
-        """The text cut before single spaces; an unsafe cut is undone."""
-        cut = text.split(" ")
-        out = [cut[0]]
-        for part in cut[1:]:
-            before = out[-1]
-            if part and before and not part[0].isspace() and not before[-1].isspace():
-                out.append(" " + part)
-            else:
-                out[-1] = before + " " + part
-        return out
-
-    def __call__(self, many: list[str]) -> list[bytes]:
-        parts = [self.parts(t) for t in many]
-        fresh = list({p for of in parts for p in of} - self.known.keys())
-        passing: dict[str, bytes] = {}
-        for k in range(0, len(fresh), 4096):
-            some = fresh[k : k + 4096]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                ids = np.array(found.ids, "<u4").tobytes()
+    def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where parts begin, ascending; every text begins one."""
+        white = _WHITE[data]
+        begins = np.zeros(len(data) + 1, bool)
+        begins[1:-1] = (white[1:] & ~white[:-1]) | (_POINT[data[1:]] & _LETTER[data[:-1]])
+        at = np.flatnonzero(begins)
+        # A character above ASCII before the cut might be white space: then there is none.
+        unsure = (at >= 2) & _TWO[data[at - 2]] | (at >= 3) & _THREE[data[at - 3]]
+        begins[at[unsure]] = False
+        begins[offsets[:-1]] = True
+        return np.flatnonzero(begins[:-1])
+
+    def _of(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of parts, as little-endian 32-bit numbers."""
+        found = list(map(self.known.get, parts))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        for begin in range(0, len(missing), 1 << 16):
+            some = missing[begin : begin + (1 << 16)]
+            for k, ids in zip(some, self._asked([parts[k].decode() for k in some])):
+                found[k] = ids
                 # About what Python needs for the two strings and the entry.
-                cost = 2 * len(part) + len(ids) + 200
-                if len(part) <= LONGEST_KEPT and cost <= self.room:
-                    self.known[part] = ids
+                cost = len(parts[k]) + len(ids) + 180
+                if len(parts[k]) <= LONGEST_KEPT and cost <= self.room:
+                    self.known[parts[k]] = ids
                     self.room -= cost
-                else:
-                    passing[part] = ids
-        if not passing:
-            return [b"".join(map(self.known.__getitem__, of)) for of in parts]
-        return [b"".join([passing[p] if p in passing else self.known[p] for p in of]) for of in parts]
+        return found
+
+    def _asked(self, parts: list[str]) -> list[bytes]:
+        """The library's ids.  It cuts texts at its special tokens first, so one of them between
+        parts keeps them apart, and many parts are asked for at once."""
+        alone = [k for k, part in enumerate(parts) if self.between is None or self.between in part or not part]
+        kept = set(alone)
+        rest = [k for k in range(len(parts)) if k not in kept]
+        out: list[bytes] = [b""] * len(parts)
+        for k, e in zip(alone, self.tokenizer.encode_batch_fast([parts[k] for k in alone], add_special_tokens=False)):
+            out[k] = np.array(e.ids, "<u4").tobytes()
+        groups = [rest[k : k + 256] for k in range(0, len(rest), 256)]
+        joined = [self.between.join([parts[k] for k in group]) for group in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            stops = np.append(np.flatnonzero(ids == self.between_id), len(ids)).tolist()
+            if len(stops) != len(group):
+                raise ValueError("the tokenizer doesn't keep its special tokens")
+            low = 0
+            for k, high in zip(group, stops):
+                out[k] = ids[low:high].tobytes()
+                low = high + 1
+        return out
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts data[offsets[k]:offsets[k + 1]], and where each text's begin."""
+        starts = self.cuts(data, offsets)
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        places = np.append(starts, len(data)).astype(np.int64)
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data))])
+        distinct = parts.dictionary_encode()
+        ids = self._of(distinct.dictionary.to_pylist())
+        code = distinct.indices.to_numpy()
+        size = np.array([len(i) // 4 for i in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        many = size[code]
+        ends = np.cumsum(many)
+        shift = (np.cumsum(size) - size)[code] - (ends - many)
+        out = flat[np.repeat(shift, many) + np.arange(ends[-1])]
+        return out, np.append(0, ends)[np.searchsorted(starts, offsets)]
 
 
 _readers: dict[str, Ids] = {}
@@ -106,14 +160,15 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = reader(path)
         for batch in batches:
-            for step in steps(batch, "text"):
+            for step in steps(batch, "text", STEP):
+                ids, bounds = ids_of(*utf8(step, "text"))
                 out: list[tuple] = []
-                for doc_id, ids in zip(step.column(0).to_pylist(), ids_of(texts(step, "text"))):
-                    ids += end
-                    total, start, piece = len(ids) // 4, 0, 0
+                for doc_id, low, high in zip(step.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                    whole = ids[low:high].tobytes() + end
+                    total, start, piece = high - low + 1, 0, 0
                     while start < total:
                         length = (total - 1) % capacity + 1 if piece == 0 else capacity
-                        out.append((doc_id, piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
+                        out.append((doc_id, piece, start, length, zlib.crc32(whole[4 * start : 4 * (start + length)])))
                         start, piece = start + length, piece + 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PIECES)], schema=_PIECES)
 
