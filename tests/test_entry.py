@@ -23,7 +23,7 @@ print(*sorted(e.queries()))
 
 
 def test_warehouse_queries_load_without_the_optional_part():
-    from dimforge.plans.catalog import QUERIES
+    from __spark_entry__ import QUERIES
 
     for hide in ("corpus_pipeline", "dimforge.llm", "regex", "sentencepiece"):
         assert _keys(hide) >= set(QUERIES), hide

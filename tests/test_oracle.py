@@ -10,8 +10,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="fixture tables no
 import __spark_entry__ as entry  # noqa: E402
 from dimforge.oracle_check import compare, duckdb_views  # noqa: E402
 
-from dimforge.plans.catalog import QUERIES  # noqa: E402
 
+QUERIES = entry.QUERIES
 KEYS = sorted(QUERIES)
 
 
