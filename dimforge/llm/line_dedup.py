@@ -1,6 +1,8 @@
 """Boilerplate lines: those that stand on too large a share of a site's pages go.
 
 Per host, the number of distinct pages with a line is divided by the host's distinct pages.
+The share that makes a line boilerplate falls with the square of its words: a word or two come
+back by chance on many pages, a sentence or a paragraph on hardly any, however large the host.
 Exact copies of a page count once, so a much copied page is not taken for boilerplate (its
 copies are the near-duplicate operator's work).  All of it is DataFrame functions; the text
 itself is shuffled once at most, to put the result together.
@@ -13,7 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import fresh
 
-#: A line on more than this share of a host's pages is boilerplate ...
+#: A line of one word on more than this share of a host's pages is boilerplate, one of w words
+#: on more than this share divided by w^2 ...
 RATIO = 0.05
 #: ... if that many pages have it at least; else every line of a one-page host would be.
 MIN_PAGES = 5
@@ -27,16 +30,20 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _words(line: Column) -> Column:
+    return F.greatest(F.size(F.regexp_extract_all(line, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))), F.lit(1)).cast("long")
+
+
 def boilerplate_lines(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> tuple[DataFrame, DataFrame]:
     """From (host, page, text): the boilerplate of each host as (host, line), line a
-    digest, and the lines of all pages as (host, page, line), each once for a page."""
+    digest, and the lines of all pages as (host, page, line, words), each once for a page."""
     lines = pages.select("host", "page", F.explode(F.array_distinct(F.filter(_lines(F.col("text")), lambda x: F.trim(x) != ""))).alias("line"))
-    lines = lines.select("host", "page", _digest(F.col("line")).alias("line"))
+    lines = lines.select("host", "page", _digest(F.col("line")).alias("line"), _words(F.col("line")).alias("words"))
     totals = pages.filter("page is not null").select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     # Distinct by page first, then partial counts: a line on a third of all pages meets
     # nowhere as rows.
-    found = lines.distinct().groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    too_many = found.join(totals, "host").filter(F.col("n") > F.lit(ratio) * F.col("pages"))
+    found = lines.distinct().groupBy("host", "line", "words").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
+    too_many = found.join(totals, "host").filter(F.col("n") * F.col("words") * F.col("words") > F.lit(ratio) * F.col("pages"))
     return too_many.select("host", "line"), lines
 
 
@@ -47,7 +54,7 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     Defined cases: a null text stays null with 0 lines; an empty text is one blank line.
     Blank lines are never boilerplate and stay.  Rows without a host make up a host of their
     own.  A line that stands several times on a page counts once, and all of it goes.  Lines
-    at exactly the ratio stay.  Repeated rows stay repeated.  A page whose every line is
+    at exactly their ratio stay.  Repeated rows stay repeated.  A page whose every line is
     boilerplate keeps its row, with its blank lines or an empty text.  Columns called
     n_lines or n_dropped are replaced; others are kept as they are."""
     docs = docs.drop("n_lines", "n_dropped")
@@ -72,17 +79,18 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
 
 def oracle_sql(ratio: float = RATIO, min_pages: int = MIN_PAGES) -> str:
     """The result of drop_boilerplate() over ``documents``, for DuckDB."""
-    return f"""
+    return rf"""
 WITH line_rows AS (
   SELECT DISTINCT source, text, unnest(string_split(text, chr(10))) AS line FROM documents
 ), share AS (
-  SELECT source, line, count(*) AS n FROM line_rows WHERE trim(line) <> '' GROUP BY ALL
+  SELECT source, line, count(*) AS n, greatest(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')), 1) AS words
+  FROM line_rows WHERE trim(line) <> '' GROUP BY ALL
 ), site AS (
   SELECT source, count(DISTINCT text) AS pages FROM documents GROUP BY ALL
 ), boiler AS (
   SELECT share.source, list(line) AS bad
   FROM share JOIN site ON share.source IS NOT DISTINCT FROM site.source
-  WHERE n >= {min_pages} AND n > {ratio} * pages GROUP BY ALL
+  WHERE n >= {min_pages} AND n * words * words > {ratio} * pages GROUP BY ALL
 ), parts AS (
   SELECT d.doc_id, d.text, string_split(d.text, chr(10)) AS all_lines,
          list_filter(string_split(d.text, chr(10)), lambda x: NOT list_contains(coalesce(bad, []), x)) AS good

@@ -34,3 +34,19 @@ def test_columns_and_empty_table(spark):
     row = out.first()
     assert row["page_key"] == "k" and row["n_lines"] == 2 and row["text"].startswith("own")
     assert ld.drop_boilerplate(frame.limit(0)).collect() == []
+
+
+def test_planted_lines_on_a_small_share_of_a_large_host(spark, docs):
+    """A sentence on 8 and a paragraph on 5 of 6,000 pages go; lines of the pages' own, and a
+    word on 30 of them, stay."""
+    sentence = "This work may be copied under the terms of its license, version 3."
+    paragraph = " ".join(f"word{i}" for i in range(60))
+    rows = []
+    for i in range(6000):
+        text = f"page {i} of the host\nnumber {i} has its own words here"
+        text += f"\n{sentence}" if i % 750 == 0 else f"\n{paragraph}" if i % 1200 == 1 else "\nNext" if i % 200 == 2 else ""
+        rows.append((i, text, "en", "large"))
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in ld.drop_boilerplate(docs(rows)).select("doc_id", "text", "n_dropped").collect()}
+    for i, text, _, _ in rows:
+        planted = i % 750 == 0 or i % 1200 == 1
+        assert got[i] == ((text.rsplit("\n", 1)[0], 1) if planted else (text, 0)), i
