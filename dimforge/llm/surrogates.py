@@ -38,9 +38,10 @@ ALPHABETS = (
 )
 
 _TITLES = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
-#: One pattern for each type; in a text they are tried in this order at every place.
+#: One pattern for each type; in a text they are tried in this order at every place.  A group
+#: without a bound is possessive: Java's matcher would otherwise recurse once a repeat.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,}+|AKIA[0-9A-Z]{16}|sk-[0-9A-Za-z]{20,}+|gh[pousr]_[0-9A-Za-z]{20,}+)(?![\p{L}\p{N}])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "phone": r"(?<![\d+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}(?!\d)",
@@ -50,7 +51,8 @@ PATTERNS = {
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Draws that an entity may need before the space of its form counts as exhausted.
+#: Draws after which what is left gets a surrogate that is distinct by itself: no form has been
+#: seen to need so many.
 MOST_DRAWS = 60
 #: After each so many draws the space grows: names by a syllable, the local part of an address
 #: by a letter, phone and national numbers by a digit; octets get any number of digits.
@@ -68,10 +70,11 @@ def _kind(raw: Column) -> Column:
 
 def _canonical(kind: Column, raw: Column) -> Column:
     """What all spellings of an entity share: digits of numbers, lower case of addresses and
-    secrets, capitals of an IBAN without spaces, a name without its title's full stop."""
+    hexadecimal secrets, capitals of an IBAN without spaces, a name without its title's full
+    stop.  Other secrets that differ by case are two."""
     return (
         F.when(kind.isin("phone", "card", "national"), F.regexp_replace(raw, r"\D", ""))
-        .when(kind.isin("email", "secret"), F.lower(raw))
+        .when((kind == "email") | ((kind == "secret") & raw.rlike("^[0-9a-fA-F]+$")), F.lower(raw))
         .when(kind == "iban", F.regexp_replace(raw, " ", ""))
         .when(kind == "name", F.regexp_replace(raw, r"^(\p{L}+)\. ", "$1 "))
         .otherwise(raw)
@@ -136,15 +139,22 @@ def _name(text: Column, seed: Column, extra: Column) -> Column:
     return F.when(cyrillic, F.when(male, of("cyrillic", "m")).otherwise(of("cyrillic", "f"))).otherwise(F.when(male, of("latin", "m")).otherwise(of("latin", "f")))
 
 
-def _surrogate(kind: Column, text: Column, draw: Column, key: str) -> Column:
+def _seeds(kind: Column, text: Column, draw: Column, key: str) -> dict[str, Column]:
+    """What a surrogate's characters are drawn by: hashes of the whole form, so that a draw
+    reads no more than these, however long the form is."""
+    return {
+        "seed": F.sha2(F.concat_ws("\n", F.lit(key), kind, text, draw.cast("string")), 256),
+        "domain_seed": F.sha2(F.concat_ws("\n", F.lit(key), F.lit("domain"), F.substring_index(text, "@", -1)), 256),
+    }
+
+
+def _surrogate(kind: Column, text: Column, draw: Column, seed: Column, domain_seed: Column) -> Column:
     """The surrogate of a canonical form.  Addresses of one domain share a surrogate domain, and
     the last label stays; a phone number keeps its country digit, a card its first digit, and
     its check digit fits if it did; an IBAN keeps its country."""
-    seed = F.sha2(F.concat_ws("\n", F.lit(key), kind, text, draw.cast("string")), 256)
     extra = F.floor(draw / GROWS_AFTER).cast("int")
     digits = _more(extra, seed, "0123456789", 1000)
     domain = F.substring_index(text, "@", -1)
-    domain_seed = F.sha2(F.concat_ws("\n", F.lit(key), F.lit("domain"), domain), 256)
     host = F.regexp_extract(domain, r"^(.*)\.[^.]+$", 1)
     email = F.concat(_characters(F.substring_index(text, "@", 1), seed), _more(extra, seed, ALPHABETS[1], 1000), F.lit("@"), _characters(host, domain_seed), F.lit("."), F.substring_index(domain, ".", -1))
     card = _characters(text, seed, F.lit(1))
@@ -160,11 +170,20 @@ def _surrogate(kind: Column, text: Column, draw: Column, key: str) -> Column:
         .when(kind == "iban", _characters(text, seed, F.lit(2)))
         .when(kind == "name", _name(text, seed, extra))
         .when((kind == "secret") & text.rlike("^[0-9a-f]+$"), hexadecimal)
-        .when(kind == "secret", _characters(text, seed, F.when(text.startswith("akia") | text.startswith("gh"), 4).otherwise(3)))
+        .when(kind == "secret", _characters(text, seed, F.when(text.startswith("AKIA") | text.startswith("gh"), 4).otherwise(3)))
         .otherwise(_characters(text, seed))
     )
 
 
+def _cased(surrogate: Column, raw: Column) -> Column:
+    """A surrogate with the capitals where the occurrence has them."""
+
+    def one(a, b):
+        return F.when((F.upper(b) == b) & (F.lower(b) != b), F.upper(a)).otherwise(F.coalesce(a, F.lit("")))
+
+    return F.array_join(F.zip_with(F.split(surrogate, ""), F.split(raw, ""), one), "")
+
+
 def _spelled(kind: Column, raw: Column, surrogate: Column) -> Column:
     """A surrogate in an occurrence's spelling."""
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
@@ -175,10 +194,11 @@ def _spelled(kind: Column, raw: Column, surrogate: Column) -> Column:
 
     # a surrogate from a grown space is longer: the rest of it follows
     spaced = F.aggregate(F.split(raw, ""), start, put, lambda s: F.concat(s["out"], F.substring(surrogate, s["k"] + 1, F.length(surrogate))))
-    capital = (F.upper(raw) == raw) & (F.lower(raw) != raw)
+    address = F.concat(*[_cased(F.substring_index(surrogate, "@", k), F.substring_index(raw, "@", k)) if k else F.lit("@") for k in (1, 0, -1)])
     return (
         F.when(kind.isin("phone", "card", "national", "iban"), spaced)
-        .when(kind.isin("email", "secret"), F.when(capital, F.upper(surrogate)).otherwise(surrogate))
+        .when(kind == "email", address)
+        .when((kind == "secret") & raw.rlike("^[0-9a-fA-F]+$"), F.when((F.upper(raw) == raw) & (F.lower(raw) != raw), F.upper(surrogate)).otherwise(_cased(surrogate, raw)))
         .when((kind == "name") & raw.rlike(r"^\p{L}+\. "), F.concat_ws(". ", F.substring_index(surrogate, " ", 1), F.regexp_replace(surrogate, r"^\p{L}+ ", "")))
         .otherwise(surrogate)
     )
@@ -190,10 +210,15 @@ def surrogate_table(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     keeps it (ties: the smaller canonical form); the others draw again."""
     entities = shared(entities.select("kind", "canonical").distinct())
     drawn = entities.withColumn("draw", F.lit(0))
-    kind, text = F.col("kind"), F.col("canonical")
+    kind, text, draw = F.col("kind"), F.col("canonical"), F.col("draw")
+
+    def with_surrogates(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumns(_seeds(kind, text, draw, key))
+        return shared(rows.withColumn("surrogate", _surrogate(kind, text, draw, F.col("seed"), F.col("domain_seed"))).drop("seed", "domain_seed"))
+
     originals = entities.select("kind", F.col("canonical").alias("surrogate"))
     for _ in range(MOST_DRAWS):
-        drawn = shared(drawn.withColumn("surrogate", _surrogate(kind, text, F.col("draw"), key)))
+        drawn = with_surrogates(drawn)
         first = drawn.groupBy("kind", "surrogate").agg(F.min(F.struct("draw", "canonical")).alias("first"), F.count("*").alias("n")).filter("n > 1")
         twice = drawn.join(first, ["kind", "surrogate"]).filter(F.struct("draw", "canonical") != F.col("first"))
         taken = drawn.join(originals, ["kind", "surrogate"], "left_semi")
@@ -201,7 +226,9 @@ def surrogate_table(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
         if again.isEmpty():
             return drawn.drop("draw")
         drawn = drawn.drop("surrogate").join(again.withColumn("more", F.lit(1)), ["kind", "canonical"], "left").select("kind", "canonical", (F.col("draw") + F.coalesce("more", F.lit(0))).alias("draw"))
-    raise RuntimeError(f"entities without a free surrogate after {MOST_DRAWS} draws")
+    own = F.concat("surrogate", F.lit("-"), F.sha2(F.concat_ws("\n", F.lit(key), kind, text), 256))
+    settled = drawn.join(again.withColumn("more", F.lit(1)), ["kind", "canonical"], "left")
+    return with_surrogates(settled).select("kind", "canonical", F.when(F.col("more").isNotNull(), own).otherwise(F.col("surrogate")).alias("surrogate"))
 
 
 def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY) -> DataFrame:
@@ -221,7 +248,9 @@ def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = DE
     occurrences = shared(occurrences.withColumn("kind", _kind(F.col("raw"))).withColumn("canonical", _canonical(F.col("kind"), F.col("raw"))).distinct())
     table = surrogate_table(occurrences, key)
     spelled = occurrences.join(table, ["kind", "canonical"]).select("page", "place", _spelled(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new"))
-    by_page = spelled.groupBy(F.col("page").alias(page)).agg(F.array_sort(F.collect_set(F.struct("place", "new"))).alias(found))
+    # Written first: the join then has its own exchange, where AQE can split a page that very
+    # many documents copy.
+    by_page = shared(spelled.groupBy(F.col("page").alias(page)).agg(F.array_sort(F.collect_set(F.struct("place", "new"))).alias(found)))
     joined = marked.join(by_page, page, "left")
     between = F.split(text, PATTERN, -1)
     # A text is what stands between the finds and the finds, in turn.
