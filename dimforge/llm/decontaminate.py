@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix, shared, steps, texts, words
+from .common import U64, mix, shared, steps, substring_hashes, texts, words
 
 SHINGLE = 5
 SIMILARITY = 0.75
@@ -32,6 +32,8 @@ RADIUS = 3
 STEP = 4
 #: Bits of a block: 64 bits in RADIUS + 1 blocks.
 BLOCK_BITS = 64 // (RADIUS + 1)
+#: Pairs of windows that one step of the search holds at a time.
+CHUNK = 1 << 20
 #: Words of benchmark text that one pass takes to the executors; more make more passes.
 PASS_WORDS = 2_000_000
 
@@ -152,6 +154,16 @@ def _sequence(hashes: np.ndarray) -> int:
     return int(np.sum(mix(mix(hashes) + np.arange(1, len(hashes) + 1).astype(U64)), dtype=U64).view(np.int64))
 
 
+def _spread(many: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(number, 0 .. many[number] - 1) for all numbers in turn, some CHUNK at a time."""
+    ends = np.cumsum(many)
+    total = int(ends[-1]) if len(ends) else 0
+    for low in range(0, total, CHUNK):
+        k = np.arange(low, min(low + CHUNK, total))
+        number = np.searchsorted(ends, k, "right")
+        yield number, k - (ends[number] - many[number])
+
+
 class Index:
     """The items' words, shingle weights, and window fingerprints by block."""
 
@@ -181,12 +193,17 @@ class Index:
             for size, step in window_sizes(len(hashes), in_row):
                 prints = bits.windows(size, 1)
                 found.setdefault((size, step), []).append((prints, np.full(len(prints), i), np.arange(len(prints))))
+        #: of each window size: the distinct (fingerprint, item) entries, where each one's
+        #: places begin in the list of places, and that list
         self.prints, self.tables = {}, {}
         for key, parts in found.items():
             prints, item, offset = (np.concatenate(x) for x in zip(*parts))
-            self.prints[key] = (prints, item, offset)
+            order = np.lexsort((offset, prints, item))
+            prints, item, offset = prints[order], item[order], offset[order]
+            begin = np.flatnonzero(np.append([True], (prints[1:] != prints[:-1]) | (item[1:] != item[:-1]))) if len(prints) else np.zeros(0, np.int64)
+            self.prints[key] = (prints[begin], item[begin], np.append(begin, len(prints)), offset)
             for b in range(RADIUS + 1):
-                block = self.block(prints, b)
+                block = self.block(prints[begin], b)
                 order = np.argsort(block, kind="stable")
                 has = np.zeros(1 << BLOCK_BITS, bool)
                 has[block] = True
@@ -199,7 +216,7 @@ class Index:
     def candidates(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, item, where in the row the item would begin) of all windows of the rows'
         words within RADIUS of one of the items' windows; rows begin at ``first``."""
-        rows, items, places = [], [], []
+        found = [np.zeros(0, np.int64)]
         # Every row begins at a multiple of STEP, so what stands before it changes nothing.
         sizes = np.diff(first)
         begin = np.append(0, np.cumsum(-(-sizes // STEP) * STEP))
@@ -208,23 +225,36 @@ class Index:
         bits = _Bits(padded)
         row = np.repeat(np.arange(len(sizes)), np.diff(begin))
         left = (begin[:-1] + sizes)[row] - np.arange(len(padded))
-        for (size, step), (prints, item, offset) in self.prints.items():
+        # One number for (row, item, place): a place lies less than an item's length before
+        # its row.
+        most = max(map(len, self.words), default=0)
+        span = int(sizes.max(initial=0)) + most + 1
+        for (size, step), (prints, item, bounds, offsets) in self.prints.items():
             own = bits.windows(size, step)
             inside = left[: len(own) * step : step] >= size
+            pairs = [np.zeros(0, np.int64)]
             for b in range(RADIUS + 1):
                 has, block, order = self.tables[(size, step), b]
                 value = self.block(own, b)
                 hit = np.flatnonzero(has[value] & inside)
                 low, high = np.searchsorted(block, value[hit], "left"), np.searchsorted(block, value[hit], "right")
-                many = high - low
-                at = np.repeat(hit, many)
-                other = order[np.repeat(low - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(len(at))] if len(at) else at
-                near = np.bitwise_count(own[at] ^ prints[other]) <= RADIUS
-                at, other = at[near] * step, other[near]
-                rows.append(row[at])
-                items.append(item[other])
-                places.append(at - begin[row[at]] - offset[other])
-        return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, items, places))
+                for part, k in _spread(high - low):
+                    at, other = hit[part], order[low[part] + k]
+                    near = np.bitwise_count(own[at] ^ prints[other]) <= RADIUS
+                    pairs.append(np.unique(at[near] * len(prints) + other[near]))
+            # A window and a fingerprint of an item are one pair, whatever blocks they share and
+            # however often the item has it; the places it stands for are merged as they come.
+            pairs = np.unique(np.concatenate(pairs))
+            at, other = pairs // max(len(prints), 1), pairs % max(len(prints), 1)
+            for part, k in _spread(np.diff(bounds)[other]):
+                where = at[part] * step
+                place = where - begin[row[where]] - offsets[bounds[other[part]] + k]
+                found.append(np.unique((row[where] * len(self.words) + item[other[part]]) * span + place + most))
+            if len(found) > 32:
+                found = [np.unique(np.concatenate(found))]
+        every = np.unique(np.concatenate(found))
+        pair, place = every // span, every % span - most
+        return pair // max(len(self.words), 1), pair % max(len(self.words), 1), place
 
     def similarity(self, item: int, window: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's shingles and a window's; a shingle that n
@@ -242,20 +272,44 @@ def _search(index: Index, rows: list[str]) -> list[tuple[int, int, int, float]]:
     """(row, item id, first word, similarity) of verified passages, the best of each row and
     item (ties: the first)."""
     hashes, first = _words(rows)
+    if not len(hashes) or not index.words:
+        return []
+    row, item, place = index.candidates(hashes, first)
+    sizes, least = np.array([len(w) for w in index.words]), np.array(index.least)
+    # Near a border the place may reach past it, so that less of what is foreign is in it: all
+    # such places of a row and item are tried.
+    size, few, n = sizes[item], least[item], np.diff(first)[row]
+    more = [np.stack([row, item, place])]
+    for near, low, high in (
+        (place <= size - few, few - size, np.minimum(place, 0)),
+        (place + size >= n - (size - few), np.maximum(place, n - size) + 1, n - few + 1),
+    ):
+        low, high = low[near], np.maximum(high[near], low[near])
+        pair = np.stack([row[near], item[near]])
+        # places of one row and item make one range
+        _, same = np.unique(pair, axis=1, return_inverse=True)
+        same = same.reshape(-1)
+        if len(same):
+            first_of = np.unique(same, return_index=True)[1]
+            bottom, top = np.full(len(first_of), 1 << 60), np.full(len(first_of), -(1 << 60))
+            np.minimum.at(bottom, same, low)
+            np.maximum.at(top, same, high)
+            for part, k in _spread(np.maximum(top - bottom, 0)):
+                more.append(np.stack([*pair[:, first_of[part]], bottom[part] + k]))
+    row, item, place = np.unique(np.concatenate(more, axis=1), axis=1)
+    # What reaches past the row is cut off.
+    low, high = np.maximum(place, 0) + first[row], np.minimum(place + sizes[item] + first[row], first[row + 1])
+    held = low < high
+    row, item, low, high = row[held], item[held], low[held], high[held]
+    # Equal windows are compared with an item once, however often they stand in a step.
+    windows = np.stack([item.astype(U64), substring_hashes(hashes, low, high)])
+    _, one, same = np.unique(windows, axis=1, return_index=True, return_inverse=True)
+    similar = np.array([index.similarity(int(item[k]), hashes[low[k] : high[k]]) for k in one])[same.reshape(-1)] if len(one) else np.zeros(0)
     best: dict[tuple[int, int], tuple[float, int]] = {}
-    found = set(zip(*(x.tolist() for x in index.candidates(hashes, first))))
-    for r, i, p in list(found):
-        # Near a border the place may reach past it, so that less of what is foreign is in it.
-        size, least, n = len(index.words[i]), index.least[i], int(first[r + 1] - first[r])
-        if p <= size - least:
-            found.update((r, i, q) for q in range(least - size, min(p, 0)))
-        if p + size >= n - (size - least):
-            found.update((r, i, q) for q in range(max(p, n - size) + 1, n - least + 1))
-    for r, i, p in sorted(found):
-        # What reaches past the row is cut off.
-        low, high = max(p, 0) + int(first[r]), min(p + len(index.words[i]) + int(first[r]), int(first[r + 1]))
-        if low < high and (s := index.similarity(i, hashes[low:high])) >= SIMILARITY and s > best.get((r, index.ids[i]), (0, 0))[0]:
-            best[r, index.ids[i]] = s, low - int(first[r])
+    for k in np.flatnonzero(similar >= SIMILARITY).tolist():
+        r, i, s = int(row[k]), index.ids[item[k]], float(similar[k])
+        if s > best.get((r, i), (0, 0))[0]:
+            best[r, i] = s, int(low[k] - first[r])
     return [(r, i, p, s) for (r, i), (s, p) in best.items()]
 
 

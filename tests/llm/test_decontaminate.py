@@ -133,3 +133,53 @@ def test_items_cut_at_a_border_are_found_in_every_alignment(spark):
     got = {(r, i) for r, i, *_ in dc._search(index, [t for _, t in docs])}
     alone = {(r, i) for r, (_, t) in enumerate(docs) for _, i, *_ in dc._search(index, [t])}
     assert got == alone == brute(docs, items) and len(got) >= 9 * 3 * 4
+
+
+def plain_similarity(item, window, items):
+    """Weighted shingle similarity from its definition, on words."""
+    def shingles(w):
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    by = [shingles(t) for t in {tuple(t) for t in items}]
+    own, other = shingles(item), shingles(window)
+    weight = {x: 1 / sum(x in o for o in by) for x in own}
+    mean = sum(weight.values()) / len(own)
+    both = sum(weight[x] for x in own & other)
+    return both / (sum(weight.values()) + mean * len(other - own))
+
+
+def test_equals_plain_python_on_words(spark):
+    """Every place of every document, by words and sets alone: nothing of the operator's."""
+    draw = random.Random(11)
+    base = [words(n) for n in (6, 11, 19, 30, 45)]
+    items = [*base, base[3][:20] + words(10), ["again"] * 12, ["to", "and"] * 9]
+    docs = []
+    for item in items:
+        for edits in range(4):
+            put = list(item)
+            for _ in range(edits):
+                put[draw.randrange(len(put))] = draw.choice(VOCABULARY)
+            docs.append(words(draw.randint(0, 9)) + put + words(draw.randint(0, 9)))
+    docs += [["again"] * 40, ["to", "and"] * 30, words(80), base[4][:36], base[4][12:]]
+    expected = set()
+    for d, doc in enumerate(docs):
+        for i, item in enumerate(items):
+            n = len(item)
+            if any(plain_similarity(item, doc[max(p, 0) : p + n], items) >= 0.75 - 1e-12 for p in range(-n // 4, len(doc)) if doc[max(p, 0) : p + n]):
+                expected.add((d, i))
+    got = dc.contaminated(*frames(spark, [(d, " ".join(t)) for d, t in enumerate(docs)], [(i, " ".join(t)) for i, t in enumerate(items)])).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == expected
+
+
+def test_repetitive_text_takes_little_memory():
+    """An item of 300 equal words against a megabyte of them, and one of two words in turn."""
+    import resource
+    import time
+
+    index = dc.Index([(1, "same " * 300), (2, "one two " * 200), (3, " ".join(words(40)))])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    start = time.process_time()
+    found = dc._search(index, ["same " * 200_000 + "one two " * 30_000])
+    assert {i for _, i, _, _ in found} == {1, 2} and all(s == 1.0 for *_, s in found)
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 500
+    assert time.process_time() - start < 120
