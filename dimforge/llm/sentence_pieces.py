@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,8 +32,10 @@ SPACE = "\u2581"
 _CUTS = "\n\t\r"
 #: Words longer than this are too few of a length for arrays; they advance one by one.
 LONG_WORD = 128
-#: Segmented words that a Python worker remembers: so many new ones, and as many of before.
+#: Segmented words that a Python worker remembers: so many new ones, and as many of before;
+#: words longer than LONGEST_KEPT code points are not, so the memory is bounded in bytes.
 REMEMBERED = 150_000
+LONGEST_KEPT = 64
 #: Bytes of text whose new words are segmented together.
 STEP = 1 << 21
 _PAIR_SLOTS = 1 << 20
@@ -354,7 +357,12 @@ class Encoder:
                     known[w] = self._spaces(count + 1) + known[tail][len(alone) :]
                 else:
                     known[w] = self._spaces(count) + known[tail]
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+        out = [b"".join(map(known.__getitem__, p)) for p in parts]
+        for w in [*new, *(w.lstrip(SPACE) for w in new)]:
+            if len(w) > LONGEST_KEPT - 1:
+                known.pop(w, None)
+                known.pop(SPACE + w, None)
+        return out
 
 
 def decode(model: Model, ids: np.ndarray) -> str:
@@ -364,7 +372,7 @@ def decode(model: Model, ids: np.ndarray) -> str:
     return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def _encoder(model) -> Encoder:
@@ -378,7 +386,7 @@ def _encoder(model) -> Encoder:
 class _Shared:
     def __init__(self, spark: SparkSession, path: str | None):
         self.handle = spark.sparkContext.broadcast(Model(path or default_path()))
-        self.id = id(self)
+        self.id = uuid.uuid4().hex
 
     @property
     def value(self) -> Model:

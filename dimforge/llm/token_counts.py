@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -21,8 +22,10 @@ from .common import steps, texts
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
-#: Words whose counts a Python worker remembers: so many new ones, and as many of before.
+#: Words whose counts a Python worker remembers: so many new ones, and as many of before;
+#: words longer than LONGEST_KEPT are not, so the memory is bounded in bytes.
 REMEMBERED = 500_000
+LONGEST_KEPT = 64
 
 
 def default_path() -> str:
@@ -116,7 +119,8 @@ class _Counts(dict):
         count = self.before.get(word)
         if count is None:
             count = count_word(self.vocabulary, word.encode("utf-8", "replace"))
-        self[word] = count
+        if len(word) <= LONGEST_KEPT:
+            self[word] = count
         return count
 
 
@@ -143,7 +147,7 @@ class Counter:
         return len(parts) - 1 + sum(map(self._plain, parts))
 
 
-_counters: dict[int, Counter] = {}
+_counters: dict[str, Counter] = {}
 
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, path: str | None = None) -> DataFrame:
@@ -156,7 +160,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns are not looked at; an empty table gives no rows."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(path or default_path()))
-    key = id(vocabulary)
+    key = uuid.uuid4().hex  # a worker may live on over several of these
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _counters:

@@ -14,6 +14,7 @@ can be broadcast.  The counts behind it cover all labelled rows that may be lear
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,8 +35,10 @@ BINS = 2000
 REACH = 1.0
 #: So many label rows (16 bytes each) may be broadcast; beyond, the same join is a shuffle.
 BROADCAST_LABELS = 2_000_000
-#: Words whose evidence a Python worker remembers: so many new ones, and as many of before.
+#: Words whose evidence a Python worker remembers: so many new ones, and as many of before;
+#: words longer than LONGEST_KEPT are not, so the memory is bounded in bytes.
 REMEMBERED = 400_000
+LONGEST_KEPT = 64
 
 _find = re.compile(r"[^\W\d_]+").findall
 
@@ -165,10 +168,14 @@ class Reader:
         if new:
             self.known.update(zip(new, self.evidence.of_words(new).tolist()))
         known = self.known.__getitem__
-        return [sum(map(known, w)) / (sum(map(len, w)) + len(w)) if w else 0.0 for w in words]
+        out = [sum(map(known, w)) / (sum(map(len, w)) + len(w)) if w else 0.0 for w in words]
+        for w in new:
+            if len(w) > LONGEST_KEPT:
+                del self.known[w]
+        return out
 
 
-_readers: dict[int, Reader] = {}
+_readers: dict[str, Reader] = {}
 
 
 def _reader(handle) -> Reader:
@@ -180,7 +187,7 @@ def _reader(handle) -> Reader:
 
 class _Shared:
     def __init__(self, spark, evidence):
-        self.handle, self.id = spark.sparkContext.broadcast(evidence), id(self)
+        self.handle, self.id = spark.sparkContext.broadcast(evidence), uuid.uuid4().hex
 
     @property
     def value(self):
