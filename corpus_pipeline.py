@@ -14,25 +14,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimforge.llm import decontaminate, language, line_dedup, near_dedup, sentence_pieces
-from dimforge.llm.common import shared_folder, ship, table
+from dimforge.llm.common import fresh, shared_folder, ship, table
+
+
+def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its own columns of these names (in any case), which an operator's results
+    would replace, under other names, and the way back."""
+    moved = {c: fresh(docs, f"own_{c}") for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(moved), {new: old for old, new in moved.items()}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language (null texts, or without a letter) go; the others carry the
-    predicted language in lang."""
+    predicted language in lang.  It is a label, no filter by language: every other document
+    stays.  All other columns come out as they went in, whatever their names; repeated rows
+    stay repeated, and an empty table stays empty."""
     ship(spark)
-    kind = docs.schema["lang"].dataType if "lang" in docs.columns else "string"
-    return language.label(docs).filter(F.col("lang_pred") != language.UNKNOWN).withColumn("lang", F.col("lang_pred").cast(kind)).select(docs.columns)
+    columns = docs.columns
+    kind = docs.schema["lang"].dataType if "lang" in columns else "string"
+    docs, back = _aside(docs, "lang_pred", "score")
+    found = language.label(docs).filter(F.col("lang_pred") != language.UNKNOWN).withColumn("lang", F.col("lang_pred").cast(kind))
+    return found.drop("lang_pred", "score").withColumnsRenamed(back).select(columns)
 
 
 def boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go from the texts, with n_chars brought up to date; no
-    document goes."""
+    document goes.  Null and empty texts stay; all other columns come out as they went in,
+    whatever their names; an empty table stays empty."""
+    columns = docs.columns
+    docs, back = _aside(docs, "n_lines", "n_dropped")
     cleaned = line_dedup.drop_boilerplate(docs)
-    if "n_chars" in docs.columns:
+    if "n_chars" in columns:
         changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
         cleaned = cleaned.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(docs.columns)
+    return cleaned.drop("n_lines", "n_dropped").withColumnsRenamed(back).select(columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,15 +61,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.  Null and empty texts hold none; all columns
+    come out as they went in; an empty table on either side drops nothing."""
     ship(spark)
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds ids and n_tokens, and whether decoding the ids gives the text back."""
+    """Adds ids, n_tokens and round_trip: whether decoding the ids gives the text back.  If the
+    documents have such columns themselves, those stay and the results get a leading
+    underscore.  Null and empty texts have no ids and round-trip; an empty table stays empty."""
     ship(spark)
-    return sentence_pieces.encode_checked(docs)
+    results = ("ids", "n_tokens", "round_trip")
+    named = {r: fresh(docs, r) for r in results}
+    docs, back = _aside(docs, *results)
+    return sentence_pieces.encode_checked(docs).withColumnsRenamed(named).withColumnsRenamed(back)
 
 
 STAGES = [
@@ -70,6 +91,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``: the documents that are left, with their ids.  Each stage's
+    result is written and read again, so a lost executor repeats no earlier stage.  Nulls,
+    ties, repeated rows and empty tables are defined by the stages."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/corpus_pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
