@@ -38,3 +38,21 @@ def test_each_stage_takes_an_empty_table_and_further_columns(spark, tmp_path):
         assert stage(spark, frame.limit(0), str(tmp_path)).collect() == []
         out = stage(spark, frame, str(tmp_path)).collect()
         assert len(out) == 6 and all(r["part"] == "k" for r in out), name
+
+
+def test_columns_of_any_name_go_through_all_stages(spark, tmp_path):
+    """A user's columns named like results of the operators come out as they went in."""
+    own = {"score": 0.25, "lang_pred": "mine", "n_lines": 777, "n_dropped": 5, "kept": False, "component_id": 9, "similarity": 0.5, "IDS": "a", "n_tokens": 3, "round_trip": "no", "own_score": 1, "page_key": "p", "host_key": "h"}
+    rows = [(i, f"{text(40)}\nabout this site", "en", f"s{i % 2}", 1, *own.values()) for i in range(12)] + [(50, "word " * 60_000 + "end", "en", "s1", 1, *own.values())]
+    frame = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *own])
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, text(30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        assert all({c: r[c] for c in own} == own for r in out.collect()), name
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(out) == 13
+    for r in out:
+        assert {c: r[c] for c in own} == own and r["_round_trip"] and r["_n_tokens"] == len(r["_ids"])
