@@ -10,6 +10,7 @@ original embedded SQL dialect, not Spark's defaults (see the trap tests):
   junk and overflow give NULL ('225.5' -> 226, '1e3' -> 1000, '99999999999' -> NULL);
 * text -> timestamp/date: a full ``YYYY-M-D`` date is required ('2017-10' -> NULL,
   although Spark alone would read it as 2017-10-01);
+* a typed raw column takes no way through text (``declared``);
 * minutes between two timestamps count minute boundaries crossed
   (00:00:59 -> 00:01:00 is one minute).
 """
@@ -56,6 +57,36 @@ def try_date(x) -> Column:
     return try_ts(x).cast("date")
 
 
+_KINDS = {
+    "int": {"tinyint", "smallint", "int", "bigint", "float", "double"},
+    "decimal(10,2)": {"tinyint", "smallint", "int", "bigint", "float", "double"},
+    "timestamp_ntz": {"timestamp", "timestamp_ntz", "date"},
+}
+
+
+def fits(physical: str, kind: str) -> bool:
+    """Whether a file may store a column of this declared kind as ``physical``."""
+    return physical == "string" or kind == "string" or physical in _KINDS[kind] or (kind != "timestamp_ntz" and physical.startswith("decimal"))
+
+
+def declared(df, column: str, kind: str) -> Column:
+    """A raw column in its declared kind, by how it is stored: text goes through the safe casts
+    above, a typed column is only widened or narrowed (so filters on it reach the scan).  A
+    value that doesn't fit is NULL."""
+    physical = dict(df.dtypes)[column]
+    if physical == kind:
+        return col(column)
+    if physical == "string":
+        return {"int": try_int, "decimal(10,2)": try_dec, "timestamp_ntz": try_ts}[kind](column)
+    if not fits(physical, kind):
+        raise TypeError(f"column {column} is stored as {physical}, not as text or {kind}")
+    if kind == "int" and physical in ("float", "double"):
+        return F.rint(column).try_cast("int")  # the original dialect rounds these half to even
+    if kind == "int" and physical.startswith("decimal"):
+        return F.round(column, 0).try_cast("int")
+    return col(column).try_cast(kind)
+
+
 def clean_lower(x) -> Column:
     return F.lower(F.trim(col(x)))
 

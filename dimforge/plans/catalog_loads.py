@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.exprs import declared
 from ..operators.keys import ensure_checkpoint_dir, rejects
 from ..operators.merge import insert_if_absent, replace_by_key, upsert
 from ..operators.scd2 import scd2_apply
-from . import catalog, dims, facts, staging
+from ..sources.raw import PARQUET_FILES, RAW_COLUMNS, register_raw_views
+from . import catalog, dims, facts, serving, staging
 from .keyed import apply_history, upsert_buckets
 from .pipeline import run_pipeline
 from .publish import TableStore
@@ -191,8 +193,40 @@ def key_rejects(spark, sf_dir):
     return sellers.unionByName(rejects(_with_null_keys(items, "order_id"), ["order_id", "order_item_id"]))
 
 
+def raw_files(spark, raw: dict, folder: str) -> str:
+    """The raw relations as files of the original's names: stand-in input, typed where the rules
+    read numbers and times, products all text."""
+    for name, columns in RAW_COLUMNS.items():
+        if name in raw:
+            df = raw[name].select(*[c if name == "raw_products" else declared(raw[name], c, k).alias(c) if k != "string" else c for c, k in columns.items()])
+        else:  # payments: a view that no load reads
+            df = spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in columns.items()))
+        df.write.mode("overwrite").parquet(f"{folder}/{PARQUET_FILES[name]}")
+    return folder
+
+
+def load_from_files(spark, sf_dir):
+    """The item fact's rows from raw files: orders, items and reviews stored typed, products as
+    text."""
+    w = catalog._w(spark, sf_dir)
+    views = register_raw_views(spark, raw_files(spark, w.raw, f"{ensure_checkpoint_dir(spark)}/raw-{uuid.uuid4().hex}"))
+    out = facts.build_order_items(views, w.dims())
+    products = staging.stg_products(views["raw_products"], views["raw_category_translation"])
+    names = products.join(w.dim_product.select("product_id", "product_key"), "product_id").select("product_key", "category_name_english")
+    return out.join(names, "product_key").drop("shipping_limit_date")
+
+
+def snapshot_outcomes(spark, sf_dir):
+    """Every second supplier number, up to twice the highest: sellers found, without months, and
+    not found."""
+    w = catalog._w(spark, sf_dir)
+    ids = catalog._table(spark, sf_dir, "supplier").select(F.concat(F.lit("se"), (F.col("s_suppkey") * 2).cast("string")).alias("seller_id"))
+    month = w.fct_seller_monthly_snapshot.where(F.col("snapshot_year_month") == MONTHS[0])
+    return serving.snapshot_outcomes(month, w.dim_seller, ids)
+
+
 QUERIES = {f.__name__: f for f in (
     second_load_items, second_load_lifecycle, second_load_snapshot, pipeline_second_run, pipeline_dqc,
     upsert_buckets_customer, scd2_buckets_seller, insert_null_keys_rerun, upsert_null_keys_rerun,
-    scd2_null_keys_rerun, replace_null_keys_rerun, key_rejects,
+    scd2_null_keys_rerun, replace_null_keys_rerun, key_rejects, load_from_files, snapshot_outcomes,
 )}

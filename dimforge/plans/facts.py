@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.exprs import date_key, minutes_between, round_ratio, try_date, try_ts
+from ..functions.exprs import date_key, declared, minutes_between, round_ratio
 from ..operators.merge import replace_by_key
 from ..operators.keys import assign_keys
 from . import staging
@@ -188,10 +188,8 @@ def build_seller_monthly_snapshot(raw: dict, dims: dict) -> DataFrame:
 
 def snapshot_months(raw_orders: DataFrame) -> DataFrame:
     """Months the source covers; each is rebuilt whole (emptied if it gets no rows)."""
-    ts = try_ts("order_purchase_timestamp")
-    return raw_orders.where(ts.isNotNull()).select(
-        F.date_format(try_date("order_purchase_timestamp"), "yyyy-MM").alias("snapshot_year_month")
-    )
+    ts = declared(raw_orders, "order_purchase_timestamp", "timestamp_ntz")
+    return raw_orders.where(ts.isNotNull()).select(F.date_format(ts, "yyyy-MM").alias("snapshot_year_month"))
 
 
 def load_seller_monthly_snapshot(spark, raw: dict, dims: dict, current=None) -> DataFrame:

@@ -65,6 +65,16 @@ ORACLE_SQL: dict[str, str] = {
     "upsert_null_keys_rerun": SQL["upsert_seller"],
     "scd2_null_keys_rerun": SQL["scd2_apply_seller"],
     "replace_null_keys_rerun": q("FROM fct_order_lifecycle"),
+    "load_from_files": q("""
+SELECT f.* EXCLUDE (shipping_limit_date), category_name_english
+FROM fresh_order_items f JOIN (SELECT product_key, category_name_english FROM dim_product) USING (product_key)"""),
+    "snapshot_outcomes": q("""
+SELECT 'se' || (s_suppkey * 2) AS seller_id,
+       CASE WHEN NOT EXISTS (SELECT 1 FROM dim_seller d WHERE d.seller_id = 'se' || (s_suppkey * 2)) THEN 'not found'
+            WHEN months > 0 THEN 'found' ELSE 'no data' END AS outcome, coalesce(months, 0) AS months
+FROM supplier LEFT JOIN (
+  SELECT seller_id, count(*) AS months FROM fct_seller_monthly_snapshot JOIN dim_seller USING (seller_key)
+  WHERE snapshot_year_month = '2016-03' GROUP BY seller_id) m ON m.seller_id = 'se' || (s_suppkey * 2)"""),
     "key_rejects": q("""
 SELECT 'seller_id' AS key_column, count(*) AS rejected FROM stg_sellers WHERE substr(seller_id, 3)::BIGINT % 7 = 0
 UNION ALL SELECT 'order_id', count(*) FROM stg_items WHERE substr(order_id, 3)::BIGINT % 7 = 0

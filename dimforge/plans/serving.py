@@ -92,6 +92,18 @@ def seller_exists(dim_seller: DataFrame, seller_id: str) -> bool:
     return not dim_seller.where(F.col("seller_id") == F.lit(seller_id)).limit(1).isEmpty()
 
 
+def snapshot_outcomes(snapshot: DataFrame, dim_seller: DataFrame, ids: DataFrame) -> DataFrame:
+    """For each id of ``ids`` (seller_id): what the snapshot endpoint answers -- ``found``,
+    ``no data`` (a seller without months) or ``not found`` -- and the number of months.  Both
+    probes are semi joins: no row of the dimension or the fact is multiplied."""
+    months = snapshot.groupBy("seller_key").agg(F.count(F.lit(1)).alias("months"))
+    known = dim_seller.select("seller_id", "seller_key").join(months, "seller_key", "left")
+    known = known.select("seller_id", F.coalesce("months", F.lit(0)).alias("months"), F.lit(True).alias("_known"))
+    outcome = F.when(F.col("_known").isNull(), "not found").when(F.col("months") == 0, "no data").otherwise("found")
+    return ids.select("seller_id").distinct().join(known, "seller_id", "left").select(
+        "seller_id", outcome.alias("outcome"), F.coalesce("months", F.lit(0)).alias("months"))
+
+
 def seller_snapshot_rows(snapshot: DataFrame, dim_seller: DataFrame, seller_id: str,
                          months: int = 12) -> DataFrame:
     """Most recent ``months`` monthly snapshot rows of one seller."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import clean_lower, clean_upper, or_unknown, try_dec, try_int, try_ts
+from ..functions.exprs import clean_lower, clean_upper, declared, or_unknown
 from ..operators.dedupe import first_per_key, latest_per_key
 
 
@@ -58,14 +58,18 @@ def stg_products(raw_products: DataFrame, raw_category_translation: DataFrame) -
     a translation listing a name twice would fan products out, so loads check it.
     """
     cat = stg_cat(raw_category_translation)
-    p = raw_products.alias("p").join(
+    typed = raw_products.select(
+        "product_id", "product_category_name",
+        *[declared(raw_products, src, "int").alias(dst) for dst, src in PRODUCT_INT_COLS.items()],
+    )
+    p = typed.alias("p").join(
         cat.alias("c"), F.col("p.product_category_name") == F.col("c.product_category_name"), "left"
     )
     return p.select(
         F.col("p.product_id").alias("product_id"),
         or_unknown(F.col("p.product_category_name")).alias("category_name"),
         or_unknown(F.col("c.category_name_english")).alias("category_name_english"),
-        *[try_int(F.col(f"p.{src}")).alias(dst) for dst, src in PRODUCT_INT_COLS.items()],
+        *PRODUCT_INT_COLS,
     )
 
 
@@ -75,11 +79,11 @@ def stg_orders(raw_orders: DataFrame) -> DataFrame:
         "order_id",
         "customer_id",
         "order_status",
-        try_ts("order_purchase_timestamp").alias("purchase_ts"),
-        try_ts("order_approved_at").alias("approved_ts"),
-        try_ts("order_delivered_carrier_date").alias("carrier_ts"),
-        try_ts("order_delivered_customer_date").alias("delivered_ts"),
-        try_ts("order_estimated_delivery_date").alias("estimated_ts"),
+        declared(raw_orders, "order_purchase_timestamp", "timestamp_ntz").alias("purchase_ts"),
+        declared(raw_orders, "order_approved_at", "timestamp_ntz").alias("approved_ts"),
+        declared(raw_orders, "order_delivered_carrier_date", "timestamp_ntz").alias("carrier_ts"),
+        declared(raw_orders, "order_delivered_customer_date", "timestamp_ntz").alias("delivered_ts"),
+        declared(raw_orders, "order_estimated_delivery_date", "timestamp_ntz").alias("estimated_ts"),
     )
 
 
@@ -87,19 +91,19 @@ def stg_items(raw_order_items: DataFrame) -> DataFrame:
     """Typed order items; rows whose price or freight is not a number are dropped."""
     typed = raw_order_items.select(
         "order_id",
-        try_int("order_item_id").alias("order_item_id"),
+        declared(raw_order_items, "order_item_id", "int").alias("order_item_id"),
         "product_id",
         "seller_id",
-        try_ts("shipping_limit_date").alias("shipping_limit_date"),
-        try_dec("price", 10, 2).alias("price"),
-        try_dec("freight_value", 10, 2).alias("freight_value"),
+        declared(raw_order_items, "shipping_limit_date", "timestamp_ntz").alias("shipping_limit_date"),
+        declared(raw_order_items, "price", "decimal(10,2)").alias("price"),
+        declared(raw_order_items, "freight_value", "decimal(10,2)").alias("freight_value"),
     )
     return typed.where(F.col("price").isNotNull() & F.col("freight_value").isNotNull())
 
 
 def item_rejects(raw_order_items: DataFrame) -> DataFrame:
     """(column_name, rejected): how many raw items have no number there and are dropped."""
-    counts = raw_order_items.agg(*[F.count_if(try_dec(c, 10, 2).isNull()).alias(c) for c in ("price", "freight_value")])
+    counts = raw_order_items.agg(*[F.count_if(declared(raw_order_items, c, "decimal(10,2)").isNull()).alias(c) for c in ("price", "freight_value")])
     return counts.select(F.expr("stack(2, 'price', price, 'freight_value', freight_value) AS (column_name, rejected)"))
 
 
@@ -117,8 +121,8 @@ def stg_reviews(raw_reviews: DataFrame) -> DataFrame:
     typed = raw_reviews.select(
         "review_id",
         "order_id",
-        try_int("review_score").alias("review_score"),
-        try_ts("review_answer_timestamp").alias("answer_ts"),
+        declared(raw_reviews, "review_score", "int").alias("review_score"),
+        declared(raw_reviews, "review_answer_timestamp", "timestamp_ntz").alias("answer_ts"),
     )
     latest = latest_per_key(typed, "review_id", "answer_ts", ["order_id", "review_score"])
     return latest.select("review_id", "order_id", "review_score")

@@ -1,10 +1,13 @@
-"""Raw Parquet sources exposed as named views with declared (not inferred) schemas."""
+"""Raw Parquet sources: scans by declared columns, exposed as named views."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import fits
+
 # Raw view name -> file name of the original e-commerce dataset.
 PARQUET_FILES = {
     "raw_customers": "olist_customers_dataset.parquet",
@@ -18,49 +21,66 @@ PARQUET_FILES = {
 }
 
 
-def _text(*names) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+# The columns of each raw relation that the loads read, and the kind each is
+# declared as.  A file may store any of them as text; the loads cast it by rule.
+RAW_COLUMNS = {
+    "raw_customers": {
+        "customer_id": "string", "customer_unique_id": "string", "customer_zip_code_prefix": "string",
+        "customer_city": "string", "customer_state": "string",
+    },
+    "raw_sellers": {
+        "seller_id": "string", "seller_zip_code_prefix": "string", "seller_city": "string", "seller_state": "string",
+    },
+    "raw_products": {
+        "product_id": "string", "product_category_name": "string", "product_name_lenght": "int",
+        "product_description_lenght": "int", "product_photos_qty": "int", "product_weight_g": "int",
+        "product_length_cm": "int", "product_height_cm": "int", "product_width_cm": "int",
+    },
+    "raw_category_translation": {"product_category_name": "string", "product_category_name_english": "string"},
+    "raw_orders": {
+        "order_id": "string", "customer_id": "string", "order_status": "string",
+        "order_purchase_timestamp": "timestamp_ntz", "order_approved_at": "timestamp_ntz",
+        "order_delivered_carrier_date": "timestamp_ntz", "order_delivered_customer_date": "timestamp_ntz",
+        "order_estimated_delivery_date": "timestamp_ntz",
+    },
+    "raw_order_items": {
+        "order_id": "string", "order_item_id": "int", "product_id": "string", "seller_id": "string",
+        "shipping_limit_date": "timestamp_ntz", "price": "decimal(10,2)", "freight_value": "decimal(10,2)",
+    },
+    "raw_reviews": {
+        "review_id": "string", "order_id": "string", "review_score": "int", "review_answer_timestamp": "timestamp_ntz",
+    },
+    "raw_payments": {
+        "order_id": "string", "payment_sequential": "int", "payment_type": "string", "payment_installments": "int",
+        "payment_value": "decimal(10,2)",
+    },
+}
 
 
-# Columns the loads read; every one is text and is cast by the loads themselves.
-RAW_SCHEMAS = {
-    "raw_customers": _text(
-        "customer_id", "customer_unique_id", "customer_zip_code_prefix",
-        "customer_city", "customer_state",
-    ),
-    "raw_sellers": _text("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
-    "raw_products": _text(
-        "product_id", "product_category_name", "product_name_lenght",
-        "product_description_lenght", "product_photos_qty", "product_weight_g",
-        "product_length_cm", "product_height_cm", "product_width_cm",
-    ),
-    "raw_category_translation": _text("product_category_name", "product_category_name_english"),
-    "raw_orders": _text(
-        "order_id", "customer_id", "order_status", "order_purchase_timestamp",
-        "order_approved_at", "order_delivered_carrier_date",
-        "order_delivered_customer_date", "order_estimated_delivery_date",
-    ),
-    "raw_order_items": _text(
-        "order_id", "order_item_id", "product_id", "seller_id",
-        "shipping_limit_date", "price", "freight_value",
-    ),
-    "raw_reviews": _text("review_id", "order_id", "review_score", "review_answer_timestamp"),
-    "raw_payments": _text(
-        "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"
-    ),
-}
+class RawSchemaError(ValueError):
+    """A raw file lacks a declared column or stores it as something else."""
 
 
 def read_raw(spark: SparkSession, data_path: str, name: str) -> DataFrame:
-    """Read one raw file with its declared schema.
+    """Scan one raw file by its declared columns.
 
-    Columns stored with another physical type are read as they are and cast to
-    text, so the loads see one contract whatever the file holds.
-    """
+    The footer's schema is checked first: a column that is missing, or stored neither as text
+    nor as its declared kind, is an error before any row is read.  Columns keep their stored
+    type: text is cast by the loads' rules, typed columns are not cast at all, so filters on
+    them and the choice of columns reach the scan."""
     path = f"{data_path.rstrip('/')}/{PARQUET_FILES[name]}"
-    df = spark.read.parquet(path)  # a missing path raises AnalysisException
-    schema = RAW_SCHEMAS[name]
-    return df.select(*[df[f.name].cast("string").alias(f.name) for f in schema.fields])
+    footer = spark.read.parquet(path)  # a missing path raises AnalysisException
+    stored = dict(footer.dtypes)
+    wrong = [c if c not in stored else f"{c} ({stored[c]})" for c, kind in RAW_COLUMNS[name].items() if c not in stored or not fits(stored[c], kind)]
+    if wrong:
+        raise RawSchemaError(f"{PARQUET_FILES[name]}: columns missing or of another kind: {', '.join(wrong)}")
+    schema = T.StructType([T.StructField(c, footer.schema[c].dataType, True) for c in RAW_COLUMNS[name]])
+    df = spark.read.schema(schema).parquet(path)
+    # what is declared as text is text for the loads, whatever the file holds
+    return df.select(*[
+        F.col(c).cast("string").alias(c) if kind == "string" and stored[c] != "string" else F.col(c)
+        for c, kind in RAW_COLUMNS[name].items()
+    ])
 
 
 def register_raw_views(spark: SparkSession, data_path: str) -> dict[str, DataFrame]:
