@@ -75,6 +75,8 @@ SELECT 'se' || (s_suppkey * 2) AS seller_id,
 FROM supplier LEFT JOIN (
   SELECT seller_id, count(*) AS months FROM fct_seller_monthly_snapshot JOIN dim_seller USING (seller_key)
   WHERE snapshot_year_month = '2016-03' GROUP BY seller_id) m ON m.seller_id = 'se' || (s_suppkey * 2)"""),
+    "revenue_from_rollup": SQL["revenue_by_category"],
+    "revenue_from_rollup_range": SQL["revenue_by_category_range"],
     "key_rejects": q("""
 SELECT 'seller_id' AS key_column, count(*) AS rejected FROM stg_sellers WHERE substr(seller_id, 3)::BIGINT % 7 = 0
 UNION ALL SELECT 'order_id', count(*) FROM stg_items WHERE substr(order_id, 3)::BIGINT % 7 = 0

@@ -24,7 +24,7 @@ from .. import schemas
 from ..operators import quality
 from ..operators.keys import require_unique
 from ..sources.raw import register_raw_views
-from . import check_states, checks, dims, facts, staging
+from . import check_states, checks, dims, facts, rollup, staging
 from .keyed import BUCKETS, apply_history, upsert_buckets
 from .publish import TableStore
 
@@ -88,6 +88,7 @@ def run_pipeline(
     d = {k: pub[k] for k in ("dim_customer", "dim_seller", "dim_product", "dim_order_flags")}
     wave(facts.reload_facts(store, raw, d, version))
 
+    pub[rollup.TABLE] = rollup.refresh(store, version)
     all_checks = checks.DIM_CHECKS + checks.FCT_CHECKS + checks.EXTRA_FCT_CHECKS
     scanned = check_states.update(store, all_checks)
     latest = check_states.results(store, all_checks, run_ts)

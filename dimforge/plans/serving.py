@@ -174,19 +174,7 @@ def revenue_by_category(
     over counts) and rounded half away from zero.  Top ``limit`` by revenue, ties by
     category name.
     """
-    _check_limit(limit, 1, 100)
-    fi = fct_order_items
-    by_month = "purchase_month" in fi.columns  # published with its month partition column
-    if date_from is not None:
-        d = _date_arg(date_from, "date_from")
-        fi = fi.where(F.col("order_purchase_date") >= F.lit(d))
-        if by_month:  # the implied month bound prunes whole partition folders
-            fi = fi.where(F.col("purchase_month") >= F.lit(d.strftime("%Y-%m")))
-    if date_to is not None:
-        d = _date_arg(date_to, "date_to")
-        fi = fi.where(F.col("order_purchase_date") <= F.lit(d))
-        if by_month:
-            fi = fi.where(F.col("purchase_month") <= F.lit(d.strftime("%Y-%m")))
+    fi = in_days(fct_order_items, date_from, date_to)
     j = fi.select("product_key", "order_id", "price", "freight_value").join(
         dim_product.select("product_key", "category_name_english"), "product_key"
     )
@@ -197,6 +185,28 @@ def revenue_by_category(
         F.sum((F.col("price") * 100).cast("long")).alias("price_cents"),
         F.sum((F.col("freight_value") * 100).cast("long")).alias("freight_cents"),
     )
+    return top_categories(agg, limit)
+
+
+def in_days(rows: DataFrame, date_from=None, date_to=None) -> DataFrame:
+    """Rows of an inclusive range of purchase days."""
+    by_month = "purchase_month" in rows.columns  # published with its month partition column
+    if date_from is not None:
+        d = _date_arg(date_from, "date_from")
+        rows = rows.where(F.col("order_purchase_date") >= F.lit(d))
+        if by_month:  # the implied month bound prunes whole partition folders
+            rows = rows.where(F.col("purchase_month") >= F.lit(d.strftime("%Y-%m")))
+    if date_to is not None:
+        d = _date_arg(date_to, "date_to")
+        rows = rows.where(F.col("order_purchase_date") <= F.lit(d))
+        if by_month:
+            rows = rows.where(F.col("purchase_month") <= F.lit(d.strftime("%Y-%m")))
+    return rows
+
+
+def top_categories(agg: DataFrame, limit: int) -> DataFrame:
+    """The categories of most revenue, from sums by category."""
+    _check_limit(limit, 1, 100)
     out = agg.select(
         "category_name_english",
         F.col("total_orders").cast("long").alias("total_orders"),

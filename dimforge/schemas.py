@@ -1,4 +1,4 @@
-"""Typed schemas of the twelve warehouse tables, their keys and physical layout.
+"""Typed schemas of the warehouse tables, their keys and physical layout.
 
 Surrogate keys are LONG (INT would cap at 2^31 - 1 rows).  Spark does not enforce
 primary, unique or foreign keys on Parquet; they are data-quality checks instead
@@ -86,6 +86,11 @@ SCHEMAS: dict[str, T.StructType] = {
         ("avg_review_score", dec(4, 2), True), ("avg_delivery_delay_days", dec(8, 2), True),
         ("snapshot_year_month", S, False),
     ),
+    # our own roll-up of the item fact
+    "agg_category_day": _schema(
+        ("order_purchase_date", D, False), ("category_name_english", S, True), ("total_orders", L, False),
+        ("total_items", L, False), ("total_revenue", dec(38, 2), False), ("total_freight", dec(38, 2), False),
+    ),
     "dqc_results": _schema(
         ("run_timestamp", TS, False), ("layer", S, False), ("table_name", S, False),
         ("check_name", S, False), ("status", S, False), ("failed_count", L, False),
@@ -107,9 +112,9 @@ LAYOUT = {
     "fct_order_items": (["purchase_month"], "order_purchase_date", ["order_purchase_date", "customer_key"]),
     "fct_order_lifecycle": (["purchase_month"], "order_purchase_date", ["order_id"]),
     "fct_seller_monthly_snapshot": (["snapshot_year_month"], None, ["seller_key"]),
+    "agg_category_day": (["purchase_month"], "order_purchase_date", ["order_purchase_date"]),
     "dim_seller_hist": ([], None, ["seller_id", "is_current"]),
     "dim_product_hist": ([], None, ["product_id", "is_current"]),
-    "dqc_results": (["layer"], None, ["table_name", "check_name"]),
 }
 
 

@@ -275,6 +275,38 @@ def test_a_month_batch_through_the_whole_run(spark):
     assert {r.table_name: r.n for r in second["row_counts"].collect()} == {t: df.count() for t, df in tables.items()}
 
 
+def test_the_rollup_follows_months_and_categories(spark, store):
+    from dimforge.plans import rollup, serving
+
+    def products(names):
+        return spark.createDataFrame(
+            [(f"p{i}", n, n, None, None, None, None, None, None, None) for i, n in enumerate(names, 1)],
+            "product_id string, category_name string, category_name_english string, product_name_length int, product_description_length int, product_photos_qty int,"
+            "product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int")
+
+    from dimforge.plans.dims import PRODUCT_SET_COLS
+
+    def load(names, given):
+        version = store.next_version("x")
+        upsert_buckets(store, "dim_product", products(names), PRODUCT_SET_COLS, version)
+        fresh = items(spark, given).withColumn("product_key", F.col("order_item_id").cast("long"))
+        reload_fact(store, "fct_order_items", fresh, spark.createDataFrame([(g[0],) for g in given], "order_id string"), "order_id", version)
+        rollup.refresh(store, version)
+        written = store.pending[rollup.TABLE]["written"]
+        store.commit(version, list(store.pending))
+        got = rollup.revenue_by_category(store.read(rollup.TABLE)).collect()
+        assert got == serving.revenue_by_category(store.read("fct_order_items"), store.read("dim_product")).collect()
+        assert rollup.revenue_by_category(store.read(rollup.TABLE), "2016-01-05", "2016-02-05").collect() == serving.revenue_by_category(
+            store.read("fct_order_items"), store.read("dim_product"), "2016-01-05", "2016-02-05").collect()
+        return written
+
+    jan, feb, mar = (f"purchase_month=2016-0{m}" for m in (1, 2, 3))
+    assert load(["a", "a", "b"], [("x", 1, 1, "2016-01-05"), ("x", 2, 2, "2016-01-05"), ("y", 3, 5, "2016-02-05"), ("z", 1, 7, "2016-03-05")]) == [jan, feb, mar]
+    assert load(["a", "a", "b"], [("y", 3, 6, "2016-02-05"), ("y", 1, 6, "2016-02-05")]) == [feb]
+    assert load(["a", "b", "b"], [("z", 1, 7, "2016-03-05")]) == [jan, mar]  # product 2 moves, z is loaded again
+    assert load(["a", "b", "b"], [("y", 3, 6, "2016-01-09")]) == [jan]  # y moves, and its other item goes: no February
+
+
 def test_states_count_each_broken_part(spark, store):
     given = [("a", 1, 1, "2016-01-05"), ("b", 1, 0, "2016-02-05"), ("c", 1, 0, "2016-02-06")]
     load_items(spark, store, given)
