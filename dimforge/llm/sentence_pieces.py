@@ -34,7 +34,7 @@ _CUTS = "\n\t\r"
 LONG_WORD = 128
 #: Segmented words that a Python worker remembers: so many new ones, and as many of before;
 #: words longer than LONGEST_KEPT code points are not, so the memory is bounded in bytes.
-REMEMBERED = 150_000
+REMEMBERED = 50_000
 LONGEST_KEPT = 64
 #: Bytes of text whose new words are segmented together.
 STEP = 1 << 21
