@@ -29,7 +29,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     where = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not where:
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         import tempfile
 
