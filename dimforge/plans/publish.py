@@ -269,6 +269,31 @@ class TableStore:
                 out[name] = df
         return out
 
+    def register_tables(self, names=None, database: str = "default") -> list[str]:
+        """Make the newest committed state of tables catalog tables of the session, with their
+        rows counted, so that the optimizer knows sizes: each part is a catalog partition at its
+        own folder.  The tables are external: dropping them leaves the files.  Logs, whose parts
+        have no column, stay views."""
+        out = []
+        for name in names or schemas.WAREHOUSE_TABLES:
+            entry = self.manifest()["tables"].get(name)
+            if entry is None:
+                continue
+            parts, _, _ = self._layout(name, entry.get("buckets"))
+            table = f"`{database}`.`{name}`"
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._schema_on_disk(name, entry.get("buckets")).fields)
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            where = f"{self.root}/{name}" if parts else f"{self.root}/{name}/{entry['parts']['']}"
+            by = f"PARTITIONED BY (`{parts[0]}`)" if parts else ""
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by} LOCATION '{where}'")
+            labels = [(label.split("=", 1)[1], folder) for label, folder in entry["parts"].items()] if parts else []
+            if labels:
+                specs = " ".join(f"PARTITION (`{parts[0]}` = '{value}') LOCATION '{self.root}/{name}/{folder}'" for value, folder in labels)
+                self.spark.sql(f"ALTER TABLE {table} ADD {specs}")
+            self.spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+            out.append(name)
+        return out
+
     def vacuum(self, keep: int = 2) -> dict[str, list[str]]:
         """Delete all manifests but the newest ``keep`` and every folder that none of those
         names.  Returns the folders removed, by table.  A run under way whose start has been

@@ -307,6 +307,27 @@ def test_the_rollup_follows_months_and_categories(spark, store):
     assert load(["a", "b", "b"], [("y", 3, 6, "2016-01-09")]) == [jan]  # y moves, and its other item goes: no February
 
 
+def test_catalog_tables_follow_the_manifest(spark, store):
+    load_items(spark, store, [("a", 1, 1, "2016-01-05"), ("b", 1, 2, "2016-02-05"), ("c", 1, 3, "2016-03-09")])
+    run(store, lambda v: upsert_buckets(store, "dim_seller", sellers(spark, n=20), SET, v, buckets=4))
+    load_items(spark, store, [("b", 1, 9, "2016-02-05"), ("b", 2, 9, "2016-02-05")])
+    names = ["fct_order_items", "dim_seller"]
+    try:
+        assert sorted(store.register_tables(names)) == sorted(names)
+        for name in names:
+            columns = schemas.SCHEMAS[name].names
+            assert rows(spark.table(f"default.{name}").select(columns)) == rows(store.read(name).select(columns))
+        stats = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED default.fct_order_items").collect()}
+        assert "4 rows" in stats["Statistics"] and stats["Type"] == "EXTERNAL"
+        month = spark.sql("SELECT price FROM default.fct_order_items WHERE purchase_month = '2016-02'")
+        assert sorted(float(r.price) for r in month.collect()) == [9.0, 9.0]
+        assert all("purchase_month=2016-02" in f for f in month.inputFiles())
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS default.{name}")
+    assert store.read("fct_order_items").count() == 4  # dropping the tables left the files
+
+
 def test_states_count_each_broken_part(spark, store):
     given = [("a", 1, 1, "2016-01-05"), ("b", 1, 0, "2016-02-05"), ("c", 1, 0, "2016-02-06")]
     load_items(spark, store, given)
