@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 STEP_BYTES = 1 << 20
 STEP_ROWS = 1 << 12
 
+#: Rows of an Arrow batch at most: what a task holds of its input beside the step it works on.
+BATCH_ROWS = 2000
+
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -152,7 +155,11 @@ _shipped: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Send this package's source to the executors, once per application: their Python
-    workers import the functions that tasks name."""
+    workers import the functions that tasks name.  The session's Arrow batches are made no
+    larger than BATCH_ROWS."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows, "10000")) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
