@@ -1,197 +1,296 @@
-"""Toxicity from two Kneser-Ney language models, one of toxic texts and one of ordinary ones.
-
-The models are over the letters of words (``ORDER``-grams, word borders included).  Only the
-highest order is counted by class; the orders below are Kneser-Ney continuation counts of both
-classes together, so an expression that neither class shows often gets about the same
-likelihood from both.  A text's evidence is the difference of its two log-likelihoods, divided
-by its length; a logistic curve turns it into a score.
-
-A letter is one of 31 symbols (its code point mod 31: neighbours in an alphabet stay apart),
-0 is a word's border.  So there are at most 32 ** ORDER grams, whatever the corpus: the model
-can be broadcast.  The counts behind it cover all labelled rows that may be learned from.
+"""Toxicity from two Kneser-Ney language models over words, one of toxic texts and one of
+ordinary ones.
+
+Each class has word pairs and, below them, words (Kneser-Ney continuation counts of the class).
+Below these lie the continuation counts of both classes together, so a word that neither class
+shows often gets about the same likelihood from both.  A text's evidence is the difference of
+its two log-likelihoods, divided by its length; a logistic curve turns it into a score.
+
+The models are tables that grow with the labelled text; they are joined, never collected.  The
+difference of two log-likelihoods is a sum over the words and the pairs of a text in which what
+no class has seen adds nothing but a constant per word.  So a table (gram, evidence) scores a
+text by one join with its grams: blocks of texts ask for each of their grams once, and say
+which of their texts hold it how often.  Evidence is a whole number of 2 ** -24, so sums don't
+depend on their order.
 """
 
 from __future__ import annotations
 
 import re
-import uuid
-from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, shared, steps, texts
+from .common import U64, held_out, mix, shared
 
-ORDER = 5
-BITS = 5
 #: Absolute discount of Kneser-Ney smoothing.
 DISCOUNT = 0.75
 #: Bins that the development rows' evidence is counted in to fit the logistic curve.
-BINS = 2000
-REACH = 1.0
+BINS = 8000
+REACH = 4.0
 #: So many label rows (16 bytes each) may be broadcast; beyond, the same join is a shuffle.
 BROADCAST_LABELS = 2_000_000
-#: Words whose evidence a Python worker remembers: so many new ones, and as many of before;
-#: words longer than LONGEST_KEPT are not, so the memory is bounded in bytes.
-REMEMBERED = 400_000
-LONGEST_KEPT = 64
-
-_find = re.compile(r"[^\W\d_]+").findall
-
-
-def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word number, gram) of all grams of the words, each followed by a border."""
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    units = np.frombuffer("\0".join([*words, ""]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    symbols = np.where(units == 0, 0, 1 + units % 31)
-    word = np.repeat(np.arange(len(words)), sizes)
-    gram = symbols.copy()
-    for back in range(1, ORDER):
-        # what lies before the word is border, which is 0
-        gram[back:] += np.where(word[back:] == word[:-back], symbols[:-back], 0) << (BITS * back)
-    return word, gram
-
+#: Characters and texts of a block of texts; a longer text is a block of its own.
+BLOCK_CHARS = 4 << 20
+BLOCK_TEXTS = 1 << 16
+#: Longer texts are cut into words by pieces of so many characters.
+PIECE = 1 << 20
+#: Evidence is counted in this unit.
+UNIT = 1 << 24
+ROWS_OUT = 1 << 15
+#: Texts that one row names at most: a gram of more texts of a block has several rows.
+TEXTS_A_ROW = 1 << 10
+#: Grams of a block that stand for all words of a text, and for its two ends.
+ANY = 0
+START, END = "\0start", "\0end"
+
+# Letters of scripts without spaces between words stand alone.
+_ALONE = "฀-໿က-႟ក-៿⺀-꓏豈-﫿\U00020000-\U0003ffff"
+_find = re.compile(f"[{_ALONE}]|[^\\W{_ALONE}]+").findall
+_letter = re.compile(r"[^\W\d_]").search
+_gap = re.compile(f"[\\W{_ALONE}]").search
+
+
+class _Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = len(self)
+        return self[word]
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter((int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in self), U64, len(self))
+
+
+def _words(piece: str) -> list[str]:
+    """The words that have a letter."""
+    return [w for w in _find(piece) if w.isalpha() or _letter(w)]
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """The text in lower case, cut where no word goes on."""
+    first = 0
+    while len(text) - first > PIECE:
+        gap = _gap(text, first + PIECE)
+        if gap is None:
+            break
+        yield text[first : gap.start()].lower()
+        first = gap.start()
+    yield text[first:].lower()
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (text, toxic, dev): (gram, toxic and ordinary counts, those without dev rows), a
-    task's counts put together now and then."""
-    kept: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def together():
-        grams = np.concatenate([g for g, _ in kept])
-        found, place = np.unique(grams, return_inverse=True)
-        sums = np.stack([np.bincount(place, np.concatenate([c[k] for _, c in kept]), len(found)) for k in range(4)])
-        kept[:] = [(found, sums)]
+class Block:
+    """The words of some texts as numbers, each text between START and END; texts without a
+    word are left out."""
 
-    for batch in batches:
-        for part in steps(batch, "text"):
-            by_kind = {}
-            for text, toxic, dev in zip(texts(part, "text"), part.column(1).to_pylist(), part.column(2).to_pylist()):
-                by_kind.setdefault((toxic, dev), Counter()).update(_find(text.lower()))
-            for (toxic, dev), counter in by_kind.items():
-                if not counter:
-                    continue
-                word, gram = _grams(list(counter))
-                times = np.fromiter(counter.values(), np.float64, len(counter))[word]
-                found, place = np.unique(gram, return_inverse=True)
-                counts = np.zeros((4, len(found)))
-                counts[0 if toxic else 1] = np.bincount(place, times, len(found))
-                if not dev:
-                    counts[2 if toxic else 3] = counts[0 if toxic else 1]
-                kept.append((found, counts))
-            if sum(len(g) for g, _ in kept) > 1_000_000:
-                together()
-    if kept:
-        together()
-        grams, sums = kept[0]
-        yield pa.RecordBatch.from_arrays([pa.array(grams), *[pa.array(s.astype(np.int64)) for s in sums]], ["gram", "toxic", "ordinary", "toxic_part", "ordinary_part"])
-
-
-def _model(counts: DataFrame, toxic: str, ordinary: str) -> tuple[DataFrame, DataFrame]:
-    """From the counts: (gram, evidence) of seen grams and (context, evidence) of a gram that
-    is new in its context.  Evidence is ln P(toxic model) - ln P(ordinary model)."""
-    seen = counts.select("gram", F.col(toxic).alias("t"), F.col(ordinary).alias("o")).filter("t + o > 0")
-
-    def context(gram):
-        return F.shiftright(gram, BITS).alias("context")
-
-    # Shared lower orders: how many different symbols a shorter gram has been seen behind.
-    below, tables = seen.select("gram"), {}
-    for order in range(ORDER - 1, 0, -1):
-        tables[order] = below.groupBy(F.col("gram").bitwiseAND((1 << BITS * order) - 1).alias("gram")).agg(F.count("*").alias("k"))
-        below = tables[order].select("gram")
-    p = None
-    for order in range(1, ORDER):
-        table = tables[order].withColumn("context", context(F.col("gram")))
-        sums = table.groupBy("context").agg(F.sum("k").alias("total"), F.count("*").alias("kinds"))
-        table = table.join(sums, "context")
-        if p is None:
-            lower = F.lit(1.0 / (1 << BITS))
-        else:
-            table = table.withColumn("shorter", F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1)).join(p.select(F.col("gram").alias("shorter"), F.col("p").alias("lower")), "shorter")
-            lower = F.col("lower")
-        p = table.select("gram", ((F.col("k") - DISCOUNT + DISCOUNT * F.col("kinds") * lower) / F.col("total")).alias("p"))
-    has = lambda c: F.sum((F.col(c) > 0).cast("long"))
-    by_context = seen.withColumn("context", context(F.col("gram"))).groupBy("context").agg(F.sum("t").alias("t_sum"), F.sum("o").alias("o_sum"), has("t").alias("t_kinds"), has("o").alias("o_kinds"))
-
-    def left_over(c):
-        return F.when(F.col(f"{c}_sum") > 0, DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_sum")).otherwise(1.0)
+    def __init__(self, rows: list[str]):
+        self.numbers = _Numbers()
+        ends = np.array([self.numbers[START], self.numbers[END]])
+        parts, self.rows = [], []
+        for i, text in enumerate(rows):
+            found = [np.fromiter(map(self.numbers.__getitem__, w), np.int64, len(w)) for w in map(_words, _pieces(text)) if w]
+            if found:
+                parts.append(np.concatenate([ends[:1], *found, ends[1:]]))
+                self.rows.append(i)
+        self.sizes = np.array([len(p) for p in parts], np.int64)
+        self.seq = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        self.of = np.repeat(np.arange(len(parts)), self.sizes)
 
-    def probability(c):
-        own = F.when(F.col(f"{c}_sum") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_sum")).otherwise(0.0)
-        return own + left_over(c) * F.col("p")
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where in seq the first words of all pairs stand, and each pair as a number."""
+        at = np.flatnonzero(self.of[1:] == self.of[:-1])
+        return at, self.seq[at] * len(self.numbers) + self.seq[at + 1]
 
-    full = seen.withColumn("context", context(F.col("gram"))).withColumn("shorter", F.col("gram").bitwiseAND((1 << BITS * (ORDER - 1)) - 1))
-    full = full.join(by_context, "context").join(p.select(F.col("gram").alias("shorter"), "p"), "shorter")
-    return full.select("gram", F.log(probability("t") / probability("o")).alias("evidence")), by_context.select("context", F.log(left_over("t") / left_over("o")).alias("evidence"))
 
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(mix(first) * U64(3) + second)
 
-class Evidence:
-    """The model as arrays: at most 32 ** ORDER grams, and a number for each context."""
 
-    def __init__(self, grams: DataFrame, contexts: DataFrame):
-        rows = grams.toPandas().sort_values("gram")
-        self.grams = rows["gram"].to_numpy(np.int32)
-        self.values = rows["evidence"].to_numpy(np.float32)
-        self.new = np.zeros(1 << BITS * (ORDER - 1), np.float32)
-        rows = contexts.toPandas()
-        self.new[rows["context"].to_numpy(np.int64)] = rows["evidence"].to_numpy(np.float32)
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows, text first, in lists of about BLOCK_CHARS characters."""
+    rows, size = [], 0
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[0]:
+                if rows and len(row[0]) >= BLOCK_CHARS:  # a long text is alone
+                    yield rows
+                    rows, size = [], 0
+                rows.append(row)
+                size += len(row[0])
+                if size >= BLOCK_CHARS or len(rows) == BLOCK_TEXTS:
+                    yield rows
+                    rows, size = [], 0
+    if rows:
+        yield rows
 
-    def of_words(self, words: list[str]) -> np.ndarray:
-        word, gram = _grams(words)
-        value = self.new[gram >> BITS]
-        if len(self.grams):
-            at = np.minimum(np.searchsorted(self.grams, gram.astype(np.int32)), len(self.grams) - 1)
-            value = np.where(self.grams[at] == gram, self.values[at], value)
-        return np.bincount(word, value, len(words))
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (text, toxic, dev): (first, second, toxic and ordinary counts, those without dev
+    rows) of each pair of words in a block."""
+    names = ["first", "second", "toxic", "ordinary", "toxic_part", "ordinary_part"]
+    for rows in _blocks(batches):
+        for toxic, dev in sorted({r[1:] for r in rows}):
+            block = Block([r[0] for r in rows if r[1:] == (toxic, dev)])
+            found, n = np.unique(block.pairs()[1], return_counts=True)
+            hashes, none = block.numbers.hashes().view(np.int64), np.zeros(len(found), np.int64)
+            counts = [n if toxic else none, none if toxic else n]
+            counts += [none, none] if dev else counts
+            first, second = np.divmod(found, len(block.numbers))
+            out = pa.RecordBatch.from_arrays([pa.array(a) for a in (hashes[first], hashes[second], *counts)], names)
+            yield from (out.slice(i, ROWS_OUT) for i in range(0, len(found), ROWS_OUT))
+
+
+def _model(counts: DataFrame, toxic: str, ordinary: str) -> DataFrame:
+    """From the pairs' counts: (gram, evidence), in UNITs, so that the sum over a text's words,
+    START, END and pairs, and over ANY once for each pair, is ln P(toxic) - ln P(ordinary).
+    A word's evidence is that of the word itself and of what is left over behind it; a pair's
+    is what the pair adds to its two words."""
+    seen = counts.select("first", "second", F.col(toxic).alias("t"), F.col(ordinary).alias("o")).filter("t + o > 0")
+
+    def has(c):
+        return F.sum((F.col(c) > 0).cast("long"))
+
+    behind = seen.groupBy("first").agg(F.sum("t").alias("t_sum"), F.sum("o").alias("o_sum"), has("t").alias("t_kinds"), has("o").alias("o_kinds"))
+    words = shared(seen.groupBy("second").agg(has("t").alias("t_k"), has("o").alias("o_k"), F.count("*").alias("k")))
+    all_ = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("t_k", "o_k", "k")], *[F.coalesce(has(c), F.lit(0)).alias(f"{c}_kinds") for c in ("t_k", "o_k")], F.count("*").alias("kinds")).first()
+
+    def left(c):  # of a class: the share that is left for its words below
+        return F.when(F.col(f"{c}_sum") > 0, DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_sum")).otherwise(1.0)
 
-class Reader:
-    """Evidence per symbol of texts; words are remembered."""
+    # Both classes together, above a uniform choice of the words seen and one unseen.
+    both = (F.col("k") - DISCOUNT + DISCOUNT * all_.kinds / (all_.kinds + 1)) / max(all_.k, 1)
+    left_below = {c: DISCOUNT * all_[f"{c}_k_kinds"] / all_[f"{c}_k"] if all_[f"{c}_k"] else 1.0 for c in "to"}
+    unseen = float(np.log(left_below["t"] / left_below["o"]))
 
-    def __init__(self, evidence: Evidence):
-        self.evidence, self.known, self.before = evidence, {}, {}
+    def word(c):
+        own = F.greatest(F.col(f"{c}_k") - DISCOUNT, F.lit(0.0)) / all_[f"{c}_k"] if all_[f"{c}_k"] else F.lit(0.0)
+        return own + left_below[c] * both
 
-    def of_texts(self, rows: list[str]) -> list[float]:
-        words = [_find(t.lower()) for t in rows]
-        new = set().union(*words).difference(self.known) if words else set()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.before, self.known = self.known, {}
-            new = set().union(*words)
-        for w in new.intersection(self.before):
-            self.known[w] = self.before[w]
-        new = list(new.difference(self.known))
-        if new:
-            self.known.update(zip(new, self.evidence.of_words(new).tolist()))
-        known = self.known.__getitem__
-        out = [sum(map(known, w)) / (sum(map(len, w)) + len(w)) if w else 0.0 for w in words]
-        for w in new:
-            if len(w) > LONGEST_KEPT:
-                del self.known[w]
-        return out
+    words = words.select("second", word("t").alias("t_word"), word("o").alias("o_word"))
+    behind = behind.select("first", *[F.col(f"{c}_sum") for c in "to"], left("t").alias("t_left"), left("o").alias("o_left"))
 
+    def pair(c):
+        own = F.when(F.col(f"{c}_sum") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_sum")).otherwise(0.0)
+        return own + F.col(f"{c}_left") * F.col(f"{c}_word")
+
+    def units(value):
+        return F.round(value * UNIT).cast("long").alias("evidence")
+
+    after, alone = F.log(F.col("t_left") / F.col("o_left")), F.log(F.col("t_word") / F.col("o_word"))
+    of_words = words.join(behind, F.col("first") == F.col("second"), "full").select(
+        F.coalesce("second", "first").alias("gram"), units(F.coalesce(alone - unseen, F.lit(0.0)) + F.coalesce(after, F.lit(0.0)))
+    )
+
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            first, second = (b.column(i).to_numpy().view(U64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(pair_hashes(first, second).view(np.int64)), b.column(2)], ["gram", "evidence"])
+
+    of_pairs = seen.join(behind, "first").join(words, "second").select("first", "second", units(F.log(pair("t") / pair("o")) - after - alone))
+    anywhere = seen.sparkSession.range(1).select(F.lit(ANY).cast("long").alias("gram"), F.lit(round(unseen * UNIT)).cast("long").alias("evidence"))
+    return shared(of_words.unionByName(of_pairs.mapInArrow(gram, "gram long, evidence long")).unionByName(anywhere))
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (text, key1, key2): (gram, block, found) of each gram of a block.  ``found`` holds
+    pairs of 16-bit numbers, a text and how often it holds the gram; that of ANY holds text,
+    number of pairs of words, and keys of the block's texts, 64 bits each."""
+    names = ["gram", "block", "found"]
+    task = TaskContext.get().partitionId()
+    for number, rows in enumerate(_blocks(batches)):
+        rows = list({r[1:]: r for r in rows}.values())
+        block = Block([r[0] for r in rows])
+        n_texts, n_words = len(block.sizes), len(block.numbers)
+        if not n_texts:
+            continue
+        name = (task << 32) + number
+        keys = [[rows[i][k] for i in block.rows] for k in (1, 2)]
+        texts = np.stack([np.arange(n_texts), block.sizes - 1, *keys], axis=1).astype(np.int64)
+        texts = [texts[i : i + TEXTS_A_ROW // 8].tobytes() for i in range(0, n_texts, TEXTS_A_ROW // 8)]
+        yield pa.RecordBatch.from_arrays([pa.array([v] * len(texts), pa.int64()) for v in (ANY, name)] + [pa.array(texts, pa.binary())], names)
+        at, pair = block.pairs()
+        # words are numbered behind the pairs
+        held, n = np.unique(np.concatenate([pair * n_texts + block.of[at], (n_words * n_words + block.seq) * n_texts + block.of]), return_counts=True)
+        gram, text = np.divmod(held, n_texts)
+        if n.max() >= 1 << 16:  # no count of 16 bits: several
+            times = (n - 1) // 0xFFFF + 1
+            last = np.cumsum(times) - 1
+            gram, text, rest = np.repeat(gram, times), np.repeat(text, times), n - (times - 1) * 0xFFFF
+            n = np.full(len(gram), 0xFFFF)
+            n[last] = rest
+        first_of = np.diff(gram, prepend=-1) != 0
+        since = np.arange(len(gram)) - np.flatnonzero(first_of)[np.cumsum(first_of) - 1]
+        new = np.flatnonzero(since % TEXTS_A_ROW == 0)
+        first, second = np.divmod(gram[new], n_words)
+        hashes, is_word = block.numbers.hashes(), first >= n_words
+        # n_words * n_words + word is word too where divided by n_words * n_words
+        out = pair_hashes(hashes[np.where(is_word, 0, first)], hashes[second])
+        out[is_word] = hashes[gram[new][is_word] - n_words * n_words]
+        found = np.stack([text, n], axis=1).astype(np.uint16)
+        bounds = np.append(new, len(gram))
+        for i in range(0, len(new), ROWS_OUT):
+            to = bounds[i : i + ROWS_OUT + 1]
+            data = pa.Array.from_buffers(pa.binary(), len(to) - 1, [None, pa.py_buffer(((to - to[0]) * 4).astype(np.int32)), pa.py_buffer(found[to[0] : to[-1]].tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(out[i : i + ROWS_OUT].view(np.int64)), pa.array(np.full(len(to) - 1, name)), data], names)
+
+
+_SUMS = "block long, place long, value long, n long, key1 long, key2 long"
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (gram, block, found, evidence): evidence by block and text, a task's sums put
+    together; the rows of ANY have the texts' lengths and keys."""
+    names = [c.split()[0] for c in _SUMS.split(", ")]
+    blocks, places, values = [], [], []
 
-_readers: dict[str, Reader] = {}
+    def together():
+        names_, number = np.unique(np.concatenate(blocks), return_inverse=True)
+        found, at = np.unique(number * BLOCK_TEXTS + np.concatenate(places), return_inverse=True)
+        # whole numbers below 2 ** 53: sums of doubles are exact
+        sums = np.bincount(at, np.concatenate(values), len(found))
+        blocks[:], places[:], values[:] = [names_[found // BLOCK_TEXTS]], [found % BLOCK_TEXTS], [sums]
 
+    for batch in batches:
+        gram, name, value = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
+        found = batch.column(2).to_pylist()
+        for i in np.flatnonzero(gram == ANY):
+            text, n, key1, key2 = np.frombuffer(found[i], np.int64).reshape(-1, 4).T
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in (np.full(len(text), name[i]), text, n * value[i], n, key1, key2)], names)
+            found[i] = b""
+        pairs = np.frombuffer(b"".join(found), np.uint16).reshape(-1, 2).astype(np.int64)
+        row = np.repeat(np.arange(len(found)), np.fromiter(map(len, found), np.int64, len(found)) // 4)
+        blocks.append(name[row]), places.append(pairs[:, 0]), values.append((pairs[:, 1] * value[row]).astype(np.float64))
+        if sum(map(len, blocks)) > 1_000_000:
+            together()
+            if len(blocks[0]) > 500_000:
+                yield _sums_out(blocks, places, values, names)
+    if blocks:
+        together()
+        yield _sums_out(blocks, places, values, names)
 
-def _reader(handle) -> Reader:
-    if handle.id not in _readers:
-        _readers.clear()
-        _readers[handle.id] = Reader(handle.value)
-    return _readers[handle.id]
 
+def _sums_out(blocks: list, places: list, values: list, names: list[str]) -> pa.RecordBatch:
+    n = len(blocks[0])
+    out = [pa.array(blocks[0]), pa.array(places[0]), pa.array(values[0].astype(np.int64)), *[pa.nulls(n, pa.int64())] * 3]
+    blocks.clear(), places.clear(), values.clear()
+    return pa.RecordBatch.from_arrays(out, names)
 
-class _Shared:
-    def __init__(self, spark, evidence):
-        self.handle, self.id = spark.sparkContext.broadcast(evidence), uuid.uuid4().hex
 
-    @property
-    def value(self):
-        return self.handle.value
+def _evidence(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """The rows with ``evidence`` per word in place of text.  Equal texts are told by two hashes
+    of 64 bits and have equal evidence."""
+    docs = docs.withColumns({"key1": F.xxhash64("text"), "key2": F.xxhash64(F.lit("second"), F.col("text"))})
+    asked = docs.select("text", "key1", "key2").mapInArrow(_asked, "gram long, block long, found binary")
+    sums = asked.join(model.hint("merge"), "gram").select("gram", "block", "found", "evidence").mapInArrow(_summed, _SUMS)
+    texts = sums.groupBy("block", "place").agg(F.sum("value").alias("value"), *[F.max(c).alias(c) for c in ("n", "key1", "key2")])
+    texts = texts.groupBy("key1", "key2").agg((F.min("value") / F.min("n") / UNIT).alias("evidence"))
+    return docs.drop("text").join(texts.hint("merge"), ["key1", "key2"], "left").drop("key1", "key2").withColumn("evidence", F.coalesce("evidence", F.lit(0.0)))
 
 
 def _curve(rows: pd.DataFrame) -> tuple[float, float]:
@@ -226,32 +325,19 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     several labels, one toxic is enough.  Without labels every score is 0.5, predicted 1.
     Null ids are not held out and not labelled.  Repeated rows get equal results; further
     columns are not looked at; an empty table gives no rows."""
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     labels = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
     labels = shared(labels.filter(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     labelled = docs.join(F.broadcast(labels) if labels.count() <= BROADCAST_LABELS else labels, "doc_id")
     dev = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
     labelled = labelled.select("text", (F.col("toxic") != 0).alias("toxic"), dev.alias("dev"))
-    counts = labelled.mapInArrow(_counted, "gram long, toxic long, ordinary long, toxic_part long, ordinary_part long")
-    counts = shared(counts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in counts.columns[1:]]))
-
-    def evidence_of(model: _Shared, rows: DataFrame) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            reader = _reader(model)
-            for batch in batches:
-                for part in steps(batch, "text"):
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(reader.of_texts(texts(part, "text")), pa.float64())], ["a", "b", "evidence"])
-
-        kinds = dict(rows.dtypes)
-        return rows.mapInArrow(run, f"a {kinds[rows.columns[0]]}, b {kinds[rows.columns[1]]}, evidence double")
+    counts = labelled.mapInArrow(_counted, "first long, second long, toxic long, ordinary long, toxic_part long, ordinary_part long")
+    counts = shared(counts.groupBy("first", "second").agg(*[F.sum(c).alias(c) for c in counts.columns[2:]]))
 
-    part = _Shared(spark, Evidence(*_model(counts, "toxic_part", "ordinary_part")))
-    found = evidence_of(part, labelled.filter("dev").select("toxic", "dev", "text"))
+    found = _evidence(labelled.filter("dev").select("toxic", "text"), _model(counts, "toxic_part", "ordinary_part"))
     place = F.round(F.greatest(F.lit(-REACH), F.least(F.lit(REACH), F.col("evidence"))) * (BINS / REACH)).cast("int")
-    slope, intercept = _curve(found.groupBy(place.alias("bin")).agg(F.sum(F.col("a").cast("int")).alias("toxic"), F.count("*").alias("n")).toPandas())
+    slope, intercept = _curve(found.groupBy(place.alias("bin")).agg(F.sum(F.col("toxic").cast("int")).alias("toxic"), F.count("*").alias("n")).toPandas())
 
-    final = _Shared(spark, Evidence(*_model(counts, "toxic", "ordinary")))
-    scored = evidence_of(final, docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"))
+    scored = _evidence(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"), _model(counts, "toxic", "ordinary"))
     value = 1 / (1 + F.exp(-(F.col("evidence") * slope + intercept)))
-    return scored.select(F.col("a").alias("doc_id"), F.col("b").alias("held_out"), value.alias("score"), (value >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", "held_out", value.alias("score"), (value >= 0.5).cast("int").alias("predicted"))
