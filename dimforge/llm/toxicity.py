@@ -1,24 +1,21 @@
-"""Toxicity from two Kneser-Ney language models over words, one of toxic texts and one of
-ordinary ones.
-
-Each class has word pairs and, below them, words (Kneser-Ney continuation counts of the class).
-Below these lie the continuation counts of both classes together, so a word that neither class
-shows often gets about the same likelihood from both.  A text's evidence is the difference of
-its two log-likelihoods, divided by its length; a logistic curve turns it into a score.
-
-The models are tables that grow with the labelled text; they are joined, never collected.  The
-difference of two log-likelihoods is a sum over the words and the pairs of a text in which what
-no class has seen adds nothing but a constant per word.  So a table (gram, evidence) scores a
-text by one join with its grams: blocks of texts ask for each of their grams once, and say
-which of their texts hold it how often.  Evidence is a whole number of 2 ** -24, so sums don't
-depend on their order.
+"""Toxicity from two Kneser-Ney language models, one of toxic texts and one of ordinary ones.
+
+The models are over the letters of words (``ORDER``-grams of code points, word borders
+included).  Only the highest order is counted by class; the orders below are Kneser-Ney
+continuation counts of both classes together, so an expression that neither class shows often
+gets about the same likelihood from both.  A text's evidence is the difference of its two
+log-likelihoods, divided by its length; a logistic curve turns it into a score.
+
+Counts and models are tables that grow with the labelled text; they are joined, never
+collected.  The words of all texts are scored once each by a join with the models.  Then texts
+meet their words: a block of texts asks for each of its words once, and says which of its texts
+hold it how often.  Evidence is a whole number of 2 ** -24, so sums don't depend on their order.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -27,7 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, held_out, mix, shared
+from .common import held_out, shared
+
+ORDER = 5
+#: What stands before and behind a word.
+BORDER = "\0"
 
 #: Absolute discount of Kneser-Ney smoothing.
 DISCOUNT = 0.75
@@ -46,9 +47,10 @@ UNIT = 1 << 24
 ROWS_OUT = 1 << 15
 #: Texts that one row names at most: a gram of more texts of a block has several rows.
 TEXTS_A_ROW = 1 << 10
-#: Grams of a block that stand for all words of a text, and for its two ends.
-ANY = 0
-START, END = "\0start", "\0end"
+#: Letters of a word; a longer one is several words.
+LONGEST = 64
+#: Stands for all words of a text.
+ANY = ""
 
 # Letters of scripts without spaces between words stand alone.
 _ALONE = "฀-໿က-႟ក-៿⺀-꓏豈-﫿\U00020000-\U0003ffff"
@@ -64,13 +66,13 @@ class _Numbers(dict):
         self[word] = len(self)
         return self[word]
 
-    def hashes(self) -> np.ndarray:
-        return np.fromiter((int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in self), U64, len(self))
-
 
 def _words(piece: str) -> list[str]:
-    """The words that have a letter."""
-    return [w for w in _find(piece) if w.isalpha() or _letter(w)]
+    """The words that have a letter; longer ones than LONGEST in parts."""
+    words = [w for w in _find(piece) if w.isalpha() or _letter(w)]
+    if words and len(max(words, key=len)) > LONGEST:
+        words = [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+    return words
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -86,30 +88,23 @@ def _pieces(text: str) -> Iterator[str]:
 
 
 class Block:
-    """The words of some texts as numbers, each text between START and END; texts without a
-    word are left out."""
+    """The words of some texts as numbers; texts without a word are left out."""
 
     def __init__(self, rows: list[str]):
         self.numbers = _Numbers()
-        ends = np.array([self.numbers[START], self.numbers[END]])
         parts, self.rows = [], []
         for i, text in enumerate(rows):
             found = [np.fromiter(map(self.numbers.__getitem__, w), np.int64, len(w)) for w in map(_words, _pieces(text)) if w]
             if found:
-                parts.append(np.concatenate([ends[:1], *found, ends[1:]]))
+                parts.append(np.concatenate(found))
                 self.rows.append(i)
-        self.sizes = np.array([len(p) for p in parts], np.int64)
         self.seq = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        self.of = np.repeat(np.arange(len(parts)), self.sizes)
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Where in seq the first words of all pairs stand, and each pair as a number."""
-        at = np.flatnonzero(self.of[1:] == self.of[:-1])
-        return at, self.seq[at] * len(self.numbers) + self.seq[at + 1]
+        self.of = np.repeat(np.arange(len(parts)), np.array([len(p) for p in parts], np.int64))
 
-
-def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(mix(first) * U64(3) + second)
+    def symbols(self) -> np.ndarray:
+        """Letters and closing borders of each text."""
+        sizes = np.fromiter(map(len, self.numbers), np.int64, len(self.numbers)) + 1
+        return np.bincount(self.of, sizes[self.seq], len(self.rows)).astype(np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -130,121 +125,131 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield rows
 
 
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (text): the words of each block."""
+    for rows in _blocks(batches):
+        words = pa.array(list(Block([r[0] for r in rows]).numbers), pa.string())
+        yield from (pa.RecordBatch.from_arrays([words.slice(i, ROWS_OUT)], ["word"]) for i in range(0, len(words), ROWS_OUT))
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (text, toxic, dev): (first, second, toxic and ordinary counts, those without dev
-    rows) of each pair of words in a block."""
-    names = ["first", "second", "toxic", "ordinary", "toxic_part", "ordinary_part"]
+    """From (text, toxic, dev): (word, toxic and ordinary counts, those without dev rows) of
+    each word of a block."""
+    names = ["word", "toxic", "ordinary", "toxic_part", "ordinary_part"]
     for rows in _blocks(batches):
         for toxic, dev in sorted({r[1:] for r in rows}):
             block = Block([r[0] for r in rows if r[1:] == (toxic, dev)])
-            found, n = np.unique(block.pairs()[1], return_counts=True)
-            hashes, none = block.numbers.hashes().view(np.int64), np.zeros(len(found), np.int64)
+            n = np.bincount(block.seq, minlength=len(block.numbers))
+            none = np.zeros(len(n), np.int64)
             counts = [n if toxic else none, none if toxic else n]
             counts += [none, none] if dev else counts
-            first, second = np.divmod(found, len(block.numbers))
-            out = pa.RecordBatch.from_arrays([pa.array(a) for a in (hashes[first], hashes[second], *counts)], names)
-            yield from (out.slice(i, ROWS_OUT) for i in range(0, len(found), ROWS_OUT))
+            out = pa.RecordBatch.from_arrays([pa.array(list(block.numbers), pa.string()), *map(pa.array, counts)], names)
+            yield from (out.slice(i, ROWS_OUT) for i in range(0, len(n), ROWS_OUT))
 
 
-def _model(counts: DataFrame, toxic: str, ordinary: str) -> DataFrame:
-    """From the pairs' counts: (gram, evidence), in UNITs, so that the sum over a text's words,
-    START, END and pairs, and over ANY once for each pair, is ln P(toxic) - ln P(ordinary).
-    A word's evidence is that of the word itself and of what is left over behind it; a pair's
-    is what the pair adds to its two words."""
-    seen = counts.select("first", "second", F.col(toxic).alias("t"), F.col(ordinary).alias("o")).filter("t + o > 0")
+def grams(word: str) -> F.Column:
+    """All grams of a word: each letter, and the border behind it, with what stands before."""
+    whole = F.concat(F.lit(BORDER * (ORDER - 1)), F.col(word), F.lit(BORDER))
+    return F.transform(F.sequence(F.lit(1), F.length(word) + 1), lambda i: F.substring(whole, i, F.lit(ORDER)))
 
-    def has(c):
-        return F.sum((F.col(c) > 0).cast("long"))
 
-    behind = seen.groupBy("first").agg(F.sum("t").alias("t_sum"), F.sum("o").alias("o_sum"), has("t").alias("t_kinds"), has("o").alias("o_kinds"))
-    words = shared(seen.groupBy("second").agg(has("t").alias("t_k"), has("o").alias("o_k"), F.count("*").alias("k")))
-    all_ = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("t_k", "o_k", "k")], *[F.coalesce(has(c), F.lit(0)).alias(f"{c}_kinds") for c in ("t_k", "o_k")], F.count("*").alias("kinds")).first()
+def _context(gram: str) -> F.Column:
+    return F.expr(f"substring({gram}, 1, length({gram}) - 1)")
 
-    def left(c):  # of a class: the share that is left for its words below
-        return F.when(F.col(f"{c}_sum") > 0, DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_sum")).otherwise(1.0)
 
-    # Both classes together, above a uniform choice of the words seen and one unseen.
-    both = (F.col("k") - DISCOUNT + DISCOUNT * all_.kinds / (all_.kinds + 1)) / max(all_.k, 1)
-    left_below = {c: DISCOUNT * all_[f"{c}_k_kinds"] / all_[f"{c}_k"] if all_[f"{c}_k"] else 1.0 for c in "to"}
-    unseen = float(np.log(left_below["t"] / left_below["o"]))
+def _shorter(gram: str) -> F.Column:
+    return F.expr(f"substring({gram}, 2)")
 
-    def word(c):
-        own = F.greatest(F.col(f"{c}_k") - DISCOUNT, F.lit(0.0)) / all_[f"{c}_k"] if all_[f"{c}_k"] else F.lit(0.0)
-        return own + left_below[c] * both
 
-    words = words.select("second", word("t").alias("t_word"), word("o").alias("o_word"))
-    behind = behind.select("first", *[F.col(f"{c}_sum") for c in "to"], left("t").alias("t_left"), left("o").alias("o_left"))
+def _model(counts: DataFrame, toxic: str, ordinary: str) -> tuple[DataFrame, DataFrame]:
+    """From the grams' counts: (gram, seen) of seen grams and (context, new) of a gram that is
+    new in its context.  Both are ln P(toxic model) - ln P(ordinary model)."""
+    seen = counts.select("gram", F.col(toxic).alias("t"), F.col(ordinary).alias("o")).filter("t + o > 0")
 
-    def pair(c):
-        own = F.when(F.col(f"{c}_sum") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_sum")).otherwise(0.0)
-        return own + F.col(f"{c}_left") * F.col(f"{c}_word")
+    # Shared lower orders: how many different symbols a shorter gram has been seen behind.
+    below, tables = seen.select("gram"), {}
+    for order in range(ORDER - 1, 0, -1):
+        tables[order] = below.groupBy(_shorter("gram").alias("gram")).agg(F.count("*").alias("k"))
+        below = tables[order].select("gram")
+    tables[1] = shared(tables[1])
+    p, lower = None, F.lit(1.0 / (tables[1].count() + 1))
+    for order in range(1, ORDER):
+        table = tables[order].withColumn("context", _context("gram"))
+        sums = table.groupBy("context").agg(F.sum("k").alias("total"), F.count("*").alias("kinds"))
+        table = table.join(sums, "context")
+        if p is not None:
+            table = table.withColumn("shorter", _shorter("gram")).join(p.withColumnsRenamed({"gram": "shorter", "p": "lower"}), "shorter")
+            lower = F.col("lower")
+        p = table.select("gram", ((F.col("k") - DISCOUNT + DISCOUNT * F.col("kinds") * lower) / F.col("total")).alias("p"))
+
+    def has(c):
+        return F.sum((F.col(c) > 0).cast("long"))
 
-    def units(value):
-        return F.round(value * UNIT).cast("long").alias("evidence")
+    seen = seen.withColumns({"context": _context("gram"), "shorter": _shorter("gram")})
+    by_context = shared(seen.groupBy("context").agg(F.sum("t").alias("t_sum"), F.sum("o").alias("o_sum"), has("t").alias("t_kinds"), has("o").alias("o_kinds")))
+
+    def left(c):
+        return F.when(F.col(f"{c}_sum") > 0, DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_sum")).otherwise(1.0)
+
+    def probability(c):
+        own = F.when(F.col(f"{c}_sum") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_sum")).otherwise(0.0)
+        return own + left(c) * F.col("p")
 
-    after, alone = F.log(F.col("t_left") / F.col("o_left")), F.log(F.col("t_word") / F.col("o_word"))
-    of_words = words.join(behind, F.col("first") == F.col("second"), "full").select(
-        F.coalesce("second", "first").alias("gram"), units(F.coalesce(alone - unseen, F.lit(0.0)) + F.coalesce(after, F.lit(0.0)))
-    )
+    full = seen.join(by_context, "context").join(p.withColumnRenamed("gram", "shorter"), "shorter")
+    return shared(full.select("gram", F.log(probability("t") / probability("o")).alias("seen"))), by_context.select("context", F.log(left("t") / left("o")).alias("new"))
 
-    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            first, second = (b.column(i).to_numpy().view(U64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(pair_hashes(first, second).view(np.int64)), b.column(2)], ["gram", "evidence"])
 
-    of_pairs = seen.join(behind, "first").join(words, "second").select("first", "second", units(F.log(pair("t") / pair("o")) - after - alone))
-    anywhere = seen.sparkSession.range(1).select(F.lit(ANY).cast("long").alias("gram"), F.lit(round(unseen * UNIT)).cast("long").alias("evidence"))
-    return shared(of_words.unionByName(of_pairs.mapInArrow(gram, "gram long, evidence long")).unionByName(anywhere))
+def _of_words(words: DataFrame, model: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """(word, evidence), in UNITs, of each word, and 0 of ANY."""
+    seen, new = model
+    pieces = words.select("word", F.explode(grams("word")).alias("gram"))
+    pieces = pieces.join(seen, "gram", "left").withColumn("context", _context("gram")).join(new, "context", "left")
+    value = F.coalesce("seen", "new", F.lit(0.0))
+    found = pieces.groupBy("word").agg(F.sum(F.round(value * UNIT).cast("long")).alias("evidence"))
+    return shared(found.union(words.sparkSession.range(1).select(F.lit(ANY).alias("word"), F.lit(0).cast("long"))))
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (text, key1, key2): (gram, block, found) of each gram of a block.  ``found`` holds
-    pairs of 16-bit numbers, a text and how often it holds the gram; that of ANY holds text,
-    number of pairs of words, and keys of the block's texts, 64 bits each."""
-    names = ["gram", "block", "found"]
+    """From (text, key1, key2): (word, block, found) of each word of a block.  ``found`` holds
+    pairs of 16-bit numbers, a text and how often it holds the word; that of ANY holds text,
+    number of symbols, and keys of the block's texts, 64 bits each."""
+    names = ["word", "block", "found"]
     task = TaskContext.get().partitionId()
     for number, rows in enumerate(_blocks(batches)):
         rows = list({r[1:]: r for r in rows}.values())
         block = Block([r[0] for r in rows])
-        n_texts, n_words = len(block.sizes), len(block.numbers)
+        n_texts, name = len(block.rows), (task << 32) + number
         if not n_texts:
             continue
-        name = (task << 32) + number
         keys = [[rows[i][k] for i in block.rows] for k in (1, 2)]
-        texts = np.stack([np.arange(n_texts), block.sizes - 1, *keys], axis=1).astype(np.int64)
+        texts = np.stack([np.arange(n_texts), block.symbols(), *keys], axis=1).astype(np.int64)
         texts = [texts[i : i + TEXTS_A_ROW // 8].tobytes() for i in range(0, n_texts, TEXTS_A_ROW // 8)]
-        yield pa.RecordBatch.from_arrays([pa.array([v] * len(texts), pa.int64()) for v in (ANY, name)] + [pa.array(texts, pa.binary())], names)
-        at, pair = block.pairs()
-        # words are numbered behind the pairs
-        held, n = np.unique(np.concatenate([pair * n_texts + block.of[at], (n_words * n_words + block.seq) * n_texts + block.of]), return_counts=True)
-        gram, text = np.divmod(held, n_texts)
+        yield pa.RecordBatch.from_arrays([pa.array([ANY] * len(texts)), pa.array([name] * len(texts), pa.int64()), pa.array(texts, pa.binary())], names)
+        held, n = np.unique(block.seq * n_texts + block.of, return_counts=True)
+        word, text = np.divmod(held, n_texts)
         if n.max() >= 1 << 16:  # no count of 16 bits: several
             times = (n - 1) // 0xFFFF + 1
             last = np.cumsum(times) - 1
-            gram, text, rest = np.repeat(gram, times), np.repeat(text, times), n - (times - 1) * 0xFFFF
-            n = np.full(len(gram), 0xFFFF)
+            word, text, rest = np.repeat(word, times), np.repeat(text, times), n - (times - 1) * 0xFFFF
+            n = np.full(len(word), 0xFFFF)
             n[last] = rest
-        first_of = np.diff(gram, prepend=-1) != 0
-        since = np.arange(len(gram)) - np.flatnonzero(first_of)[np.cumsum(first_of) - 1]
+        first_of = np.diff(word, prepend=-1) != 0
+        since = np.arange(len(word)) - np.flatnonzero(first_of)[np.cumsum(first_of) - 1]
         new = np.flatnonzero(since % TEXTS_A_ROW == 0)
-        first, second = np.divmod(gram[new], n_words)
-        hashes, is_word = block.numbers.hashes(), first >= n_words
-        # n_words * n_words + word is word too where divided by n_words * n_words
-        out = pair_hashes(hashes[np.where(is_word, 0, first)], hashes[second])
-        out[is_word] = hashes[gram[new][is_word] - n_words * n_words]
+        words = pa.array(list(block.numbers), pa.string()).take(pa.array(word[new]))
         found = np.stack([text, n], axis=1).astype(np.uint16)
-        bounds = np.append(new, len(gram))
+        bounds = np.append(new, len(word))
         for i in range(0, len(new), ROWS_OUT):
             to = bounds[i : i + ROWS_OUT + 1]
             data = pa.Array.from_buffers(pa.binary(), len(to) - 1, [None, pa.py_buffer(((to - to[0]) * 4).astype(np.int32)), pa.py_buffer(found[to[0] : to[-1]].tobytes())])
-            yield pa.RecordBatch.from_arrays([pa.array(out[i : i + ROWS_OUT].view(np.int64)), pa.array(np.full(len(to) - 1, name)), data], names)
+            yield pa.RecordBatch.from_arrays([words.slice(i, ROWS_OUT), pa.array(np.full(len(to) - 1, name)), data], names)
 
 
 _SUMS = "block long, place long, value long, n long, key1 long, key2 long"
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (gram, block, found, evidence): evidence by block and text, a task's sums put
+    """From (any, block, found, evidence): evidence by block and text, a task's sums put
     together; the rows of ANY have the texts' lengths and keys."""
     names = [c.split()[0] for c in _SUMS.split(", ")]
     blocks, places, values = [], [], []
@@ -257,11 +262,11 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks[:], places[:], values[:] = [names_[found // BLOCK_TEXTS]], [found % BLOCK_TEXTS], [sums]
 
     for batch in batches:
-        gram, name, value = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
+        any_, name, value = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
         found = batch.column(2).to_pylist()
-        for i in np.flatnonzero(gram == ANY):
+        for i in np.flatnonzero(any_):
             text, n, key1, key2 = np.frombuffer(found[i], np.int64).reshape(-1, 4).T
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in (np.full(len(text), name[i]), text, n * value[i], n, key1, key2)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in (np.full(len(text), name[i]), text, n * 0, n, key1, key2)], names)
             found[i] = b""
         pairs = np.frombuffer(b"".join(found), np.uint16).reshape(-1, 2).astype(np.int64)
         row = np.repeat(np.arange(len(found)), np.fromiter(map(len, found), np.int64, len(found)) // 4)
@@ -282,12 +287,14 @@ def _sums_out(blocks: list, places: list, values: list, names: list[str]) -> pa.
     return pa.RecordBatch.from_arrays(out, names)
 
 
-def _evidence(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """The rows with ``evidence`` per word in place of text.  Equal texts are told by two hashes
-    of 64 bits and have equal evidence."""
+def _evidence(docs: DataFrame, model: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """The rows with ``evidence`` per symbol in place of text.  Equal texts are told by two
+    hashes of 64 bits and have equal evidence."""
+    words = _of_words(shared(docs.select("text").mapInArrow(_distinct, "word string").distinct()), model)
     docs = docs.withColumns({"key1": F.xxhash64("text"), "key2": F.xxhash64(F.lit("second"), F.col("text"))})
-    asked = docs.select("text", "key1", "key2").mapInArrow(_asked, "gram long, block long, found binary")
-    sums = asked.join(model.hint("merge"), "gram").select("gram", "block", "found", "evidence").mapInArrow(_summed, _SUMS)
+    asked = docs.select("text", "key1", "key2").mapInArrow(_asked, "word string, block long, found binary")
+    asked = asked.join(words.hint("merge"), "word").select((F.col("word") == ANY).alias("any"), "block", "found", "evidence")
+    sums = asked.mapInArrow(_summed, _SUMS)
     texts = sums.groupBy("block", "place").agg(F.sum("value").alias("value"), *[F.max(c).alias(c) for c in ("n", "key1", "key2")])
     texts = texts.groupBy("key1", "key2").agg((F.min("value") / F.min("n") / UNIT).alias("evidence"))
     return docs.drop("text").join(texts.hint("merge"), ["key1", "key2"], "left").drop("key1", "key2").withColumn("evidence", F.coalesce("evidence", F.lit(0.0)))
@@ -331,8 +338,10 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labelled = docs.join(F.broadcast(labels) if labels.count() <= BROADCAST_LABELS else labels, "doc_id")
     dev = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
     labelled = labelled.select("text", (F.col("toxic") != 0).alias("toxic"), dev.alias("dev"))
-    counts = labelled.mapInArrow(_counted, "first long, second long, toxic long, ordinary long, toxic_part long, ordinary_part long")
-    counts = shared(counts.groupBy("first", "second").agg(*[F.sum(c).alias(c) for c in counts.columns[2:]]))
+    counts = labelled.mapInArrow(_counted, "word string, toxic long, ordinary long, toxic_part long, ordinary_part long")
+    sums = [F.sum(c).alias(c) for c in counts.columns[1:]]
+    counts = counts.groupBy("word").agg(*sums).withColumn("gram", F.explode(grams("word")))
+    counts = shared(counts.groupBy("gram").agg(*sums))
 
     found = _evidence(labelled.filter("dev").select("toxic", "text"), _model(counts, "toxic_part", "ordinary_part"))
     place = F.round(F.greatest(F.lit(-REACH), F.least(F.lit(REACH), F.col("evidence"))) * (BINS / REACH)).cast("int")

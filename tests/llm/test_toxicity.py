@@ -50,51 +50,59 @@ def test_odd_rows(spark):
     assert tx.score(*frames(spark, [], labels)).collect() == []
 
 
-def brute(texts, text):
-    """ln P(toxic) - ln P(ordinary) of a text's words by the models' definition; texts: lists
-    of words by class."""
-    from collections import Counter
+def brute_evidence(seen):
+    """Kneser-Ney by its definition; seen: {gram: (toxic, ordinary)}."""
     from math import log
 
     d = tx.DISCOUNT
-    pairs = [Counter(p for t in texts[c] for p in zip([tx.START, *t], [*t, tx.END])) for c in (0, 1)]
 
-    def shared(x):
-        union = set(pairs[0]) | set(pairs[1])
-        k = Counter(w for _, w in union)
-        return (max(k[x] - d, 0) + d * len(k) / (len(k) + 1)) / len(union)
+    def shared(h, x):
+        # of grams one symbol longer: how many different ones end in h + x
+        def k(g):
+            longer = {s[-len(g) - 1 :] for s in seen if len(s) > len(g)}
+            return sum(1 for s in longer if s[1:] == g)
 
-    def word(c, x):
-        k = Counter(w for _, w in pairs[c])
-        return (max(k[x] - d, 0) + d * len(k) * shared(x)) / len(pairs[c])
+        letters = {s[-1] for s in seen}
+        counts = {y: k(h + y) for y in letters if k(h + y)}
+        total = sum(counts.values())
+        lower = shared(h[1:], x) if h else 1 / (len({s[-1] for s in seen}) + 1)
+        return (max(counts.get(x, 0) - d, 0) + d * len(counts) * lower) / total if total else lower
 
     def p(c, h, x):
-        counts = {w: n for (g, w), n in pairs[c].items() if g == h}
+        counts = {s[-1]: v[c] for s, v in seen.items() if s[:-1] == h and v[c]}
+        lower = shared(h[1:], x)
         if not counts:
-            return word(c, x)
-        return (max(counts.get(x, 0) - d, 0) + d * len(counts) * word(c, x)) / sum(counts.values())
+            return lower
+        total = sum(counts.values())
+        return (max(counts.get(x, 0) - d, 0) + d * len(counts) * lower) / total
 
-    return sum(log(p(0, h, x) / p(1, h, x)) for h, x in zip([tx.START, *text], [*text, tx.END]))
+    return lambda s: log(p(0, s[:-1], s[-1]) / p(1, s[:-1], s[-1]))
 
 
 def test_evidence_is_kneser_ney_by_definition(spark):
     toxic = ["you are an idiot", "what an idiot you are", "go home you fool", "fool"]
-    good = ["you are an angel", "what a day", "go home and rest you two", "rest at home", "an idiot savant paints"]
-    rows = [(t, True, False) for t in toxic] + [(t, False, False) for t in good]
-    frame = spark.createDataFrame(rows, "text string, toxic boolean, dev boolean")
-    counts = frame.mapInArrow(tx._counted, "first long, second long, toxic long, ordinary long, toxic_part long, ordinary_part long")
-    counts = counts.groupBy("first", "second").sum().toDF("first", "second", "_1", "_2", "toxic", "ordinary", "p", "q").select("first", "second", "toxic", "ordinary")
-    texts = toxic + good + ["an unknown idiot", "zzz", "home " * 70_000, "you You YOU, fool!"]
+    good = ["you are an angel", "what a day 漢字", "go home and rest you two", "rest at home", "an idiom paints"]
+
+    def cut(word):
+        whole = "\0" * (tx.ORDER - 1) + word + "\0"
+        return [whole[i : i + tx.ORDER] for i in range(len(word) + 1)]
+
+    seen = {}
+    for c, texts in enumerate([toxic, good]):
+        for g in (g for t in texts for w in tx._find(t) for g in cut(w)):
+            seen.setdefault(g, [0, 0])[c] += 1
+    counts = spark.createDataFrame([(g, *v) for g, v in seen.items()], "gram string, toxic long, ordinary long")
+    texts = toxic + good + ["an unseen idiocy foolish", "zzz", "home " * 70_000, "you You YOU, fool!", "字", "x1y " + "f" * 150]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "", "!", None, *texts])], "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r["evidence"] for r in tx._evidence(docs, tx._model(counts, "toxic", "ordinary")).collect()}
-    classes = [[t.split() for t in toxic], [t.split() for t in good]]
+    value = brute_evidence(seen)
+    of_word = {}
     for i, t in enumerate(texts):
-        words = t.lower().replace(",", "").replace("!", "").split()
-        if len(words) < 100:
-            assert abs(got[i] - brute(classes, words) / (len(words) + 1)) < 1e-6, t
-        else:  # the text's own repeat, by what one more word adds
-            one, two = brute(classes, words[:3]), brute(classes, words[:4])
-            assert abs(got[i] - (one + (two - one) * (len(words) - 3)) / (len(words) + 1)) < 1e-6
+        words = [w[k : k + 64] for w in tx._find(t.lower()) for k in range(0, len(w), 64)]
+        for w in set(words) - of_word.keys():
+            # a symbol no class has seen has the contexts' evidence alone
+            of_word[w] = sum(map(value, cut(w)))
+        assert abs(got[i] - sum(of_word[w] for w in words) / sum(len(w) + 1 for w in words)) < 1e-6, t[:80]
         assert got[i] == got[len(texts) + 3 + i]
     assert got[len(texts)] == got[len(texts) + 1] == got[len(texts) + 2] == 0.0
 
@@ -117,14 +125,6 @@ def test_small_blocks_give_the_same_scores(spark, monkeypatch):
     assert all(before[i] == before[1000 + i] for i in range(20))
 
 
-def test_words_outside_latin_and_expressions_of_ordinary_words(spark):
-    assert tx._find("漢字 abc1 ไทย") == ["漢", "字", "abc1", "ไ", "ท", "ย"]
-    # each word alone is ordinary; only the pair "cold fish" is toxic
-    draw, docs, labels = random.Random(9), [], []
-    for i in range(600):
-        words = [draw.choice(GOOD) for _ in range(20)]
-        words[8:8] = ["cold", "fish"] if i % 2 else ["fish", "and", "cold"]
-        docs.append((i, " ".join(words), "x"))
-        labels.append((i, i % 2, "x"))
-    out = [r for r in tx.score(*frames(spark, docs, labels)).collect() if r["held_out"]]
-    assert sum(r["predicted"] == r["doc_id"] % 2 for r in out) >= 0.97 * len(out)
+def test_words_outside_latin_and_long_ones():
+    assert tx._words("漢字 abc1 ไทย 123") == ["漢", "字", "abc1", "ไ", "ท", "ย"]
+    assert tx._words("a" * 130) == ["a" * 64, "a" * 64, "aa"]
