@@ -29,7 +29,6 @@ from .common import held_out, shared
 ORDER = 5
 #: What stands before and behind a word.
 BORDER = "\0"
-
 #: Absolute discount of Kneser-Ney smoothing.
 DISCOUNT = 0.75
 #: Bins that the development rows' evidence is counted in to fit the logistic curve.
@@ -45,10 +44,12 @@ PIECE = 1 << 20
 #: Evidence is counted in this unit.
 UNIT = 1 << 24
 ROWS_OUT = 1 << 15
-#: Texts that one row names at most: a gram of more texts of a block has several rows.
+#: Texts that one row names at most: a word of more texts of a block has several rows.
 TEXTS_A_ROW = 1 << 10
 #: Letters of a word; a longer one is several words.
 LONGEST = 64
+#: Words that ask for their grams together.
+WORDS_A_BUCKET = 100_000
 #: Stands for all words of a text.
 ANY = ""
 
@@ -199,13 +200,27 @@ def _model(counts: DataFrame, toxic: str, ordinary: str) -> tuple[DataFrame, Dat
     return shared(full.select("gram", F.log(probability("t") / probability("o")).alias("seen"))), by_context.select("context", F.log(left("t") / left("o")).alias("new"))
 
 
+def _word_sums(words: pa.Table, pieces: pa.Table) -> pa.Table:
+    """A bucket's words with the sums over their grams."""
+    value = dict(zip(pieces["gram"].to_pylist(), pieces["evidence"].to_pylist()))
+    names, sums = words["word"].to_pylist(), []
+    for w in names:
+        whole = BORDER * (ORDER - 1) + w + BORDER
+        sums.append(sum(value[whole[i : i + ORDER]] for i in range(len(w) + 1)))
+    return pa.table({"word": pa.array(names, pa.string()), "evidence": pa.array(sums, pa.int64())})
+
+
 def _of_words(words: DataFrame, model: tuple[DataFrame, DataFrame]) -> DataFrame:
-    """(word, evidence), in UNITs, of each word, and 0 of ANY."""
+    """(word, evidence), in UNITs, of each word, and 0 of ANY.  Words are dealt to buckets of
+    about WORDS_A_BUCKET by hash; a bucket asks for each of its grams once."""
     seen, new = model
-    pieces = words.select("word", F.explode(grams("word")).alias("gram"))
+    buckets = F.pmod(F.xxhash64("word"), F.lit(words.count() // WORDS_A_BUCKET + 1)).alias("bucket")
+    words = words.select("word", buckets).repartition("bucket")
+    pieces = words.select("bucket", F.explode(grams("word")).alias("gram")).distinct()
     pieces = pieces.join(seen, "gram", "left").withColumn("context", _context("gram")).join(new, "context", "left")
-    value = F.coalesce("seen", "new", F.lit(0.0))
-    found = pieces.groupBy("word").agg(F.sum(F.round(value * UNIT).cast("long")).alias("evidence"))
+    value = F.round(F.coalesce("seen", "new", F.lit(0.0)) * UNIT).cast("long")
+    pieces = pieces.select("bucket", "gram", value.alias("evidence"))
+    found = words.groupBy("bucket").cogroup(pieces.groupBy("bucket")).applyInArrow(_word_sums, "word string, evidence long")
     return shared(found.union(words.sparkSession.range(1).select(F.lit(ANY).alias("word"), F.lit(0).cast("long"))))
 
 
@@ -249,7 +264,7 @@ _SUMS = "block long, place long, value long, n long, key1 long, key2 long"
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (any, block, found, evidence): evidence by block and text, a task's sums put
+    """From (whether ANY, block, found, evidence): evidence by block and text, a task's sums put
     together; the rows of ANY have the texts' lengths and keys."""
     names = [c.split()[0] for c in _SUMS.split(", ")]
     blocks, places, values = [], [], []

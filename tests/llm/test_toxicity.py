@@ -121,6 +121,7 @@ def test_small_blocks_give_the_same_scores(spark, monkeypatch):
     before = {r["doc_id"]: r["score"] for r in tx.score(*frames(spark, docs, labels)).collect()}
     monkeypatch.setattr(tx, "BLOCK_CHARS", 500)
     monkeypatch.setattr(tx, "TEXTS_A_ROW", 8)
+    monkeypatch.setattr(tx, "WORDS_A_BUCKET", 7)
     assert before == {r["doc_id"]: r["score"] for r in tx.score(*frames(spark, docs, labels)).collect()}
     assert all(before[i] == before[1000 + i] for i in range(20))
 
