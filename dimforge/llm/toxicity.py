@@ -219,8 +219,8 @@ def _of_words(words: DataFrame, model: tuple[DataFrame, DataFrame]) -> DataFrame
     pieces = words.select("bucket", F.explode(grams("word")).alias("gram")).distinct()
     pieces = pieces.join(seen, "gram", "left").withColumn("context", _context("gram")).join(new, "context", "left")
     value = F.round(F.coalesce("seen", "new", F.lit(0.0)) * UNIT).cast("long")
-    pieces = pieces.select("bucket", "gram", value.alias("evidence"))
-    found = words.groupBy("bucket").cogroup(pieces.groupBy("bucket")).applyInArrow(_word_sums, "word string, evidence long")
+    pieces = pieces.select(F.col("bucket").alias("asker"), "gram", value.alias("evidence"))
+    found = words.groupBy("bucket").cogroup(pieces.groupBy("asker")).applyInArrow(_word_sums, "word string, evidence long")
     return shared(found.union(words.sparkSession.range(1).select(F.lit(ANY).alias("word"), F.lit(0).cast("long"))))
 
 
