@@ -37,7 +37,7 @@ REACH = 4.0
 #: So many label rows (16 bytes each) may be broadcast; beyond, the same join is a shuffle.
 BROADCAST_LABELS = 2_000_000
 #: Characters and texts of a block of texts; a longer text is a block of its own.
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 16 << 20
 BLOCK_TEXTS = 1 << 16
 #: Longer texts are cut into words by pieces of so many characters.
 PIECE = 1 << 20
@@ -129,7 +129,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (text): the words of each block."""
     for rows in _blocks(batches):
-        words = pa.array(list(Block([r[0] for r in rows]).numbers), pa.string())
+        words = pa.array(list(set().union(*(w for r in rows for w in map(_words, _pieces(r[0]))))), pa.string())
         yield from (pa.RecordBatch.from_arrays([words.slice(i, ROWS_OUT)], ["word"]) for i in range(0, len(words), ROWS_OUT))
 
 
