@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections import ChainMap
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,22 +47,27 @@ def _number(column) -> F.Column:
     return F.substring(column, F.lit(3), F.length(column)).cast("long")
 
 
-def _in_months(raw: dict) -> DataFrame:
+def _in_months(raw: Mapping) -> DataFrame:
     return raw["raw_orders"].where(F.substring("order_purchase_timestamp", 1, 7).isin(*MONTHS))
 
 
-def _batch(raw: dict) -> dict:
+def _changed(raw: Mapping, **relations) -> Mapping:
+    """``raw`` with other relations in place of some; those that no load reads aren't derived."""
+    return ChainMap(relations, raw)
+
+
+def _batch(raw: Mapping) -> Mapping:
     """The orders of MONTHS, their items, and all other relations."""
     orders = _in_months(raw)
-    return {**raw, "raw_orders": orders, "raw_order_items": raw["raw_order_items"].join(orders.select("order_id"), "order_id", "left_semi")}
+    return _changed(raw, raw_orders=orders, raw_order_items=raw["raw_order_items"].join(orders.select("order_id"), "order_id", "left_semi"))
 
 
-def _earlier_items(raw: dict, missing) -> dict:
+def _earlier_items(raw: Mapping, missing) -> Mapping:
     """Items of MONTHS carry no freight yet, and those for which ``missing`` holds aren't there."""
     marked = raw["raw_order_items"].join(_in_months(raw).select("order_id", F.lit(True).alias("_in")), "order_id", "left")
     late = F.coalesce("_in", F.lit(False))
     kept = marked.where(~(late & missing)).withColumn("freight_value", F.when(late, "0.00").otherwise(F.col("freight_value")))
-    return {**raw, "raw_order_items": kept.drop("_in")}
+    return _changed(raw, raw_order_items=kept.drop("_in"))
 
 
 def second_load_items(spark, sf_dir):
@@ -78,7 +85,7 @@ def second_load_lifecycle(spark, sf_dir):
     late = F.coalesce(F.substring("order_purchase_timestamp", 1, 7).isin(*MONTHS), F.lit(False))
     earlier = w.raw["raw_orders"].where(~(late & (_number("order_id") % 4 == 0))).withColumn(
         "order_approved_at", F.when(~late, F.col("order_approved_at")))
-    for raw in ({**w.raw, "raw_orders": earlier}, _batch(w.raw)):
+    for raw in (_changed(w.raw, raw_orders=earlier), _batch(w.raw)):
         _run(store, lambda v: reload_fact(store, "fct_order_lifecycle", facts.build_order_lifecycle(raw, w.dims()), facts.order_scope(raw), "order_id", v))
     return store.read("fct_order_lifecycle")
 

@@ -38,3 +38,15 @@ def test_partitions_follow_the_size(spark, monkeypatch):
     assert keys.partitions_for(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     monkeypatch.setattr(keys, "TARGET_BYTES", 400)
     assert keys.partitions_for(df) == 100
+
+
+def test_numbered_rows_are_files_and_not_held_by_executors(spark):
+    """Rows are numbered by their place in sorted files, over splits of any size."""
+    cached = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    df = spark.range(0, 3000, numPartitions=5).select(F.format_string("k%05d", (F.col("id") * 7919) % 3000).alias("nk"))
+    out = keys.assign_keys(df, "sk", "nk", num_partitions=12)
+    assert out.inputFiles()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == cached
+    assert [r.sk for r in sorted(out.collect(), key=lambda r: r.nk)] == list(range(1, 3001))
+    none = keys.assign_keys(df.where("nk IS NULL"), "sk", "nk")
+    assert none.count() == 0

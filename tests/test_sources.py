@@ -83,3 +83,18 @@ def test_typed_numbers_follow_the_rules_of_their_kind(spark):
     df = spark.createDataFrame([(2.5, 7.5, 2**40, float("nan"))], "a double, b double, c long, d double").selectExpr("*", "cast(2.5 as decimal(5,1)) e", "date'2020-01-02' f")
     got = df.select(declared(df, "a", "int"), declared(df, "b", "int"), declared(df, "c", "int"), declared(df, "d", "int"), declared(df, "e", "int"), declared(df, "f", "timestamp_ntz"), declared(df, "a", "decimal(10,2)")).first()
     assert tuple(got)[:5] == (2, 8, None, None, 3) and got[5] == dt.datetime(2020, 1, 2) and str(got[6]) == "2.50"
+
+
+def test_shared_raw_relations_are_files(spark):
+    """The raw relations that queries share are derived once, on first access, and read as
+    Parquet with pruned columns; they equal the derivation."""
+    from dimforge.plans.catalog import RawTables
+
+    raw = RawTables(spark, SF, tempfile.mkdtemp(prefix="dimforge-rawtables-"))
+    derived = raw_standins(spark, SF)
+    assert set(raw) == set(derived) and "raw_payments" not in raw
+    items = raw["raw_order_items"]
+    assert raw["raw_order_items"] is items and items.inputFiles()
+    plan = items.select("order_id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<order_id:string>" in plan and "InMemoryTableScan" not in plan
+    assert items.exceptAll(derived["raw_order_items"]).isEmpty() and items.count() == derived["raw_order_items"].count()
