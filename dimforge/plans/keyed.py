@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.exprs import any_distinct
-from ..operators.keys import assign_keys, checkpointed, has_key, require_unique
+from ..operators.keys import assign_keys, has_key, require_unique, written
 from ..operators.scd2 import scd2_apply
 from .publish import BUCKET, TableStore
 from .reload import values
@@ -28,7 +28,7 @@ BUCKETS = 16
 def _dealt(store: TableStore, name: str, source: DataFrame, what: str) -> DataFrame:
     """The source's rows with a key, each with its bucket, written once."""
     key, _ = schemas.KEYS[name]
-    dealt = checkpointed(has_key(source, key).withColumn(BUCKET, store.bucket(name, store.entry(name)["buckets"])))
+    dealt = written(has_key(source, key).withColumn(BUCKET, store.bucket(name, store.entry(name)["buckets"])))
     require_unique(dealt, key, what)
     return dealt
 
@@ -56,10 +56,10 @@ def upsert_buckets(store: TableStore, name: str, source: DataFrame, set_cols, ve
     target = store.read(name, with_partitions=True, labels=_labels(values(src, BUCKET)))
     old = target.select(*key, BUCKET, sk, *[F.col(c).alias(f"_t_{c}") for c in set_cols])
     differs = F.col(sk).isNull() | any_distinct([(c, f"_t_{c}") for c in set_cols])
-    changed = checkpointed(src.join(old, [*key, BUCKET], "left").where(differs).select(*key, BUCKET, sk, *set_cols))
+    changed = written(src.join(old, [*key, BUCKET], "left").where(differs).select(*key, BUCKET, sk, *set_cols))
     touched = values(changed, BUCKET)
     next_key = entry["next_key"]
-    keyed = assign_keys(changed.where(F.col(sk).isNull()).drop(sk), sk, key, offset=next_key - 1)
+    keyed = assign_keys(changed.where(F.col(sk).isNull()).drop(sk), sk, key, offset=next_key - 1, stored=True)
     news = changed.where(F.col(sk).isNotNull()).select(*key, *[F.col(c).alias(f"_s_{c}") for c in set_cols], F.lit(True).alias("_hit"))
     kept = store.read(name, labels=_labels(touched)).join(news, key, "left").select(*[
         F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c)
@@ -96,6 +96,6 @@ def apply_history(
     rows = None
     if touched:
         here = src.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        rows = checkpointed(scd2_apply(store.read(name, labels=_labels(touched)), here, key, t1, t2, as_of, sk, key_offset=next_key - 1))
+        rows = written(scd2_apply(store.read(name, labels=_labels(touched)), here, key, t1, t2, as_of, sk, key_offset=next_key - 1))
         next_key += rows.where(F.col(sk) >= next_key).count()
     return store.replace_parts(name, rows, version, _labels(touched), next_key=next_key, as_of=as_of.isoformat())

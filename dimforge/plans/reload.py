@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.keys import assign_keys, checkpointed, has_key, require_unique
+from ..operators.keys import assign_keys, has_key, require_unique, written
 from .publish import TableStore, keys_of
 
 
@@ -28,17 +28,17 @@ def values(df: DataFrame, column) -> list:
 
 
 def with_keys(store: TableStore, name: str, fresh: DataFrame, version: str) -> tuple[DataFrame, int]:
-    """``fresh`` with the fact's surrogate key, and the next free key.  New natural keys are
-    numbered in their order and appended to the side table."""
+    """``fresh``, rows read from files, with the fact's surrogate key, and the next free key.
+    New natural keys are numbered in their order and appended to the side table."""
     natural, sk = schemas.KEYS[name]
     known = store.read(keys_of(name))
     next_key = store.entry(name).get("next_key", 1)
     if known is None:
         have, need = None, fresh
     else:
-        matched = checkpointed(fresh.join(known, natural, "left"))
+        matched = written(fresh.join(known, natural, "left"))
         have, need = matched.where(F.col(sk).isNotNull()), matched.where(F.col(sk).isNull()).drop(sk)
-    keyed = assign_keys(need, sk, natural, offset=next_key - 1)
+    keyed = assign_keys(need, sk, natural, offset=next_key - 1, stored=True)
     store.append(keys_of(name), keyed.select(*natural, sk), version)
     # Parquet footers tell how many rows were appended.
     next_key += store.frame(keys_of(name), store.pending[keys_of(name)], labels=[f"v={version}"]).count()
@@ -53,7 +53,7 @@ def reload_fact(store: TableStore, name: str, fresh: DataFrame, scope: DataFrame
     parts, derived, _ = schemas.LAYOUT[name]
     part = parts[0]
     month = F.col(part) if derived is None else F.date_format(F.col(derived), "yyyy-MM")
-    fresh = checkpointed(has_key(fresh, natural))  # read to check, to match and to write
+    fresh = written(has_key(fresh, natural))  # read to check, to match and to write
     require_unique(fresh, natural, "reload")
     keyed, next_key = with_keys(store, name, fresh, version)
     there = store.entry(name)["parts"]

@@ -50,3 +50,30 @@ def test_numbered_rows_are_files_and_not_held_by_executors(spark):
     assert [r.sk for r in sorted(out.collect(), key=lambda r: r.nk)] == list(range(1, 3001))
     none = keys.assign_keys(df.where("nk IS NULL"), "sk", "nk")
     assert none.count() == 0
+
+
+def test_stored_rows_are_not_written_again_and_files_are_small(spark):
+    """Rows that stand in files already are numbered from there; files are compressed well."""
+    import glob
+
+    df = keys.written(spark.range(0, 100).select(F.format_string("k%05d", "id").alias("nk")))
+    folder = keys.ensure_checkpoint_dir(spark).removeprefix("file:")
+    assert all(f.endswith(".zstd.parquet") for f in df.inputFiles())
+    before = set(glob.glob(f"{folder}/rows-*"))
+    out = keys.assign_keys(df.where("nk <> 'k00000'"), "sk", "nk", num_partitions=2, stored=True)
+    assert len(set(glob.glob(f"{folder}/rows-*")) - before) == 1  # the sorted rows
+    assert [r.sk for r in sorted(out.collect(), key=lambda r: r.nk)] == list(range(1, 100))
+
+
+def test_reloads_leave_no_uncompressed_checkpoint(spark):
+    import glob
+
+    from dimforge.operators.merge import replace_by_key
+
+    folder = keys.ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/rdd-*"))
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "sk long, k string, v int")
+    fresh = spark.createDataFrame([("b", 5), ("c", 6)], "k string, v int")
+    out = replace_by_key(target, fresh, fresh.select("k"), "k", ["k"], "sk")
+    assert sorted(map(tuple, out.select("sk", "k", "v").collect())) == [(1, "a", 1), (2, "b", 5), (3, "c", 6)]
+    assert set(glob.glob(f"{folder}/rdd-*")) == before
