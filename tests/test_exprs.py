@@ -65,3 +65,12 @@ def test_null_safe_difference(spark):
     df = spark.createDataFrame([(None, None), (None, "a"), ("a", "a"), ("a", "b")], "x string, y string")
     got = [r[0] for r in df.select(X.distinct_from("x", "y")).collect()]
     assert got == [False, True, False, True]
+
+
+def test_ratios_and_cents_stay_longs(spark):
+    """No division or sum of wide decimals: exact on longs, then two places behind the point."""
+    df = spark.createDataFrame([(Decimal("99999999.99"), 5, 3), (Decimal("-0.01"), -5, 3), (None, None, 3)], "p decimal(10,2), n long, d long")
+    got = [tuple(r) for r in df.select(X.cents("p"), X.hundredths(X.cents("p")), X.round_ratio("n", "d")).collect()]
+    assert got == [(9999999999, Decimal("99999999.99"), Decimal("1.67")), (-1, Decimal("-0.01"), Decimal("-1.67")), (None, None, None)]
+    plan = df.select(X.round_ratio("n", "d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert " div " in plan and " / " not in plan
