@@ -211,7 +211,7 @@ def scd2_null_keys_rerun(spark, sf_dir):
 def replace_null_keys_rerun(spark, sf_dir):
     """Reloading all orders twice, with rows that lack their natural key in the batch."""
     w = catalog._w(spark, sf_dir)
-    fresh = _with_null_keys(facts.build_order_lifecycle(w.raw, w.dims()), "order_id")
+    fresh = _with_null_keys(facts.build_order_lifecycle(w.raw, w.dims(), w.orders), "order_id")
     target = w.fct_order_lifecycle
     for _ in range(2):
         target = replace_by_key(target, fresh, w.raw["raw_orders"].select("order_id"), "order_id", ["order_id"], "order_lifecycle_key")

@@ -112,3 +112,16 @@ def test_snapshot_reviews_do_not_multiply_items(spark, loaded):
     assert snap[(2, "2018-01")].avg_review_score == Decimal("1.00")
     s1_feb = snap[(1, "2018-02")]
     assert s1_feb.avg_review_score is None and s1_feb.avg_delivery_delay_days is None
+
+
+def test_order_facts_share_their_orders(spark, monkeypatch):
+    """A build of both order facts resolves the orders once; rows are as without."""
+    from dimforge.plans import catalog, facts
+
+    made, real = [], facts.order_grain
+    monkeypatch.setattr(facts, "order_grain", lambda *a: made.append(1) or real(*a))
+    w = catalog.Warehouse(spark, "/root/testdata/sf0.001")
+    w.fct_order_items, w.fct_order_lifecycle
+    assert made == [1]
+    alone = facts.build_order_items(w.raw, w.dims())
+    assert alone.exceptAll(w.fct_order_items.select(alone.columns)).isEmpty() and alone.count() == w.fct_order_items.count()
