@@ -8,8 +8,10 @@ log-likelihoods, divided by its length; a logistic curve turns it into a score.
 
 Counts and models are tables that grow with the labelled text; they are joined, never
 collected.  The words of all texts are scored once each by a join with the models.  Then texts
-meet their words: a block of texts asks for each of its words once, and says which of its texts
-hold it how often.  Evidence is a whole number of 2 ** -24, so sums don't depend on their order.
+meet their words.  The ``HEAD_WORDS`` words that most blocks of texts hold are sent to all tasks
+with their evidence; for each other word of a block, however many there are, the block asks once,
+by a join, and says which of its texts hold it how often.  Evidence is a whole number of 2 ** -24,
+so sums don't depend on their order.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, shared
+from .common import held_out, stored
 
 ORDER = 5
 #: What stands before and behind a word.
@@ -50,8 +52,13 @@ TEXTS_A_ROW = 1 << 10
 LONGEST = 64
 #: Words that ask for their grams together.
 WORDS_A_BUCKET = 100_000
-#: Stands for all words of a text.
-ANY = ""
+#: Words whose evidence every task gets: a bounded list of those that most blocks hold.  The
+#: other words' evidence reaches the texts by a join.
+HEAD_WORDS = 400_000
+#: Steps to a doubling that numbers of blocks are told apart by.
+LEVELS = 16
+#: Stands before a block's number, in place of a word, in the rows of the block's texts.
+ANY = "\0"
 
 # Letters of scripts without spaces between words stand alone.
 _ALONE = "฀-໿က-႟ក-៿⺀-꓏豈-﫿\U00020000-\U0003ffff"
@@ -61,11 +68,19 @@ _gap = re.compile(f"[\\W{_ALONE}]").search
 
 
 class _Numbers(dict):
-    """Words numbered as they come."""
+    """Words numbered as they come; those of ``head`` have its numbers, the others come
+    behind."""
+
+    def __init__(self, head: dict[str, int]):
+        self.head, self.others = head, []
 
     def __missing__(self, word: str) -> int:
-        self[word] = len(self)
-        return self[word]
+        number = self.head.get(word)
+        if number is None:
+            number = len(self.head) + len(self.others)
+            self.others.append(word)
+        self[word] = number
+        return number
 
 
 def _words(piece: str) -> list[str]:
@@ -91,8 +106,8 @@ def _pieces(text: str) -> Iterator[str]:
 class Block:
     """The words of some texts as numbers; texts without a word are left out."""
 
-    def __init__(self, rows: list[str]):
-        self.numbers = _Numbers()
+    def __init__(self, rows: list[str], head: dict[str, int] | None = None):
+        self.numbers = _Numbers(head or {})
         parts, self.rows = [], []
         for i, text in enumerate(rows):
             found = [np.fromiter(map(self.numbers.__getitem__, w), np.int64, len(w)) for w in map(_words, _pieces(text)) if w]
@@ -104,7 +119,8 @@ class Block:
 
     def symbols(self) -> np.ndarray:
         """Letters and closing borders of each text."""
-        sizes = np.fromiter(map(len, self.numbers), np.int64, len(self.numbers)) + 1
+        sizes = np.zeros(len(self.numbers.head) + len(self.numbers.others), np.int64)
+        sizes[np.fromiter(self.numbers.values(), np.int64, len(self.numbers))] = np.fromiter(map(len, self.numbers), np.int64, len(self.numbers)) + 1
         return np.bincount(self.of, sizes[self.seq], len(self.rows)).astype(np.int64)
 
 
@@ -126,26 +142,27 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield rows
 
 
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (text): the words of each block."""
-    for rows in _blocks(batches):
-        words = pa.array(list(set().union(*(w for r in rows for w in map(_words, _pieces(r[0]))))), pa.string())
-        yield from (pa.RecordBatch.from_arrays([words.slice(i, ROWS_OUT)], ["word"]) for i in range(0, len(words), ROWS_OUT))
+#: What is counted of a word: toxic and ordinary rows, and those without dev rows.
+COUNTS = ["toxic", "ordinary", "toxic_part", "ordinary_part"]
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (text, toxic, dev): (word, toxic and ordinary counts, those without dev rows) of
-    each word of a block."""
-    names = ["word", "toxic", "ordinary", "toxic_part", "ordinary_part"]
+    """From (text, toxic, dev): word and COUNTS of each word of a block.  Texts whose toxic is
+    null have words and no counts."""
     for rows in _blocks(batches):
-        for toxic, dev in sorted({r[1:] for r in rows}):
-            block = Block([r[0] for r in rows if r[1:] == (toxic, dev)])
-            n = np.bincount(block.seq, minlength=len(block.numbers))
-            none = np.zeros(len(n), np.int64)
-            counts = [n if toxic else none, none if toxic else n]
-            counts += [none, none] if dev else counts
-            out = pa.RecordBatch.from_arrays([pa.array(list(block.numbers), pa.string()), *map(pa.array, counts)], names)
-            yield from (out.slice(i, ROWS_OUT) for i in range(0, len(n), ROWS_OUT))
+        block = Block([r[0] for r in rows])
+        kinds = np.array([0 if r[1] is None else 1 + r[1] + 2 * r[2] for r in rows], np.int64)[block.rows]
+        words = pa.array(block.numbers.others, pa.string())
+        n = np.bincount(block.seq * 5 + kinds[block.of], minlength=5 * len(words)).reshape(-1, 5)
+        out = pa.RecordBatch.from_arrays([words, *map(pa.array, (n[:, 2] + n[:, 4], n[:, 1] + n[:, 3], n[:, 2].copy(), n[:, 1].copy()))], ["word", *COUNTS])
+        yield from (out.slice(i, ROWS_OUT) for i in range(0, len(words), ROWS_OUT))
+
+
+def _vocabulary(texts: DataFrame) -> DataFrame:
+    """Of (text, toxic, dev) all words with their COUNTS, and level, which grows with the
+    logarithm of the number of blocks that hold the word."""
+    counted = texts.mapInArrow(_counted, f"word string, {', '.join(f'{c} long' for c in COUNTS)}").groupBy("word")
+    return stored(counted.agg(*[F.sum(c).alias(c) for c in COUNTS], F.floor(F.log2(F.count("*")) * LEVELS).cast("int").alias("level")))
 
 
 def grams(word: str) -> F.Column:
@@ -172,7 +189,7 @@ def _model(counts: DataFrame, toxic: str, ordinary: str) -> tuple[DataFrame, Dat
     for order in range(ORDER - 1, 0, -1):
         tables[order] = below.groupBy(_shorter("gram").alias("gram")).agg(F.count("*").alias("k"))
         below = tables[order].select("gram")
-    tables[1] = shared(tables[1])
+    tables[1] = stored(tables[1])
     p, lower = None, F.lit(1.0 / (tables[1].count() + 1))
     for order in range(1, ORDER):
         table = tables[order].withColumn("context", _context("gram"))
@@ -187,7 +204,7 @@ def _model(counts: DataFrame, toxic: str, ordinary: str) -> tuple[DataFrame, Dat
         return F.sum((F.col(c) > 0).cast("long"))
 
     seen = seen.withColumns({"context": _context("gram"), "shorter": _shorter("gram")})
-    by_context = shared(seen.groupBy("context").agg(F.sum("t").alias("t_sum"), F.sum("o").alias("o_sum"), has("t").alias("t_kinds"), has("o").alias("o_kinds")))
+    by_context = stored(seen.groupBy("context").agg(F.sum("t").alias("t_sum"), F.sum("o").alias("o_sum"), has("t").alias("t_kinds"), has("o").alias("o_kinds")))
 
     def left(c):
         return F.when(F.col(f"{c}_sum") > 0, DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_sum")).otherwise(1.0)
@@ -197,61 +214,91 @@ def _model(counts: DataFrame, toxic: str, ordinary: str) -> tuple[DataFrame, Dat
         return own + left(c) * F.col("p")
 
     full = seen.join(by_context, "context").join(p.withColumnRenamed("gram", "shorter"), "shorter")
-    return shared(full.select("gram", F.log(probability("t") / probability("o")).alias("seen"))), by_context.select("context", F.log(left("t") / left("o")).alias("new"))
+    return stored(full.select("gram", F.log(probability("t") / probability("o")).alias("seen"))), by_context.select("context", F.log(left("t") / left("o")).alias("new"))
 
 
-def _word_sums(words: pa.Table, pieces: pa.Table) -> pa.Table:
-    """A bucket's words with the sums over their grams."""
-    value = dict(zip(pieces["gram"].to_pylist(), pieces["evidence"].to_pylist()))
-    names, sums = words["word"].to_pylist(), []
-    for w in names:
-        whole = BORDER * (ORDER - 1) + w + BORDER
-        sums.append(sum(value[whole[i : i + ORDER]] for i in range(len(w) + 1)))
-    return pa.table({"word": pa.array(names, pa.string()), "evidence": pa.array(sums, pa.int64())})
+def _columns(models) -> list[str]:
+    """The evidence under each model."""
+    return ["evidence", *[f"evidence_{i}" for i in range(1, len(models))]]
 
 
-def _of_words(words: DataFrame, model: tuple[DataFrame, DataFrame]) -> DataFrame:
-    """(word, evidence), in UNITs, of each word, and 0 of ANY.  Words are dealt to buckets of
-    about WORDS_A_BUCKET by hash; a bucket asks for each of its grams once."""
-    seen, new = model
-    buckets = F.pmod(F.xxhash64("word"), F.lit(words.count() // WORDS_A_BUCKET + 1)).alias("bucket")
-    words = words.select("word", buckets).repartition("bucket")
-    pieces = words.select("bucket", F.explode(grams("word")).alias("gram")).distinct()
-    pieces = pieces.join(seen, "gram", "left").withColumn("context", _context("gram")).join(new, "context", "left")
-    value = F.round(F.coalesce("seen", "new", F.lit(0.0)) * UNIT).cast("long")
-    pieces = pieces.select(F.col("bucket").alias("asker"), "gram", value.alias("evidence"))
-    found = words.groupBy("bucket").cogroup(pieces.groupBy("asker")).applyInArrow(_word_sums, "word string, evidence long")
-    return shared(found.union(words.sparkSession.range(1).select(F.lit(ANY).alias("word"), F.lit(0).cast("long"))))
+def _of_words(words: DataFrame, models: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(word, level, evidence of each model in UNITs) from (word, level).  Words are dealt to
+    buckets of about WORDS_A_BUCKET by hash; a bucket asks for each of its grams once."""
+    columns = _columns(models)
 
+    def word_sums(words: pa.Table, pieces: pa.Table) -> pa.Table:
+        """A bucket's words with the sums over their grams."""
+        number = {g: i for i, g in enumerate(pieces["gram"].to_pylist())}
+        names = words["word"].to_pylist()
+        wholes = [BORDER * (ORDER - 1) + w + BORDER for w in names]
+        sizes = np.fromiter(map(len, names), np.int64, len(names)) + 1
+        at = np.fromiter((number[w[i : i + ORDER]] for w in wholes for i in range(len(w) - ORDER + 1)), np.int64, int(sizes.sum()))
+        sums = [np.add.reduceat(pieces[c].to_numpy()[at], np.cumsum(sizes) - sizes) if len(at) else at for c in columns]
+        return pa.table([words["word"], words["level"], *map(pa.array, sums)], names=["word", "level", *columns])
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (text, key1, key2): (word, block, found) of each word of a block.  ``found`` holds
-    pairs of 16-bit numbers, a text and how often it holds the word; that of ANY holds text,
-    number of symbols, and keys of the block's texts, 64 bits each."""
+    buckets = F.pmod(F.xxhash64("word"), F.lit(words.count() // WORDS_A_BUCKET + 1)).alias("bucket")
+    words = words.select("word", "level", buckets).repartition("bucket")
+    pieces = words.select("bucket", F.explode(grams("word")).alias("gram")).distinct()
+    for c, (seen, _) in zip(columns, models):
+        pieces = pieces.join(seen.withColumnRenamed("seen", f"seen_{c}"), "gram", "left")
+    pieces = pieces.withColumn("context", _context("gram"))
+    for c, (_, new) in zip(columns, models):
+        pieces = pieces.join(new.withColumnRenamed("new", f"new_{c}"), "context", "left")
+    values = [F.round(F.coalesce(f"seen_{c}", f"new_{c}", F.lit(0.0)) * UNIT).cast("long").alias(c) for c in columns]
+    pieces = pieces.select(F.col("bucket").alias("asker"), "gram", *values)
+    schema = f"word string, level int, {', '.join(f'{c} long' for c in columns)}"
+    return stored(words.groupBy("bucket").cogroup(pieces.groupBy("asker")).applyInArrow(word_sums, schema))
+
+
+def _in_head(words: DataFrame) -> F.Column:
+    """Whether a word is among the HEAD_WORDS of the highest levels, or few less.  Of the level
+    that goes in by part some words are taken by hash."""
+    left = HEAD_WORDS
+    for level, n in sorted(((r["level"], r["n"]) for r in words.groupBy("level").agg(F.count("*").alias("n")).collect()), reverse=True):
+        if n > left:
+            part = F.pmod(F.xxhash64(F.lit("head"), F.col("word")), F.lit(1 << 20)) < int(left / n * (1 << 20))
+            return (F.col("level") > level) | ((F.col("level") == level) & part)
+        left -= n
+    return F.lit(True)
+
+
+def _asked(batches: Iterator[pa.RecordBatch], head: dict[str, int], values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """From (text, key1, key2): (word, block, found) of each word of a block that is not in
+    ``head``.  ``found`` holds pairs of 16-bit numbers, a text and how often it holds the word.
+    Rows of ANY and the block's number hold text, number of symbols, keys, and the sums of
+    ``values`` (a row for each model) over the head's words, of the block's texts, 64 bits each."""
     names = ["word", "block", "found"]
     task = TaskContext.get().partitionId()
+    values = np.concatenate([values, np.zeros((len(values), 1), np.int64)], axis=1).astype(np.float64)
     for number, rows in enumerate(_blocks(batches)):
         rows = list({r[1:]: r for r in rows}.values())
-        block = Block([r[0] for r in rows])
+        block = Block([r[0] for r in rows], head)
         n_texts, name = len(block.rows), (task << 32) + number
         if not n_texts:
             continue
         keys = [[rows[i][k] for i in block.rows] for k in (1, 2)]
-        texts = np.stack([np.arange(n_texts), block.symbols(), *keys], axis=1).astype(np.int64)
+        known = np.minimum(block.seq, len(head))
+        # whole numbers below 2 ** 53: sums of doubles are exact
+        sums = [np.bincount(block.of, v[known], n_texts) for v in values]
+        texts = np.stack([np.arange(n_texts), block.symbols(), *keys, *sums], axis=1, dtype=np.int64, casting="unsafe")
         texts = [texts[i : i + TEXTS_A_ROW // 8].tobytes() for i in range(0, n_texts, TEXTS_A_ROW // 8)]
-        yield pa.RecordBatch.from_arrays([pa.array([ANY] * len(texts)), pa.array([name] * len(texts), pa.int64()), pa.array(texts, pa.binary())], names)
-        held, n = np.unique(block.seq * n_texts + block.of, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array([f"{ANY}{name}"] * len(texts)), pa.array([name] * len(texts), pa.int64()), pa.array(texts, pa.binary())], names)
+        rest = known == len(head)
+        if not rest.any():
+            continue
+        held, n = np.unique((block.seq[rest] - len(head)) * n_texts + block.of[rest], return_counts=True)
         word, text = np.divmod(held, n_texts)
         if n.max() >= 1 << 16:  # no count of 16 bits: several
             times = (n - 1) // 0xFFFF + 1
             last = np.cumsum(times) - 1
-            word, text, rest = np.repeat(word, times), np.repeat(text, times), n - (times - 1) * 0xFFFF
+            word, text, over = np.repeat(word, times), np.repeat(text, times), n - (times - 1) * 0xFFFF
             n = np.full(len(word), 0xFFFF)
-            n[last] = rest
+            n[last] = over
         first_of = np.diff(word, prepend=-1) != 0
         since = np.arange(len(word)) - np.flatnonzero(first_of)[np.cumsum(first_of) - 1]
         new = np.flatnonzero(since % TEXTS_A_ROW == 0)
-        words = pa.array(list(block.numbers), pa.string()).take(pa.array(word[new]))
+        words = pa.array(block.numbers.others, pa.string()).take(pa.array(word[new]))
         found = np.stack([text, n], axis=1).astype(np.uint16)
         bounds = np.append(new, len(word))
         for i in range(0, len(new), ROWS_OUT):
@@ -260,59 +307,75 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([words.slice(i, ROWS_OUT), pa.array(np.full(len(to) - 1, name)), data], names)
 
 
-_SUMS = "block long, place long, value long, n long, key1 long, key2 long"
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (whether ANY, block, found, evidence): evidence by block and text, a task's sums put
-    together; the rows of ANY have the texts' lengths and keys."""
-    names = [c.split()[0] for c in _SUMS.split(", ")]
-    blocks, places, values = [], [], []
+def _summed(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """From (whether ANY, block, found, evidence of each model): evidence by block and text, a
+    task's sums put together; the rows of ANY have the texts' lengths and keys, and the sums
+    over the head's words.  ``names``: block, place, n, key1, key2, evidence of each model."""
+    blocks, places, values = [], [], [[] for _ in names[5:]]
 
     def together():
         names_, number = np.unique(np.concatenate(blocks), return_inverse=True)
         found, at = np.unique(number * BLOCK_TEXTS + np.concatenate(places), return_inverse=True)
-        # whole numbers below 2 ** 53: sums of doubles are exact
-        sums = np.bincount(at, np.concatenate(values), len(found))
-        blocks[:], places[:], values[:] = [names_[found // BLOCK_TEXTS]], [found % BLOCK_TEXTS], [sums]
+        blocks[:], places[:] = [names_[found // BLOCK_TEXTS]], [found % BLOCK_TEXTS]
+        for v in values:
+            # whole numbers below 2 ** 53: sums of doubles are exact
+            v[:] = [np.bincount(at, np.concatenate(v), len(found))]
+
+    def out():
+        none = [pa.nulls(len(blocks[0]), pa.int64())] * 3
+        rows = [pa.array(blocks[0]), pa.array(places[0]), *none, *[pa.array(v[0].astype(np.int64)) for v in values]]
+        for kept in (blocks, places, *values):
+            kept.clear()
+        return pa.RecordBatch.from_arrays(rows, names)
 
     for batch in batches:
-        any_, name, value = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
+        any_, name = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        evidence = [c.fill_null(0).to_numpy(zero_copy_only=False) for c in batch.columns[3:]]
         found = batch.column(2).to_pylist()
         for i in np.flatnonzero(any_):
-            text, n, key1, key2 = np.frombuffer(found[i], np.int64).reshape(-1, 4).T
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in (np.full(len(text), name[i]), text, n * 0, n, key1, key2)], names)
+            text, *more = np.frombuffer(found[i], np.int64).reshape(-1, len(names) - 1).T
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in (np.full(len(text), name[i]), text, *more)], names)
             found[i] = b""
         pairs = np.frombuffer(b"".join(found), np.uint16).reshape(-1, 2).astype(np.int64)
         row = np.repeat(np.arange(len(found)), np.fromiter(map(len, found), np.int64, len(found)) // 4)
-        blocks.append(name[row]), places.append(pairs[:, 0]), values.append((pairs[:, 1] * value[row]).astype(np.float64))
+        blocks.append(name[row]), places.append(pairs[:, 0])
+        for v, e in zip(values, evidence):
+            v.append((pairs[:, 1] * e[row]).astype(np.float64))
         if sum(map(len, blocks)) > 1_000_000:
             together()
             if len(blocks[0]) > 500_000:
-                yield _sums_out(blocks, places, values, names)
+                yield out()
     if blocks:
         together()
-        yield _sums_out(blocks, places, values, names)
+        yield out()
 
 
-def _sums_out(blocks: list, places: list, values: list, names: list[str]) -> pa.RecordBatch:
-    n = len(blocks[0])
-    out = [pa.array(blocks[0]), pa.array(places[0]), pa.array(values[0].astype(np.int64)), *[pa.nulls(n, pa.int64())] * 3]
-    blocks.clear(), places.clear(), values.clear()
-    return pa.RecordBatch.from_arrays(out, names)
+def _evidence(docs: DataFrame, *models: tuple[DataFrame, DataFrame], words: DataFrame | None = None) -> DataFrame:
+    """The rows with ``evidence`` per symbol in place of text, under further models as
+    ``evidence_1`` and so on.  ``words``: the texts' vocabulary, if it stands ready.  Equal texts are told by two hashes of 64 bits and have equal
+    evidence."""
+    columns = _columns(models)
+    if words is None:
+        words = _vocabulary(docs.select("text", F.lit(None).cast("boolean").alias("toxic"), F.lit(None).cast("boolean").alias("dev")))
+    words = _of_words(words, list(models))
+    in_head = _in_head(words)
+    top = words.filter(in_head).select("word", *columns).toArrow()
+    head = docs.sparkSession.sparkContext.broadcast(("\n".join(top["word"].to_pylist()), np.stack([top[c].to_numpy() for c in columns])))
 
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, values = head.value
+        return _asked(batches, {w: i for i, w in enumerate(names.split("\n"))} if names else {}, values)
 
-def _evidence(docs: DataFrame, model: tuple[DataFrame, DataFrame]) -> DataFrame:
-    """The rows with ``evidence`` per symbol in place of text.  Equal texts are told by two
-    hashes of 64 bits and have equal evidence."""
-    words = _of_words(shared(docs.select("text").mapInArrow(_distinct, "word string").distinct()), model)
     docs = docs.withColumns({"key1": F.xxhash64("text"), "key2": F.xxhash64(F.lit("second"), F.col("text"))})
-    asked = docs.select("text", "key1", "key2").mapInArrow(_asked, "word string, block long, found binary")
-    asked = asked.join(words.hint("merge"), "word").select((F.col("word") == ANY).alias("any"), "block", "found", "evidence")
-    sums = asked.mapInArrow(_summed, _SUMS)
-    texts = sums.groupBy("block", "place").agg(F.sum("value").alias("value"), *[F.max(c).alias(c) for c in ("n", "key1", "key2")])
-    texts = texts.groupBy("key1", "key2").agg((F.min("value") / F.min("n") / UNIT).alias("evidence"))
-    return docs.drop("text").join(texts.hint("merge"), ["key1", "key2"], "left").drop("key1", "key2").withColumn("evidence", F.coalesce("evidence", F.lit(0.0)))
+    rows = docs.select("text", "key1", "key2").mapInArrow(asked, "word string, block long, found binary")
+    rows = rows.join(words.filter(~in_head).select("word", *columns).hint("merge"), "word", "left")
+    rows = rows.select(F.col("word").startswith(ANY).alias("any"), "block", "found", *columns)
+    names = ["block", "place", "n", "key1", "key2", *columns]
+    sums = rows.mapInArrow(lambda batches: _summed(batches, names), ", ".join(f"{c} long" for c in names))
+    texts = sums.groupBy("block", "place").agg(*[F.sum(c).alias(c) for c in columns], *[F.max(c).alias(c) for c in ("n", "key1", "key2")])
+    texts = texts.groupBy("key1", "key2").agg(*[(F.min(c) / F.min("n") / UNIT).alias(c) for c in columns])
+    texts = docs.drop("text").join(texts.hint("merge"), ["key1", "key2"], "left").drop("key1", "key2")
+    return texts.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in columns})
 
 
 def _curve(rows: pd.DataFrame) -> tuple[float, float]:
@@ -349,19 +412,19 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     columns are not looked at; an empty table gives no rows."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     labels = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
-    labels = shared(labels.filter(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    labelled = docs.join(F.broadcast(labels) if labels.count() <= BROADCAST_LABELS else labels, "doc_id")
+    labels = stored(labels.filter(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    labels = F.broadcast(labels) if labels.count() <= BROADCAST_LABELS else labels
     dev = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
-    labelled = labelled.select("text", (F.col("toxic") != 0).alias("toxic"), dev.alias("dev"))
-    counts = labelled.mapInArrow(_counted, "word string, toxic long, ordinary long, toxic_part long, ordinary_part long")
-    sums = [F.sum(c).alias(c) for c in counts.columns[1:]]
-    counts = counts.groupBy("word").agg(*sums).withColumn("gram", F.explode(grams("word")))
-    counts = shared(counts.groupBy("gram").agg(*sums))
+    words = _vocabulary(docs.join(labels, "doc_id", "left").select("text", (F.col("toxic") != 0).alias("toxic"), dev.alias("dev")))
+    counts = words.filter("toxic + ordinary > 0").select(F.explode(grams("word")).alias("gram"), *COUNTS)
+    counts = stored(counts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS]))
 
-    found = _evidence(labelled.filter("dev").select("toxic", "text"), _model(counts, "toxic_part", "ordinary_part"))
-    place = F.round(F.greatest(F.lit(-REACH), F.least(F.lit(REACH), F.col("evidence"))) * (BINS / REACH)).cast("int")
-    slope, intercept = _curve(found.groupBy(place.alias("bin")).agg(F.sum(F.col("toxic").cast("int")).alias("toxic"), F.count("*").alias("n")).toPandas())
+    # One pass over the texts for both models; the development rows' evidence is of the second.
+    models = _model(counts, "toxic", "ordinary"), _model(counts, "toxic_part", "ordinary_part")
+    scored = stored(_evidence(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"), *models, words=words))
+    place = F.round(F.greatest(F.lit(-REACH), F.least(F.lit(REACH), F.col("evidence_1"))) * (BINS / REACH)).cast("int")
+    found = scored.join(labels, "doc_id").filter(dev)
+    slope, intercept = _curve(found.groupBy(place.alias("bin")).agg(F.sum((F.col("toxic") != 0).cast("int")).alias("toxic"), F.count("*").alias("n")).toPandas())
 
-    scored = _evidence(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"), _model(counts, "toxic", "ordinary"))
     value = 1 / (1 + F.exp(-(F.col("evidence") * slope + intercept)))
     return scored.select("doc_id", "held_out", value.alias("score"), (value >= 0.5).cast("int").alias("predicted"))

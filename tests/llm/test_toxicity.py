@@ -1,6 +1,8 @@
 import random
 import zlib
 
+import numpy as np
+
 from dimforge.llm import toxicity as tx
 
 GOOD = "the river runs past old houses and green fields where children play every day with stones".split()
@@ -129,3 +131,23 @@ def test_small_blocks_give_the_same_scores(spark, monkeypatch):
 def test_words_outside_latin_and_long_ones():
     assert tx._words("漢字 abc1 ไทย 123") == ["漢", "字", "abc1", "ไ", "ท", "ย"]
     assert tx._words("a" * 130) == ["a" * 64, "a" * 64, "aa"]
+
+
+def test_head_words_are_asked_by_no_block(spark):
+    rows = spark.createDataFrame([(f"the river {i} the w{'abcdefgh'[i]}x", i, i) for i in range(8)], "text string, key1 long, key2 long").coalesce(1)
+    head, values = {"the": 0, "river": 1}, np.array([[5, 7], [-2, 3]])
+    out = rows.mapInArrow(lambda batches: tx._asked(batches, head, values), "word string, block long, found binary").collect()
+    assert sorted(r["word"] for r in out if not r["word"].startswith(tx.ANY)) == [f"w{c}x" for c in "abcdefgh"]
+    texts = np.concatenate([np.frombuffer(r["found"], np.int64).reshape(-1, 6) for r in out if r["word"].startswith(tx.ANY)])
+    # text, symbols, keys, and the head's sums under both models
+    assert [(n, *sums) for _, n, _, _, *sums in texts.tolist()] == [(18, 17, -1)] * 8
+
+
+def test_any_head_gives_the_same_scores(spark, monkeypatch):
+    docs, labels = corpus(150)
+    docs += [(1000 + i, f"{t} rare{'abcdefghij'[i]} idiocy", x) for i, t, x in docs[:10]]
+    scores = []
+    for n in (400_000, 0, 9):
+        monkeypatch.setattr(tx, "HEAD_WORDS", n)
+        scores.append({r["doc_id"]: r["score"] for r in tx.score(*frames(spark, docs, labels)).collect()})
+    assert scores[0] == scores[1] == scores[2]
