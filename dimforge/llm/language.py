@@ -29,6 +29,8 @@ SAMPLE = 300
 MAX_LANGUAGES = 200
 #: Rows whose features are held at once: 8 MB of them.
 BLOCK = 256
+#: Characters whose n-grams are counted at once.
+UNITS = 1 << 16
 EPOCHS, PENALTY = 30, 10.0
 
 #: The usual families; a language not listed is a family of its own.
@@ -53,14 +55,29 @@ def _is_letter() -> np.ndarray:
 def features(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(rows, DIM) square roots of n-gram frequencies, so each row has length 1; and whether
     a row has a letter (rows without are 0).  Case doesn't count, and all that isn't a letter
-    counts as a space."""
+    counts as a space.  Some rows' n-grams are counted at a time, of UNITS characters or one
+    row's: what is held besides the result is bounded by that."""
     low = [t.lower() for t in rows]
+    before = np.append(0, np.cumsum(np.fromiter(map(len, low), np.int64, len(low))))
+    counts = np.zeros((len(rows), DIM))
+    first = 0
+    while first < len(low):
+        last = max(int(np.searchsorted(before, before[first] + UNITS, "right")) - 1, first + 1)
+        _count(low[first:last], counts[first:last].reshape(-1))
+        first = last
+    totals = counts.sum(axis=1, keepdims=True)
+    has = totals[:, 0] > 0
+    counts /= np.maximum(totals, 1)
+    return np.sqrt(counts, out=counts), has
+
+
+def _count(low: list[str], counts: np.ndarray) -> None:
+    """Add the rows' n-grams to ``counts``, DIM for each row."""
     sizes = np.fromiter(map(len, low), np.int64, len(low))
     units = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _is_letter()[units]
     units = np.where(letter, units, 0).astype(U64)
-    row = np.repeat(np.arange(len(rows)), sizes)
-    counts = np.zeros(len(rows) * DIM)
+    row = np.repeat(np.arange(len(low)), sizes)
     gram = np.zeros(len(units), U64)
     any_letter = np.zeros(len(units), bool)
     for order in range(1, max(ORDERS) + 1):
@@ -73,10 +90,6 @@ def features(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
             use = any_letter & (row[:n] == row[order - 1 :])
             bucket = mix(gram[use] + U64(order << 60)) >> U64(64 - DIM.bit_length() + 1)
             counts += np.bincount(row[:n][use] * DIM + bucket.astype(np.int64), minlength=len(counts))
-    counts = counts.reshape(len(rows), DIM)
-    totals = counts.sum(axis=1, keepdims=True)
-    has = totals[:, 0] > 0
-    return np.sqrt(counts / np.maximum(totals, 1)), has
 
 
 def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -47,3 +47,16 @@ def test_odd_rows(docs):
 def test_label_keeps_other_columns(docs):
     out = lg.label(docs(corpus(40))).first().asDict()
     assert out["n_tokens"] == "kept" and out["source"] == "s" and out["lang_pred"] == out["lang"]
+
+
+def test_a_block_holds_little_besides_its_features():
+    import tracemalloc
+
+    rows = ["some ordinary words that go on and on, "[: 7 + i % 32] * 100 for i in range(lg.BLOCK)]
+    lg.features(rows[:1])
+    tracemalloc.start()
+    x, _ = lg.features(rows)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < x.nbytes + 20_000_000
+    assert all((lg.features([t])[0][0] == v).all() for t, v in zip(rows[::51], x[::51]))
