@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, stored
+from .common import held_out, steps, stored
 
 ORDER = 5
 #: What stands before and behind a word.
@@ -41,13 +42,19 @@ BROADCAST_LABELS = 2_000_000
 #: Characters and texts of a block of texts; a longer text is a block of its own.
 BLOCK_CHARS = 16 << 20
 BLOCK_TEXTS = 1 << 16
+#: Blocks of a task at most, by which their names are told apart.
+TASK_BLOCKS = 1 << 24
 #: Longer texts are cut into words by pieces of so many characters.
-PIECE = 1 << 20
+PIECE = 1 << 17
+#: So many words, or few more, are turned to numbers at once; their texts are not kept.
+STEP_WORDS = 1 << 16
 #: Evidence is counted in this unit.
 UNIT = 1 << 24
 ROWS_OUT = 1 << 15
 #: Texts that one row names at most: a word of more texts of a block has several rows.
 TEXTS_A_ROW = 1 << 10
+#: Pairs of a text and a word that are added up at once.
+PAIRS = 1 << 17
 #: Letters of a word; a longer one is several words.
 LONGEST = 64
 #: Words that ask for their grams together.
@@ -68,18 +75,10 @@ _gap = re.compile(f"[\\W{_ALONE}]").search
 
 
 class _Numbers(dict):
-    """Words numbered as they come; those of ``head`` have its numbers, the others come
-    behind."""
-
-    def __init__(self, head: dict[str, int]):
-        self.head, self.others = head, []
+    """Words numbered as they come."""
 
     def __missing__(self, word: str) -> int:
-        number = self.head.get(word)
-        if number is None:
-            number = len(self.head) + len(self.others)
-            self.others.append(word)
-        self[word] = number
+        number = self[word] = len(self)
         return number
 
 
@@ -104,42 +103,60 @@ def _pieces(text: str) -> Iterator[str]:
 
 
 class Block:
-    """The words of some texts as numbers; texts without a word are left out."""
-
-    def __init__(self, rows: list[str], head: dict[str, int] | None = None):
-        self.numbers = _Numbers(head or {})
-        parts, self.rows = [], []
-        for i, text in enumerate(rows):
-            found = [np.fromiter(map(self.numbers.__getitem__, w), np.int64, len(w)) for w in map(_words, _pieces(text)) if w]
-            if found:
-                parts.append(np.concatenate(found))
-                self.rows.append(i)
-        self.seq = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        self.of = np.repeat(np.arange(len(parts)), np.array([len(p) for p in parts], np.int64))
-
-    def symbols(self) -> np.ndarray:
-        """Letters and closing borders of each text."""
-        sizes = np.zeros(len(self.numbers.head) + len(self.numbers.others), np.int64)
-        sizes[np.fromiter(self.numbers.values(), np.int64, len(self.numbers))] = np.fromiter(map(len, self.numbers), np.int64, len(self.numbers)) + 1
-        return np.bincount(self.of, sizes[self.seq], len(self.rows)).astype(np.int64)
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows, text first, in lists of about BLOCK_CHARS characters."""
-    rows, size = [], 0
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if row[0]:
-                if rows and len(row[0]) >= BLOCK_CHARS:  # a long text is alone
-                    yield rows
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[0])
-                if size >= BLOCK_CHARS or len(rows) == BLOCK_TEXTS:
-                    yield rows
-                    rows, size = [], 0
-    if rows:
-        yield rows
+    """The words of some texts as numbers: those of ``head`` have its numbers, the others come
+    behind.  Texts are taken one by one and not kept; those without a word have no place."""
+
+    def __init__(self, head: dict[str, int] | None = None):
+        self.head, self.numbers = head or {}, _Numbers()
+        self.n_texts = 0
+        self._words, self._sizes, self._places = [], [], []
+
+    def take(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Numbers, lengths and places of the words, once STEP_WORDS have come; ``rest`` gives
+        the last ones."""
+        place = self.n_texts
+        for piece in _pieces(text):
+            words = _words(piece)
+            if words:
+                self.n_texts = place + 1
+                self._words += words
+                self._sizes.append(len(words))
+                self._places.append(place)
+                if len(self._words) >= STEP_WORDS:
+                    yield from self.rest()
+
+    def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        words, n = self._words, len(self._words)
+        if n:
+            if self.head:
+                seq = np.fromiter(map(self.head.get, words, repeat(-1)), np.int64, n)
+                others = np.flatnonzero(seq < 0)
+                found = map(self.numbers.__getitem__, map(words.__getitem__, others.tolist()))
+                seq[others] = np.fromiter(found, np.int64, len(others)) + len(self.head)
+            else:
+                seq = np.fromiter(map(self.numbers.__getitem__, words), np.int64, n)
+            yield seq, np.fromiter(map(len, words), np.int64, n), np.repeat(self._places, self._sizes)
+            self._words, self._sizes, self._places = [], [], []
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[tuple]]:
+    """Rows, text first, dealt to blocks of about BLOCK_CHARS characters.  A block is to be read
+    to its end before the next."""
+    rows = (row for batch in batches for part in steps(batch, batch.schema.names[0]) for row in zip(*(c.to_pylist() for c in part.columns)) if row[0])
+    ahead = next(rows, None)
+
+    def block() -> Iterator[tuple]:
+        nonlocal ahead
+        n = size = 0
+        # a long text is alone
+        while ahead is not None and not (n and (size >= BLOCK_CHARS or n == BLOCK_TEXTS or len(ahead[0]) >= BLOCK_CHARS)):
+            row, ahead = ahead, None
+            n, size = n + 1, size + len(row[0])
+            yield row
+            ahead = next(rows, None)
+
+    while ahead is not None:
+        yield block()
 
 
 #: What is counted of a word: toxic and ordinary rows, and those without dev rows.
@@ -150,12 +167,26 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (text, toxic, dev): word and COUNTS of each word of a block.  Texts whose toxic is
     null have words and no counts."""
     for rows in _blocks(batches):
-        block = Block([r[0] for r in rows])
-        kinds = np.array([0 if r[1] is None else 1 + r[1] + 2 * r[2] for r in rows], np.int64)[block.rows]
-        words = pa.array(block.numbers.others, pa.string())
-        n = np.bincount(block.seq * 5 + kinds[block.of], minlength=5 * len(words)).reshape(-1, 5)
-        out = pa.RecordBatch.from_arrays([words, *map(pa.array, (n[:, 2] + n[:, 4], n[:, 1] + n[:, 3], n[:, 2].copy(), n[:, 1].copy()))], ["word", *COUNTS])
-        yield from (out.slice(i, ROWS_OUT) for i in range(0, len(words), ROWS_OUT))
+        block, kinds, n = Block(), [], np.zeros((0, 5), np.int32)
+
+        def add(seq: np.ndarray, of: np.ndarray) -> None:
+            if len(n) < len(block.numbers):
+                n.resize((len(block.numbers) * 5 // 4, 5), refcheck=False)  # new rows are zeros
+            found, times = np.unique(seq * 5 + np.array(kinds, np.int64)[of], return_counts=True)
+            n.reshape(-1)[found] += times.astype(np.int32)
+
+        for text, toxic, dev in rows:
+            del kinds[block.n_texts :]  # of texts without a word
+            kinds.append(0 if toxic is None else 1 + toxic + 2 * dev)
+            for seq, _, of in block.take(text):
+                add(seq, of)
+        for seq, _, of in block.rest():
+            add(seq, of)
+        words = list(block.numbers)
+        for i in range(0, len(words), ROWS_OUT):
+            c = n[i : min(i + ROWS_OUT, len(words))].astype(np.int64)
+            out = c[:, 2] + c[:, 4], c[:, 1] + c[:, 3], c[:, 2].copy(), c[:, 1].copy()
+            yield pa.RecordBatch.from_arrays([pa.array(words[i : i + ROWS_OUT], pa.string()), *map(pa.array, out)], ["word", *COUNTS])
 
 
 def _vocabulary(texts: DataFrame) -> DataFrame:
@@ -272,23 +303,45 @@ def _asked(batches: Iterator[pa.RecordBatch], head: dict[str, int], values: np.n
     task = TaskContext.get().partitionId()
     values = np.concatenate([values, np.zeros((len(values), 1), np.int64)], axis=1).astype(np.float64)
     for number, rows in enumerate(_blocks(batches)):
-        rows = list({r[1:]: r for r in rows}.values())
-        block = Block([r[0] for r in rows], head)
-        n_texts, name = len(block.rows), (task << 32) + number
+        block, name = Block(head), task * TASK_BLOCKS + number
+        keys, known_keys = [], set()
+        # symbols, and the sums over the head's words, by text; whole numbers below 2 ** 53: sums of doubles are exact
+        totals, held, n = np.zeros((len(values) + 1, 0)), [], []
+
+        def add(seq: np.ndarray, lengths: np.ndarray, of: np.ndarray) -> np.ndarray:
+            known = np.minimum(seq, len(head))
+            first = int(of[0])
+            new = np.stack([np.bincount(of - first, w, block.n_texts - first) for w in (lengths + 1, *(v[known] for v in values))])
+            new[:, : totals.shape[1] - first] += totals[:, first:]
+            other = known == len(head)
+            words, times = np.unique((seq[other] - len(head)) * BLOCK_TEXTS + of[other], return_counts=True)
+            held.append(words), n.append(times)
+            return np.concatenate([totals[:, :first], new], axis=1)
+
+        for text, *key in rows:
+            if tuple(key) in known_keys:
+                continue
+            known_keys.add(tuple(key))
+            del keys[block.n_texts :]  # of texts without a word
+            keys.append(key)
+            for step in block.take(text):
+                totals = add(*step)
+        for step in block.rest():
+            totals = add(*step)
+        n_texts = block.n_texts
         if not n_texts:
             continue
-        keys = [[rows[i][k] for i in block.rows] for k in (1, 2)]
-        known = np.minimum(block.seq, len(head))
-        # whole numbers below 2 ** 53: sums of doubles are exact
-        sums = [np.bincount(block.of, v[known], n_texts) for v in values]
-        texts = np.stack([np.arange(n_texts), block.symbols(), *keys, *sums], axis=1, dtype=np.int64, casting="unsafe")
+        symbols, *sums = totals
+        texts = np.stack([np.arange(n_texts), symbols, *np.array(keys[:n_texts], np.int64).T, *sums], axis=1, dtype=np.int64, casting="unsafe")
         texts = [texts[i : i + TEXTS_A_ROW // 8].tobytes() for i in range(0, n_texts, TEXTS_A_ROW // 8)]
         yield pa.RecordBatch.from_arrays([pa.array([f"{ANY}{name}"] * len(texts)), pa.array([name] * len(texts), pa.int64()), pa.array(texts, pa.binary())], names)
-        rest = known == len(head)
-        if not rest.any():
+        held, n = np.concatenate(held), np.concatenate(n)
+        if not len(held):
             continue
-        held, n = np.unique((block.seq[rest] - len(head)) * n_texts + block.of[rest], return_counts=True)
-        word, text = np.divmod(held, n_texts)
+        # a long text's steps are put together
+        held, at = np.unique(held, return_inverse=True)
+        n = np.bincount(at, n, len(held)).astype(np.int64)
+        word, text = np.divmod(held, BLOCK_TEXTS)
         if n.max() >= 1 << 16:  # no count of 16 bits: several
             times = (n - 1) // 0xFFFF + 1
             last = np.cumsum(times) - 1
@@ -298,7 +351,7 @@ def _asked(batches: Iterator[pa.RecordBatch], head: dict[str, int], values: np.n
         first_of = np.diff(word, prepend=-1) != 0
         since = np.arange(len(word)) - np.flatnonzero(first_of)[np.cumsum(first_of) - 1]
         new = np.flatnonzero(since % TEXTS_A_ROW == 0)
-        words = pa.array(block.numbers.others, pa.string()).take(pa.array(word[new]))
+        words = pa.array(list(block.numbers), pa.string()).take(pa.array(word[new]))
         found = np.stack([text, n], axis=1).astype(np.uint16)
         bounds = np.append(new, len(word))
         for i in range(0, len(new), ROWS_OUT):
@@ -311,22 +364,23 @@ def _summed(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
     """From (whether ANY, block, found, evidence of each model): evidence by block and text, a
     task's sums put together; the rows of ANY have the texts' lengths and keys, and the sums
     over the head's words.  ``names``: block, place, n, key1, key2, evidence of each model."""
-    blocks, places, values = [], [], [[] for _ in names[5:]]
+    keys, values, pending = [], [[] for _ in names[5:]], 0
 
     def together():
-        names_, number = np.unique(np.concatenate(blocks), return_inverse=True)
-        found, at = np.unique(number * BLOCK_TEXTS + np.concatenate(places), return_inverse=True)
-        blocks[:], places[:] = [names_[found // BLOCK_TEXTS]], [found % BLOCK_TEXTS]
+        found, at = np.unique(np.concatenate(keys), return_inverse=True)
+        keys[:] = [found]
         for v in values:
             # whole numbers below 2 ** 53: sums of doubles are exact
             v[:] = [np.bincount(at, np.concatenate(v), len(found))]
 
     def out():
-        none = [pa.nulls(len(blocks[0]), pa.int64())] * 3
-        rows = [pa.array(blocks[0]), pa.array(places[0]), *none, *[pa.array(v[0].astype(np.int64)) for v in values]]
-        for kept in (blocks, places, *values):
+        for i in range(0, len(keys[0]), ROWS_OUT):
+            key = keys[0][i : i + ROWS_OUT]
+            none = [pa.nulls(len(key), pa.int64())] * 3
+            sums = [pa.array(v[0][i : i + ROWS_OUT].astype(np.int64)) for v in values]
+            yield pa.RecordBatch.from_arrays([pa.array(key // BLOCK_TEXTS), pa.array(key % BLOCK_TEXTS), *none, *sums], names)
+        for kept in (keys, *values):
             kept.clear()
-        return pa.RecordBatch.from_arrays(rows, names)
 
     for batch in batches:
         any_, name = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -336,18 +390,27 @@ def _summed(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
             text, *more = np.frombuffer(found[i], np.int64).reshape(-1, len(names) - 1).T
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in (np.full(len(text), name[i]), text, *more)], names)
             found[i] = b""
-        pairs = np.frombuffer(b"".join(found), np.uint16).reshape(-1, 2).astype(np.int64)
-        row = np.repeat(np.arange(len(found)), np.fromiter(map(len, found), np.int64, len(found)) // 4)
-        blocks.append(name[row]), places.append(pairs[:, 0])
-        for v, e in zip(values, evidence):
-            v.append((pairs[:, 1] * e[row]).astype(np.float64))
-        if sum(map(len, blocks)) > 1_000_000:
-            together()
-            if len(blocks[0]) > 500_000:
-                yield out()
-    if blocks:
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        before, first = np.concatenate([[0], np.cumsum(sizes)]), 0
+        while first < len(found):
+            # rows of about PAIRS pairs; one row has TEXTS_A_ROW at most
+            last = max(first + 1, int(np.searchsorted(before, before[first] + PAIRS, "right")) - 1)
+            pairs = np.frombuffer(b"".join(found[first:last]), np.uint16).reshape(-1, 2)
+            row = np.repeat(np.arange(first, last), sizes[first:last])
+            keys.append(name[row] * BLOCK_TEXTS + pairs[:, 0])
+            for v, e in zip(values, evidence):
+                v.append(pairs[:, 1] * e[row].astype(np.float64))
+            pending, first = pending + len(pairs), last
+            if pending > PAIRS:
+                together()
+                # what a task keeps is bounded; what it has added since, in proportion to that
+                pending = -len(keys[0])
+                if len(keys[0]) > 2 * PAIRS:
+                    yield from out()
+                    pending = 0
+    if keys:
         together()
-        yield out()
+        yield from out()
 
 
 def _evidence(docs: DataFrame, *models: tuple[DataFrame, DataFrame], words: DataFrame | None = None) -> DataFrame:

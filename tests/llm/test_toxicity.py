@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from dimforge.llm import toxicity as tx
 
@@ -151,3 +153,26 @@ def test_any_head_gives_the_same_scores(spark, monkeypatch):
         monkeypatch.setattr(tx, "HEAD_WORDS", n)
         scores.append({r["doc_id"]: r["score"] for r in tx.score(*frames(spark, docs, labels)).collect()})
     assert scores[0] == scores[1] == scores[2]
+
+
+def test_a_block_keeps_no_texts(monkeypatch):
+    class Context:
+        get = classmethod(lambda cls: cls)
+        partitionId = classmethod(lambda cls: 3)
+
+    monkeypatch.setattr(tx, "TaskContext", Context)
+
+    def batches(*columns):
+        for i in range(40):
+            texts = [f"row {i} {j} " + " ".join(GOOD[(i + j + k) % len(GOOD)] for k in range(180)) for j in range(100)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts), *[pa.array(c(np.arange(100) + 100 * i)) for c in columns]], ["text", "a", "b"])
+
+    counted = tx._counted, (lambda k: k % 2 == 0, lambda k: k % 3 == 0), ()
+    asked = tx._asked, (lambda k: k, lambda k: k), ({"the": 0, "river": 1}, np.array([[5, 7]]))
+    for work, columns, more in (counted, asked):
+        tracemalloc.start()
+        n = sum(b.num_rows for b in work(batches(*columns), *more))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        # 4,000 texts of 1,000 characters are one block: 4 MB of text, 720,000 words
+        assert n and peak < 16 << 20, (work.__name__, peak)
