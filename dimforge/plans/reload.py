@@ -29,16 +29,18 @@ def values(df: DataFrame, column) -> list:
 
 def with_keys(store: TableStore, name: str, fresh: DataFrame, version: str) -> tuple[DataFrame, int]:
     """``fresh``, rows read from files, with the fact's surrogate key, and the next free key.
-    New natural keys are numbered in their order and appended to the side table."""
+    New natural keys are numbered in their order and appended to the side table.  A natural key
+    that occurs twice is an error; if all rows are numbered, the numbering finds it."""
     natural, sk = schemas.KEYS[name]
     known = store.read(keys_of(name))
     next_key = store.entry(name).get("next_key", 1)
     if known is None:
         have, need = None, fresh
     else:
+        require_unique(fresh, natural, "reload")
         matched = written(fresh.join(known, natural, "left"))
         have, need = matched.where(F.col(sk).isNotNull()), matched.where(F.col(sk).isNull()).drop(sk)
-    keyed = assign_keys(need, sk, natural, offset=next_key - 1, stored=True)
+    keyed = assign_keys(need, sk, natural, offset=next_key - 1, stored=True, unique="reload" if known is None else None)
     store.append(keys_of(name), keyed.select(*natural, sk), version)
     # Parquet footers tell how many rows were appended.
     next_key += store.frame(keys_of(name), store.pending[keys_of(name)], labels=[f"v={version}"]).count()
@@ -54,7 +56,6 @@ def reload_fact(store: TableStore, name: str, fresh: DataFrame, scope: DataFrame
     part = parts[0]
     month = F.col(part) if derived is None else F.date_format(F.col(derived), "yyyy-MM")
     fresh = written(has_key(fresh, natural))  # read to check, to match and to write
-    require_unique(fresh, natural, "reload")
     keyed, next_key = with_keys(store, name, fresh, version)
     there = store.entry(name)["parts"]
     scope = scope.select(scope_col).where(F.col(scope_col).isNotNull()).distinct()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import distinct_from
+from ..functions.exprs import cents, distinct_from, hundredths
 from . import check_states, serving
 from .publish import TableStore
 from .reload import values
@@ -22,14 +22,15 @@ TABLE = "agg_category_day"
 
 def by_day(items: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Distinct orders, items and sums of each day and category.  Items are summed by order
-    first, so a hot day's rows are combined before the shuffle and none is expanded."""
+    first, so a hot day's rows are combined before the shuffle and none is expanded.  Money is
+    summed in cents: longs stay small in the shuffles, where sums of decimals don't."""
     j = items.select("order_purchase_date", "order_id", "product_key", "price", "freight_value").join(
         dim_product.select("product_key", "category_name_english"), "product_key")
     per_order = j.groupBy("order_purchase_date", "category_name_english", "order_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("price").alias("revenue"), F.sum("freight_value").alias("freight"))
+        F.count(F.lit(1)).alias("n"), F.sum(cents("price")).alias("revenue"), F.sum(cents("freight_value")).alias("freight"))
     return per_order.groupBy("order_purchase_date", "category_name_english").agg(
         F.count(F.lit(1)).alias("total_orders"), F.sum("n").alias("total_items"),
-        F.sum("revenue").alias("total_revenue"), F.sum("freight").alias("total_freight"))
+        hundredths(F.sum("revenue")).alias("total_revenue"), hundredths(F.sum("freight")).alias("total_freight"))
 
 
 def _moved_products(store: TableStore) -> DataFrame | None:

@@ -77,3 +77,22 @@ def test_reloads_leave_no_uncompressed_checkpoint(spark):
     out = replace_by_key(target, fresh, fresh.select("k"), "k", ["k"], "sk")
     assert sorted(map(tuple, out.select("sk", "k", "v").collect())) == [(1, "a", 1), (2, "b", 5), (3, "c", 6)]
     assert set(glob.glob(f"{folder}/rdd-*")) == before
+
+
+def test_numbering_finds_repeated_keys_and_shuffles_once(spark, monkeypatch):
+    plans = []
+    store = keys.written
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(keys, "written", noted)
+    df = spark.createDataFrame([(f"o{i % 40:02d}", i // 40, i) for i in range(200)], "nk string, item int, v int").repartition(5)
+    out = keys.assign_keys(df, "sk", ["nk", "item"], num_partitions=4, unique="reload")
+    assert out.columns == ["nk", "item", "v", "sk"]
+    assert [r.sk for r in out.orderBy("nk", "item").collect()] == list(range(1, 201))
+    assert "rangepartitioning" in plans[-1] and "hashpartitioning" not in plans[-1]
+    twice = df.unionByName(df.where("v in (7, 8)"))
+    with pytest.raises(keys.DuplicateKeyError, match="duplicate reload keys.*'o0[78]'"):
+        keys.assign_keys(twice, "sk", ["nk", "item"], num_partitions=4, unique="reload")

@@ -81,3 +81,16 @@ def test_first_per_key_limits_before_the_shuffle(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "WindowGroupLimit" in p and "Partial" in p
     assert sorted((r.k, r.v) for r in out.collect()) == [(1, "b"), (2, "c")]
+
+
+def test_roll_up_sums_money_as_longs(spark):
+    from dimforge.plans import rollup
+    fi = spark.createDataFrame([("2020-01-02", "a", 1, "99999999.99", "0.01"), ("2020-01-02", "a", 2, "0.01", "0.02"), ("2020-01-02", "b", 1, "1.10", "0.00")],
+                               "d string, order_id string, product_key long, price string, freight_value string")
+    fi = fi.select(F.col("d").cast("date").alias("order_purchase_date"), "order_id", "product_key",
+                   *[F.col(c).cast("decimal(10,2)").alias(c) for c in ("price", "freight_value")])
+    dp = spark.createDataFrame([(1, "x"), (2, "y")], "product_key long, category_name_english string")
+    out = rollup.by_day(fi, dp)
+    got = {r.category_name_english: (r.total_orders, r.total_items, str(r.total_revenue), str(r.total_freight)) for r in out.collect()}
+    assert got == {"x": (2, 2, "100000001.09", "0.01"), "y": (1, 1, "0.01", "0.02")}
+    assert "partial_sum(cast((price" in _plan(out) and "partial_sum(price" not in _plan(out)
