@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.joins import by_rows
 from ..operators.keys import assign_keys, has_key, require_unique, written
 from .publish import TableStore, keys_of
 
@@ -38,7 +39,8 @@ def with_keys(store: TableStore, name: str, fresh: DataFrame, version: str) -> t
         have, need = None, fresh
     else:
         require_unique(fresh, natural, "reload")
-        matched = written(fresh.join(known, natural, "left"))
+        # every natural key so far, so the side table is as long as the fact; each took a number
+        matched = written(fresh.join(by_rows(known, next_key - 1), natural, "left"))
         have, need = matched.where(F.col(sk).isNotNull()), matched.where(F.col(sk).isNull()).drop(sk)
     keyed = assign_keys(need, sk, natural, offset=next_key - 1, stored=True, unique="reload" if known is None else None)
     store.append(keys_of(name), keyed.select(*natural, sk), version)

@@ -344,3 +344,22 @@ def test_states_count_each_broken_part(spark, store):
     assert check_states.update(store, load)["fct_order_items"] == ["purchase_month=2016-02"]
     got = {r.check_name: r.failed_count for r in check_states.results(store, load, dt.datetime(2023, 1, 1)).collect()}
     assert got["price_positive"] == 2
+
+
+def test_a_long_side_table_of_keys_is_not_broadcast(spark, store, monkeypatch):
+    """Keys in order are a few bytes a row on disk, so Spark would take them for a small side."""
+    from dimforge.operators.joins import BROADCAST_ROWS
+    from dimforge.plans import reload
+    n = BROADCAST_ROWS + 1
+    known = spark.range(n).select(F.concat(F.lit("or"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("order_id"), (F.col("id") + 1).alias("order_lifecycle_key"))
+    first = store.next_version("x")
+    store.append(keys_of("fct_order_lifecycle"), known, first)
+    store.replace_parts("fct_order_lifecycle", schemas.empty(spark, "fct_order_lifecycle"), first, ["purchase_month=2016-01"], next_key=n + 1)
+    store.commit(first, list(store.pending))
+    assert sum(store.files(keys_of("fct_order_lifecycle")).values()) < 10 << 20
+    plans, write = [], reload.written
+    monkeypatch.setattr(reload, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    fresh = spark.createDataFrame([("or000000007",), ("new",)], "order_id string")
+    keyed, next_key = reload.with_keys(store, "fct_order_lifecycle", fresh, store.next_version("y"))
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
+    assert rows(keyed) == [("new", n + 1), ("or000000007", 8)] and next_key == n + 2
