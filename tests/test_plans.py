@@ -94,3 +94,16 @@ def test_roll_up_sums_money_as_longs(spark):
     got = {r.category_name_english: (r.total_orders, r.total_items, str(r.total_revenue), str(r.total_freight)) for r in out.collect()}
     assert got == {"x": (2, 2, "100000001.09", "0.01"), "y": (1, 1, "0.01", "0.02")}
     assert "partial_sum(cast((price" in _plan(out) and "partial_sum(price" not in _plan(out)
+
+
+def test_referential_checks_broadcast_no_referenced_keys(spark):
+    """A dimension's keys are as many as its rows, however small its files are."""
+    from dimforge.operators import quality as Q
+    from dimforge.operators.keys import written
+    a = written(spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "s string, k long"))
+    b = written(spark.createDataFrame([("a", 1), ("b", 3)], "s string, k long"))
+    cs = [Q.referential("x", "a", f"fk_{c}", c, "b", c, "") for c in ("s", "k")]
+    res = Q.run_checks(spark, {"a": a, "b": b}, cs)
+    anti = [line for line in _plan(res).split("== Initial Plan ==")[0].splitlines() if "LeftAnti" in line]
+    assert len(anti) == 2 and all("SortMergeJoin" in line for line in anti)
+    assert {r.check_name: r.failed_count for r in res.collect()} == {"fk_s": 1, "fk_k": 1}
