@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.exprs import any_distinct
+from ..operators.joins import by_rows
 from ..operators.keys import assign_keys, has_key, require_unique, written
 from ..operators.scd2 import scd2_apply
 from .publish import BUCKET, TableStore
@@ -56,12 +57,13 @@ def upsert_buckets(store: TableStore, name: str, source: DataFrame, set_cols, ve
     target = store.read(name, with_partitions=True, labels=_labels(values(src, BUCKET)))
     old = target.select(*key, BUCKET, sk, *[F.col(c).alias(f"_t_{c}") for c in set_cols])
     differs = F.col(sk).isNull() | any_distinct([(c, f"_t_{c}") for c in set_cols])
-    changed = written(src.join(old, [*key, BUCKET], "left").where(differs).select(*key, BUCKET, sk, *set_cols))
+    # a row for each number given out, at most
+    changed = written(src.join(by_rows(old, entry["next_key"] - 1), [*key, BUCKET], "left").where(differs).select(*key, BUCKET, sk, *set_cols))
     touched = values(changed, BUCKET)
     next_key = entry["next_key"]
     keyed = assign_keys(changed.where(F.col(sk).isNull()).drop(sk), sk, key, offset=next_key - 1, stored=True)
     news = changed.where(F.col(sk).isNotNull()).select(*key, *[F.col(c).alias(f"_s_{c}") for c in set_cols], F.lit(True).alias("_hit"))
-    kept = store.read(name, labels=_labels(touched)).join(news, key, "left").select(*[
+    kept = store.read(name, labels=_labels(touched)).join(by_rows(news), key, "left").select(*[
         F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c)
         for c in schemas.schema_of(name).names
     ])
@@ -87,10 +89,11 @@ def apply_history(
     src = _dealt(store, name, source.select(*key, *t1, *t2), "SCD source")
     hist = store.read(name, with_partitions=True, labels=_labels(values(src, BUCKET)))
     theirs = src.select(*key, BUCKET, *[F.col(c).alias(f"_s_{c}") for c in t1 + t2])
-    versions = hist.join(theirs, [*key, BUCKET])
+    versions = hist.join(by_rows(theirs), [*key, BUCKET])
     differs = any_distinct([(c, f"_s_{c}") for c in t1]) | (F.col("is_current") & any_distinct([(c, f"_s_{c}") for c in t2]))
     stale = versions.where(differs).select(BUCKET)
-    without = src.join(hist.where("is_current").select(*key, BUCKET), [*key, BUCKET], "left_anti").select(BUCKET)
+    open_now = by_rows(hist.where("is_current").select(*key, BUCKET), entry["next_key"] - 1)
+    without = src.join(open_now, [*key, BUCKET], "left_anti").select(BUCKET)
     touched = values(stale.union(without), BUCKET)
     next_key = entry["next_key"]
     rows = None

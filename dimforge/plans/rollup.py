@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import cents, distinct_from, hundredths
+from ..operators.joins import by_rows
 from . import check_states, serving
 from .publish import TableStore
 from .reload import values
@@ -25,7 +26,7 @@ def by_day(items: DataFrame, dim_product: DataFrame) -> DataFrame:
     first, so a hot day's rows are combined before the shuffle and none is expanded.  Money is
     summed in cents: longs stay small in the shuffles, where sums of decimals don't."""
     j = items.select("order_purchase_date", "order_id", "product_key", "price", "freight_value").join(
-        dim_product.select("product_key", "category_name_english"), "product_key")
+        by_rows(dim_product.select("product_key", "category_name_english")), "product_key")
     per_order = j.groupBy("order_purchase_date", "category_name_english", "order_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(cents("price")).alias("revenue"), F.sum(cents("freight_value")).alias("freight"))
     return per_order.groupBy("order_purchase_date", "category_name_english").agg(
@@ -39,7 +40,7 @@ def _moved_products(store: TableStore) -> DataFrame | None:
     if old is None or "dim_product" not in store.pending or not store.pending["dim_product"]["written"]:
         return None
     new = check_states.current(store, "dim_product").select("product_key", F.col("category_name_english").alias("_new"))
-    return old.join(new, "product_key").where(distinct_from("category_name_english", "_new")).select("product_key")
+    return old.join(by_rows(new), "product_key").where(distinct_from("category_name_english", "_new")).select("product_key")
 
 
 def refresh(store: TableStore, version: str) -> DataFrame:

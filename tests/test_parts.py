@@ -348,9 +348,9 @@ def test_states_count_each_broken_part(spark, store):
 
 def test_a_long_side_table_of_keys_is_not_broadcast(spark, store, monkeypatch):
     """Keys in order are a few bytes a row on disk, so Spark would take them for a small side."""
-    from dimforge.operators.joins import BROADCAST_ROWS
+    from dimforge.operators.joins import BROADCAST_BYTES
     from dimforge.plans import reload
-    n = BROADCAST_ROWS + 1
+    n = BROADCAST_BYTES // 28 + 1
     known = spark.range(n).select(F.concat(F.lit("or"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("order_id"), (F.col("id") + 1).alias("order_lifecycle_key"))
     first = store.next_version("x")
     store.append(keys_of("fct_order_lifecycle"), known, first)
@@ -363,3 +363,28 @@ def test_a_long_side_table_of_keys_is_not_broadcast(spark, store, monkeypatch):
     keyed, next_key = reload.with_keys(store, "fct_order_lifecycle", fresh, store.next_version("y"))
     assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
     assert rows(keyed) == [("new", n + 1), ("or000000007", 8)] and next_key == n + 2
+
+
+def test_dimensions_are_not_broadcast_by_the_bytes_of_their_files(spark, store, monkeypatch):
+    """Second loads of both kinds: sides over the bound on rows x width meet by a sort merge."""
+    from dimforge.operators import joins, scd2
+    from dimforge.plans import dims, keyed, reload
+    sellers = lambda city: spark.range(300).select(
+        F.concat(F.lit("se"), F.col("id").cast("string")).alias("seller_id"), F.lit("1").alias("seller_zip_code"),
+        F.when(F.col("id") % 2 == 0, city).otherwise("y").alias("seller_city"), F.lit("s").alias("seller_state"))
+    plans, write = [], keyed.written
+    note = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 300 * 20)
+    monkeypatch.setattr(keyed, "written", note)
+    monkeypatch.setattr(scd2, "written", note)
+    monkeypatch.setattr(keyed, "values", lambda df, c: plans.append(df._jdf.queryExecution().executedPlan().toString()) or reload.values(df, c))
+    for city in ("x", "z"):
+        plans.clear()
+        version = store.next_version("x")
+        upsert_buckets(store, "dim_seller", sellers(city), dims.SELLER_SET_COLS, version)
+        apply_history(store, "dim_seller_hist", sellers(city), dims.SELLER_HIST_TYPE1, dims.SELLER_HIST_TYPE2, AS_OF if city == "z" else dt.date(2020, 1, 1), version)
+        store.commit(version, list(store.pending))
+    joined = [p for p in plans if "Join" in p]
+    sent = [line for p in joined for line in p.splitlines() if "BroadcastHashJoin" in line and "_kpid" not in line]  # starts of files are few
+    assert len(joined) >= 3 and sent == []
+    assert store.read("dim_seller").where("seller_city = 'z'").count() == 150 and store.read("dim_seller_hist").count() == 450
