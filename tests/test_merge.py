@@ -128,3 +128,18 @@ def test_replace_by_key_properties(spark, t, f):
         if nk in old_sk:
             assert sk == old_sk[nk]              # a natural key keeps its surrogate key
     assert len({v[0] for v in got.values()}) == len(got)   # keys stay unique
+
+
+def test_reload_writes_its_rows_once(spark, monkeypatch):
+    """Fresh rows are checked, matched and numbered from one written copy."""
+    import pytest
+    from dimforge.operators import merge
+    from dimforge.operators.keys import DuplicateKeyError
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "sk long, o string, i int")
+    scope = spark.createDataFrame([("a",)], "o string")
+    calls, write = [], merge.written
+    monkeypatch.setattr(merge, "written", lambda df: calls.append(1) or write(df))
+    out = merge.replace_by_key(target, spark.createDataFrame([("a", 1), ("a", 2)], "o string, i int"), scope, "o", ["o", "i"], "sk")
+    assert sorted(tuple(r) for r in out.select("sk", "o", "i").collect()) == [(1, "a", 1), (2, "b", 1), (3, "a", 2)] and len(calls) == 1
+    with pytest.raises(DuplicateKeyError, match="duplicate reload keys"):
+        merge.replace_by_key(target, spark.createDataFrame([("a", 1), ("a", 1)], "o string, i int"), scope, "o", ["o", "i"], "sk")
