@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.exprs import declared
-from ..operators.keys import ensure_checkpoint_dir, rejects
+from ..operators.joins import batch
+from ..operators.keys import ensure_checkpoint_dir, rejects, written
 from ..operators.merge import insert_if_absent, replace_by_key, upsert
 from ..operators.scd2 import scd2_apply
 from ..sources.raw import PARQUET_FILES, RAW_COLUMNS, register_raw_views
@@ -51,6 +52,10 @@ def _in_months(raw: Mapping) -> DataFrame:
     return raw["raw_orders"].where(F.substring("order_purchase_timestamp", 1, 7).isin(*MONTHS))
 
 
+def _ids_in_months(raw: Mapping) -> DataFrame:
+    return batch(written(_in_months(raw).select("order_id")))
+
+
 def _changed(raw: Mapping, **relations) -> Mapping:
     """``raw`` with other relations in place of some; those that no load reads aren't derived."""
     return ChainMap(relations, raw)
@@ -58,13 +63,13 @@ def _changed(raw: Mapping, **relations) -> Mapping:
 
 def _batch(raw: Mapping) -> Mapping:
     """The orders of MONTHS, their items, and all other relations."""
-    orders = _in_months(raw)
-    return _changed(raw, raw_orders=orders, raw_order_items=raw["raw_order_items"].join(orders.select("order_id"), "order_id", "left_semi"))
+    items = raw["raw_order_items"].join(_ids_in_months(raw), "order_id", "left_semi")
+    return _changed(raw, raw_orders=_in_months(raw), raw_order_items=items)
 
 
 def _earlier_items(raw: Mapping, missing) -> Mapping:
     """Items of MONTHS carry no freight yet, and those for which ``missing`` holds aren't there."""
-    marked = raw["raw_order_items"].join(_in_months(raw).select("order_id", F.lit(True).alias("_in")), "order_id", "left")
+    marked = raw["raw_order_items"].join(_ids_in_months(raw).withColumn("_in", F.lit(True)), "order_id", "left")
     late = F.coalesce("_in", F.lit(False))
     kept = marked.where(~(late & missing)).withColumn("freight_value", F.when(late, "0.00").otherwise(F.col("freight_value")))
     return _changed(raw, raw_order_items=kept.drop("_in"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.joins import by_rows
+from ..operators.joins import batch, by_rows
 from ..operators.keys import assign_keys, has_key, require_unique, written
 from .publish import TableStore, keys_of
 
@@ -66,6 +66,7 @@ def reload_fact(store: TableStore, name: str, fresh: DataFrame, scope: DataFrame
     if scope_col == part:
         touched |= {f"{part}={m}" for m in values(scope, scope_col)}
     elif there:
+        scope = batch(written(scope))
         places = store.read(name, with_partitions=True).select(scope_col, part).join(scope, scope_col, "left_semi")
         touched |= {f"{part}={m}" for m in values(places, part)}
         if old := touched & there.keys():

@@ -107,3 +107,14 @@ def test_referential_checks_broadcast_no_referenced_keys(spark):
     anti = [line for line in _plan(res).split("== Initial Plan ==")[0].splitlines() if "LeftAnti" in line]
     assert len(anti) == 2 and all("SortMergeJoin" in line for line in anti)
     assert {r.check_name: r.failed_count for r in res.collect()} == {"fk_s": 1, "fk_k": 1}
+
+
+def test_a_batch_is_looked_up_without_a_shuffle_of_all_items(spark):
+    from dimforge.plans import catalog_loads
+    w = Warehouse(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [_plan(raw["raw_order_items"]) for raw in (catalog_loads._batch(w.raw), catalog_loads._earlier_items(w.raw, F.lit(True)))]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("BroadcastHashJoin" in p and "Exchange hashpartitioning" not in p for p in plans)
